@@ -49,6 +49,30 @@ def _decimal_fits(s: Column) -> Column:
     )
 
 
+def decimal_parts(c: Column | str) -> dict[str, Column]:
+    """Stage-1 pieces of a decimal text (computed once per value)."""
+    s = _col(c)
+    frac = F.regexp_extract(s, "\\.([0-9]*)", 1)
+    frac_len = F.length(F.regexp_replace(frac, "0+\\z", ""))
+    exp_txt = F.regexp_extract(s, "[eE]([+-]?[0-9]+)\\z", 1)
+    exp = F.when(exp_txt == "", F.lit(0)).otherwise(exp_txt.try_cast("int"))
+    return {
+        "grammar": s.rlike(DECIMAL_GRAMMAR),
+        "scale_need": frac_len - exp,
+        "narrow": s.try_cast(DECIMAL_TYPE),
+        "wide": s.try_cast(_WIDE_TYPE),
+    }
+
+
+def decimal_error_from(parts: dict[str, Column]) -> Column:
+    fits = (parts["scale_need"].isNotNull()
+            & (parts["scale_need"] <= _MAX_FRACTION_MINUS_EXPONENT)
+            & parts["narrow"].isNotNull() & parts["wide"].isNotNull()
+            & (parts["narrow"] == parts["wide"]))
+    return (F.when(~parts["grammar"], F.lit("invalid_decimal"))
+            .when(~fits, F.lit("decimal_out_of_range")))
+
+
 def decimal_error(c: Column | str) -> Column:
     """``invalid_decimal`` when the text breaks the grammar,
     ``decimal_out_of_range`` when it cannot be held exactly, else null."""
@@ -88,6 +112,28 @@ def _ts_parts(s: Column):
     return local.try_cast("timestamp"), offset_minutes, clock_ok
 
 
+def timestamp_parts(c: Column | str) -> dict[str, Column]:
+    """Stage-1 pieces of a timestamp text (computed once per value)."""
+    s = _col(c)
+    local_ts, offset, clock_ok = _ts_parts(s)
+    return {
+        "grammar": s.rlike(TIMESTAMP_GRAMMAR) & (F.substring(s, 1, 4) != "0000"),
+        "local": local_ts,
+        "offset": offset,
+        "clock_ok": clock_ok,
+    }
+
+
+def timestamp_error_from(parts: dict[str, Column]) -> Column:
+    valid = (parts["grammar"] & parts["clock_ok"] & parts["local"].isNotNull()
+             & (F.abs(parts["offset"]) < _MINUTES_PER_DAY))
+    return F.when(~F.coalesce(valid, F.lit(False)), F.lit("invalid_timestamp"))
+
+
+def timestamp_value_from(parts: dict[str, Column]) -> Column:
+    return parts["local"] - F.make_dt_interval(F.lit(0), F.lit(0), parts["offset"], F.lit(0))
+
+
 def timestamp_error(c: Column | str) -> Column:
     """``invalid_timestamp`` unless the text is an ISO-8601 instant with
     seconds, an optional fraction and a ``Z``/``±HH:MM`` offset below 24 h."""

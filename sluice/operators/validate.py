@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from sluice.functions.parsing import (
     decimal_error,
+    decimal_error_from,
+    decimal_parts,
+    timestamp_error_from,
+    timestamp_parts,
+    timestamp_value_from,
     is_currency_code,
     parse_decimal,
     parse_timestamp,
@@ -55,16 +60,51 @@ def _constraint_ok(constraint: str, value: Column) -> Column:
     raise ValueError(constraint)
 
 
+def _stage_one(f: Field, i: int) -> dict[str, Column]:
+    """Parse pieces of one field, named ``_<i>_<piece>``."""
+    raw = F.col(f.name)
+    if f.type == DECIMAL:
+        parts = decimal_parts(raw)
+    elif f.type == TIMESTAMP:
+        parts = timestamp_parts(raw)
+    else:
+        parts = {}
+    return {f"_{i}_{k}": v for k, v in parts.items()}
+
+
+def _stage_two(f: Field, i: int) -> tuple[Column, Column]:
+    """(typed value, first error category) of one field from its pieces."""
+    raw = F.col(f.name)
+    empty = raw.isNull() | (raw == "")
+    parts = {k: F.col(f"_{i}_{k}") for k in ("grammar", "scale_need", "narrow", "wide",
+                                              "local", "offset", "clock_ok")}
+    if f.type == DECIMAL:
+        type_err = decimal_error_from(parts)
+        parsed = F.when(type_err.isNull(), parts["narrow"])
+    elif f.type == TIMESTAMP:
+        type_err = timestamp_error_from(parts)
+        parsed = F.when(type_err.isNull(), timestamp_value_from(parts))
+    elif f.type == STRING:
+        type_err, parsed = None, raw                      # P6: kept byte-exact
+    else:
+        raise ValueError(f.type)
+    value = F.when(~empty, parsed)
+    err = F.when(empty, F.lit(None if f.nullable else "non_nullable_empty"))
+    if type_err is not None:
+        err = err.when(type_err.isNotNull(), type_err)
+    for c in f.constraints:
+        err = err.when(~_constraint_ok(c, value), F.lit(c.lower()))
+    return value, err.cast("string")
+
+
 def typed_value(f: Field, raw: Column) -> Column:
     """The typed value of one raw field (null when empty or invalid)."""
     empty = raw.isNull() | (raw == "")
     if f.type == STRING:
-        return F.when(~empty, raw)                          # P6: kept byte-exact
+        return F.when(~empty, raw)
     if f.type == DECIMAL:
         return F.when(~empty, parse_decimal(raw))
-    if f.type == TIMESTAMP:
-        return F.when(~empty, parse_timestamp(raw))
-    raise ValueError(f.type)
+    return F.when(~empty, parse_timestamp(raw))
 
 
 def field_error(f: Field, raw: Column) -> Column:
@@ -81,17 +121,6 @@ def field_error(f: Field, raw: Column) -> Column:
     return expr.cast("string")
 
 
-def errors_column(contract: Contract, raw_of=F.col) -> Column:
-    """Every failing field of a row, in contract order."""
-    items = []
-    for i, f in enumerate(contract.fields, start=1):
-        err = field_error(f, raw_of(f.name))
-        items.append(F.when(err.isNotNull(), F.struct(
-            F.lit(i).alias("field_ordinal"), F.lit(f.name).alias("field_name"),
-            err.alias("category"))))
-    return F.array_compact(F.array(*items)).cast(ERROR_TYPE)
-
-
 def validate_rows(raw: DataFrame, contract: Contract,
                   keep: tuple[str, ...] | None = None) -> DataFrame:
     """P13 + P17: typed projection with provenance and an ordered error array.
@@ -99,16 +128,33 @@ def validate_rows(raw: DataFrame, contract: Contract,
     ``raw`` holds one string column per contract field (any order) plus the
     provenance columns.  Timestamp fields also keep their source offset in
     ``<name>_offset``.  Output columns: provenance, typed fields, ``errors``,
-    ``first_error``."""
+    ``first_error``.
+
+    Three projections (parse pieces -> values and categories -> error array)
+    keep every parse expression evaluated once per value and the generated
+    code small."""
     keep = tuple(c for c in (keep or PROVENANCE_COLUMNS) if c in raw.columns)
-    typed = []
-    for f in contract.fields:
-        typed.append(typed_value(f, F.col(f.name)).alias(f.name))
+    names = contract.header_names
+    stage1 = {}
+    for i, f in enumerate(contract.fields, start=1):
+        stage1.update(_stage_one(f, i))
+    s1 = raw.select(*keep, *names, *[v.alias(k) for k, v in stage1.items()])
+    typed, errs = [], []
+    for i, f in enumerate(contract.fields, start=1):
+        value, err = _stage_two(f, i)
+        typed.append(value.alias(f.name))
+        errs.append(err.alias(f"_err_{i}"))
         if f.type == TIMESTAMP:
             typed.append(F.when(F.col(f.name) != "", timestamp_offset(F.col(f.name)))
                          .alias(f.name + "_offset"))
-    errors = errors_column(contract)
-    return raw.select(*keep, *typed, errors.alias("errors")).withColumn(
+    s2 = s1.select(*keep, *typed, *errs)
+    items = [F.when(F.col(f"_err_{i}").isNotNull(), F.struct(
+        F.lit(i).alias("field_ordinal"), F.lit(f.name).alias("field_name"),
+        F.col(f"_err_{i}").alias("category")))
+        for i, f in enumerate(contract.fields, start=1)]
+    errors = F.array_compact(F.array(*items)).cast(ERROR_TYPE)
+    out_cols = [c for c in s2.columns if not c.startswith("_err_")]
+    return s2.select(*out_cols, errors.alias("errors")).withColumn(
         "first_error", F.get(F.col("errors"), 0))
 
 
