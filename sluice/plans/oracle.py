@@ -388,3 +388,88 @@ def full_chain(contract: Contract, *extra: str) -> str:
     return with_ctes(contract, failures_cte(), accepted_cte(), outcomes_cte(contract),
                      counts_cte(), records_cte(), quality_cte(contract), files_cte(),
                      verdicts_cte(), *extra)
+
+
+# --------------------------------------------------------- relational tables
+REL_CTES = {
+    "sales_channels": """sales_channels AS (
+  SELECT * FROM (VALUES (1::BIGINT, 'ECOMMERCE', 'E-Commerce'), (2::BIGINT, 'RETAIL', 'Retail'))
+         t(sales_channel_id, sales_channel_code, sales_channel_name))""",
+    "stores": """stores AS (
+  SELECT s_suppkey AS store_id, 'STORE-' || CAST(s_suppkey AS VARCHAR) AS store_code,
+         s_name AS store_name,
+         CASE WHEN s_nationkey % 10 = 9 THEN 'Z9'
+              ELSE chr(65 + s_nationkey % 26) || chr(65 + (s_nationkey * 7) % 26) END AS country_code
+  FROM supplier)""",
+    "customers": "customers AS (SELECT c_custkey AS customer_id FROM customer)",
+    "product_categories": """product_categories AS (
+  SELECT DISTINCT CAST(p_size AS BIGINT) AS product_category_id, 'SIZE-' || CAST(p_size AS VARCHAR) AS category_code,
+         'Size ' || CAST(p_size AS VARCHAR) AS category_name FROM part WHERE p_size <= 45)""",
+    "products": """products AS (
+  SELECT p_partkey AS product_id, 'SKU-' || CAST(p_partkey AS VARCHAR) AS sku, p_name AS product_name,
+         CAST(p_size AS BIGINT) AS product_category_id,
+         CASE WHEN p_partkey % 500 = 7 THEN -CAST(p_retailprice AS DECIMAL(18,2))
+              ELSE CAST(p_retailprice AS DECIMAL(18,2)) END AS list_price,
+         CASE WHEN p_size % 4 = 0 THEN NULL ELSE CAST(p_size AS DECIMAL(18,2)) END AS unit_cost,
+         CASE WHEN p_partkey % 300 = 11 THEN NULL ELSE 'EUR' END AS currency_code
+  FROM part)""",
+    "orders": """orders_t AS (
+  SELECT o_orderkey AS order_id, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS sales_channel_id,
+         CASE WHEN o_orderkey % 2 = 1 THEN o_custkey % 120 END AS store_id, o_custkey AS customer_id,
+         o_orderdate AS order_timestamp,
+         CASE WHEN o_orderkey % 1000 = 5 THEN 'eur' ELSE 'EUR' END AS currency_code,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS order_amount
+  FROM orders)""",
+    "order_items": """order_items AS (
+  SELECT l_orderkey * 100000 + l_linenumber * 10000 + l_partkey % 10000 AS order_item_id,
+         l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_id,
+         CAST(trunc(l_quantity) AS INTEGER) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS unit_price,
+         CAST(l_discount * 100 AS DECIMAL(18,2)) AS discount_amount,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(CAST(trunc(l_quantity) AS INTEGER) AS DECIMAL(10,0))
+              AS DECIMAL(18,2)) AS line_amount
+  FROM lineitem)""",
+    "payments": """payments AS (
+  SELECT o_orderkey AS payment_id, o_orderkey AS order_id, o_orderdate AS payment_timestamp,
+         CASE WHEN o_orderstatus = 'P' THEN ' ' ELSE o_orderstatus END AS payment_status,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS payment_amount
+  FROM orders)""",
+    "returns": """returns AS (
+  SELECT l_orderkey * 100000 + l_linenumber * 10000 + l_partkey % 10000 AS return_id,
+         l_orderkey * 100000 + l_linenumber * 10000 + l_partkey % 10000 AS order_item_id,
+         l_shipdate AS return_timestamp, CAST(trunc(l_quantity) AS INTEGER) AS return_quantity,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS return_amount,
+         CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 3 = 1 THEN 'damaged' ELSE ' ' END AS return_reason
+  FROM lineitem WHERE l_returnflag = 'R')""",
+}
+REL_VIEW = {t: ("orders_t" if t == "orders" else t) for t in REL_CTES}
+REL_WITH = "WITH " + ",\n".join(REL_CTES.values())
+
+CHECK_SQL = {
+    "sales_channels": [("ck_sales_channels_code_non_blank", "trim(sales_channel_code) <> ''"),
+                       ("ck_sales_channels_name_non_blank", "trim(sales_channel_name) <> ''")],
+    "stores": [("ck_stores_code_non_blank", "trim(store_code) <> ''"),
+               ("ck_stores_name_non_blank", "trim(store_name) <> ''"),
+               ("ck_stores_country_code", "regexp_full_match(country_code, '[A-Z]{2}')")],
+    "product_categories": [("ck_product_categories_code_non_blank", "trim(category_code) <> ''"),
+                           ("ck_product_categories_name_non_blank", "trim(category_name) <> ''")],
+    "products": [("ck_products_sku_non_blank", "trim(sku) <> ''"),
+                 ("ck_products_name_non_blank", "trim(product_name) <> ''"),
+                 ("ck_products_list_price_non_negative", "list_price IS NULL OR list_price >= 0"),
+                 ("ck_products_unit_cost_non_negative", "unit_cost IS NULL OR unit_cost >= 0"),
+                 ("ck_products_currency_code",
+                  "currency_code IS NULL OR regexp_full_match(currency_code, '[A-Z]{3}')"),
+                 ("ck_products_currency_presence",
+                  "(currency_code IS NOT NULL) = (list_price IS NOT NULL OR unit_cost IS NOT NULL)")],
+    "orders": [("ck_orders_currency_code", "regexp_full_match(currency_code, '[A-Z]{3}')"),
+               ("ck_orders_amount_non_negative", "order_amount IS NULL OR order_amount >= 0")],
+    "order_items": [("ck_order_items_line_number_positive", "line_number > 0"),
+                    ("ck_order_items_quantity_positive", "quantity > 0"),
+                    ("ck_order_items_unit_price_non_negative", "unit_price >= 0"),
+                    ("ck_order_items_discount_non_negative", "discount_amount IS NULL OR discount_amount >= 0"),
+                    ("ck_order_items_line_amount_non_negative", "line_amount >= 0")],
+    "payments": [("ck_payments_status_non_blank", "trim(payment_status) <> ''"),
+                 ("ck_payments_amount_non_negative", "payment_amount >= 0")],
+    "returns": [("ck_returns_quantity_positive", "return_quantity > 0"),
+                ("ck_returns_amount_non_negative", "return_amount IS NULL OR return_amount >= 0"),
+                ("ck_returns_reason_non_blank", "return_reason IS NULL OR trim(return_reason) <> ''")],
+}

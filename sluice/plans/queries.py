@@ -258,3 +258,104 @@ def _verdicts_q(spark, sf_dir):
             F.col("stages")[1]["state"].alias("transformation_state"),
             F.col("stages")[2]["state"].alias("data_quality_state")))
     return _union(frames)
+
+
+# ------------------------------------------------------ P25 / P26 / A6 / J1
+from sluice.operators import constraints as K  # noqa: E402
+from sluice.sources.relational import business_tables  # noqa: E402
+
+_BUSINESS = ("sales_channels", "stores", "customers", "product_categories", "products",
+             "orders", "order_items", "payments", "returns")
+
+
+def _row_key(table: str) -> Column:
+    return F.concat_ws("|", *[F.col(k).cast("string") for k in K.PRIMARY_KEYS[table]])
+
+
+@register("check_rows", O.REL_WITH + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST({K.PRIMARY_KEYS[t][0]} AS VARCHAR) AS row_key, "
+    f"'{name}' AS constraint_name FROM {O.REL_VIEW[t]} WHERE NOT coalesce({cond}, true)"
+    for t, rules in O.CHECK_SQL.items() for name, cond in rules))
+def _check_rows_q(spark, sf_dir):
+    tabs = business_tables(spark, sf_dir)
+    frames = []
+    for t, rules in K.CHECKS.items():
+        if t not in tabs:
+            continue
+        frames.append(K.check_rows(tabs[t].withColumn("_key", _row_key(t)), rules, ["_key"])
+                      .select(F.lit(t).alias("table_name"), F.col("_key").alias("row_key"),
+                              "constraint_name"))
+    return _union(frames)
+
+
+def _unique_specs():
+    for t in _BUSINESS:
+        yield t, f"pk_{t}", K.PRIMARY_KEYS[t], True
+        for name, cols in K.UNIQUE_KEYS.get(t, ()):
+            yield t, name, cols, False
+
+
+def _unique_sql() -> str:
+    parts = []
+    for t, name, cols, primary in _unique_specs():
+        key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in cols)
+        parts.append(f"SELECT '{name}' AS constraint_name, {key} AS key_value, count(*) AS row_count "
+                     f"FROM {O.REL_VIEW[t]} GROUP BY ALL HAVING count(*) > 1")
+    return O.REL_WITH + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("check_unique_keys", _unique_sql())
+def _unique_q(spark, sf_dir):
+    tabs = business_tables(spark, sf_dir)
+    return _union([K.check_unique_keys(tabs[t], cols, name, primary)
+                   for t, name, cols, primary in _unique_specs()])
+
+
+def _fk_sql() -> str:
+    parts = []
+    for name, child, ccols, parent, pcols in K.FOREIGN_KEYS:
+        if child not in O.REL_VIEW:
+            continue
+        cv, pv = O.REL_VIEW[child], O.REL_VIEW[parent]
+        key = " || '|' || ".join(f"CAST(c.{k} AS VARCHAR)" for k in ccols)
+        on = " AND ".join(f"p.{p} = c.{k}" for k, p in zip(ccols, pcols))
+        nn = " AND ".join(f"c.{k} IS NOT NULL" for k in ccols)
+        parts.append(f"SELECT '{name}' AS constraint_name, {key} AS key_value, count(*) AS row_count "
+                     f"FROM {cv} c WHERE {nn} AND NOT EXISTS (SELECT 1 FROM {pv} p WHERE {on}) "
+                     f"GROUP BY ALL")
+    return O.REL_WITH + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("check_foreign_keys", _fk_sql())
+def _fk_q(spark, sf_dir):
+    tabs = business_tables(spark, sf_dir)
+    return _union([K.check_foreign_keys(tabs[child], tabs[parent], ccols, pcols, name)
+                   for name, child, ccols, parent, pcols in K.FOREIGN_KEYS if child in tabs])
+
+
+def _domain_sql() -> str:
+    parts = []
+    for t in _BUSINESS:
+        for col in K.SCHEMAS[t]:
+            conds = []
+            if not col.nullable:
+                conds.append((f"nn_{col.name}", f"{col.name} IS NOT NULL"))
+            if col.type.startswith(("varchar(", "char(")):
+                size = int(col.type.split("(")[1].rstrip(")"))
+                conds.append((f"len_{col.name}", f"length({col.name}) <= {size}"))
+            if col.type == "numeric":
+                conds.append((f"num_{col.name}",
+                              f"{col.name} = round({col.name}, 2) AND abs({col.name}) < 10000000000000000"))
+            for name, cond in conds:
+                parts.append(f"SELECT '{t}' AS table_name, CAST({K.PRIMARY_KEYS[t][0]} AS VARCHAR) AS row_key, "
+                             f"'{name}' AS constraint_name FROM {O.REL_VIEW[t]} WHERE NOT coalesce({cond}, true)")
+    return O.REL_WITH + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("check_domains", _domain_sql())
+def _domain_q(spark, sf_dir):
+    tabs = business_tables(spark, sf_dir)
+    return _union([
+        K.check_domains(tabs[t].withColumn("_key", _row_key(t)), t, ["_key"]).select(
+            F.lit(t).alias("table_name"), F.col("_key").alias("row_key"), "constraint_name")
+        for t in _BUSINESS])
