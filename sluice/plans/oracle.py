@@ -473,3 +473,64 @@ CHECK_SQL = {
                 ("ck_returns_amount_non_negative", "return_amount IS NULL OR return_amount >= 0"),
                 ("ck_returns_reason_non_blank", "return_reason IS NULL OR trim(return_reason) <> ''")],
 }
+
+
+# ------------------------------------------------------------------ history
+def exec_uuid(x: str) -> str:
+    return f"('00000000-0000-4000-8000-' || lpad(CAST({x} AS VARCHAR), 12, '0'))"
+
+
+HISTORY_LOG = f"""log AS (
+  SELECT {exec_uuid('user_id')} AS pipeline_execution_id, event_id, ts AS event_time,
+         CASE WHEN event_type = 'signup' THEN 'PENDING' WHEN event_type IN ('view', 'click') THEN 'RUNNING'
+              WHEN event_type = 'error' THEN 'FAILED'
+              WHEN event_type = 'purchase' AND value >= 40.0 THEN 'BLOCKED'
+              WHEN event_type = 'purchase' THEN 'SUCCEEDED' END AS target_state,
+         CASE WHEN event_type = 'error' THEN 'UNEXPECTED_EXECUTION_FAILURE' END AS failure_category,
+         CASE WHEN event_type = 'error' THEN 'UNEXPECTED_EXECUTION_ERROR' END AS failure_code,
+         CASE WHEN user_id % 5 <> 0 THEN {exec_uuid('user_id - 1')} END AS predecessor_execution_id
+  FROM events
+),
+p1 AS (
+  SELECT pipeline_execution_id, event_time AS t1, event_id AS e1 FROM log WHERE target_state = 'PENDING'
+  QUALIFY row_number() OVER (PARTITION BY pipeline_execution_id ORDER BY event_time, event_id) = 1
+),
+p2 AS (
+  SELECT l.pipeline_execution_id, l.event_time AS t2, l.event_id AS e2 FROM log l JOIN p1 USING (pipeline_execution_id)
+  WHERE l.target_state = 'RUNNING' AND (l.event_time > p1.t1 OR (l.event_time = p1.t1 AND l.event_id > p1.e1))
+  QUALIFY row_number() OVER (PARTITION BY l.pipeline_execution_id ORDER BY l.event_time, l.event_id) = 1
+),
+p3 AS (
+  SELECT l.pipeline_execution_id, l.event_time AS t3, l.event_id AS e3, l.target_state AS s3,
+         l.failure_category AS fc, l.failure_code AS fcode FROM log l JOIN p2 USING (pipeline_execution_id)
+  WHERE l.target_state IN ('SUCCEEDED', 'BLOCKED', 'FAILED')
+    AND (l.event_time > p2.t2 OR (l.event_time = p2.t2 AND l.event_id > p2.e2))
+  QUALIFY row_number() OVER (PARTITION BY l.pipeline_execution_id ORDER BY l.event_time, l.event_id) = 1
+),
+execs AS (
+  SELECT p1.pipeline_execution_id, CASE WHEN p3.s3 IS NOT NULL THEN p3.s3 WHEN p2.t2 IS NOT NULL THEN 'RUNNING'
+         ELSE 'PENDING' END AS state, p1.t1 AS created_at, p2.t2 AS started_at, p3.t3 AS completed_at,
+         CASE WHEN p3.s3 = 'FAILED' THEN p3.fc END AS failure_category,
+         CASE WHEN p3.s3 = 'FAILED' THEN p3.fcode END AS failure_code,
+         p1.e1, p2.e2, p3.e3,
+         (SELECT any_value(predecessor_execution_id) FROM log WHERE log.pipeline_execution_id = p1.pipeline_execution_id)
+           AS predecessor_execution_id
+  FROM p1 LEFT JOIN p2 USING (pipeline_execution_id) LEFT JOIN p3 USING (pipeline_execution_id)
+),
+stages AS (
+  SELECT e.pipeline_execution_id, s.stage, s.seq AS stage_sequence,
+    CASE WHEN e.state IN ('SUCCEEDED', 'BLOCKED') THEN 'SUCCEEDED'
+         WHEN e.state = 'FAILED' THEN CASE WHEN s.seq = 1 THEN 'FAILED' ELSE 'SKIPPED' END
+         WHEN e.state = 'RUNNING' THEN CASE WHEN s.seq = 1 THEN 'RUNNING' ELSE 'PENDING' END
+         ELSE 'PENDING' END AS state,
+    CASE WHEN e.state IN ('SUCCEEDED', 'BLOCKED')
+           THEN make_timestamp(epoch_us(e.started_at) + ((epoch_us(e.completed_at) - epoch_us(e.started_at)) // 3) * (s.seq - 1))
+         WHEN (e.state = 'FAILED' AND s.seq = 1) OR (e.state = 'RUNNING' AND s.seq = 1) THEN e.started_at END AS started_at,
+    CASE WHEN e.state IN ('SUCCEEDED', 'BLOCKED') THEN CASE WHEN s.seq = 3 THEN e.completed_at
+           ELSE make_timestamp(epoch_us(e.started_at) + ((epoch_us(e.completed_at) - epoch_us(e.started_at)) // 3) * s.seq) END
+         WHEN e.state = 'FAILED' THEN e.completed_at END AS completed_at,
+    CASE WHEN e.state = 'FAILED' AND s.seq = 1 THEN e.failure_category END AS failure_category,
+    CASE WHEN e.state = 'FAILED' AND s.seq = 1 THEN e.failure_code END AS failure_code
+  FROM execs e CROSS JOIN (VALUES ('INGESTION', 1), ('TRANSFORMATION', 2), ('DATA_QUALITY', 3)) s(stage, seq)
+)"""
+HISTORY_WITH = "WITH " + HISTORY_LOG

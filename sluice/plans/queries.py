@@ -359,3 +359,94 @@ def _domain_q(spark, sf_dir):
         K.check_domains(tabs[t].withColumn("_key", _row_key(t)), t, ["_key"]).select(
             F.lit(t).alias("table_name"), F.col("_key").alias("row_key"), "constraint_name")
         for t in _BUSINESS])
+
+
+# ------------------------------------------------------------------ history
+from sluice.operators import history as H  # noqa: E402
+from sluice.sources.tables import execution_log  # noqa: E402
+
+
+def _executions(spark, sf_dir):
+    log = execution_log(spark, sf_dir)
+    rep = H.replay_pipeline_log(log)
+    preds = log.groupBy("pipeline_execution_id").agg(
+        F.first("predecessor_execution_id").alias("predecessor_execution_id"))
+    return log, rep.join(preds, "pipeline_execution_id", "left")
+
+
+def _exec_text(df: DataFrame) -> DataFrame:
+    return df.select("pipeline_execution_id", "state",
+                     ts_text("created_at").alias("created_at"), ts_text("started_at").alias("started_at"),
+                     ts_text("completed_at").alias("completed_at"), "failure_category", "failure_code")
+
+
+_EXEC_SQL = (f"SELECT pipeline_execution_id, state, {O.ts_text('created_at')} AS created_at, "
+             f"{O.ts_text('started_at')} AS started_at, {O.ts_text('completed_at')} AS completed_at, "
+             "failure_category, failure_code FROM execs")
+
+
+@register("current_state", O.HISTORY_WITH + " " + _EXEC_SQL)
+def _current_state_q(spark, sf_dir):
+    _, ex = _executions(spark, sf_dir)
+    return _exec_text(ex)
+
+
+@register("check_transitions", O.HISTORY_WITH + """
+ SELECT l.pipeline_execution_id, l.event_id, l.target_state,
+   CASE WHEN e.e1 IS NULL OR (l.event_time, l.event_id) <= (e.created_at, e.e1) THEN NULL
+        WHEN e.e2 IS NULL OR (l.event_time, l.event_id) <= (e.started_at, e.e2) THEN 'PENDING'
+        WHEN e.e3 IS NULL OR (l.event_time, l.event_id) <= (e.completed_at, e.e3) THEN 'RUNNING'
+        ELSE e.state END AS prior_state,
+   coalesce(l.event_id IN (e.e1, e.e2, e.e3), false) AS accepted
+ FROM log l LEFT JOIN execs e USING (pipeline_execution_id)""")
+def _transitions_q(spark, sf_dir):
+    log, ex = _executions(spark, sf_dir)
+    return H.check_transitions(log, ex).select(
+        "pipeline_execution_id", "event_id", "target_state", "prior_state", "accepted")
+
+
+@register("join_history", O.HISTORY_WITH + f"""
+ SELECT e.pipeline_execution_id, e.state, string_agg(s.stage || ':' || s.state || ':' ||
+        coalesce({O.ts_text('s.started_at')}, '-') || ':' || coalesce({O.ts_text('s.completed_at')}, '-'),
+        ';' ORDER BY s.stage_sequence) AS stages
+ FROM execs e JOIN stages s USING (pipeline_execution_id) GROUP BY e.pipeline_execution_id, e.state""")
+def _join_history_q(spark, sf_dir):
+    _, ex = _executions(spark, sf_dir)
+    j = H.join_history(ex, H.derive_stage_rows(ex))
+    txt = F.array_join(F.transform("stages", lambda s: F.concat_ws(
+        ":", s["stage"], s["state"], F.coalesce(ts_text(s["started_at"]), F.lit("-")),
+        F.coalesce(ts_text(s["completed_at"]), F.lit("-")))), ";")
+    return j.select("pipeline_execution_id", "state", txt.alias("stages"))
+
+
+@register("runtime_metrics", O.HISTORY_WITH + """
+ SELECT e.pipeline_execution_id, e.state, epoch_us(e.completed_at) - epoch_us(e.started_at) AS duration_us,
+   max(epoch_us(s.completed_at) - epoch_us(s.started_at)) FILTER (WHERE s.stage = 'INGESTION') AS ingestion_us,
+   max(epoch_us(s.completed_at) - epoch_us(s.started_at)) FILTER (WHERE s.stage = 'TRANSFORMATION') AS transformation_us,
+   max(epoch_us(s.completed_at) - epoch_us(s.started_at)) FILTER (WHERE s.stage = 'DATA_QUALITY') AS data_quality_us
+ FROM execs e JOIN stages s USING (pipeline_execution_id) GROUP BY ALL""")
+def _metrics_q(spark, sf_dir):
+    _, ex = _executions(spark, sf_dir)
+    return H.runtime_metrics(ex, H.derive_stage_rows(ex))
+
+
+@register("operator_report", O.HISTORY_WITH + f"""
+ SELECT pipeline_execution_id, state, {O.ts_text('created_at')} AS created_at,
+   {O.ts_text('started_at')} AS started_at, {O.ts_text('completed_at')} AS completed_at,
+   failure_category, failure_code,
+   CASE WHEN state = 'SUCCEEDED' THEN 0 WHEN state = 'BLOCKED' THEN 3 ELSE 1 END AS exit_status
+ FROM execs""")
+def _report_q(spark, sf_dir):
+    _, ex = _executions(spark, sf_dir)
+    r = H.operator_report(ex)
+    return _exec_text(r).join(r.select("pipeline_execution_id", "exit_status"), "pipeline_execution_id")
+
+
+@register("predecessor_link", O.HISTORY_WITH + """
+ SELECT e.pipeline_execution_id, e.predecessor_execution_id, p.state AS predecessor_state,
+   coalesce(e.predecessor_execution_id = e.pipeline_execution_id, false) AS self_reference,
+   (e.predecessor_execution_id IS NOT NULL AND p.pipeline_execution_id IS NULL) AS missing_predecessor
+ FROM execs e LEFT JOIN execs p ON e.predecessor_execution_id = p.pipeline_execution_id""")
+def _pred_q(spark, sf_dir):
+    _, ex = _executions(spark, sf_dir)
+    return H.predecessor_link(ex)

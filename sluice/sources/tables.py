@@ -195,3 +195,37 @@ def raw_for(spark: SparkSession, sf_dir: str, contract: Contract) -> DataFrame:
     if contract is PRODUCT_CATALOG_V1:
         return products_raw(spark, sf_dir)
     raise ValueError(f"no derived rows for {contract.key}")
+
+
+# How the ``events`` table reads as an execution log.
+EVENT_STATES = (("signup", "PENDING"), ("view", "RUNNING"), ("click", "RUNNING"),
+                ("error", "FAILED"))
+BLOCKED_VALUE_THRESHOLD = 40.0
+
+
+def execution_uuid(user: Column) -> Column:
+    """A UUID-shaped execution id for an events ``user_id``."""
+    return F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(user.cast("string"), 12, "0"))
+
+
+def execution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table as a pipeline-execution event log: one execution
+    per user; event types map to target states (purchases end SUCCEEDED, or
+    BLOCKED when their value is at least the threshold)."""
+    ev = read_table(spark, sf_dir, "events")
+    target = None
+    for etype, state in EVENT_STATES:
+        cond = F.col("event_type") == etype
+        target = F.when(cond, F.lit(state)) if target is None else target.when(cond, F.lit(state))
+    target = target.when((F.col("event_type") == "purchase")
+                         & (F.col("value") >= BLOCKED_VALUE_THRESHOLD), F.lit("BLOCKED")) \
+                   .when(F.col("event_type") == "purchase", F.lit("SUCCEEDED"))
+    failed = target == "FAILED"
+    return ev.select(
+        execution_uuid(F.col("user_id")).alias("pipeline_execution_id"),
+        F.col("event_id"), F.col("ts").cast("timestamp").alias("event_time"),
+        target.alias("target_state"),
+        F.when(failed, F.lit("UNEXPECTED_EXECUTION_FAILURE")).alias("failure_category"),
+        F.when(failed, F.lit("UNEXPECTED_EXECUTION_ERROR")).alias("failure_code"),
+        F.when(F.col("user_id") % 5 != 0, execution_uuid(F.col("user_id") - 1))
+        .alias("predecessor_execution_id"))
