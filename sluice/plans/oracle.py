@@ -534,3 +534,13 @@ stages AS (
   FROM execs e CROSS JOIN (VALUES ('INGESTION', 1), ('TRANSFORMATION', 2), ('DATA_QUALITY', 3)) s(stage, seq)
 )"""
 HISTORY_WITH = "WITH " + HISTORY_LOG
+
+
+REFERENCE_WITH = """WITH approved AS (
+  SELECT 'STORE-' || CAST(s_suppkey AS VARCHAR) AS store_code, s_name AS store_name FROM supplier
+), existing AS (
+  SELECT DISTINCT 'STORE-' || CAST(l_suppkey AS VARCHAR) AS store_code,
+         CASE WHEN l_suppkey % 10 = 7 THEN 'Store ' || CAST(l_suppkey AS VARCHAR)
+              ELSE 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') END AS store_name
+  FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate < TIMESTAMP '1995-02-01'
+)"""

@@ -450,3 +450,42 @@ def _report_q(spark, sf_dir):
 def _pred_q(spark, sf_dir):
     _, ex = _executions(spark, sf_dir)
     return H.predecessor_link(ex)
+
+
+# ---------------------------------------------------------------- reference
+from sluice.operators import reference as R  # noqa: E402
+from sluice.sources.relational import approved_stores, registered_stores  # noqa: E402
+
+
+@register("missing_reference", O.REFERENCE_WITH + """
+ SELECT a.store_code, a.store_name FROM approved a
+ WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.store_code = a.store_code)""")
+def _missing_ref_q(spark, sf_dir):
+    return R.missing_reference(approved_stores(spark, sf_dir), registered_stores(spark, sf_dir),
+                               "store_code")
+
+
+@register("conflicting_reference", O.REFERENCE_WITH + """
+ SELECT a.store_code, a.store_name AS approved_store_name, e.store_name AS existing_store_name
+ FROM approved a JOIN existing e USING (store_code) WHERE a.store_name IS DISTINCT FROM e.store_name""")
+def _conflict_ref_q(spark, sf_dir):
+    return R.conflicting_reference(approved_stores(spark, sf_dir), registered_stores(spark, sf_dir),
+                                   "store_code", "store_name")
+
+
+@register("exact_reference_state", O.REFERENCE_WITH + """
+ SELECT store_code, store_name, 'missing' AS side FROM (SELECT * FROM approved EXCEPT ALL SELECT * FROM existing)
+ UNION ALL
+ SELECT store_code, store_name, 'unexpected' AS side FROM (SELECT * FROM existing EXCEPT ALL SELECT * FROM approved)""")
+def _exact_ref_q(spark, sf_dir):
+    return R.exact_reference_state(approved_stores(spark, sf_dir), registered_stores(spark, sf_dir))
+
+
+@register("append_missing_reference", O.REFERENCE_WITH + """
+ SELECT a.store_code, a.store_name FROM approved a
+ WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.store_code = a.store_code)
+   AND NOT EXISTS (SELECT 1 FROM approved a2 JOIN existing e2 USING (store_code)
+                   WHERE a2.store_name IS DISTINCT FROM e2.store_name)""")
+def _append_ref_q(spark, sf_dir):
+    return R.append_missing_reference(approved_stores(spark, sf_dir),
+                                      registered_stores(spark, sf_dir), "store_code", "store_name")

@@ -124,3 +124,23 @@ def business_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "order_items": order_items(spark, sf_dir), "payments": payments(spark, sf_dir),
         "returns": returns(spark, sf_dir),
     }
+
+
+def approved_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approved store reference rows: one per supplier."""
+    return read_table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("STORE-"), F.col("s_suppkey").cast("string")).alias("store_code"),
+        F.col("s_name").alias("store_name"))
+
+
+def registered_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores a legacy table already holds: those with retail lines shipped
+    before February 1995, named by the legacy rule (a different name for every tenth
+    supplier, so conflicts exist)."""
+    li = read_table(spark, sf_dir, "lineitem").where(
+        (F.col("l_returnflag") == "R") & (F.col("l_shipdate") < F.lit("1995-02-01").cast("timestamp_ntz")))
+    k = F.col("l_suppkey")
+    name = F.when(k % 10 == 7, F.concat(F.lit("Store "), k.cast("string"))).otherwise(
+        F.concat(F.lit("Supplier#"), F.lpad(k.cast("string"), 9, "0")))
+    return li.select(F.concat(F.lit("STORE-"), k.cast("string")).alias("store_code"),
+                     name.alias("store_name")).distinct()
