@@ -161,3 +161,33 @@ def replay_equivalence(first: DataFrame, second: DataFrame, ignore=("run_id",))
     b = second.drop(*[c for c in ignore if c in second.columns])
     return a.exceptAll(b).withColumn("side", F.lit("first")).unionByName(
         b.exceptAll(a).withColumn("side", F.lit("second")))
+
+
+def ingest_files(spark, root: str, contract: Contract, registry=None,
+                 run_id: str | None = None) -> Ingested:
+    """P16 over governed CSV files under ``root``: listing -> hash/identity ->
+    parse (one task unit per file) -> structural and header checks ->
+    validation ... -> quality, for every file of ``contract``.
+
+    Parsed rows are persisted once, since the file-status and the record
+    branches both read them."""
+    from sluice.operators.contracts import ContractRegistry
+    from sluice.operators.validate import file_status, project_by_name
+    from sluice.sources.csv import read_governed_csv
+    from sluice.sources.files import list_source_files
+
+    reg = registry or ContractRegistry.of(contract)
+    files = list_source_files(spark, root, reg).where(
+        (F.col("contract_id") == contract.contract_id)
+        & (F.col("contract_version") == contract.version))
+    parsed = read_governed_csv(files).persist(StorageLevel.MEMORY_AND_DISK)
+    status = file_status(parsed.where(F.col("kind") == "file"), contract)
+    structural = status.where(F.col("file_failure").isNotNull()).select(
+        "source_id", F.col("file_failure").alias("failure_category"))
+    rows = project_by_name(
+        parsed.where(F.col("kind") == "row").join(structural.select("source_id"), "source_id", "left_anti"),
+        contract)
+    ing = ingest_rows(rows, contract, run_id, file_failures=structural)
+    ing.files = parsed.where(F.col("kind") == "file").select(
+        "source_id", "source_identifier", "contract_id", "contract_version")
+    return ing

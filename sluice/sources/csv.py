@@ -11,11 +11,17 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+# Ship this module's code with the job (the parser needs only the standard
+# library), so Python workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PARSED_SCHEMA = (
     "kind string, row_number long, headers array<string>, vals array<string>, "
     "failure_category string, expected_field_count int, actual_field_count int, "
