@@ -489,3 +489,100 @@ def _exact_ref_q(spark, sf_dir):
 def _append_ref_q(spark, sf_dir):
     return R.append_missing_reference(approved_stores(spark, sf_dir),
                                       registered_stores(spark, sf_dir), "store_code", "store_name")
+
+
+# ------------------------------------------------------------ scalar rules
+from sluice.functions import parsing as P  # noqa: E402
+from sluice.functions import text as T  # noqa: E402
+from sluice.sources.files import content_sha256, source_identity  # noqa: E402
+from sluice.sources.tables import read_table  # noqa: E402
+
+
+@register("content_sha256", "SELECT doc_id, sha256(text) AS content_sha256 FROM documents")
+def _sha_q(spark, sf_dir):
+    """S5 over whole document texts (UTF-8 bytes)."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", content_sha256(F.encode("text", "UTF-8")).alias("content_sha256"))
+
+
+@register("source_identity", "SELECT page_id, " + O.identity(
+    "northstar.product_catalog", 1, "'product_catalog/v1/' || CAST(page_id AS VARCHAR) || '.csv'")
+    .replace("sha256('product_catalog", "sha256('product_catalog") +
+    " AS source_id FROM pages")
+def _identity_q(spark, sf_dir):
+    """S7 over one notional file per web page (content hash of its path)."""
+    p = read_table(spark, sf_dir, "pages")
+    path = F.concat(F.lit("product_catalog/v1/"), F.col("page_id").cast("string"), F.lit(".csv"))
+    return p.select("page_id", source_identity(F.lit("northstar.product_catalog"), F.lit(1), path,
+                                               F.sha2(path, 256)).alias("source_id"))
+
+
+def _texts_sql() -> str:
+    return "WITH " + O.LINES[1:] + """, texts AS (
+  SELECT row_number, l_orderkey, l_partkey, l_suppkey, l_linenumber,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS t1,
+         CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) || CASE WHEN v < 100 THEN 'E+' || CAST(v % 3 AS VARCHAR)
+              WHEN v < 200 THEN '.' || CAST(v AS VARCHAR) || '0' WHEN v < 300 THEN ' ' ELSE '' END AS t2
+  FROM lines)"""
+
+
+def _texts(spark, sf_dir):
+    from sluice.sources.tables import _sales_lines
+    li = _sales_lines(spark, sf_dir)
+    v = F.col("v")
+    q = F.col("l_quantity").cast("long").cast("string")
+    t2 = F.concat(q, F.when(v < 100, F.concat(F.lit("E+"), (v % 3).cast("string")))
+                  .when(v < 200, F.concat(F.lit("."), v.cast("string"), F.lit("0")))
+                  .when(v < 300, F.lit(" ")).otherwise(F.lit("")))
+    return li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                     F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("t1"),
+                     t2.alias("t2"))
+
+
+@register("parse_decimal", _texts_sql() + f"""
+ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, t2 AS text,
+   {O._dec_err('t2')} AS error,
+   CAST(CASE WHEN ({O._dec_err('t2')}) IS NULL THEN try_cast(t2 AS DECIMAL(27,9)) END AS VARCHAR) AS value,
+   CAST(try_cast(t1 AS DECIMAL(27,9)) AS VARCHAR) AS price
+ FROM texts""")
+def _parse_decimal_q(spark, sf_dir):
+    """P7 over every line's quantity text (plain, exponent, fraction, padded)."""
+    t = _texts(spark, sf_dir)
+    return t.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("t2").alias("text"),
+                    P.decimal_error("t2").alias("error"),
+                    P.parse_decimal("t2").cast("string").alias("value"),
+                    P.parse_decimal("t1").cast("string").alias("price"))
+
+
+def _ts_texts_sql() -> str:
+    return f"""WITH ts AS (
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') ||
+    CASE o_orderkey % 7 WHEN 0 THEN 'Z' WHEN 1 THEN '+23:59' WHEN 2 THEN '-05:00'
+         WHEN 3 THEN '.1234567+02:00' WHEN 4 THEN '' WHEN 5 THEN '+24:00' ELSE '-00:30' END AS text
+  FROM orders)"""
+
+
+@register("parse_timestamp", _ts_texts_sql() + f"""
+ SELECT o_orderkey, text, {O._ts_err('text')} AS error,
+   {O.ts_text("CASE WHEN (" + O._ts_err('text') + ") IS NULL THEN " + O._ts_value('text') + " END")} AS utc
+ FROM ts""")
+def _parse_ts_q(spark, sf_dir):
+    """P8 + F3 over every order date with offsets up to ±23:59 and bad ones."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 7
+    suffix = (F.when(k == 0, "Z").when(k == 1, "+23:59").when(k == 2, "-05:00")
+              .when(k == 3, ".1234567+02:00").when(k == 4, "").when(k == 5, "+24:00").otherwise("-00:30"))
+    t = o.select("o_orderkey", F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
+                                        suffix).alias("text"))
+    return t.select("o_orderkey", "text", P.timestamp_error("text").alias("error"),
+                    ts_text(P.parse_timestamp("text")).alias("utc"))
+
+
+@register("normalize_identifier", f"""
+ SELECT conv_id, turn, {O._norm('text')} AS identifier, {O._non_blank('text')} AS non_blank
+ FROM conversations""")
+def _normalize_q(spark, sf_dir):
+    """F1 + F13 over whole conversation texts."""
+    c = read_table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", T.normalize_identifier("text").alias("identifier"),
+                    T.non_blank("text").alias("non_blank"))
