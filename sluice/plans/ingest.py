@@ -164,7 +164,7 @@ def replay_equivalence(first: DataFrame, second: DataFrame, ignore=("run_id",))
 
 
 def ingest_files(spark, root: str, contract: Contract, registry=None,
-                 run_id: str | None = None) -> Ingested:
+                 run_id: str | None = None, files: DataFrame | None = None) -> Ingested:
     """P16 over governed CSV files under ``root``: listing -> hash/identity ->
     parse (one task unit per file) -> structural and header checks ->
     validation ... -> quality, for every file of ``contract``.
@@ -177,7 +177,7 @@ def ingest_files(spark, root: str, contract: Contract, registry=None,
     from sluice.sources.files import list_source_files
 
     reg = registry or ContractRegistry.of(contract)
-    files = list_source_files(spark, root, reg).where(
+    files = (files if files is not None else list_source_files(spark, root, reg)).where(
         (F.col("contract_id") == contract.contract_id)
         & (F.col("contract_version") == contract.version))
     parsed = read_governed_csv(files).persist(StorageLevel.MEMORY_AND_DISK)

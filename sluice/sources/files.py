@@ -67,6 +67,16 @@ def list_source_files(spark: SparkSession, root: str,
         return empty if with_content else empty.drop("content")
     raw = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
            .option("recursiveFileLookup", "true").load(dirs))
+    return files_from_binary(raw, root, registry, with_content)
+
+
+def files_from_binary(raw: DataFrame, root: str, registry: ContractRegistry = BUILT_IN_REGISTRY,
+                      with_content: bool = True) -> DataFrame:
+    """S1-S7 over a ``binaryFile`` frame (batch or streaming)."""
+    spark = raw.sparkSession
+    root = root.rstrip("/")
+    reg = F.broadcast(registry.to_frame(spark).select(
+        F.col("directory").alias("_dir"), "contract_id", "contract_version"))
     rel = source_identifier("path", root)
     name = F.regexp_extract(rel, "([^/]*)\\z", 1)
     parent = F.regexp_extract(rel, "\\A(.*)/[^/]*\\z", 1)
