@@ -544,3 +544,33 @@ REFERENCE_WITH = """WITH approved AS (
               ELSE 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') END AS store_name
   FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate < TIMESTAMP '1995-02-01'
 )"""
+
+PIPELINE_CHECK_SQL = [
+    ("ck_pipeline_executions_state", "state IN ('PENDING', 'RUNNING', 'SUCCEEDED', 'BLOCKED', 'FAILED')"),
+    ("ck_pipeline_executions_predecessor_not_self",
+     "predecessor_execution_id IS NULL OR predecessor_execution_id <> pipeline_execution_id"),
+    ("ck_pipeline_executions_started_at", "started_at IS NULL OR started_at >= created_at"),
+    ("ck_pipeline_executions_completed_at",
+     "completed_at IS NULL OR (started_at IS NOT NULL AND completed_at >= started_at)"),
+    ("ck_pipeline_executions_failure_consistency",
+     "(state = 'FAILED' AND failure_category IS NOT NULL) OR (state IN ('PENDING', 'RUNNING', 'SUCCEEDED', "
+     "'BLOCKED') AND failure_category IS NULL AND failure_code IS NULL)"),
+    ("ck_pipeline_executions_failure_code_category", "failure_code IS NULL OR failure_category IS NOT NULL"),
+    ("terminal_requires_completed_at",
+     "state NOT IN ('SUCCEEDED', 'BLOCKED', 'FAILED') OR completed_at IS NOT NULL"),
+]
+STAGE_CHECK_SQL = [
+    ("ck_pipeline_stage_executions_stage_sequence",
+     "(stage = 'INGESTION' AND stage_sequence = 1) OR (stage = 'TRANSFORMATION' AND stage_sequence = 2) "
+     "OR (stage = 'DATA_QUALITY' AND stage_sequence = 3)"),
+    ("ck_pipeline_stage_executions_state", "state IN ('PENDING', 'RUNNING', 'SUCCEEDED', 'FAILED', 'SKIPPED')"),
+    ("ck_pipeline_stage_executions_shape",
+     "(state = 'PENDING' AND started_at IS NULL AND completed_at IS NULL AND failure_category IS NULL AND failure_code IS NULL)"
+     " OR (state = 'RUNNING' AND started_at IS NOT NULL AND completed_at IS NULL AND failure_category IS NULL AND failure_code IS NULL)"
+     " OR (state = 'SUCCEEDED' AND started_at IS NOT NULL AND completed_at IS NOT NULL AND failure_category IS NULL AND failure_code IS NULL)"
+     " OR (state = 'FAILED' AND started_at IS NOT NULL AND completed_at IS NOT NULL AND failure_category IS NOT NULL)"
+     " OR (state = 'SKIPPED' AND started_at IS NULL AND completed_at IS NOT NULL AND failure_category IS NULL AND failure_code IS NULL)"),
+    ("ck_pipeline_stage_executions_failure_code_category", "failure_code IS NULL OR failure_category IS NOT NULL"),
+    ("ck_pipeline_stage_executions_timestamp_order",
+     "started_at IS NULL OR completed_at IS NULL OR completed_at >= started_at"),
+]

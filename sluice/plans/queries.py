@@ -586,3 +586,130 @@ def _normalize_q(spark, sf_dir):
     c = read_table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", T.normalize_identifier("text").alias("identifier"),
                     T.non_blank("text").alias("non_blank"))
+
+
+# ------------------------------------------------------ A4 / A8 / J6 / K3 / K4
+from sluice.operators.quality import (  # noqa: E402
+    SALES_TRANSACTION_CURRENCY, affected_records, group_coherence, quality_verdict)
+
+
+@register("quality_verdict", _sql_union([
+    O.full_chain(c) + """ SELECT f.source_identifier, bool_or(q.status = 'EVALUATION_ERROR') AS any_evaluation_error,
+       bool_or(q.status = 'VIOLATED' AND q.disposition = 'BLOCKING') AS any_blocking_violation
+     FROM quality q JOIN files f ON q.source_id = f.source_id GROUP BY f.source_identifier"""
+    for c in BUILT_IN_CONTRACTS]))
+def _quality_verdict_q(spark, sf_dir):
+    frames = []
+    for c in BUILT_IN_CONTRACTS:
+        ing = _ingest(spark, sf_dir, c)
+        frames.append(quality_verdict(ing.quality).join(
+            ing.files.select("source_id", "source_identifier"), "source_id").select(
+            "source_identifier", "any_evaluation_error", "any_blocking_violation"))
+    return _union(frames)
+
+
+@register("affected_records", _sql_union([
+    O.full_chain(c) + """ SELECT r.source_identifier, r.row_number, r.source_transaction_number, r.currency_code
+     FROM records r WHERE EXISTS (SELECT 1 FROM quality q WHERE q.status = 'VIOLATED'
+       AND q.source_id = r.source_id AND q.sales_channel_code = r.sales_channel_code
+       AND q.source_transaction_number = r.source_transaction_number)"""
+    for c in (ECOMMERCE_SALES_V1, RETAIL_SALES_V1)]))
+def _affected_q(spark, sf_dir):
+    """Every line of a mixed-currency transaction (provenance as rows)."""
+    frames = []
+    for c in (ECOMMERCE_SALES_V1, RETAIL_SALES_V1):
+        ing = _ingest(spark, sf_dir, c)
+        frames.append(affected_records(ing.records, ing.quality, SALES_TRANSACTION_CURRENCY).select(
+            "source_identifier", "row_number", "source_transaction_number", "currency_code"))
+    return _union(frames)
+
+
+def _coherence_sql() -> str:
+    member = ("SELECT CAST(regexp_extract(source_transaction_number, '([0-9]+)$', 1) AS BIGINT) AS group_id, "
+              "sales_channel_code, source_transaction_number, currency_code FROM records")
+    members = " UNION ALL ".join(f"SELECT * FROM ({O.full_chain(c)} {member})"
+                                 for c in (ECOMMERCE_SALES_V1, RETAIL_SALES_V1))
+    key = "m.sales_channel_code || chr(0) || m.source_transaction_number"
+    bad = f"count(m.group_id) = 0 OR min({key}) <> max({key})"
+    return f"""WITH members AS ({members})
+ SELECT o.o_orderkey AS group_id,
+   CASE WHEN {bad} THEN 'EVALUATION_ERROR'
+        WHEN min(m.currency_code) = max(m.currency_code) THEN 'SATISFIED' ELSE 'VIOLATED' END AS status,
+   CASE WHEN {bad} THEN 'INCOHERENT_TRANSACTION_GROUP' END AS reason_code
+ FROM orders o LEFT JOIN members m ON m.group_id = o.o_orderkey GROUP BY o.o_orderkey"""
+
+
+@register("group_coherence", _coherence_sql())
+def _coherence_q(spark, sf_dir):
+    """A4: every order as a caller-supplied transaction group over the
+    canonical lines of both channels; empty or mixed groups are errors."""
+    lines = union_sales_lines(*[_ingest(spark, sf_dir, c).records
+                                for c in (ECOMMERCE_SALES_V1, RETAIL_SALES_V1)])
+    members = lines.select(
+        F.regexp_extract("source_transaction_number", "([0-9]+)\\z", 1).cast("long").alias("group_id"),
+        "sales_channel_code", "source_transaction_number", "currency_code")
+    groups = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("group_id"))
+    return group_coherence(groups, members).select("group_id", "status", "reason_code")
+
+
+from sluice.operators.canonical import union_sales_lines  # noqa: E402
+
+
+def _pipeline_tables(spark, sf_dir):
+    _, ex = _executions(spark, sf_dir)
+    stages = H.derive_stage_rows(ex)
+    return ex, stages
+
+
+@register("check_shapes", O.HISTORY_WITH + "\n" + "\nUNION ALL\n".join(
+    [f"SELECT 'pipeline_executions' AS table_name, pipeline_execution_id AS row_key, '{n}' AS constraint_name "
+     f"FROM execs WHERE NOT coalesce({cond}, true)" for n, cond in O.PIPELINE_CHECK_SQL] +
+    [f"SELECT 'pipeline_stage_executions', pipeline_execution_id || '|' || CAST(stage_sequence AS VARCHAR), "
+     f"'{n}' FROM stages WHERE NOT coalesce({cond}, true)" for n, cond in O.STAGE_CHECK_SQL]))
+def _shapes_q(spark, sf_dir):
+    """K4: CHECK rules of both history tables plus the domain rule that a
+    terminal pipeline has a completion time."""
+    ex, stages = _pipeline_tables(spark, sf_dir)
+    rules = list(K.CHECKS["pipeline_executions"]) + [
+        ("terminal_requires_completed_at", lambda: ~F.col("state").isin("SUCCEEDED", "BLOCKED", "FAILED")
+         | F.col("completed_at").isNotNull())]
+    a = K.check_rows(ex, rules, ["pipeline_execution_id"]).select(
+        F.lit("pipeline_executions").alias("table_name"),
+        F.col("pipeline_execution_id").alias("row_key"), "constraint_name")
+    b = K.check_rows(stages.withColumn("_k", F.concat_ws("|", "pipeline_execution_id",
+                                                           F.col("stage_sequence").cast("string"))),
+                     K.CHECKS["pipeline_stage_executions"], ["_k"]).select(
+        F.lit("pipeline_stage_executions").alias("table_name"), F.col("_k").alias("row_key"),
+        "constraint_name")
+    return a.unionByName(b)
+
+
+def _events_sql() -> str:
+    parts = []
+    for c in BUILT_IN_CONTRACTS:
+        chain = O.full_chain(c, """ev AS (
+  SELECT source_identifier, state, failed_stage, NULL AS stage, 0 AS seq, 'PENDING' AS target_state, 0 AS off FROM verdicts
+  UNION ALL SELECT source_identifier, state, failed_stage, NULL, 1, 'RUNNING', 1 FROM verdicts
+  UNION ALL SELECT source_identifier, state, failed_stage, NULL, 99, state, 8 FROM verdicts
+  UNION ALL SELECT source_identifier, state, failed_stage, s.stage, 10 * s.seq,
+     CASE WHEN (""" + O.stage_state("s.seq") + """) <> 'SKIPPED' THEN 'RUNNING' END, 2 * s.seq
+     FROM verdicts CROSS JOIN (VALUES ('INGESTION', 1), ('TRANSFORMATION', 2), ('DATA_QUALITY', 3)) s(stage, seq)
+  UNION ALL SELECT source_identifier, state, failed_stage, s.stage, 10 * s.seq + 1, """ + O.stage_state("s.seq") + """,
+     2 * s.seq + 1
+     FROM verdicts CROSS JOIN (VALUES ('INGESTION', 1), ('TRANSFORMATION', 2), ('DATA_QUALITY', 3)) s(stage, seq))""")
+        parts.append(chain + f""" SELECT source_identifier, stage, seq, target_state,
+   {O.ts_text("make_timestamp(epoch_us(TIMESTAMP '2026-01-01 00:00:00') + off * 1000000)")} AS event_time
+ FROM ev WHERE target_state IS NOT NULL""")
+    return _sql_union(parts)
+
+
+@register("history_events", _events_sql())
+def _events_q(spark, sf_dir):
+    """K3: the execution/stage event log implied by every file verdict."""
+    frames = []
+    for c in BUILT_IN_CONTRACTS:
+        v = verdicts_for(_ingest(spark, sf_dir, c))
+        frames.append(H.history_events(v, "2026-01-01 00:00:00").select(
+            "source_identifier", "stage", "seq", "target_state",
+            ts_text("event_time").alias("event_time")))
+    return _union(frames)
