@@ -50,10 +50,10 @@ class Ingested:
 
 def source_files(raw: DataFrame) -> DataFrame:
     """One row per source file present in the raw rows."""
-    return raw.groupBy("source_id").agg(
-        F.first("source_identifier").alias("source_identifier"),
-        F.first("contract_id").alias("contract_id"),
-        F.first("contract_version").alias("contract_version"))
+    # The other columns depend on source_id; grouping on them keeps the
+    # aggregate a hash aggregate (no string buffers).
+    return raw.groupBy("source_id", "source_identifier", "contract_id", "contract_version").agg(
+        F.count(F.lit(1)).alias("raw_row_count"))
 
 
 def expectations_for(contract: Contract):
