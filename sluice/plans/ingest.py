@@ -84,8 +84,10 @@ def ingest_rows(raw: DataFrame, contract: Contract, run_id: str | None = None,
     clean = counts.where((F.col("failure_count") == 0) & F.col("abort_kind").isNull())
     records = successful_records(outcomes).join(clean.select("source_id"), "source_id", "left_semi")
     quality = evaluate_quality(records, expectations_for(contract))
+    # The file list comes from the persisted rows, not from a second pass
+    # over the source.
     return Ingested(contract, validated, failures, accepted, outcomes, counts, records,
-                    quality, source_files(raw))
+                    quality, source_files(validated))
 
 
 def _stage_array(failed_stage: Column, state: Column, category: Column, code: Column) -> Column:
