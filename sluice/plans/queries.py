@@ -30,7 +30,13 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Instants are compared and printed in UTC whatever session runs us.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = f"query_{name}"
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
