@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.llm.bpe import bpe_decode, bpe_encode, digests
 from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_dedup
+from sluice.llm.packing import best_fit_packing
 from sluice.llm.simhash import simhash_dedup
+from sluice.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +40,36 @@ FROM n
 @_query("op9_simhash_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
+
+
+@_query("op3_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(bpe_decode(bpe_encode(table(spark, sf_dir, "documents"))))
+
+
+@_query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), capacity=2048)
+
+
+@_query("op6_substring_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), window=50, with_text=False)
+
+
+ORACLES["op6_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(trim(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS w
+           FROM documents),
+n AS (SELECT doc_id, list_filter(w, x -> x <> '') AS w FROM d),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS at FROM n WHERE len(w) >= 50),
+k AS (SELECT doc_id, at, sha256(array_to_string(w[at:at + 49], ' ')) AS h FROM s),
+m AS (SELECT doc_id, at, min(doc_id) OVER (PARTITION BY h) AS least FROM k),
+c AS (SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS place FROM m WHERE least < doc_id),
+p AS (SELECT doc_id, list(place) AS gone FROM c GROUP BY doc_id),
+q AS (SELECT n.doc_id, w, range(1, len(w) + 1) AS places, coalesce(gone, []) AS gone FROM n LEFT JOIN p USING (doc_id)),
+r AS (SELECT doc_id, w, gone, CASE WHEN len(gone) = 0 THEN places
+                                   ELSE list_filter(places, i -> NOT list_contains(gone, i)) END AS stay FROM q)
+SELECT doc_id, len(w) AS n_words, len(gone) AS n_removed,
+       sha256(coalesce(array_to_string(list_transform(stay, i -> w[i]), ' '), '')) AS kept_sha256
+FROM r
+"""
