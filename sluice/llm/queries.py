@@ -58,18 +58,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_substring_dedup"] = r"""
-WITH d AS (SELECT doc_id, string_split(trim(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS w
-           FROM documents),
-n AS (SELECT doc_id, list_filter(w, x -> x <> '') AS w FROM d),
-s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS at FROM n WHERE len(w) >= 50),
-k AS (SELECT doc_id, at, sha256(array_to_string(w[at:at + 49], ' ')) AS h FROM s),
-m AS (SELECT doc_id, at, min(doc_id) OVER (PARTITION BY h) AS least FROM k),
-c AS (SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS place FROM m WHERE least < doc_id),
-p AS (SELECT doc_id, list(place) AS gone FROM c GROUP BY doc_id),
-q AS (SELECT n.doc_id, w, range(1, len(w) + 1) AS places, coalesce(gone, []) AS gone FROM n LEFT JOIN p USING (doc_id)),
-r AS (SELECT doc_id, w, gone, CASE WHEN len(gone) = 0 THEN places
-                                   ELSE list_filter(places, i -> NOT list_contains(gone, i)) END AS stay FROM q)
-SELECT doc_id, len(w) AS n_words, len(gone) AS n_removed,
-       sha256(coalesce(array_to_string(list_transform(stay, i -> w[i]), ' '), '')) AS kept_sha256
-FROM r
+WITH n AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS b FROM n WHERE len(w) >= 50),
+k AS (SELECT doc_id, b, sha256(array_to_string(w[b:b + 49], ' ')) AS h FROM s),
+m AS (SELECT doc_id, b, min(doc_id) OVER (PARTITION BY h) AS least FROM k),
+c AS (SELECT DISTINCT doc_id, unnest(range(b, b + 50)) AS place FROM m WHERE least < doc_id),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM n),
+y AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n_kept
+      FROM x ANTI JOIN c USING (doc_id, place) GROUP BY doc_id)
+SELECT n.doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM n LEFT JOIN y USING (doc_id)
 """
