@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.llm import language_id
 from sluice.llm.bpe import bpe_decode, bpe_encode, digests
 from sluice.llm.common import table
+from sluice.llm.embedding_dedup import embedding_dedup
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.simhash import simhash_dedup
@@ -69,3 +72,20 @@ y AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
 SELECT n.doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM n LEFT JOIN y USING (doc_id)
 """
+
+
+def _remainder(divisor: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+@_query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = language_id.fit(docs.where(~F.coalesce(_remainder(4) == 2, F.lit(False))))
+    return language_id.predict(docs, profiles).select(
+        "doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@_query("op10_embedding_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
