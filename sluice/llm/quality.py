@@ -23,6 +23,9 @@ SAMPLE = 8000
 #: Hashed features of the scorer.
 DIM = 2048
 
+#: Bytes below which a text's trigrams count for little: a short text shows little of either kind.
+SHORT = 200
+
 BAD, ABSTAIN, GOOD = 0, 1, 2
 
 #: Classes of bytes: letters, digits, gaps and other text; each ASCII sign is its own.
@@ -93,8 +96,9 @@ def votes(f: Facts) -> list[int]:
     junk = (f.signs >= 0.06, f.bare >= 0.15, enough and f.top >= 0.35, enough and f.echo >= 0.15,
             f.lines >= 4 and f.same_lines >= 0.5, f.words >= 50 and f.distinct <= 0.1, f.upper >= 0.6,
             f.letters <= 0.5, f.long <= 2 or f.long >= 20)
-    prose = (f.signs <= 0.02 and f.bare <= 0.02 and f.upper <= 0.3, enough and f.echo <= 0.03 and f.top <= 0.2,
-             0.02 <= f.stops <= 0.25 and 3 <= f.long <= 12)
+    prose = (f.signs <= 0.02 and f.bare <= 0.02 and f.upper <= 0.3,
+             f.echo <= 0.03 and (f.top <= 0.2 if enough else f.distinct >= 0.7),
+             (0.02 <= f.stops <= 0.25 if enough else f.stops > 0) and 2 <= f.long <= 12)
     return [BAD if v else ABSTAIN for v in junk] + [GOOD if v else ABSTAIN for v in prose]
 
 
@@ -111,8 +115,9 @@ def features(data: bytes, f: Facts) -> np.ndarray:
             part = c[at:at + (1 << 20) + 2]
             code = (part[:-2] << 12 | part[1:-1] << 6 | part[2:]) * 40503
             n += np.bincount(code >> 4 & (DIM - 1), minlength=DIM)
-        x += np.sqrt(n / (len(c) - 2)).astype(np.float32)
+        x += np.sqrt(n / (len(c) + SHORT)).astype(np.float32)
     for i, v in enumerate((f.top, f.echo, f.same_lines, f.upper, f.bare, f.signs, f.stops, f.distinct)):
+        v *= f.words / (f.words + 10)  # shares of few words say little
         for level in range(1 + min(7, int(v * 8))):  # a level implies the lower ones
             x[(i * 8 + level) * 2654435761 >> 7 & (DIM - 1)] += 0.5
     return x

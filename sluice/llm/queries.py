@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import language_id
+from sluice.llm import language_id, quality, toxicity
 from sluice.llm.bpe import bpe_decode, bpe_encode, digests
 from sluice.llm.common import table
 from sluice.llm.embedding_dedup import embedding_dedup
@@ -89,3 +89,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_embedding_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@_query("op2_quality_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs))
+
+
+@_query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(_remainder(5) != 0).select("doc_id", "toxic")
+    grammar = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.score(docs, grammar).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
