@@ -15,6 +15,7 @@ from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.simhash import simhash_dedup
 from sluice.llm.substring_dedup import substring_dedup
+from sluice.llm.warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +105,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     grammar = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
     return toxicity.score(docs, grammar).select(
         "doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
+@_query("op7_warc")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages"), least=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
