@@ -49,9 +49,9 @@ def _corpus(rng):
 def test_matches_brute_force(spark):
     rows = _corpus(random.Random(11))
     docs = spark.createDataFrame([(*r, 1, "t") for r in rows], "doc_id long, text string, start int, TAG string")
-    got = sorted((tuple(r) for r in S.substring_dedup(docs.repartition(5)).collect()), key=str)
+    got = sorted((tuple(r)[:5] for r in S.substring_dedup(docs.repartition(5)).collect()), key=str)
     assert got == _brute(rows, 50)
-    short = sorted((tuple(r) for r in S.substring_dedup(docs, window=7).collect()), key=str)
+    short = sorted((tuple(r)[:5] for r in S.substring_dedup(docs, window=7).collect()), key=str)
     assert short == _brute(rows, 7)
 
 
