@@ -19,12 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.bpe import CACHE_PIECES, blocks, pieces, vocabulary_path
+from sluice.llm.bpe import blocks, pieces, vocabulary_path
 from sluice.llm.common import materialize, pick
 
 CAPACITY = 2048
 #: Pieces that one partition packs, and rounds of exchange at most (each has fewer partitions).
 PART = 20_000
+#: Pieces of text whose ids are remembered, twice.
+CACHE_PIECES = 500_000
 ROUNDS = 8
 
 
@@ -38,19 +40,25 @@ class _Tokens:
         self.tokenizer.no_truncation()
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):  # rare: the library does it all
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        out, known = [], self.known
+        out = []
         for block in blocks(text):
             split = pieces(block)
+            known = self.known
             new = [p for p in dict.fromkeys(split) if p not in known]
-            if len(known) + len(new) > CACHE_PIECES:
-                known = self.known = {}
-                new = list(dict.fromkeys(split))
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
+            if new:
+                if len(known) + len(new) > CACHE_PIECES:  # what is still used comes back from the older half
+                    self.known, self.older = {}, known
+                    known, new = self.known, list(dict.fromkeys(split))
+                older = self.older
+                known.update((p, older[p]) for p in new if p in older)
+                new = [p for p in new if p not in known]
+                for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                    known[p] = np.array(e.ids, "<u4").tobytes()
             out.append(b"".join([known[p] for p in split]))
         return np.frombuffer(b"".join(out), "<u4")
 
