@@ -203,7 +203,8 @@ def _tag():
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, with_text: bool = True) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text.
+    """One row per input row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text
+    and words_sha256 (of all its words, joined by one space: it tells rows of one id apart).
 
     A word goes if it lies in a run of ``window`` words that also starts in a
     document with a smaller id. kept_text is null where nothing goes (the text
@@ -251,8 +252,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = out.select("doc_id", "n_words",
                      F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
                      F.when(gone, F.lit(empty)).otherwise(sha).alias("kept_sha256"),
-                     *([F.when(gone, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")] if with_text else []),
-                     )
+                     *([F.when(gone, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
+                        F.lower(F.hex("sha")).alias("words_sha256")] if with_text else []))
     return out
 
 
