@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick
 
 WINDOW = 50
-SEED_WORDS = 10
+SEED_WORDS = 16
 
 _rng = np.random.default_rng(0x5EED)
 _BYTES = _rng.integers(0, 2**64, (2, 256), np.uint64)
@@ -234,12 +234,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         shared, "seed", "left_semi").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
     near = materialize(_texts_of(rows, found, "places"), "texts-with-shared-seeds")
 
-    windows = near.mapInArrow(_windows(window), "k1 long, k2 long, doc_id long, tag long, start int")
-    windows = materialize(windows, "windows")
-    first = windows.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    first = first.where("least < most").select("k1", "k2", "least")
-    starts = windows.join(first, ["k1", "k2"]).where("least < doc_id").groupBy("doc_id", "tag").agg(
-        F.collect_set("start").alias("starts"))
+    # read twice rather than written: the digests are most of what this operator moves
+    windows = near.mapInArrow(_windows(window), "k1 long, k2 long, doc_id long, tag long, start int").select(
+        F.struct("k1", "k2").alias("key"), "doc_id", "tag", "start")
+    first = windows.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
+                                       F.count("*").alias("n_rows"))
+    first = materialize(first.where("least < most").select("key", "least", "n_rows"), "shared-windows")
+    total = first.agg(F.sum("n_rows")).first()[0] or 0
+    starts = attach(windows, first, "key", "n_rows", total, "tag").where("least < doc_id").groupBy(
+        "doc_id", "tag").agg(F.collect_set("start").alias("starts"))
     cut = (near.select("doc_id", "tag", "text").join(starts, ["doc_id", "tag"])
            .select("doc_id", "tag", "text", "starts")
            .mapInArrow(_kept(window), "doc_id long, tag long, n_removed long, kept_sha binary, kept_text string"))
