@@ -120,7 +120,8 @@ def file_verdicts(files: DataFrame, ingestion_failures: DataFrame, counts: DataF
               "source_id", "left")
         .join(qv, "source_id", "left")
     )
-    sup = supported if supported is not None else F.lit(True)
+    sup = supported if supported is not None else (
+        F.col("supported") if "supported" in files.columns else F.lit(True))
     rules = [
         (~sup, None, "CONFIGURATION_FAILURE", "CONFIGURATION_ERROR", "FAILED"),
         (F.col("_ing").isNotNull(), 1, "INGESTION_FAILURE", "INGESTION_ERROR", "FAILED"),
@@ -156,6 +157,38 @@ def verdicts_for(ing: Ingested) -> DataFrame:
     return file_verdicts(ing.files, ing.ingestion_failures, ing.counts, ing.quality)
 
 
+def verdicts_for_requests(spark, root: str, requests: DataFrame, registry=None,
+                          run_id: str | None = None) -> DataFrame:
+    """P16 + K1 for requested contracts (``contract_id``, ``contract_version``).
+
+    One verdict per file of every supported contract, one for each contract
+    directory that cannot be listed, and one for each unsupported request. The
+    requests are joined with the registry; the loop is over registered contracts."""
+    from sluice.operators.contracts import BUILT_IN_REGISTRY, resolve_contract
+    from sluice.sources.files import discovery_failures, source_identity
+
+    reg = registry or BUILT_IN_REGISTRY
+    asked = resolve_contract(requests.select("contract_id", "contract_version").distinct(), reg)
+    wanted = asked.where("resolution = 'RESOLVED'").select("contract_id", "contract_version")
+    parts = [verdicts_for(ingest_files(spark, root, c, reg, run_id)) for c in reg.contracts.values()]
+    verdicts = parts[0]
+    for more in parts[1:]:
+        verdicts = verdicts.unionByName(more)
+    none = spark.createDataFrame([], "source_id string, failure_category string")
+    counts = spark.createDataFrame([], "source_id string, failure_count long, abort_kind string")
+    outcomes = spark.createDataFrame([], "source_id string, status string, disposition string")
+    lost = discovery_failures(spark, root, reg)
+    lost = file_verdicts(lost, lost.select("source_id", "failure_category"), counts, outcomes)
+    unknown = asked.where("resolution <> 'RESOLVED'").select(
+        F.lit(None).cast("string").alias("source_identifier"), "contract_id", "contract_version",
+        source_identity("contract_id", "contract_version", F.lit(None).cast("string"),
+                        F.lit(None).cast("string")).alias("source_id"),
+        F.lit(False).alias("supported"))
+    unknown = file_verdicts(unknown, none, counts, outcomes)
+    return verdicts.unionByName(lost).join(
+        wanted, ["contract_id", "contract_version"], "left_semi").unionByName(unknown)
+
+
 def replay_equivalence(first: DataFrame, second: DataFrame, ignore=("run_id",)) -> DataFrame:
     """Rows that differ between two runs once the run id is dropped
     (empty when the runs are equivalent), tagged with the side they came from."""

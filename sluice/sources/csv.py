@@ -1,111 +1,390 @@
-"""Governed CSV parsing (S8, S9, E6) as a Python table function over the
-``binaryFile`` scan.
+"""Governed CSV parsing (S8, S9, E6) that splits large files.
 
-One call parses one file.  A quoted newline makes a CSV file unsplittable and
-row numbers are physical starting lines, so the file is the unit of work; the
-file content must fit in one Python worker (``binaryFile`` also caps a file
-near 2 GB).  The document is checked completely before any record is emitted,
-so a structural error anywhere beats every field error."""
+Files are read as lines by Spark's text source, which cuts a large file into blocks
+that are parsed in tasks of their own. Whether a block starts inside a quoted field
+depends on the blocks before it: a first pass maps each block to its effect on
+that state, the effects are composed per file, and the second pass parses
+every block from its true state. A record that crosses blocks is put together from
+its fragments. Headers, widths and the first failure of each file are
+relational steps over the records."""
 
 from __future__ import annotations
 
-import csv
-import io
-import sys
+import re
+from collections.abc import Iterator
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
+from pyspark.sql import Window
 
-# Ship this module's code with the job (the parser needs only the standard
-# library), so Python workers need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from sluice.operators.skew import spread_join
+from sluice.session import ensure_checkpoint_dir
 
 PARSED_SCHEMA = (
     "kind string, row_number long, headers array<string>, vals array<string>, "
     "failure_category string, expected_field_count int, actual_field_count int, "
     "data_row_count long"
 )
+#: Blocks that start inside a quoted field are listed for every task up to this number;
+#: beyond it the lines are shuffled to their block's state instead.
+LISTED_BLOCKS = 100_000
 
+# The failure categories of a document's structure.
+INVALID_UTF8 = "invalid_utf8"
+MALFORMED = "malformed_csv"
+EMPTY_HEADER = "empty_header"
+DUPLICATE_HEADER = "duplicate_header"
+ROW_WIDTH = "row_width"
+MISSING_HEADER = "missing_header"
+SOURCE_ACCESS = "source_access"
 
-def _reader(text: str):
-    return csv.reader(io.StringIO(text, newline=""), delimiter=",", quotechar='"',
-                      doublequote=True, escapechar=None, skipinitialspace=False,
-                      strict=True)
+_STOP = re.compile("[,\r]")
 
 
-def _records(text: str):
-    """Yield (starting_line, fields) for every non-blank record."""
-    reader = _reader(text)
-    while True:
-        start = reader.line_num + 1
-        try:
-            fields = next(reader)
-        except StopIteration:
-            return
-        if fields:
-            yield start, fields
-
-
-def _check(text: str):
-    """First pass: (headers, n_rows) or a failure tuple."""
-    headers = None
-    n = 0
-    try:
-        for line, fields in _records(text):
-            if headers is None:
-                if any(h == "" for h in fields):
-                    return ("empty_header", line, None, None)
-                if len(set(fields)) != len(fields):
-                    return ("duplicate_header", line, None, None)
-                headers = fields
+class RecordReader:
+    """Comma-separated records from physical lines, with doubled quotes and no escapes.
+
+    ``inside`` says whether the first line continues a quoted field. Lines come without
+    their line feed; a carriage return outside quotes ends a record too. A quote
+    that opens no field is an ordinary character; after a closing quote only a
+    comma or the end of the record may follow."""
+
+    def __init__(self, inside: bool = False):
+        self.inside = inside
+        self.broken = False
+        self.line = 0               # physical lines begun before the next one
+        self.start = 0              # line on which the open record began
+        self.fields: list[str] = []
+        self.value: list[str] = []  # pieces of the open quoted field
+        self.head = inside          # the open record began before the first line
+        self.begin = self.ended = 0  # places in a line where the last record began and ended
+
+    def _value_end(self, text: str, at: int) -> tuple[str | None, int]:
+        """Read a quoted value from ``at``; (value, place after the quote) or (None, end)."""
+        while True:
+            quote = text.find('"', at)
+            if quote < 0:
+                self.value.append(text[at:])
+                return None, len(text)
+            self.value.append(text[at:quote])
+            if text.startswith('"', quote + 1):
+                self.value.append('"')
+                at = quote + 2
                 continue
-            if len(fields) != len(headers):
-                return ("row_width", line, len(headers), len(fields))
-            n += 1
-    except csv.Error:
-        return ("malformed_csv", None, None, None)
-    if headers is None:
-        return ("missing_header", None, None, None)
-    return headers, n
-
-
-@udtf(returnType=PARSED_SCHEMA)
-class ParseGovernedCsv:
-    """Emits one ``file`` row (headers, failure, counts) and, when the file
-    parses, one ``row`` row per data record."""
-
-    def eval(self, content):
-        try:
-            text = bytes(content).decode("utf-8-sig")
-        except UnicodeDecodeError:
-            yield ("file", None, None, None, "invalid_utf8", None, None, None)
-            return
-        checked = _check(text)
-        if isinstance(checked[0], str):
-            category, line, expected, actual = checked
-            yield ("file", line, None, None, category, expected, actual, None)
+            value = "".join(self.value)
+            self.value = []
+            return value, quote + 1
+
+    def feed(self, text: str) -> Iterator[tuple[int, list[str], bool]]:
+        """(line, fields, whether it began before the first line) of each record ended here."""
+        if self.broken:
             return
-        headers, n = checked
-        yield ("file", None, list(headers), None, None, None, None, n)
-        first = True
-        for line, fields in _records(text):
-            if first:
-                first = False
+        first, at = self.line, 0
+        self.line += 1 + text.count("\r", 0, max(0, len(text) - 1))
+        while True:
+            if not self.inside and not self.fields:
+                while text.startswith("\r", at):
+                    at += 1
+                if at >= len(text):  # a blank line
+                    return
+                self.start, self.begin = first + text.count("\r", 0, at), at
+            if self.inside or text.startswith('"', at):
+                value, at = self._value_end(text, at if self.inside else at + 1)
+                self.inside = value is None
+                if self.inside:
+                    self.value.append("\n")
+                    return
+                if at < len(text) and text[at] not in ",\r":
+                    self.broken = True
+                    return
+            else:
+                stop = _STOP.search(text, at)
+                end = stop.start() if stop else len(text)
+                value, at = text[at:end], end
+            self.fields.append(value)
+            if at < len(text) and text[at] == ",":
+                at += 1
                 continue
-            yield ("row", line, list(headers), list(fields), None, None, None, None)
+            self.ended = at
+            fields, early, self.fields, self.head = self.fields, self.head, [], False
+            yield self.start, fields, early
+
+
+_EVENT = ("path string, block long, line int, place int, kind string, fields array<string>, text string, "
+          "n_lines int")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[tuple[str, bool]]]]:
+    """The lines of each block, which a task reads one after the other."""
+    def lines() -> Iterator[tuple[str, int, str, bool]]:
+        for batch in batches:
+            yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
+
+    stream = lines()
+    row = next(stream, None)
+    while row is not None:
+        path, block = row[:2]
+
+        def own() -> Iterator[tuple[str, bool]]:
+            nonlocal row
+            while row is not None and row[:2] == (path, block):
+                yield row[2], row[3]
+                row = next(stream, None)
+
+        mine = own()
+        yield path, block, mine
+        for _ in mine:
+            pass
+
+
+def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block: the state it ends in from either start (null: broken)."""
+    for path, block, lines in _blocks(batches):
+        both = (RecordReader(False), RecordReader(True))
+        for text, _ in lines:
+            for reader in both:
+                for _ in reader.feed(text):
+                    pass
+                reader.value = []
+        yield pa.RecordBatch.from_pylist([{
+            "path": path, "block": block, "from_outside": None if both[0].broken else both[0].inside,
+            "from_inside": None if both[1].broken else both[1].inside}],
+            schema=pa.schema([("path", pa.string()), ("block", pa.int64()), ("from_outside", pa.bool_()), ("from_inside", pa.bool_())]))
+
+
+def _records(inside: set[tuple[str, int]]):
+    """Events of each block: `record`, `error`, and the fragments `tail` and `open`."""
+    kind = pa.schema([("path", pa.string()), ("block", pa.int64()), ("line", pa.int32()), ("place", pa.int32()),
+                      ("kind", pa.string()), ("fields", pa.list_(pa.string())), ("text", pa.string()),
+                      ("n_lines", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, block, lines in _blocks(batches):
+            reader, out, place = RecordReader((path, block) in inside), [], 0
+            tail: list[str] | None = [] if reader.inside else None   # lines of a record begun earlier
+            open_lines: list[str] = []                               # lines of the record that is open
+
+            def event(name: str, line: int, fields=None, text=None, n=None) -> None:
+                nonlocal place
+                out.append((path, block, line, place, name, fields, text, n))
+                place += 1
+
+            for text, valid in lines:
+                if block == 0 and reader.line == 0:
+                    text = text.removeprefix("\ufeff")
+                if not valid:
+                    event("error", reader.line, text=INVALID_UTF8)
+                    reader.broken = True
+                    break
+                before = reader.line
+                if tail is not None:
+                    tail.append(text)
+                if not reader.inside:
+                    open_lines = []
+                open_lines.append(text)
+                for line, fields, early in reader.feed(text):
+                    if early:
+                        event("tail", 0, text="\n".join([*tail[:-1], text[:reader.ended]]))
+                        tail = None
+                    else:
+                        event("record", line, fields)
+                if reader.inside and not reader.head and open_lines[0] is text:
+                    open_lines[0] = text[reader.begin:]
+                if reader.broken:
+                    event("error", before, text=MALFORMED)
+                    break
+                if len(out) >= 4096:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
+                    out = []
+            if reader.inside and not reader.broken:
+                whole = reader.head
+                event("through" if whole else "open", 0 if whole else reader.start,
+                      text="\n".join(tail if whole else open_lines))
+            event("end", 0, n=reader.line)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
+            for _ in lines:
+                pass
+
+    return run
+
+
+def _start_states(lines: DataFrame) -> DataFrame:
+    """(path, block, inside): the state in which each block of a file starts."""
+    effects = lines.mapInArrow(_effects, "path string, block long, from_outside boolean, from_inside boolean")
+    each = effects.groupBy("path").agg(F.sort_array(F.collect_list(
+        F.struct("block", "from_outside", "from_inside"))).alias("blocks"))
+    # one element per block of a file, so the lists are as short as the list of its splits
+    step = lambda acc, b: F.concat(acc, F.array(F.struct(
+        b["block"].alias("block"), F.element_at(acc, -1)["ends"].alias("inside"),
+        F.when(F.element_at(acc, -1)["ends"], b["from_inside"]).otherwise(b["from_outside"]).alias("ends"))))
+    first = F.array(F.struct(F.lit(-1).cast("long").alias("block"), F.lit(False).alias("inside"),
+                             F.lit(False).alias("ends")))
+    states = each.select("path", F.explode(F.aggregate("blocks", first, step)).alias("s"))
+    return states.select("path", "s.block", "s.inside").where("block >= 0")
+
+
+def parse_lines(lines: DataFrame, split: bool) -> DataFrame:
+    """Records and failures of the documents in ``lines`` (path, block, line, valid).
+
+    The lines of one block must come in order and in one task, as a scan gives them.
+    ``split``: whether a document may have more than one block. Returns one `file` row per
+    document (status) and, if its structure is sound, one `row` row per data record."""
+    inside: set[tuple[str, int]] = set()
+    if split:
+        starts = _start_states(lines).where("inside").select("path", "block").limit(LISTED_BLOCKS + 1).collect()
+        if len(starts) > LISTED_BLOCKS:
+            raise ValueError(f"more than {LISTED_BLOCKS} blocks start inside a quoted field")
+        inside = {(r["path"], r["block"]) for r in starts}
+    ensure_checkpoint_dir(lines.sparkSession)
+    events = lines.mapInArrow(_records(inside), _EVENT).checkpoint()  # read by every step below
+
+    # physical line at which each block starts
+    ends = events.where("kind = 'end'").select("path", "block", "place", "n_lines")
+    order = Window.partitionBy("path").orderBy("block", "place")
+    offsets = ends.select("path", "block", (F.sum("n_lines").over(order) - F.col("n_lines")).alias("before"))
+
+    whole = events.where("kind in ('record', 'error')")
+    if inside:
+        # fragments of records that cross blocks: each joins the last record opened before it
+        parts = events.where("kind in ('open', 'through', 'tail')").withColumn(
+            "first", F.last(F.when(F.col("kind") == "open", F.struct("block", "line", "place")), True).over(order))
+        crossing = parts.where("first is not null").groupBy("path", "first").agg(
+            F.sort_array(F.collect_list(F.struct("block", "kind", "text"))).alias("parts"))
+
+        def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                fields = []
+                for text in batch.column(4).to_pylist():
+                    reader = RecordReader()
+                    found = [f for t in text.split("\n") for _, f, _ in reader.feed(t)]
+                    fields.append(found[0] if found and not reader.inside else None)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fields, pa.list_(pa.string()))],
+                                                 names=["path", "block", "line", "place", "fields"])
+
+        joined = crossing.select("path", "first.block", "first.line", "first.place",
+                                 F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
+        joined = joined.mapInArrow(put_together, "path string, block long, line int, place int, fields array<string>")
+        whole = whole.unionByName(joined.select(
+            "path", "block", "line", "place", F.when(F.col("fields").isNull(), "error").otherwise("record").alias("kind"),
+            "fields", F.when(F.col("fields").isNull(), MALFORMED).alias("text")), allowMissingColumns=True)
+    else:
+        whole = whole.unionByName(events.where("kind = 'open'").withColumn("kind", F.lit("error")).withColumn(
+            "text", F.lit(MALFORMED)))
+
+    at = F.struct("block", "line", "place")
+    whole = spread_join(whole, offsets, ["path", "block"], "inner", by=("line", "place")).select(
+        "path", at.alias("at"), (F.col("before") + F.col("line") + 1).cast("long").alias("row_number"),
+        "kind", "fields", F.col("text").alias("failure"))
+    header = whole.where("kind = 'record'").groupBy("path").agg(
+        F.min_by(F.struct("row_number", "fields"), "at").alias("h"), F.min("at").alias("header_at"))
+    header = header.select("path", "header_at", F.col("h.fields").alias("headers"),
+                           F.col("h.row_number").alias("header_row"))
+    rows = spread_join(whole, header, "path", "left", by=("at",))
+
+    is_header = F.col("at") == F.col("header_at")
+    bad = (F.when(F.col("kind") == "error", F.col("failure"))
+           .when(is_header & F.array_contains("headers", F.lit("")), F.lit(EMPTY_HEADER))
+           .when(is_header & (F.size(F.array_distinct("headers")) < F.size("headers")), F.lit(DUPLICATE_HEADER))
+           .when(F.size("fields") != F.size("headers"), F.lit(ROW_WIDTH)))
+    rows = rows.withColumn("bad", bad)
+    width = F.col("bad") == ROW_WIDTH
+    where_known = F.col("bad").isin(EMPTY_HEADER, DUPLICATE_HEADER, ROW_WIDTH)
+    status = rows.groupBy("path").agg(
+        F.min_by(F.when(F.col("bad").isNotNull(), F.struct(
+            "bad", F.when(where_known, F.col("row_number")).alias("row_number"),
+            F.when(width, F.size("headers")).alias("expected"), F.when(width, F.size("fields")).alias("actual"))),
+            F.when(F.col("bad").isNotNull(), F.col("at"))).alias("f"),
+        F.count_if((F.col("kind") == "record") & ~is_header).alias("n"),
+        F.any_value("headers").alias("headers"))
+    files = lines_of_files(ends).join(status, "path", "left")
+    category = F.when(F.col("f.bad").isNotNull(), F.col("f.bad")).when(F.col("headers").isNull(), F.lit(MISSING_HEADER))
+    sound = category.isNull()
+    status = files.select(
+        "path", F.lit("file").alias("kind"), F.col("f.row_number").alias("row_number"),
+        F.when(sound, F.col("headers")).alias("headers"), F.lit(None).cast("array<string>").alias("vals"),
+        category.alias("failure_category"), F.col("f.expected").alias("expected_field_count"),
+        F.col("f.actual").alias("actual_field_count"), F.when(sound, F.col("n")).alias("data_row_count"))
+    good = status.where("failure_category is null").select("path")
+    none = F.lit(None)
+    records = spread_join(rows.where((F.col("kind") == "record") & ~is_header), good, "path", "left_semi",
+                          by=("at",)).select(
+        "path", F.lit("row").alias("kind"), "row_number", "headers", F.col("fields").alias("vals"),
+        none.cast("string").alias("failure_category"), none.cast("int").alias("expected_field_count"),
+        none.cast("int").alias("actual_field_count"), none.cast("long").alias("data_row_count"))
+    return status.unionByName(records)
+
+
+def lines_of_files(ends: DataFrame) -> DataFrame:
+    """One row per document that has lines."""
+    return ends.select("path").distinct()
+
+
+def _checked(frame: DataFrame) -> DataFrame:
+    return frame.select("path", "block", F.make_valid_utf8("value").alias("line"),
+                        F.is_valid_utf8("value").alias("valid"))
+
+
+def text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines of CSV files under ``paths`` (files or directories), block by block."""
+    raw = (spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+           .text(paths))
+    # the metadata column has the path percent-encoded; plus signs stand for themselves there
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.regexp_replace(path, "\\A([a-z][a-z0-9+.-]*):///", "$1:/")
+    return _checked(raw.select(path.alias("path"), F.col("_metadata.file_block_start").alias("block"), "value"))
+
+
+def _content_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of documents held as bytes; one block each."""
+    for batch in batches:
+        for path, content in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            lines = (content or b"").split(b"\n")
+            for at in range(0, len(lines), 10_000):
+                some = lines[at:at + 10_000]
+                text = [x.decode("utf-8", "replace") for x in some]
+                # a replacement character in the text itself is no error
+                valid = [t.count("\ufffd") == x.count(b"\xef\xbf\xbd") for t, x in zip(text, some, strict=True)]
+                n = len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * n, pa.string()), pa.array([0] * n, pa.int64()), pa.array(text, pa.string()),
+                     pa.array(valid, pa.bool_())], names=["path", "block", "line", "valid"])
 
 
 def read_governed_csv(files: DataFrame) -> DataFrame:
-    """Parse every file of a listing (needs ``source_id`` and ``content``).
+    """Parse every file of a listing.
 
-    Returns the listing columns (without content) plus :data:`PARSED_SCHEMA`.
-    Use ``kind = 'file'`` rows for per-file status and ``kind = 'row'`` rows
-    for records."""
+    With a ``content`` column the bytes of each row are parsed; without it the files are
+    read by ``path``, large ones in several tasks. Returns the listing columns (without
+    content) plus :data:`PARSED_SCHEMA`: `file` rows for per-file status and `row` rows
+    for records. A listed file that can't be read any more is a `source_access` failure."""
     keep = [c for c in files.columns if c != "content"]
-    return files.lateralJoin(ParseGovernedCsv(F.col("content").outer())).select(*keep, *[
-        F.col(c.split()[0]) for c in PARSED_SCHEMA.split(", ")])
+    if "content" in files.columns:
+        lines = files.select("source_id", "content").mapInArrow(
+            _content_lines, "path string, block long, line string, valid boolean")
+        parsed = parse_lines(lines, split=False).withColumnRenamed("path", "source_id")
+        key = "source_id"
+    else:
+        spark = files.sparkSession
+        limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        folders = [r[0] for r in files.select(F.regexp_extract("path", "\\A(.*)/[^/]*\\z", 1)).distinct().collect()]
+        if not folders:
+            return files.select(*keep).join(spark.createDataFrame([], PARSED_SCHEMA))
+        large = bool(files.where(F.col("length") > limit).limit(1).count())
+        lines = text_lines(spark, folders)
+        parsed, key = parse_lines(lines, split=large), "path"
+    rows = spread_join(parsed.where("kind = 'row'"), files.select(*keep), key, "inner")
+    none = F.lit(None)
+    status = files.select(*keep).join(parsed.where("kind = 'file'"), key, "left")
+    # an empty file has no lines, so it has no header either; a longer one without lines is gone
+    empty = F.col("length") == 0 if "length" in keep else F.lit(True)
+    status = status.withColumn("failure_category", F.when(
+        F.col("kind").isNull(), F.when(empty, MISSING_HEADER).otherwise(SOURCE_ACCESS)).otherwise(
+        F.col("failure_category"))).withColumn("kind", F.lit("file"))
+    out = [*keep, *[c.split()[0] for c in PARSED_SCHEMA.split(", ")]]
+    return status.select(*out).unionByName(rows.select(*out))
 
 
 def parse_text_rows(texts: DataFrame, text_col: str = "csv_text") -> DataFrame:

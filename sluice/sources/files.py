@@ -5,6 +5,8 @@ bytes read only when the ``content`` column is used."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +28,19 @@ def content_sha256(content: Column | str) -> Column:
     return F.sha2(_col(content), 256)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark's file sources print it: scheme, authority and absolute path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString().rstrip("/")
+
+
 def source_identifier(path: Column | str, root: str) -> Column:
-    """The POSIX path relative to ``root``; null when outside it."""
+    """The POSIX path relative to ``root``; null when outside it.
+
+    Both are compared in their qualified form (see :func:`qualified`)."""
     prefix = root.rstrip("/") + "/"
-    p = F.regexp_replace(_col(path), "\\Afile:(//)?", "")
+    p = _col(path)
     return F.when(p.startswith(prefix), F.substring(p, len(prefix) + 1, 1 << 20))
 
 
@@ -45,25 +56,71 @@ def source_identity(contract_id: Column | str, contract_version: Column | str,
     return F.sha2(F.encode(payload, "UTF-8"), 256)
 
 
+# Why a contract's directory cannot be listed.
+MISSING_ROOT = "missing_root"
+MISSING_DIRECTORY = "missing_directory"
+NOT_A_DIRECTORY = "not_a_directory"
+SYMBOLIC_LINK = "symbolic_link"
+
+LISTING_SCHEMA = ("source_identifier string, contract_id string, contract_version int, length long, "
+                  "content_sha256 string, source_id string, path string, content binary")
+
+
+def _directory_state(spark: SparkSession, path: str) -> str | None:
+    """Why a directory cannot be listed; None if it can."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return MISSING_DIRECTORY
+    # the local file system follows links without saying so
+    link = (os.path.islink(place.toUri().getPath()) if system.getScheme() == "file"
+            else system.getFileLinkStatus(place).isSymlink())
+    if link:
+        return SYMBOLIC_LINK
+    return None if system.getFileStatus(place).isDirectory() else NOT_A_DIRECTORY
+
+
+def directory_states(spark: SparkSession, root: str, registry: ContractRegistry) -> dict[tuple[str, int], str | None]:
+    """For each contract why its directory cannot be listed (None if it can): one
+    look at the file system per registered contract, on the driver."""
+    root = qualified(spark, root)
+    of_root = _directory_state(spark, root)
+    if of_root is not None:
+        of_root = MISSING_ROOT if of_root == MISSING_DIRECTORY else of_root
+        return dict.fromkeys(registry.contracts, of_root)
+    return {key: _directory_state(spark, f"{root}/{c.directory}") for key, c in registry.contracts.items()}
+
+
+def discovery_failures(spark: SparkSession, root: str,
+                       registry: ContractRegistry = BUILT_IN_REGISTRY) -> DataFrame:
+    """One row per contract whose directory cannot be listed.
+
+    Columns: source_identifier (the directory), contract_id, contract_version, source_id
+    (of the directory, so that a verdict can be joined), failure_category."""
+    rows = [(registry.contracts[key].directory, *key, state)
+            for key, state in directory_states(spark, root, registry).items() if state]
+    found = spark.createDataFrame(
+        rows, "source_identifier string, contract_id string, contract_version int, failure_category string")
+    return found.select("source_identifier", "contract_id", "contract_version", source_identity(
+        "contract_id", "contract_version", "source_identifier", F.lit(None).cast("string")).alias("source_id"),
+        "failure_category")
+
+
 def list_source_files(spark: SparkSession, root: str,
                       registry: ContractRegistry = BUILT_IN_REGISTRY,
                       with_content: bool = True) -> DataFrame:
-    """S1 + S3: direct children of every contract directory that are eligible
+    """S1 + S3: direct children of every listable contract directory that are eligible
     CSV names, with contract, hash and identity columns.
 
     Columns: source_identifier, contract_id, contract_version, length,
-    content_sha256, source_id[, content].  Note: Spark's file sources skip
-    names starting with ``_``; such files cannot be scanned (see README)."""
-    root = root.rstrip("/")
-    dirs = [f"{root}/{c.directory}" for c in registry.contracts.values()]
-    import os
-    dirs = [d for d in dirs if os.path.isdir(d)] if not root.startswith(("hdfs:", "s3")) else dirs
-    reg = F.broadcast(registry.to_frame(spark).select(
-        F.col("directory").alias("_dir"), "contract_id", "contract_version"))
+    content_sha256, source_id, path[, content]. Directories that cannot be listed
+    give no rows here and one row each in :func:`discovery_failures`. Spark's file
+    sources skip names starting with ``_``; such files cannot be scanned (see README)."""
+    root = qualified(spark, root)
+    dirs = [f"{root}/{registry.contracts[key].directory}"
+            for key, state in directory_states(spark, root, registry).items() if state is None]
     if not dirs:
-        schema = ("source_identifier string, contract_id string, contract_version int, "
-                  "length long, content_sha256 string, source_id string, content binary")
-        empty = spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], LISTING_SCHEMA)
         return empty if with_content else empty.drop("content")
     raw = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
            .option("recursiveFileLookup", "true").load(dirs))
@@ -74,7 +131,7 @@ def files_from_binary(raw: DataFrame, root: str, registry: ContractRegistry = BU
                       with_content: bool = True) -> DataFrame:
     """S1-S7 over a ``binaryFile`` frame (batch or streaming)."""
     spark = raw.sparkSession
-    root = root.rstrip("/")
+    root = qualified(spark, root)
     reg = F.broadcast(registry.to_frame(spark).select(
         F.col("directory").alias("_dir"), "contract_id", "contract_version"))
     rel = source_identifier("path", root)
@@ -82,24 +139,30 @@ def files_from_binary(raw: DataFrame, root: str, registry: ContractRegistry = BU
     parent = F.regexp_extract(rel, "\\A(.*)/[^/]*\\z", 1)
     files = (
         raw.select(rel.alias("source_identifier"), name.alias("_name"),
-                   parent.alias("_parent"), "length", "content")
+                   parent.alias("_parent"), "length", "path", "content")
         .where(eligible_name("_name"))
         .join(reg, F.col("_parent") == F.col("_dir"), "inner")
     )
     out = files.select(
         "source_identifier", "contract_id", "contract_version", "length",
         content_sha256("content").alias("content_sha256"),
-        "content",
+        "path", "content",
     ).withColumn("source_id", source_identity(
         "contract_id", "contract_version", "source_identifier", "content_sha256"))
     cols = ["source_identifier", "contract_id", "contract_version", "length",
-            "content_sha256", "source_id"] + (["content"] if with_content else [])
+            "content_sha256", "source_id", "path"] + (["content"] if with_content else [])
     return out.select(*cols)
 
 
 def discover_sources(spark: SparkSession, root: str,
                      registry: ContractRegistry = BUILT_IN_REGISTRY) -> DataFrame:
-    """S1 + O1: the eligible files ordered by relative path (no content)."""
+    """S1 + O1: the eligible files ordered by relative path (no content).
+
+    Raises if a contract's directory cannot be listed; see
+    :func:`discovery_failures` for the same finding as rows."""
+    bad = {registry.contracts[k].directory: s for k, s in directory_states(spark, root, registry).items() if s}
+    if bad:
+        raise FileNotFoundError(f"source directories cannot be listed: {bad}")
     return list_source_files(spark, root, registry, with_content=False).orderBy(
         "source_identifier")
 
@@ -108,13 +171,11 @@ def select_sources(requests: DataFrame, listing: DataFrame,
                    request_col: str = "requested_path") -> DataFrame:
     """Every requested path must match exactly one discovered file.
 
-    Returns the requests with ``match_count`` and ``selection`` =
-    ``SELECTED`` or ``source_selection`` (the failure category)."""
-    matched = requests.join(
-        listing.select(F.col("source_identifier").alias("_sid")),
-        F.col(request_col) == F.col("_sid"), "left")
-    counts = matched.groupBy(*requests.columns).agg(
-        F.count("_sid").alias("match_count"))
-    return counts.withColumn(
+    Returns the requests, repeated ones as often as given, with ``match_count`` and
+    ``selection`` = ``SELECTED`` or ``source_selection`` (the failure category)."""
+    found = listing.groupBy(F.col("source_identifier").alias("_sid")).agg(
+        F.count(F.lit(1)).alias("match_count"))
+    out = requests.join(found, F.col(request_col) == F.col("_sid"), "left").drop("_sid")
+    return out.withColumn("match_count", F.coalesce("match_count", F.lit(0).cast("long"))).withColumn(
         "selection",
         F.when(F.col("match_count") == 1, F.lit("SELECTED")).otherwise(F.lit("source_selection")))

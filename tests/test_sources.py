@@ -1,14 +1,21 @@
-"""CSV parsing, discovery and identity (S1-S9) on the reference's literal cases."""
+"""CSV parsing, discovery and identity."""
 
+import csv
 import hashlib
+import io
 import json
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import write
-from sluice.sources.csv import parse_text_rows, read_governed_csv
-from sluice.sources.files import discover_sources, list_source_files, select_sources, source_identity
+from sluice.operators.contracts import BUILT_IN_CONTRACTS
+from sluice.plans.ingest import verdicts_for_requests
+from sluice.sources.csv import RecordReader, parse_lines, parse_text_rows, read_governed_csv, text_lines
+from sluice.sources.files import (
+    discover_sources, discovery_failures, list_source_files, select_sources, source_identity)
 
 
 def parse(spark, data: bytes):
@@ -20,67 +27,120 @@ def parse(spark, data: bytes):
     return files[0], recs
 
 
-@pytest.mark.parametrize("data", [b"a,b\n1,2\n", b"a,b\r\n1,2\r\n"])
-def test_line_endings(spark, data):
+def records(data: bytes):
+    """(line, fields) of every record by the class, None if it is malformed."""
+    reader = RecordReader()
+    out = [(line + 1, fields) for t in data.decode().split("\n") for line, fields, _ in reader.feed(t)]
+    return None if reader.broken or reader.inside else out
+
+
+def standard(data: bytes):
+    """The same by the standard library."""
+    reader, out = csv.reader(io.StringIO(data.decode(), newline=""), strict=True), []
+    try:
+        while True:
+            start = reader.line_num + 1
+            fields = next(reader, None)
+            if fields is None:
+                return out
+            if fields:
+                out.append((start, fields))
+    except csv.Error:
+        return None
+
+
+def test_reader_agrees_with_the_standard_library():
+    rng = random.Random(8)
+    seen = 0
+    for _ in range(6000):
+        text = "".join(rng.choice(['"', '"', ",", "\n", "\r\n", "\r", "x", "é ", '""', 'q"']) for _ in range(rng.randrange(14)))
+        assert records(text.encode()) == standard(text.encode()), repr(text)
+        seen += standard(text.encode()) is not None
+    assert seen > 1000
+
+
+@pytest.mark.parametrize("end", [b"\n", b"\r\n", b"\r"])
+def test_line_ends(spark, end):
+    f, rows = parse(spark, end.join([b"code,qty", b"K7,3", b'K8,"4"', b""]))
+    assert f["failure_category"] is None and list(f["headers"]) == ["code", "qty"] and f["data_row_count"] == 2
+    assert [(r["row_number"], list(r["vals"])) for r in rows] == [(2, ["K7", "3"]), (3, ["K8", "4"])]
+
+
+def test_mark_blank_lines_and_quotes(spark):
+    f, rows = parse(spark, '\ufeff\n\ncode,note\n\nK1,"two, ""x"" and\nthree"\n \n'.encode().replace(b"\n \n", b"\nK2,\n\n"))
+    assert list(f["headers"]) == ["code", "note"]
+    assert [(r["row_number"], list(r["vals"])) for r in rows] == [(5, ["K1", 'two, "x" and\nthree']), (7, ["K2", ""])]
+
+
+@pytest.mark.parametrize("data,category,line", [
+    (b"", "missing_header", None), (b"\n\r\n", "missing_header", None),
+    (b"k,v\nA,\xff\n", "invalid_utf8", None), (b'k,v\n1,"open\n', "malformed_csv", None),
+    (b'k,v\n1,"a"b\n', "malformed_csv", None), (b"k,v,k\n1,2,3\n", "duplicate_header", 1),
+    (b"\nk,\n1,2\n", "empty_header", 2), (b"k,v\n1,2\n3\n4,\xff\n", "row_width", 3),
+    (b"k,v\n1,\xff\n3\n", "invalid_utf8", None), (b'k,v\n1\n2,"x\n', "row_width", 2)])
+def test_first_failure(spark, data, category, line):
     f, rows = parse(spark, data)
-    assert f["failure_category"] is None and list(f["headers"]) == ["a", "b"]
-    assert [(r["row_number"], list(r["vals"])) for r in rows] == [(2, ["1", "2"])]
-
-
-def test_bom_removed_from_first_header(spark):
-    f, rows = parse(spark, b"\xef\xbb\xbfsku,name\nA,B\n")
-    assert list(f["headers"]) == ["sku", "name"]
-
-
-def test_invalid_utf8(spark):
-    f, rows = parse(spark, b"sku,name\nA,\x96\n")
-    assert f["failure_category"] == "invalid_utf8" and rows == []
-
-
-def test_quoting(spark):
-    f, rows = parse(spark, b'sku,name\nA-1,"Large, ""blue"" widget"\n')
-    assert list(rows[0]["vals"]) == ["A-1", 'Large, "blue" widget']
-
-
-def test_quoted_newline_keeps_starting_row(spark):
-    f, rows = parse(spark, b'sku,name\nA-1,"first\nsecond"\nA-2,next\n')
-    assert [r["row_number"] for r in rows] == [2, 4]
-    assert list(rows[0]["vals"]) == ["A-1", "first\nsecond"]
-
-
-def test_unclosed_quote(spark):
-    f, rows = parse(spark, b'sku,name\nA-1,"unclosed\n')
-    assert f["failure_category"] == "malformed_csv" and rows == []
-
-
-def test_blank_lines_counted(spark):
-    f, rows = parse(spark, b"\n\na,b\n1,2\n\n3,4\n\n")
-    assert [r["row_number"] for r in rows] == [4, 6]
-
-
-@pytest.mark.parametrize("data", [b"", b"\n\n\n"])
-def test_missing_header(spark, data):
-    f, rows = parse(spark, data)
-    assert f["failure_category"] == "missing_header"
-
-
-@pytest.mark.parametrize("data,cat", [(b"sku,sku\n1,2\n", "duplicate_header"),
-                                      (b"sku,,price\n1,2,3\n", "empty_header")])
-def test_header_failures(spark, data, cat):
-    f, rows = parse(spark, data)
-    assert f["failure_category"] == cat and rows == []
-
-
-def test_row_width(spark):
-    f, rows = parse(spark, b"a,b,c\n1,3\n")
-    assert (f["failure_category"], f["row_number"], f["expected_field_count"],
-            f["actual_field_count"]) == ("row_width", 2, 3, 2)
-    assert rows == []
-
-
-def test_structural_error_beats_earlier_rows(spark):
-    f, rows = parse(spark, b"a,b\n1,2\n3,4\n5\n")
-    assert f["failure_category"] == "row_width" and rows == []
+    assert (f["failure_category"], f["row_number"]) == (category, line) and rows == []
+    if category == "row_width":
+        assert (f["expected_field_count"], f["actual_field_count"]) == (2, 1)
+
+
+def test_long_fields(spark):
+    f, rows = parse(spark, b"k,v\n1," + b"z" * 400_000 + b"\n")
+    assert f["failure_category"] is None and len(rows[0]["vals"][1]) == 400_000
+
+
+def _document(rng, n, broken):
+    rows = [["id", "note"]]
+    for i in range(n):
+        kind = rng.random()
+        note = ("plain %d" % i if kind < .6 else "a\nb,%d\n" % i if kind < .8 else 'say "%d"' % i if kind < .95
+                else "\n".join("long %d" % k for k in range(60)))
+        rows.append([str(i), note])
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    data = out.getvalue().encode()
+    if broken:
+        data = data[:len(data) * 2 // 3] + b'"x\n' + data[len(data) * 2 // 3:]
+    return data
+
+
+def test_large_files_are_parsed_in_blocks(spark, tmp_root):
+    rng = random.Random(3)
+    documents = {f"f{i} +%41.csv": _document(rng, rng.choice([5, 60, 400]), i % 4 == 3) for i in range(8)}
+    for name, data in documents.items():
+        write(tmp_root, "retail_sales/v1/" + name, data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        files = list_source_files(spark, tmp_root, with_content=False)
+        lines = text_lines(spark, [tmp_root])
+        assert lines.select("path", "block").distinct().count() > 40
+        out = read_governed_csv(files).collect()
+        assert parse_lines(lines, split=True).where("kind = 'row'").count() == sum(r["kind"] == "row" for r in out)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    for name, data in documents.items():
+        mine = [r for r in out if r["source_identifier"].endswith("/" + name)]
+        status = [r for r in mine if r["kind"] == "file"]
+        rows = sorted((r["row_number"], list(r["vals"])) for r in mine if r["kind"] == "row")
+        expect = standard(data)
+        assert len(status) == 1
+        if expect is None or any(len(f) != 2 for _, f in expect):
+            assert status[0]["failure_category"] in ("malformed_csv", "row_width") and rows == []
+        else:
+            assert status[0]["failure_category"] is None and rows == expect[1:]
+
+
+def test_a_file_that_went_away(spark, tmp_root):
+    write(tmp_root, "retail_sales/v1/a.csv", b"x\n1\n")
+    files = spark.createDataFrame(list_source_files(spark, tmp_root, with_content=False).collect())
+    gone = files.withColumn("path", F.concat("path", F.lit(".csv"))).withColumn("source_id", F.lit("gone"))
+    got = {r["source_id"]: r["failure_category"] for r in read_governed_csv(files.unionByName(gone)).where(
+        "kind = 'file'").collect()}
+    assert got["gone"] == "source_access" and sum(v is None for v in got.values()) == 1
 
 
 def test_parse_text_rows(spark):
@@ -90,6 +150,7 @@ def test_parse_text_rows(spark):
 
 
 def test_discovery_eligible_names_and_order(spark, tmp_root):
+    _directories(tmp_root)
     d = "ecommerce_sales/v1/"
     for name in ["z-last.csv", "a-first.csv", "orders.CSV", "orders.txt", ".hidden.csv",
                  "~orders.csv", "#draft.csv", "draft.csv~", "archive/nested.csv"]:
@@ -98,17 +159,66 @@ def test_discovery_eligible_names_and_order(spark, tmp_root):
     assert got == [d + "a-first.csv", d + "z-last.csv"]
 
 
-def test_empty_directory(spark, tmp_root):
+def _directories(root):
+    for c in BUILT_IN_CONTRACTS:
+        os.makedirs(os.path.join(root, c.directory), exist_ok=True)
+
+
+def test_empty_directories_are_an_empty_listing(spark, tmp_root):
+    _directories(tmp_root)
     assert discover_sources(spark, tmp_root).count() == 0
+    assert discovery_failures(spark, tmp_root).count() == 0
+
+
+def test_directories_that_cannot_be_listed(spark, tmp_root):
+    write(tmp_root, "ecommerce_sales/v1", b"a file")
+    os.makedirs(os.path.join(tmp_root, "real"))
+    os.makedirs(os.path.join(tmp_root, "retail_sales"))
+    os.symlink(os.path.join(tmp_root, "real"), os.path.join(tmp_root, "retail_sales/v1"))
+    got = {r["source_identifier"]: r["failure_category"] for r in discovery_failures(spark, tmp_root).collect()}
+    assert got == {"product_catalog/v1": "missing_directory", "ecommerce_sales/v1": "not_a_directory",
+                   "retail_sales/v1": "symbolic_link"}
+    with pytest.raises(FileNotFoundError):
+        discover_sources(spark, tmp_root)
+    gone = discovery_failures(spark, tmp_root + "/nothing").collect()
+    assert {r["failure_category"] for r in gone} == {"missing_root"} and len(gone) == 3
+
+
+@pytest.mark.parametrize("spelling", ["{}", "{}/", "file:{}", "file://{}", "file://{}/"])
+def test_every_spelling_of_the_root_lists_the_same(spark, tmp_root, spelling):
+    _directories(tmp_root)
+    write(tmp_root, "retail_sales/v1/a b.csv", b"x\n1\n")
+    root = spelling.format(tmp_root)
+    rows = list_source_files(spark, root, with_content=False).collect()
+    assert [r["source_identifier"] for r in rows] == ["retail_sales/v1/a b.csv"]
+    assert rows[0]["source_id"] == list_source_files(spark, tmp_root).first()["source_id"]
 
 
 def test_select_sources(spark, tmp_root):
     write(tmp_root, "retail_sales/v1/a.csv", b"x\n1\n")
     listing = list_source_files(spark, tmp_root, with_content=False)
-    req = spark.createDataFrame([("retail_sales/v1/a.csv",), ("retail_sales/v1/b.csv",)],
-                                "requested_path string")
-    got = {r["requested_path"]: r["selection"] for r in select_sources(req, listing).collect()}
-    assert got == {"retail_sales/v1/a.csv": "SELECTED", "retail_sales/v1/b.csv": "source_selection"}
+    req = spark.createDataFrame([("retail_sales/v1/a.csv", 1), ("retail_sales/v1/b.csv", 1),
+                                 ("retail_sales/v1/a.csv", 1), (None, 1)], "requested_path string, n int")
+    got = sorted((str(r["requested_path"]), r["match_count"], r["selection"])
+                 for r in select_sources(req, listing).collect())
+    assert got == [("None", 0, "source_selection"), ("retail_sales/v1/a.csv", 1, "SELECTED"),
+                   ("retail_sales/v1/a.csv", 1, "SELECTED"), ("retail_sales/v1/b.csv", 0, "source_selection")]
+
+
+def test_verdicts_of_requests(spark, tmp_root):
+    header = b"sku,product_name,category_code,list_price,unit_cost,currency_code\n"
+    write(tmp_root, "product_catalog/v1/ok.csv", header + b"A-1,Cup,HOME,2.50,,EUR\n")
+    asked = spark.createDataFrame(
+        [("northstar.product_catalog", 1), ("northstar.retail_sales", 1), ("northstar.retail_sales", 9),
+         ("other.contract", 1), ("northstar.product_catalog", 1)], "contract_id string, contract_version int")
+    got = {(r["contract_id"], r["contract_version"]): r for r in verdicts_for_requests(spark, tmp_root, asked).collect()}
+    state = lambda key: (got[key]["state"], got[key]["failure_category"],
+                         [x["state"] for x in got[key]["stages"]])
+    assert len(got) == 4
+    assert state(("northstar.product_catalog", 1)) == ("SUCCEEDED", None, ["SUCCEEDED"] * 3)
+    assert state(("northstar.retail_sales", 1)) == ("FAILED", "INGESTION_FAILURE", ["FAILED", "SKIPPED", "SKIPPED"])
+    for key in (("northstar.retail_sales", 9), ("other.contract", 1)):
+        assert state(key) == ("FAILED", "CONFIGURATION_FAILURE", ["SKIPPED"] * 3)
 
 
 def test_content_hash_and_identity(spark, tmp_root):
