@@ -26,11 +26,13 @@ from sluice.llm.common import pick
 
 #: Characters that one step looks at, and pieces of text whose ids are remembered.
 BLOCK_CHARS = 1 << 20
-CACHE_PIECES = 300_000
+CACHE_PIECES = 250_000
 #: Bytes above which a piece is streamed rather than encoded at once.
 LONG_PIECE = 512
+#: Ids that one batch of results holds.
+BATCH_IDS = 1_000_000
 #: Neighbouring tokens whose test is remembered.
-PAIRS = 1_000_000
+PAIRS = 500_000
 
 #: The pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -300,7 +302,7 @@ def bpe_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for i in range(batch.num_rows):
                 held.append(enc.encode(texts[i].as_py() or ""))
                 size += len(held[-1])
-                if size > 4_000_000 or i == batch.num_rows - 1:
+                if size > BATCH_IDS or i == batch.num_rows - 1:
                     ends = np.concatenate(([0], np.cumsum([len(x) for x in held]))).astype(np.int32)
                     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held)))
                     yield pa.RecordBatch.from_arrays([ids.slice(at, len(held)), lists], names=["doc_id", "ids"])
