@@ -186,7 +186,7 @@ def batch_counts(outcomes: DataFrame, file_col: str = "source_id") -> DataFrame:
     (row, kind) pair is packed into a bigint to stay a hash aggregate."""
     kind_code = F.when(F.col("abort_kind") == ABORT_BLANK, 0).when(
         F.col("abort_kind") == ABORT_OVERFLOW, 1)
-    packed = F.when(kind_code.isNotNull(), F.col("row_number") * 2 + kind_code)
+    packed = F.when(kind_code.isNotNull(), F.shiftleft(F.col("row_number"), 1).bitwiseOR(kind_code.cast("long")))
     agg = outcomes.groupBy(file_col).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.count_if(F.col("status") == SUCCESS).alias("success_count"),
@@ -194,11 +194,11 @@ def batch_counts(outcomes: DataFrame, file_col: str = "source_id") -> DataFrame:
         F.min(packed).alias("_abort"),
     )
     first_kind = F.when(F.col("_abort").isNotNull(), F.when(
-        F.col("_abort") % 2 == 0, F.lit(ABORT_BLANK)).otherwise(F.lit(ABORT_OVERFLOW)))
+        F.col("_abort").bitwiseAND(F.lit(1)) == 0, F.lit(ABORT_BLANK)).otherwise(F.lit(ABORT_OVERFLOW)))
     return agg.select(
         file_col, "record_count", "success_count", "failure_count",
         first_kind.alias("abort_kind"),
-        F.floor(F.col("_abort") / 2).cast("long").alias("abort_row_number"))
+        F.shiftright(F.col("_abort"), 1).alias("abort_row_number"))
 
 
 def check_coherence(outcomes: DataFrame) -> DataFrame:

@@ -246,14 +246,11 @@ def check_unique_keys(df: DataFrame, keys: Sequence[str], name: str,
     """Key values held by more than one row (one output row per value),
     plus a row for null primary keys.  Partial aggregation keeps a hot key
     to one pre-aggregated row per task before the shuffle."""
-    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
-           .where(F.col("row_count") > 1))
+    broken = F.col("row_count") > 1
     if primary:
-        any_null = None
         for k in keys:
-            any_null = c(k).isNull() if any_null is None else any_null | c(k).isNull()
-        dup = dup.where(~any_null).unionByName(
-            df.where(any_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")))
+            broken = broken | c(k).isNull()
+    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where(broken)
     return dup.select(F.lit(name).alias("constraint_name"),
                       F.concat_ws("|", *[c(k).cast("string") for k in keys]).alias("key_value"),
                       "row_count")
@@ -262,13 +259,13 @@ def check_unique_keys(df: DataFrame, keys: Sequence[str], name: str,
 def check_foreign_keys(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
                        parent_cols: Sequence[str], name: str) -> DataFrame:
     """Distinct non-null child keys with no parent row.  A null child key
-    is allowed (nullable references).  The parent side is reduced to its
-    distinct keys; AQE broadcasts it when small, else it is a shuffle join."""
+    is allowed (nullable references).  Child keys are counted before the join, so a
+    hot key meets the parents as one row."""
     not_null = None
     for k in child_cols:
         not_null = c(k).isNotNull() if not_null is None else not_null & c(k).isNotNull()
     keys = child.where(not_null).groupBy(*child_cols).agg(F.count(F.lit(1)).alias("row_count"))
-    pk = parent.select(*[c(p).alias(f"_p{i}") for i, p in enumerate(parent_cols)]).distinct()
+    pk = parent.select(*[c(p).alias(f"_p{i}") for i, p in enumerate(parent_cols)])
     cond = None
     for i, k in enumerate(child_cols):
         e = c(k) == c(f"_p{i}")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.domain import duration_micros, exit_status
+from sluice.operators.skew import spread_join
 
 TERMINAL_PIPELINE = ("SUCCEEDED", "BLOCKED", "FAILED")
 # Legal lifecycle pairs (previous, next).
@@ -36,10 +37,10 @@ def replay_pipeline_log(log: DataFrame, exec_col: str = "pipeline_execution_id")
     k = _key()
     st = F.col("target_state")
     first_pending = log.where(st == "PENDING").groupBy(exec_col).agg(F.min(k).alias("k1"))
-    with1 = log.join(first_pending, exec_col, "inner")
+    with1 = spread_join(log, first_pending, exec_col, "inner", by=("event_id",))
     first_running = (with1.where((st == "RUNNING") & (k > F.col("k1")))
                      .groupBy(exec_col).agg(F.min(k).alias("k2")))
-    with2 = log.join(first_running, exec_col, "inner")
+    with2 = spread_join(log, first_running, exec_col, "inner", by=("event_id",))
     first_terminal = (with2.where(st.isin(*TERMINAL_PIPELINE) & (k > F.col("k2")))
                       .groupBy(exec_col).agg(
                           F.min(F.struct(k.alias("k"), st.alias("s"),
@@ -64,8 +65,8 @@ def check_transitions(log: DataFrame, replayed: DataFrame,
     rejected events (illegal pair, or leaving a terminal state) carry
     ``prior_state -> target_state``."""
     k = _key()
-    j = log.join(replayed.select(exec_col, "k1", "k2", "k3", F.col("state").alias("_final")),
-                 exec_col, "left")
+    j = spread_join(log, replayed.select(exec_col, "k1", "k2", "k3", F.col("state").alias("_final")),
+                    exec_col, "left", by=("event_id",))
     accepted = (k == F.col("k1")) | (k == F.col("k2")) | (k == F.col("k3"))
     prior = (
         F.when(F.col("k1").isNull() | (k <= F.col("k1")), F.lit(None).cast("string"))
@@ -73,41 +74,116 @@ def check_transitions(log: DataFrame, replayed: DataFrame,
         .when(F.col("k3").isNull() | (k <= F.col("k3")), F.lit("RUNNING"))
         .otherwise(F.col("_final"))
     )
-    legal_pair = F.lit(False)
-    for a, b in PIPELINE_TRANSITIONS:
-        legal_pair = legal_pair | ((prior == a) & (F.col("target_state") == b))
-    legal_pair = legal_pair | (prior.isNull() & (F.col("target_state") == "PENDING"))
     return j.select(exec_col, "event_id", "event_time", "target_state",
                     prior.alias("prior_state"),
                     F.coalesce(accepted, F.lit(False)).alias("accepted"),
-                    F.coalesce(legal_pair, F.lit(False)).alias("legal_pair"))
-
-
-def derive_stage_rows(executions: DataFrame, exec_col: str = "pipeline_execution_id") -> DataFrame:
-    """K2 applied to history: three stage rows per execution from its state
-    and times (terminal runs split their time in three equal stages)."""
-    s = F.col("state")
-    st_us, co_us = F.unix_micros("started_at"), F.unix_micros("completed_at")
-    third = F.floor((co_us - st_us) / 3).cast("long")
-    rows = []
-    for name, seq in (("INGESTION", 1), ("TRANSFORMATION", 2), ("DATA_QUALITY", 3)):
-        ok = s.isin("SUCCEEDED", "BLOCKED")
-        state = (F.when(ok, F.lit("SUCCEEDED"))
-                 .when(s == "FAILED", F.lit("FAILED" if seq == 1 else "SKIPPED"))
-                 .when(s == "RUNNING", F.lit("RUNNING" if seq == 1 else "PENDING"))
-                 .otherwise(F.lit("PENDING")))
-        started = (F.when(ok, F.timestamp_micros(st_us + third * (seq - 1)))
-                   .when(state.isin("RUNNING", "FAILED"), F.col("started_at")))
-        completed = (F.when(ok, F.when(F.lit(seq) == 3, F.col("completed_at"))
-                            .otherwise(F.timestamp_micros(st_us + third * seq)))
-                     .when(state.isin("FAILED", "SKIPPED"), F.col("completed_at")))
-        fail = state == "FAILED"
-        rows.append(F.struct(
-            F.lit(name).alias("stage"), F.lit(seq).cast("short").alias("stage_sequence"),
-            state.alias("state"), started.alias("started_at"), completed.alias("completed_at"),
-            F.when(fail, F.col("failure_category")).alias("failure_category"),
-            F.when(fail, F.col("failure_code")).alias("failure_code")))
-    return executions.select(exec_col, F.inline(F.array(*rows)))
+                    _legal(PIPELINE_TRANSITIONS, prior, F.col("target_state")).alias("legal_pair"))
+
+
+STAGE_SEQUENCE = {"INGESTION": 1, "TRANSFORMATION": 2, "DATA_QUALITY": 3}
+
+
+def _legal(pairs, prior: Column, target: Column) -> Column:
+    legal = prior.isNull() & (target == "PENDING")
+    for a, b in pairs:
+        legal = legal | ((prior == a) & (target == b))
+    return F.coalesce(legal, F.lit(False))
+
+
+def replay_stage_log(log: DataFrame, exec_col: str = "pipeline_execution_id",
+                     stage_col: str = "stage") -> DataFrame:
+    """W3 for stages: compare-and-set replay of a stage event log by STAGE_TRANSITIONS.
+
+    Kept are the first PENDING event of a stage, the first RUNNING or SKIPPED event
+    after it and, of a running stage, the first SUCCEEDED or FAILED event after that.
+    One row per (execution, stage) that ever became PENDING."""
+    keys = [exec_col, stage_col]
+    k, st = _key(), F.col("target_state")
+    first = log.where(st == "PENDING").groupBy(*keys).agg(F.min(k).alias("k1"))
+    after = spread_join(log, first, keys, "inner", by=("event_id",))
+    second = (after.where(st.isin("RUNNING", "SKIPPED") & (k > F.col("k1")))
+              .groupBy(*keys).agg(F.min(F.struct(k.alias("k"), st.alias("s"))).alias("_b")))
+    running = second.where(F.col("_b.s") == "RUNNING").select(*keys, F.col("_b.k").alias("k2"))
+    after = spread_join(log, running, keys, "inner", by=("event_id",))
+    third = (after.where(st.isin("SUCCEEDED", "FAILED") & (k > F.col("k2")))
+             .groupBy(*keys).agg(F.min(F.struct(
+                 k.alias("k"), st.alias("s"), F.col("failure_category").alias("fc"),
+                 F.col("failure_code").alias("fcode"))).alias("_c")))
+    rows = first.join(second, keys, "left").join(third, keys, "left")
+    ran = F.col("_b.s") == "RUNNING"
+    failed = F.col("_c.s") == "FAILED"
+    sequence = F.element_at(F.create_map(*[F.lit(x) for kv in STAGE_SEQUENCE.items() for x in kv]), F.col(stage_col))
+    return rows.select(
+        *keys, sequence.cast("short").alias("stage_sequence"),
+        F.coalesce(F.col("_c.s"), F.col("_b.s"), F.lit("PENDING")).alias("state"),
+        F.when(ran, F.col("_b.k.t")).alias("started_at"),
+        F.when(ran, F.col("_c.k.t")).otherwise(F.col("_b.k.t")).alias("completed_at"),
+        F.when(failed, F.col("_c.fc")).alias("failure_category"),
+        F.when(failed, F.col("_c.fcode")).alias("failure_code"),
+        "k1", F.col("_b.k").alias("k2"), F.col("_b.s").alias("second_state"), F.col("_c.k").alias("k3"))
+
+
+def check_stage_transitions(log: DataFrame, replayed: DataFrame, exec_col: str = "pipeline_execution_id",
+                            stage_col: str = "stage") -> DataFrame:
+    """W2 for stages: every event with the state it met, whether the pair is legal, and
+    whether the event was accepted."""
+    keys = [exec_col, stage_col]
+    k = _key()
+    j = spread_join(log, replayed.select(*keys, "k1", "k2", "k3", "second_state", F.col("state").alias("_final")),
+                    keys, "left", by=("event_id",))
+    prior = (F.when(F.col("k1").isNull() | (k <= F.col("k1")), F.lit(None).cast("string"))
+             .when(F.col("k2").isNull() | (k <= F.col("k2")), F.lit("PENDING"))
+             .when(F.col("k3").isNull() | (k <= F.col("k3")), F.col("second_state"))
+             .otherwise(F.col("_final")))
+    accepted = (k == F.col("k1")) | (k == F.col("k2")) | (k == F.col("k3"))
+    return j.select(*keys, "event_id", "event_time", "target_state", prior.alias("prior_state"),
+                    F.coalesce(accepted, F.lit(False)).alias("accepted"),
+                    _legal(STAGE_TRANSITIONS, prior, F.col("target_state")).alias("legal_pair"))
+
+
+def stage_order_check(log: DataFrame, replayed: DataFrame, exec_col: str = "pipeline_execution_id",
+                      stage_col: str = "stage") -> DataFrame:
+    """Per execution, whether a stage was announced twice (``duplicate_stage``) and
+    whether stages were announced out of their governed order (``out_of_order``).
+
+    An execution has one replayed row per governed stage, so its list has three
+    elements at most."""
+    twice = (log.where(F.col("target_state") == "PENDING").groupBy(exec_col, stage_col)
+             .agg(F.count(F.lit(1)).alias("_n")).groupBy(exec_col).agg(F.max("_n").alias("_n")))
+    order = replayed.groupBy(exec_col).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("k1", "stage_sequence"))), lambda x: x["stage_sequence"]).alias("_order"))
+    return order.join(twice, exec_col).select(
+        exec_col, (F.col("_n") > 1).alias("duplicate_stage"),
+        (F.col("_order") != F.array_sort("_order")).alias("out_of_order"))
+
+
+def last_event_rows(log: DataFrame, keys, running: str = "RUNNING", terminal=("SUCCEEDED", "FAILED", "SKIPPED")) -> DataFrame:
+    """A table kept by plain updates, without compare-and-set: the last event names the
+    state, the first ones of a kind give the times. Its rows may break the shapes
+    of K4, which is what that check is for."""
+    st = F.col("target_state")
+    return log.groupBy(*keys).agg(
+        F.max_by(st, _key()).alias("state"), F.min("event_time").alias("created_at"),
+        F.min(F.when(st == running, F.col("event_time"))).alias("started_at"),
+        F.min(F.when(st.isin(*terminal), F.col("event_time"))).alias("completed_at"),
+        F.max("failure_category").alias("failure_category"), F.max("failure_code").alias("failure_code"))
+
+
+def write_history(events: DataFrame, path: str, run_id: str) -> None:
+    """Append the events of one run. A run that is repeated replaces its own
+    events (its partition) and no others."""
+    (events.withColumn("history_run", F.lit(run_id)).write.mode("overwrite").partitionBy("history_run")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+
+
+def read_history(spark, path: str, ids: DataFrame | None = None, id_col: str = "source_id") -> DataFrame:
+    """The stored events, of the named executions if ``ids`` is given; an id
+    without any event is returned once with ``found`` false."""
+    events = spark.read.parquet(path)
+    if ids is None:
+        return events.withColumn("found", F.lit(True))
+    return ids.select(id_col).distinct().join(events.withColumn("found", F.lit(True)), id_col, "left").withColumn(
+        "found", F.coalesce("found", F.lit(False)))
 
 
 def nest_stages(stages: DataFrame, exec_col: str = "pipeline_execution_id") -> DataFrame:

@@ -7,20 +7,18 @@ order) rejects the whole file, and no partial result survives."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.parsing import (
-    decimal_error,
     decimal_error_from,
     decimal_parts,
     timestamp_error_from,
     timestamp_parts,
     timestamp_value_from,
     is_currency_code,
-    parse_decimal,
-    parse_timestamp,
-    timestamp_error,
     timestamp_offset,
 )
 from sluice.operators.contracts import (
@@ -34,6 +32,7 @@ from sluice.operators.contracts import (
     Contract,
     Field,
 )
+from sluice.operators.skew import spread_join
 
 # Validation failure categories, in the order used to pack the
 # (row, field, category) key of the first failure.
@@ -97,30 +96,6 @@ def _stage_two(f: Field, i: int) -> tuple[Column, Column]:
     return value, err.cast("string")
 
 
-def typed_value(f: Field, raw: Column) -> Column:
-    """The typed value of one raw field (null when empty or invalid)."""
-    empty = raw.isNull() | (raw == "")
-    if f.type == STRING:
-        return F.when(~empty, raw)
-    if f.type == DECIMAL:
-        return F.when(~empty, parse_decimal(raw))
-    return F.when(~empty, parse_timestamp(raw))
-
-
-def field_error(f: Field, raw: Column) -> Column:
-    """The first failure category of one field, else null."""
-    empty = raw.isNull() | (raw == "")
-    expr = F.when(empty, F.lit(None if f.nullable else "non_nullable_empty"))
-    if f.type == DECIMAL:
-        expr = expr.when(decimal_error(raw).isNotNull(), decimal_error(raw))
-    elif f.type == TIMESTAMP:
-        expr = expr.when(timestamp_error(raw).isNotNull(), timestamp_error(raw))
-    value = typed_value(f, raw)
-    for c in f.constraints:
-        expr = expr.when(~_constraint_ok(c, value), F.lit(c.lower()))
-    return expr.cast("string")
-
-
 def validate_rows(raw: DataFrame, contract: Contract,
                   keep: tuple[str, ...] | None = None) -> DataFrame:
     """P13 + P17: typed projection with provenance and an ordered error array.
@@ -165,37 +140,45 @@ def _category_index(cat: Column) -> Column:
     return expr
 
 
+_FIELD_BITS, _CATEGORY_BITS = 9, 5
+
+
 def first_failure_per_file(validated: DataFrame, contract: Contract,
-                           file_col: str = "source_id") -> DataFrame:
+                           file_cols: str | Sequence[str] = "source_id") -> DataFrame:
     """P14 + O6: the first failing row and, in it, the first failing field.
 
-    The (row, field, category) triple is packed into one bigint so the
+    The (row, field, category) triple is packed into one decimal so the
     per-file minimum is a plain partial + final hash aggregate (no sort, no
     per-file collection), which also holds when one file is huge."""
+    if len(contract.fields) >= 1 << _FIELD_BITS or len(CATEGORIES) > 1 << _CATEGORY_BITS:
+        raise ValueError("too many fields or categories to pack")
+    files = [file_cols] if isinstance(file_cols, str) else list(file_cols)
     first = F.col("first_error")
-    packed = (F.col("row_number") * F.lit(1 << 14)
-              + first["field_ordinal"] * F.lit(1 << 5)
-              + _category_index(first["category"]))
+    shift = 1 << (_FIELD_BITS + _CATEGORY_BITS)
+    detail = (F.shiftleft(first["field_ordinal"], _CATEGORY_BITS) + _category_index(first["category"]))
+    packed = F.col("row_number").cast("decimal(19,0)") * F.lit(shift).cast("decimal(6,0)") + detail
     agg = (validated.where(first.isNotNull())
-           .groupBy(file_col).agg(F.min(packed).alias("_k")))
-    row = F.floor(F.col("_k") / (1 << 14)).cast("long")
-    ordinal = (F.floor(F.col("_k") / (1 << 5)) % (1 << 9)).cast("int")
-    cat_idx = (F.col("_k") % (1 << 5)).cast("int")
+           .groupBy(*files).agg(F.min(packed.cast("decimal(30,0)")).alias("_k")))
+    row = F.expr(f"_k div {shift}").cast("long")
+    detail = (F.col("_k") % F.lit(shift)).cast("int")
+    ordinal = F.shiftright(detail, _CATEGORY_BITS)
+    cat_idx = detail.bitwiseAND(F.lit((1 << _CATEGORY_BITS) - 1))
     field_name = None
     for i, f in enumerate(contract.fields, start=1):
         field_name = (F.when(ordinal == i, F.lit(f.name)) if field_name is None
                       else field_name.when(ordinal == i, F.lit(f.name)))
     category = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), cat_idx + 1)
-    return agg.select(file_col, category.alias("failure_category"),
+    return agg.select(*files, category.alias("failure_category"),
                       row.alias("row_number"), field_name.alias("field_name"))
 
 
 def file_atomic(validated: DataFrame, failures: DataFrame,
                 file_col: str = "source_id") -> DataFrame:
-    """Rows of files without any failure (anti join on the file key;
-    AQE turns it into a broadcast when the failure list is small and splits
-    a hot file's partition otherwise)."""
-    return validated.join(failures.select(file_col), file_col, "left_anti")
+    """Rows of files without any failure.
+
+    An anti join on the file and a bucket of the row, so that the rows of one
+    hot file are dealt to many tasks (see :func:`spread_join`)."""
+    return spread_join(validated, failures.select(file_col), file_col, "left_anti")
 
 
 def check_headers(files: DataFrame, contract: Contract,

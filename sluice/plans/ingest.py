@@ -26,6 +26,7 @@ from sluice.operators.quality import (
     evaluate_quality,
     quality_verdict,
 )
+from sluice.operators.skew import spread_join
 from sluice.operators.validate import file_atomic, first_failure_per_file, validate_rows
 
 STAGES = (("INGESTION", 1), ("TRANSFORMATION", 2), ("DATA_QUALITY", 3))
@@ -60,6 +61,14 @@ def expectations_for(contract: Contract):
     return [PRODUCT_SKU_UNIQUENESS] if contract.kind == "product" else [SALES_TRANSACTION_CURRENCY]
 
 
+def without_emails(validated: DataFrame) -> DataFrame:
+    """The validated rows with a mark in place of an e-mail address: only its presence
+    is used from here on, so the address itself is never stored."""
+    if "customer_email" not in validated.columns:
+        return validated
+    return validated.withColumn("customer_email", F.when(F.col("customer_email").isNotNull(), F.lit("*")))
+
+
 def ingest_rows(raw: DataFrame, contract: Contract, run_id: str | None = None,
                 file_failures: DataFrame | None = None) -> Ingested:
     """Validate -> first failure -> file atomicity -> canonicalise ->
@@ -71,7 +80,7 @@ def ingest_rows(raw: DataFrame, contract: Contract, run_id: str | None = None,
     # persist them once (memory, spilling to disk; lost blocks are recomputed
     # from lineage).  The cache also stops the optimizer from pushing the
     # validation predicates below it into the source scan or join.
-    validated = validate_rows(raw, contract).persist(StorageLevel.MEMORY_AND_DISK)
+    validated = without_emails(validate_rows(raw, contract)).persist(StorageLevel.MEMORY_AND_DISK)
     failures = first_failure_per_file(validated, contract)
     if file_failures is not None:
         structural = file_failures.select("source_id", "failure_category")
@@ -82,7 +91,7 @@ def ingest_rows(raw: DataFrame, contract: Contract, run_id: str | None = None,
     outcomes = canonicalize(accepted, contract, run_id)
     counts = batch_counts(outcomes)
     clean = counts.where((F.col("failure_count") == 0) & F.col("abort_kind").isNull())
-    records = successful_records(outcomes).join(clean.select("source_id"), "source_id", "left_semi")
+    records = spread_join(successful_records(outcomes), clean.select("source_id"), "source_id", "left_semi")
     quality = evaluate_quality(records, expectations_for(contract))
     # The file list comes from the persisted rows, not from a second pass
     # over the source.

@@ -57,9 +57,10 @@ lines AS (
          l.l_extendedprice, l.l_shipdate, o.o_orderkey, o.o_custkey, o.o_orderdate,
          (l.l_orderkey * 7919 + l.l_partkey * 104729 + l.l_suppkey * 31 + l.l_linenumber) % 10007 AS v,
          l.l_returnflag = 'R' AS is_retail,
-         CAST(2 + l.l_orderkey * 16 + row_number() OVER (
+         CAST(2 + l.l_orderkey * 1048576 + row_number() OVER (
              PARTITION BY l.l_orderkey, l.l_suppkey, l.l_returnflag = 'R'
-             ORDER BY l.l_linenumber, l.l_partkey) - 1 AS BIGINT) AS row_number
+             ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity, l.l_extendedprice, l.l_returnflag, l.l_shipdate) - 1
+             AS BIGINT) AS row_number
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 )"""
 
@@ -221,9 +222,9 @@ def with_ctes(contract: Contract, *extra: str) -> str:
 
 def failures_cte(name: str = "failures") -> str:
     return f"""{name} AS (
-  SELECT source_id, arg_min(first_category, row_number * 1000 + first_ordinal) AS failure_category,
+  SELECT source_id, arg_min(first_category, CAST(row_number AS HUGEINT) * 1000 + first_ordinal) AS failure_category,
          min(row_number) AS row_number,
-         arg_min(first_field, row_number * 1000 + first_ordinal) AS field_name
+         arg_min(first_field, CAST(row_number AS HUGEINT) * 1000 + first_ordinal) AS field_name
   FROM validated WHERE error_count > 0 GROUP BY source_id
 )"""
 
@@ -394,52 +395,79 @@ def full_chain(contract: Contract, *extra: str) -> str:
 REL_CTES = {
     "sales_channels": """sales_channels AS (
   SELECT * FROM (VALUES (1::BIGINT, 'ECOMMERCE', 'E-Commerce'), (2::BIGINT, 'RETAIL', 'Retail'))
-         t(sales_channel_id, sales_channel_code, sales_channel_name))""",
+         t(sales_channel_id, sales_channel_code, sales_channel_name)
+  UNION ALL SELECT CAST(r_regionkey + 2 AS BIGINT),
+         CASE r_regionkey WHEN 1 THEN rpad(r_name, 40, 'X') WHEN 2 THEN 'RETAIL' WHEN 3 THEN ' ' ELSE r_name END,
+         CASE WHEN r_regionkey = 4 THEN '' ELSE r_name END FROM region)""",
     "stores": """stores AS (
-  SELECT s_suppkey AS store_id, 'STORE-' || CAST(s_suppkey AS VARCHAR) AS store_code,
-         s_name AS store_name,
-         CASE WHEN s_nationkey % 10 = 9 THEN 'Z9'
+  SELECT CASE WHEN s_suppkey % 41 = 8 THEN s_suppkey - 1 ELSE s_suppkey END AS store_id,
+         CASE WHEN s_suppkey % 47 = 5 THEN '  ' WHEN s_suppkey % 37 = 7 THEN 'STORE-' || CAST(s_suppkey - 1 AS VARCHAR)
+              ELSE 'STORE-' || CAST(s_suppkey AS VARCHAR) END AS store_code,
+         CASE WHEN s_suppkey % 43 = 6 THEN '' ELSE s_name END AS store_name,
+         CASE WHEN s_suppkey % 31 = 9 THEN 'USA' WHEN s_nationkey % 10 = 9 THEN 'Z9'
               ELSE chr(65 + s_nationkey % 26) || chr(65 + (s_nationkey * 7) % 26) END AS country_code
   FROM supplier)""",
-    "customers": "customers AS (SELECT c_custkey AS customer_id FROM customer)",
+    "customers": """customers AS (
+  SELECT CASE WHEN c_custkey % 53 = 3 THEN c_custkey - 1 ELSE c_custkey END AS customer_id FROM customer)""",
     "product_categories": """product_categories AS (
-  SELECT DISTINCT CAST(p_size AS BIGINT) AS product_category_id, 'SIZE-' || CAST(p_size AS VARCHAR) AS category_code,
-         'Size ' || CAST(p_size AS VARCHAR) AS category_name FROM part WHERE p_size <= 45)""",
+  SELECT CAST(CASE WHEN p_size % 100 = 31 THEN p_size - 1 ELSE p_size END AS BIGINT) AS product_category_id,
+         CASE WHEN p_size % 100 = 13 THEN ' ' WHEN p_size % 100 = 21 THEN 'SIZE-20'
+              ELSE 'SIZE-' || CAST(p_size AS VARCHAR) END AS category_code,
+         CASE WHEN p_size % 100 = 17 THEN '' ELSE 'Size ' || CAST(p_size AS VARCHAR) END AS category_name
+  FROM (SELECT DISTINCT p_size FROM part))""",
     "products": """products AS (
-  SELECT p_partkey AS product_id, 'SKU-' || CAST(p_partkey AS VARCHAR) AS sku, p_name AS product_name,
-         CAST(p_size AS BIGINT) AS product_category_id,
-         CASE WHEN p_partkey % 500 = 7 THEN -CAST(p_retailprice AS DECIMAL(18,2))
-              ELSE CAST(p_retailprice AS DECIMAL(18,2)) END AS list_price,
-         CASE WHEN p_size % 4 = 0 THEN NULL ELSE CAST(p_size AS DECIMAL(18,2)) END AS unit_cost,
-         CASE WHEN p_partkey % 300 = 11 THEN NULL ELSE 'EUR' END AS currency_code
-  FROM part)""",
+  SELECT CASE WHEN k % 373 = 8 THEN k - 1 ELSE k END AS product_id,
+         CASE WHEN k % 401 = 3 THEN ' ' WHEN k % 397 = 4 THEN 'SKU-' || CAST(k - 1 AS VARCHAR)
+              WHEN k % 359 = 10 THEN rpad('SKU-' || CAST(k AS VARCHAR), 120, '0')
+              ELSE 'SKU-' || CAST(k AS VARCHAR) END AS sku,
+         CASE WHEN k % 389 = 5 THEN ' ' WHEN k % 349 = 12 THEN NULL ELSE p_name END AS product_name,
+         CAST(CASE WHEN k % 367 = 9 THEN p_size + 1000 ELSE p_size END AS BIGINT) AS product_category_id,
+         CASE WHEN k % 500 = 7 THEN -price WHEN k % 353 = 11 THEN price + 0.0001 ELSE price END AS list_price,
+         CASE WHEN k % 383 = 6 THEN CAST(-1.5 AS DECIMAL(28,4)) WHEN p_size % 4 = 0 THEN NULL
+              ELSE CAST(p_size AS DECIMAL(28,4)) END AS unit_cost,
+         CASE WHEN k % 300 = 11 THEN NULL WHEN k % 379 = 7 THEN 'eu' ELSE 'EUR' END AS currency_code
+  FROM (SELECT *, p_partkey AS k, CAST(p_retailprice AS DECIMAL(28,4)) AS price FROM part))""",
     "orders": """orders_t AS (
-  SELECT o_orderkey AS order_id, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS sales_channel_id,
-         CASE WHEN o_orderkey % 2 = 1 THEN o_custkey % 120 END AS store_id, o_custkey AS customer_id,
-         o_orderdate AS order_timestamp,
-         CASE WHEN o_orderkey % 1000 = 5 THEN 'eur' ELSE 'EUR' END AS currency_code,
-         CAST(o_totalprice AS DECIMAL(18,2)) AS order_amount
-  FROM orders)""",
+  SELECT CASE WHEN k % 727 = 4 THEN k - 1 ELSE k END AS order_id,
+         CAST(CASE WHEN k % 709 = 2 THEN 99 WHEN k % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS sales_channel_id,
+         CASE WHEN k % 2 = 1 THEN o_custkey % 120 END AS store_id,
+         CASE WHEN k % 719 = 3 THEN o_custkey + 1000000000 ELSE o_custkey END AS customer_id,
+         CASE WHEN k % 733 = 5 THEN NULL ELSE o_orderdate END AS order_timestamp,
+         CASE WHEN k % 1000 = 5 THEN 'eur' ELSE 'EUR' END AS currency_code,
+         CASE WHEN k % 701 = 1 THEN -amount ELSE amount END AS order_amount
+  FROM (SELECT *, o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders))""",
     "order_items": """order_items AS (
   SELECT l_orderkey * 100000 + l_linenumber * 10000 + l_partkey % 10000 AS order_item_id,
-         l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_id,
-         CAST(trunc(l_quantity) AS INTEGER) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS unit_price,
-         CAST(l_discount * 100 AS DECIMAL(18,2)) AS discount_amount,
-         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(CAST(trunc(l_quantity) AS INTEGER) AS DECIMAL(10,0))
-              AS DECIMAL(18,2)) AS line_amount
-  FROM lineitem)""",
+         CASE WHEN v % 997 = 6 THEN l_orderkey + 1000000000000 ELSE l_orderkey END AS order_id,
+         CASE WHEN v % 997 = 1 THEN 0 ELSE l_linenumber END AS line_number,
+         CASE WHEN v % 997 = 7 THEN l_partkey + 1000000000 ELSE l_partkey END AS product_id,
+         CASE WHEN v % 997 = 2 THEN -qty ELSE qty END AS quantity,
+         CASE WHEN v % 997 = 3 THEN -price ELSE price END AS unit_price,
+         CASE WHEN v % 997 = 4 THEN CAST(-0.01 AS DECIMAL(18,2))
+              ELSE CAST(l_discount * 100 AS DECIMAL(18,2)) END AS discount_amount,
+         CASE WHEN v % 997 = 5 THEN -amount ELSE amount END AS line_amount
+  FROM (SELECT *, CAST(price * CAST(qty AS DECIMAL(10,0)) AS DECIMAL(18,2)) AS amount
+        FROM (SELECT *, l_orderkey * 7 + l_linenumber * 3 + l_partkey AS v,
+                     CAST(trunc(l_quantity) AS INTEGER) AS qty, CAST(l_extendedprice AS DECIMAL(18,2)) AS price
+              FROM lineitem)))""",
     "payments": """payments AS (
-  SELECT o_orderkey AS payment_id, o_orderkey AS order_id, o_orderdate AS payment_timestamp,
+  SELECT CASE WHEN o_orderkey % 757 = 3 THEN o_orderkey - 1 ELSE o_orderkey END AS payment_id,
+         CASE WHEN o_orderkey % 751 = 2 THEN o_orderkey + 1000000000000 ELSE o_orderkey END AS order_id,
+         o_orderdate AS payment_timestamp,
          CASE WHEN o_orderstatus = 'P' THEN ' ' ELSE o_orderstatus END AS payment_status,
-         CAST(o_totalprice AS DECIMAL(18,2)) AS payment_amount
+         CASE WHEN o_orderkey % 743 = 1 THEN -CAST(o_totalprice AS DECIMAL(18,2))
+              ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS payment_amount
   FROM orders)""",
     "returns": """returns AS (
-  SELECT l_orderkey * 100000 + l_linenumber * 10000 + l_partkey % 10000 AS return_id,
-         l_orderkey * 100000 + l_linenumber * 10000 + l_partkey % 10000 AS order_item_id,
-         l_shipdate AS return_timestamp, CAST(trunc(l_quantity) AS INTEGER) AS return_quantity,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS return_amount,
+  SELECT id AS return_id, CASE WHEN v % 199 = 10 THEN id + 1000000000000000 ELSE id END AS order_item_id,
+         l_shipdate AS return_timestamp,
+         CASE WHEN v % 199 = 8 THEN -qty ELSE qty END AS return_quantity,
+         CASE WHEN v % 199 = 9 THEN -amount ELSE amount END AS return_amount,
          CASE WHEN l_linenumber % 3 = 0 THEN NULL WHEN l_linenumber % 3 = 1 THEN 'damaged' ELSE ' ' END AS return_reason
-  FROM lineitem WHERE l_returnflag = 'R')""",
+  FROM (SELECT *, l_orderkey * 100000 + l_linenumber * 10000 + l_partkey % 10000 AS id,
+               l_orderkey * 7 + l_linenumber * 3 + l_partkey AS v,
+               CAST(trunc(l_quantity) AS INTEGER) AS qty, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
+        FROM lineitem WHERE l_returnflag = 'R'))""",
 }
 REL_VIEW = {t: ("orders_t" if t == "orders" else t) for t in REL_CTES}
 REL_WITH = "WITH " + ",\n".join(REL_CTES.values())
@@ -488,9 +516,37 @@ HISTORY_LOG = f"""log AS (
               WHEN event_type = 'purchase' THEN 'SUCCEEDED' END AS target_state,
          CASE WHEN event_type = 'error' THEN 'UNEXPECTED_EXECUTION_FAILURE' END AS failure_category,
          CASE WHEN event_type = 'error' THEN 'UNEXPECTED_EXECUTION_ERROR' END AS failure_code,
-         CASE WHEN user_id % 5 <> 0 THEN {exec_uuid('user_id - 1')} END AS predecessor_execution_id
+         CASE WHEN user_id % 17 = 0 THEN {exec_uuid('user_id')}
+              WHEN user_id % 19 = 0 THEN {exec_uuid('user_id + 1000000000')}
+              WHEN user_id % 5 <> 0 THEN {exec_uuid('user_id - 1')} END AS predecessor_execution_id
+  FROM events
+),
+slog AS (
+  SELECT {exec_uuid('user_id')} AS pipeline_execution_id, event_id, ts AS event_time,
+         CASE event_id % 3 WHEN 0 THEN 'INGESTION' WHEN 1 THEN 'TRANSFORMATION' ELSE 'DATA_QUALITY' END AS stage,
+         CASE event_type WHEN 'signup' THEN 'PENDING' WHEN 'view' THEN 'RUNNING' WHEN 'click' THEN 'SKIPPED'
+              WHEN 'purchase' THEN 'SUCCEEDED' WHEN 'error' THEN 'FAILED' END AS target_state,
+         CASE WHEN event_type = 'error' THEN 'INGESTION_FAILURE' END AS failure_category,
+         CASE WHEN event_type = 'error' THEN 'INGESTION_ERROR' END AS failure_code
   FROM events
 ),
+s1 AS (
+  SELECT pipeline_execution_id, stage, event_time AS t1, event_id AS e1 FROM slog WHERE target_state = 'PENDING'
+  QUALIFY row_number() OVER (PARTITION BY pipeline_execution_id, stage ORDER BY event_time, event_id) = 1
+),
+s2 AS (
+  SELECT l.pipeline_execution_id, l.stage, l.event_time AS t2, l.event_id AS e2, l.target_state AS st2
+  FROM slog l JOIN s1 USING (pipeline_execution_id, stage)
+  WHERE l.target_state IN ('RUNNING', 'SKIPPED') AND (l.event_time, l.event_id) > (s1.t1, s1.e1)
+  QUALIFY row_number() OVER (PARTITION BY l.pipeline_execution_id, l.stage ORDER BY l.event_time, l.event_id) = 1
+),
+s3 AS (
+  SELECT l.pipeline_execution_id, l.stage, l.event_time AS t3, l.event_id AS e3, l.target_state AS st3,
+         l.failure_category AS fc, l.failure_code AS fcode
+  FROM slog l JOIN s2 USING (pipeline_execution_id, stage)
+  WHERE s2.st2 = 'RUNNING' AND l.target_state IN ('SUCCEEDED', 'FAILED') AND (l.event_time, l.event_id) > (s2.t2, s2.e2)
+  QUALIFY row_number() OVER (PARTITION BY l.pipeline_execution_id, l.stage ORDER BY l.event_time, l.event_id) = 1
+),
 p1 AS (
   SELECT pipeline_execution_id, event_time AS t1, event_id AS e1 FROM log WHERE target_state = 'PENDING'
   QUALIFY row_number() OVER (PARTITION BY pipeline_execution_id ORDER BY event_time, event_id) = 1
@@ -518,33 +574,115 @@ execs AS (
   FROM p1 LEFT JOIN p2 USING (pipeline_execution_id) LEFT JOIN p3 USING (pipeline_execution_id)
 ),
 stages AS (
-  SELECT e.pipeline_execution_id, s.stage, s.seq AS stage_sequence,
-    CASE WHEN e.state IN ('SUCCEEDED', 'BLOCKED') THEN 'SUCCEEDED'
-         WHEN e.state = 'FAILED' THEN CASE WHEN s.seq = 1 THEN 'FAILED' ELSE 'SKIPPED' END
-         WHEN e.state = 'RUNNING' THEN CASE WHEN s.seq = 1 THEN 'RUNNING' ELSE 'PENDING' END
-         ELSE 'PENDING' END AS state,
-    CASE WHEN e.state IN ('SUCCEEDED', 'BLOCKED')
-           THEN make_timestamp(epoch_us(e.started_at) + ((epoch_us(e.completed_at) - epoch_us(e.started_at)) // 3) * (s.seq - 1))
-         WHEN (e.state = 'FAILED' AND s.seq = 1) OR (e.state = 'RUNNING' AND s.seq = 1) THEN e.started_at END AS started_at,
-    CASE WHEN e.state IN ('SUCCEEDED', 'BLOCKED') THEN CASE WHEN s.seq = 3 THEN e.completed_at
-           ELSE make_timestamp(epoch_us(e.started_at) + ((epoch_us(e.completed_at) - epoch_us(e.started_at)) // 3) * s.seq) END
-         WHEN e.state = 'FAILED' THEN e.completed_at END AS completed_at,
-    CASE WHEN e.state = 'FAILED' AND s.seq = 1 THEN e.failure_category END AS failure_category,
-    CASE WHEN e.state = 'FAILED' AND s.seq = 1 THEN e.failure_code END AS failure_code
-  FROM execs e CROSS JOIN (VALUES ('INGESTION', 1), ('TRANSFORMATION', 2), ('DATA_QUALITY', 3)) s(stage, seq)
+  SELECT pipeline_execution_id, stage,
+         CASE stage WHEN 'INGESTION' THEN 1 WHEN 'TRANSFORMATION' THEN 2 ELSE 3 END AS stage_sequence,
+         coalesce(st3, st2, 'PENDING') AS state, CASE WHEN st2 = 'RUNNING' THEN t2 END AS started_at,
+         CASE WHEN st2 = 'RUNNING' THEN t3 ELSE t2 END AS completed_at,
+         CASE WHEN st3 = 'FAILED' THEN fc END AS failure_category,
+         CASE WHEN st3 = 'FAILED' THEN fcode END AS failure_code, t1, e1, t2, e2, st2, t3, e3
+  FROM s1 LEFT JOIN s2 USING (pipeline_execution_id, stage) LEFT JOIN s3 USING (pipeline_execution_id, stage)
+),
+last_pipelines AS (
+  SELECT pipeline_execution_id, arg_max(target_state, CAST(epoch_us(event_time) AS HUGEINT) * 1000000000000 + event_id) AS state,
+         min(event_time) AS created_at, min(event_time) FILTER (WHERE target_state = 'RUNNING') AS started_at,
+         min(event_time) FILTER (WHERE target_state IN ('SUCCEEDED', 'BLOCKED', 'FAILED')) AS completed_at,
+         max(failure_category) AS failure_category, max(failure_code) AS failure_code,
+         any_value(predecessor_execution_id) AS predecessor_execution_id
+  FROM log GROUP BY pipeline_execution_id
+),
+last_stages AS (
+  SELECT pipeline_execution_id, stage,
+         CASE stage WHEN 'INGESTION' THEN 1 WHEN 'TRANSFORMATION' THEN 2 ELSE 3 END AS stage_sequence,
+         arg_max(target_state, CAST(epoch_us(event_time) AS HUGEINT) * 1000000000000 + event_id) AS state,
+         min(event_time) FILTER (WHERE target_state = 'RUNNING') AS started_at,
+         min(event_time) FILTER (WHERE target_state IN ('SUCCEEDED', 'FAILED', 'SKIPPED')) AS completed_at,
+         max(failure_category) AS failure_category, max(failure_code) AS failure_code
+  FROM slog GROUP BY pipeline_execution_id, stage
 )"""
 HISTORY_WITH = "WITH " + HISTORY_LOG
 
 
 REFERENCE_WITH = """WITH approved AS (
   SELECT 'STORE-' || CAST(s_suppkey AS VARCHAR) AS store_code, s_name AS store_name FROM supplier
-), existing AS (
+), agreed AS (
   SELECT DISTINCT 'STORE-' || CAST(l_suppkey AS VARCHAR) AS store_code,
-         CASE WHEN l_suppkey % 10 = 7 THEN 'Store ' || CAST(l_suppkey AS VARCHAR)
-              ELSE 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') END AS store_name
-  FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate < TIMESTAMP '1995-02-01'
+         'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS store_name, l_suppkey
+  FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey % 10 <> 3
+), existing AS (
+  SELECT store_code, CASE WHEN l_suppkey % 10 = 7 THEN 'Store ' || CAST(l_suppkey AS VARCHAR)
+                          ELSE store_name END AS store_name FROM agreed
 )"""
 
+#: Keys, references and domains of the business tables as the governed schema has
+#: them, written out here and not taken from the operators' own lists.
+UNIQUE_SQL = """
+ SELECT 'pk_sales_channels' AS constraint_name, CAST(sales_channel_id AS VARCHAR) AS key_value, count(*) AS row_count FROM sales_channels GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'uq_sales_channels_code', sales_channel_code, count(*) FROM sales_channels GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'pk_stores', CAST(store_id AS VARCHAR), count(*) FROM stores GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'uq_stores_code', store_code, count(*) FROM stores GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'pk_customers', CAST(customer_id AS VARCHAR), count(*) FROM customers GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'pk_product_categories', CAST(product_category_id AS VARCHAR), count(*) FROM product_categories GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'uq_product_categories_code', category_code, count(*) FROM product_categories GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'pk_products', CAST(product_id AS VARCHAR), count(*) FROM products GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'uq_products_sku', sku, count(*) FROM products GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'pk_orders', CAST(order_id AS VARCHAR), count(*) FROM orders_t GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'pk_order_items', CAST(order_item_id AS VARCHAR), count(*) FROM order_items GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'uq_order_items_order_line', CAST(order_id AS VARCHAR) || '|' || CAST(line_number AS VARCHAR), count(*) FROM order_items GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'pk_payments', CAST(payment_id AS VARCHAR), count(*) FROM payments GROUP BY ALL HAVING count(*) > 1
+ UNION ALL SELECT 'pk_returns', CAST(return_id AS VARCHAR), count(*) FROM returns GROUP BY ALL HAVING count(*) > 1"""
+
+FOREIGN_SQL = """
+ SELECT 'fk_products_category' AS constraint_name, CAST(product_category_id AS VARCHAR) AS key_value, count(*) AS row_count
+ FROM products WHERE product_category_id NOT IN (SELECT product_category_id FROM product_categories) GROUP BY ALL
+ UNION ALL SELECT 'fk_orders_channel', CAST(sales_channel_id AS VARCHAR), count(*) FROM orders_t
+ WHERE sales_channel_id NOT IN (SELECT sales_channel_id FROM sales_channels) GROUP BY ALL
+ UNION ALL SELECT 'fk_orders_store', CAST(store_id AS VARCHAR), count(*) FROM orders_t
+ WHERE store_id NOT IN (SELECT store_id FROM stores) GROUP BY ALL
+ UNION ALL SELECT 'fk_orders_customer', CAST(customer_id AS VARCHAR), count(*) FROM orders_t
+ WHERE customer_id NOT IN (SELECT customer_id FROM customers) GROUP BY ALL
+ UNION ALL SELECT 'fk_order_items_order', CAST(order_id AS VARCHAR), count(*) FROM order_items
+ WHERE order_id NOT IN (SELECT order_id FROM orders_t) GROUP BY ALL
+ UNION ALL SELECT 'fk_order_items_product', CAST(product_id AS VARCHAR), count(*) FROM order_items
+ WHERE product_id NOT IN (SELECT product_id FROM products) GROUP BY ALL
+ UNION ALL SELECT 'fk_payments_order', CAST(order_id AS VARCHAR), count(*) FROM payments
+ WHERE order_id NOT IN (SELECT order_id FROM orders_t) GROUP BY ALL
+ UNION ALL SELECT 'fk_returns_order_item', CAST(order_item_id AS VARCHAR), count(*) FROM returns
+ WHERE order_item_id NOT IN (SELECT order_item_id FROM order_items) GROUP BY ALL"""
+
+#: table: (view, row key, columns that may not be null, longest texts, amounts).
+DOMAIN_SPEC = {
+    "sales_channels": ("sales_channels", "sales_channel_id", "sales_channel_id sales_channel_code sales_channel_name",
+                       {"sales_channel_code": 32, "sales_channel_name": 100}, ""),
+    "stores": ("stores", "store_id", "store_id store_code store_name country_code",
+               {"store_code": 50, "store_name": 200, "country_code": 2}, ""),
+    "customers": ("customers", "customer_id", "customer_id", {}, ""),
+    "product_categories": ("product_categories", "product_category_id", "product_category_id category_code category_name",
+                           {"category_code": 50, "category_name": 200}, ""),
+    "products": ("products", "product_id", "product_id sku product_name product_category_id",
+                 {"sku": 100, "product_name": 255, "currency_code": 3}, "list_price unit_cost"),
+    "orders": ("orders_t", "order_id", "order_id sales_channel_id order_timestamp currency_code", {"currency_code": 3},
+               "order_amount"),
+    "order_items": ("order_items", "order_item_id",
+                    "order_item_id order_id line_number product_id quantity unit_price line_amount", {},
+                    "unit_price discount_amount line_amount"),
+    "payments": ("payments", "payment_id", "payment_id order_id payment_timestamp payment_status payment_amount",
+                 {"payment_status": 50}, "payment_amount"),
+    "returns": ("returns", "return_id", "return_id order_item_id return_timestamp return_quantity",
+                {"return_reason": 255}, "return_amount"),
+}
+
+
+def domain_sql() -> str:
+    parts = []
+    for table, (view, key, needed, longest, amounts) in DOMAIN_SPEC.items():
+        rules = [(f"nn_{c}", f"{c} IS NOT NULL") for c in needed.split()]
+        rules += [(f"len_{c}", f"length({c}) <= {n}") for c, n in longest.items()]
+        rules += [(f"num_{c}", f"{c} = round({c}, 2) AND abs({c}) < 10000000000000000") for c in amounts.split()]
+        parts += [f"SELECT '{table}' AS table_name, CAST({key} AS VARCHAR) AS row_key, '{name}' AS constraint_name "
+                  f"FROM {view} WHERE NOT coalesce({cond}, true)" for name, cond in rules]
+    return REL_WITH + "\n" + "\nUNION ALL\n".join(parts)
+
+
 PIPELINE_CHECK_SQL = [
     ("ck_pipeline_executions_state", "state IN ('PENDING', 'RUNNING', 'SUCCEEDED', 'BLOCKED', 'FAILED')"),
     ("ck_pipeline_executions_predecessor_not_self",

@@ -64,9 +64,6 @@ def _sql_union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
 
 
-_CACHE: dict = {}
-
-
 def _ingest(spark: SparkSession, sf_dir: str, contract: Contract) -> Ingested:
     return ingest_rows(raw_for(spark, sf_dir, contract), contract, run_id="registered-query")
 
@@ -99,9 +96,7 @@ def _first_failure_q(spark, sf_dir):
     frames = []
     for c in BUILT_IN_CONTRACTS:
         v = validate_rows(raw_for(spark, sf_dir, c), c)
-        ff = first_failure_per_file(v, c)
-        names = v.select("source_id", "source_identifier").distinct()
-        frames.append(ff.join(names, "source_id").select(
+        frames.append(first_failure_per_file(v, c, ("source_id", "source_identifier")).select(
             "source_identifier", "failure_category", "row_number", "field_name"))
     return _union(frames)
 
@@ -195,11 +190,6 @@ def _batch_counts_q(spark, sf_dir):
 
 
 # ------------------------------------------------------------ A1 / A2
-_QUALITY_COLS = ("source_identifier", "expectation_id", "expectation_version", "status",
-                 "evaluated_scope", "disposition", "affected_scope", "issue_code",
-                 "duplicate_sku", "affected_count")
-
-
 def _quality_frame(ing: Ingested) -> DataFrame:
     names = ing.files.select("source_id", "source_identifier")
     return ing.quality.join(names, "source_id").select(
@@ -301,64 +291,21 @@ def _unique_specs():
             yield t, name, cols, False
 
 
-def _unique_sql() -> str:
-    parts = []
-    for t, name, cols, primary in _unique_specs():
-        key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in cols)
-        parts.append(f"SELECT '{name}' AS constraint_name, {key} AS key_value, count(*) AS row_count "
-                     f"FROM {O.REL_VIEW[t]} GROUP BY ALL HAVING count(*) > 1")
-    return O.REL_WITH + "\n" + "\nUNION ALL\n".join(parts)
-
-
-@register("check_unique_keys", _unique_sql())
+@register("check_unique_keys", O.REL_WITH + O.UNIQUE_SQL)
 def _unique_q(spark, sf_dir):
     tabs = business_tables(spark, sf_dir)
     return _union([K.check_unique_keys(tabs[t], cols, name, primary)
                    for t, name, cols, primary in _unique_specs()])
 
 
-def _fk_sql() -> str:
-    parts = []
-    for name, child, ccols, parent, pcols in K.FOREIGN_KEYS:
-        if child not in O.REL_VIEW:
-            continue
-        cv, pv = O.REL_VIEW[child], O.REL_VIEW[parent]
-        key = " || '|' || ".join(f"CAST(c.{k} AS VARCHAR)" for k in ccols)
-        on = " AND ".join(f"p.{p} = c.{k}" for k, p in zip(ccols, pcols))
-        nn = " AND ".join(f"c.{k} IS NOT NULL" for k in ccols)
-        parts.append(f"SELECT '{name}' AS constraint_name, {key} AS key_value, count(*) AS row_count "
-                     f"FROM {cv} c WHERE {nn} AND NOT EXISTS (SELECT 1 FROM {pv} p WHERE {on}) "
-                     f"GROUP BY ALL")
-    return O.REL_WITH + "\n" + "\nUNION ALL\n".join(parts)
-
-
-@register("check_foreign_keys", _fk_sql())
+@register("check_foreign_keys", O.REL_WITH + O.FOREIGN_SQL)
 def _fk_q(spark, sf_dir):
     tabs = business_tables(spark, sf_dir)
     return _union([K.check_foreign_keys(tabs[child], tabs[parent], ccols, pcols, name)
                    for name, child, ccols, parent, pcols in K.FOREIGN_KEYS if child in tabs])
 
 
-def _domain_sql() -> str:
-    parts = []
-    for t in _BUSINESS:
-        for col in K.SCHEMAS[t]:
-            conds = []
-            if not col.nullable:
-                conds.append((f"nn_{col.name}", f"{col.name} IS NOT NULL"))
-            if col.type.startswith(("varchar(", "char(")):
-                size = int(col.type.split("(")[1].rstrip(")"))
-                conds.append((f"len_{col.name}", f"length({col.name}) <= {size}"))
-            if col.type == "numeric":
-                conds.append((f"num_{col.name}",
-                              f"{col.name} = round({col.name}, 2) AND abs({col.name}) < 10000000000000000"))
-            for name, cond in conds:
-                parts.append(f"SELECT '{t}' AS table_name, CAST({K.PRIMARY_KEYS[t][0]} AS VARCHAR) AS row_key, "
-                             f"'{name}' AS constraint_name FROM {O.REL_VIEW[t]} WHERE NOT coalesce({cond}, true)")
-    return O.REL_WITH + "\n" + "\nUNION ALL\n".join(parts)
-
-
-@register("check_domains", _domain_sql())
+@register("check_domains", O.domain_sql())
 def _domain_q(spark, sf_dir):
     tabs = business_tables(spark, sf_dir)
     return _union([
@@ -369,7 +316,7 @@ def _domain_q(spark, sf_dir):
 
 # ------------------------------------------------------------------ history
 from sluice.operators import history as H  # noqa: E402
-from sluice.sources.tables import execution_log  # noqa: E402
+from sluice.sources.tables import execution_log, stage_log  # noqa: E402
 
 
 def _executions(spark, sf_dir):
@@ -380,10 +327,14 @@ def _executions(spark, sf_dir):
     return log, rep.join(preds, "pipeline_execution_id", "left")
 
 
-def _exec_text(df: DataFrame) -> DataFrame:
+def _stages(spark, sf_dir):
+    return H.replay_stage_log(stage_log(spark, sf_dir))
+
+
+def _exec_text(df: DataFrame, *more: str) -> DataFrame:
     return df.select("pipeline_execution_id", "state",
                      ts_text("created_at").alias("created_at"), ts_text("started_at").alias("started_at"),
-                     ts_text("completed_at").alias("completed_at"), "failure_category", "failure_code")
+                     ts_text("completed_at").alias("completed_at"), "failure_category", "failure_code", *more)
 
 
 _EXEC_SQL = (f"SELECT pipeline_execution_id, state, {O.ts_text('created_at')} AS created_at, "
@@ -418,7 +369,7 @@ def _transitions_q(spark, sf_dir):
  FROM execs e JOIN stages s USING (pipeline_execution_id) GROUP BY e.pipeline_execution_id, e.state""")
 def _join_history_q(spark, sf_dir):
     _, ex = _executions(spark, sf_dir)
-    j = H.join_history(ex, H.derive_stage_rows(ex))
+    j = H.join_history(ex, _stages(spark, sf_dir)).where("stages is not null")
     txt = F.array_join(F.transform("stages", lambda s: F.concat_ws(
         ":", s["stage"], s["state"], F.coalesce(ts_text(s["started_at"]), F.lit("-")),
         F.coalesce(ts_text(s["completed_at"]), F.lit("-")))), ";")
@@ -430,10 +381,10 @@ def _join_history_q(spark, sf_dir):
    max(epoch_us(s.completed_at) - epoch_us(s.started_at)) FILTER (WHERE s.stage = 'INGESTION') AS ingestion_us,
    max(epoch_us(s.completed_at) - epoch_us(s.started_at)) FILTER (WHERE s.stage = 'TRANSFORMATION') AS transformation_us,
    max(epoch_us(s.completed_at) - epoch_us(s.started_at)) FILTER (WHERE s.stage = 'DATA_QUALITY') AS data_quality_us
- FROM execs e JOIN stages s USING (pipeline_execution_id) GROUP BY ALL""")
+ FROM execs e LEFT JOIN stages s USING (pipeline_execution_id) GROUP BY ALL""")
 def _metrics_q(spark, sf_dir):
     _, ex = _executions(spark, sf_dir)
-    return H.runtime_metrics(ex, H.derive_stage_rows(ex))
+    return H.runtime_metrics(ex, _stages(spark, sf_dir))
 
 
 @register("operator_report", O.HISTORY_WITH + f"""
@@ -444,8 +395,7 @@ def _metrics_q(spark, sf_dir):
  FROM execs""")
 def _report_q(spark, sf_dir):
     _, ex = _executions(spark, sf_dir)
-    r = H.operator_report(ex)
-    return _exec_text(r).join(r.select("pipeline_execution_id", "exit_status"), "pipeline_execution_id")
+    return _exec_text(H.operator_report(ex), "exit_status")
 
 
 @register("predecessor_link", O.HISTORY_WITH + """
@@ -488,13 +438,21 @@ def _exact_ref_q(spark, sf_dir):
 
 
 @register("append_missing_reference", O.REFERENCE_WITH + """
- SELECT a.store_code, a.store_name FROM approved a
+ SELECT 'agreed' AS register, a.store_code, a.store_name FROM approved a
+ WHERE NOT EXISTS (SELECT 1 FROM agreed e WHERE e.store_code = a.store_code)
+   AND NOT EXISTS (SELECT 1 FROM approved a2 JOIN agreed e2 USING (store_code)
+                   WHERE a2.store_name IS DISTINCT FROM e2.store_name)
+ UNION ALL SELECT 'renamed', a.store_code, a.store_name FROM approved a
  WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.store_code = a.store_code)
    AND NOT EXISTS (SELECT 1 FROM approved a2 JOIN existing e2 USING (store_code)
                    WHERE a2.store_name IS DISTINCT FROM e2.store_name)""")
 def _append_ref_q(spark, sf_dir):
-    return R.append_missing_reference(approved_stores(spark, sf_dir),
-                                      registered_stores(spark, sf_dir), "store_code", "store_name")
+    """S11 against a register that agrees with the approved names, and against
+    one with conflicts, which blocks every row."""
+    return _union([
+        R.append_missing_reference(approved_stores(spark, sf_dir), registered_stores(spark, sf_dir, renamed),
+                                   "store_code", "store_name").select(F.lit(label).alias("register"), "*")
+        for label, renamed in (("agreed", False), ("renamed", True))])
 
 
 # ------------------------------------------------------------ scalar rules
@@ -511,16 +469,15 @@ def _sha_q(spark, sf_dir):
     return d.select("doc_id", content_sha256(F.encode("text", "UTF-8")).alias("content_sha256"))
 
 
-@register("source_identity", "SELECT page_id, " + O.identity(
-    "northstar.product_catalog", 1, "'product_catalog/v1/' || CAST(page_id AS VARCHAR) || '.csv'")
-    .replace("sha256('product_catalog", "sha256('product_catalog") +
-    " AS source_id FROM pages")
+@register("source_identity", """SELECT page_id, sha256('{"content_sha256":"' || sha256(html)
+  || '","contract_id":"northstar.product_catalog","contract_version":1,"source_path":"product_catalog/v1/'
+  || CAST(page_id AS VARCHAR) || '.csv"}') AS source_id FROM pages""")
 def _identity_q(spark, sf_dir):
-    """S7 over one notional file per web page (content hash of its path)."""
+    """S5 + S7 over one notional file per web page, its html as the content."""
     p = read_table(spark, sf_dir, "pages")
     path = F.concat(F.lit("product_catalog/v1/"), F.col("page_id").cast("string"), F.lit(".csv"))
     return p.select("page_id", source_identity(F.lit("northstar.product_catalog"), F.lit(1), path,
-                                               F.sha2(path, 256)).alias("source_id"))
+                                               content_sha256(F.encode("html", "UTF-8"))).alias("source_id"))
 
 
 def _texts_sql() -> str:
@@ -661,29 +618,29 @@ def _coherence_q(spark, sf_dir):
 from sluice.operators.canonical import union_sales_lines  # noqa: E402
 
 
-def _pipeline_tables(spark, sf_dir):
-    _, ex = _executions(spark, sf_dir)
-    stages = H.derive_stage_rows(ex)
-    return ex, stages
-
-
 @register("check_shapes", O.HISTORY_WITH + "\n" + "\nUNION ALL\n".join(
     [f"SELECT 'pipeline_executions' AS table_name, pipeline_execution_id AS row_key, '{n}' AS constraint_name "
-     f"FROM execs WHERE NOT coalesce({cond}, true)" for n, cond in O.PIPELINE_CHECK_SQL] +
+     f"FROM last_pipelines WHERE NOT coalesce({cond}, true)" for n, cond in O.PIPELINE_CHECK_SQL] +
     [f"SELECT 'pipeline_stage_executions', pipeline_execution_id || '|' || CAST(stage_sequence AS VARCHAR), "
-     f"'{n}' FROM stages WHERE NOT coalesce({cond}, true)" for n, cond in O.STAGE_CHECK_SQL]))
+     f"'{n}' FROM last_stages WHERE NOT coalesce({cond}, true)" for n, cond in O.STAGE_CHECK_SQL]))
 def _shapes_q(spark, sf_dir):
-    """K4: CHECK rules of both history tables plus the domain rule that a
-    terminal pipeline has a completion time."""
-    ex, stages = _pipeline_tables(spark, sf_dir)
+    """K4: CHECK rules of both history tables, and the domain rule that a terminal pipeline
+    has a completion time, over tables kept without compare-and-set."""
+    log, stages = execution_log(spark, sf_dir), stage_log(spark, sf_dir)
+    preds = log.groupBy("pipeline_execution_id").agg(
+        F.first("predecessor_execution_id").alias("predecessor_execution_id"))
+    ex = H.last_event_rows(log, ["pipeline_execution_id"], terminal=H.TERMINAL_PIPELINE).join(
+        preds, "pipeline_execution_id")
+    rows = H.last_event_rows(stages, ["pipeline_execution_id", "stage"]).withColumn(
+        "stage_sequence", F.create_map(*[F.lit(x) for kv in H.STAGE_SEQUENCE.items() for x in kv])[F.col("stage")])
     rules = list(K.CHECKS["pipeline_executions"]) + [
         ("terminal_requires_completed_at", lambda: ~F.col("state").isin("SUCCEEDED", "BLOCKED", "FAILED")
          | F.col("completed_at").isNotNull())]
     a = K.check_rows(ex, rules, ["pipeline_execution_id"]).select(
         F.lit("pipeline_executions").alias("table_name"),
         F.col("pipeline_execution_id").alias("row_key"), "constraint_name")
-    b = K.check_rows(stages.withColumn("_k", F.concat_ws("|", "pipeline_execution_id",
-                                                           F.col("stage_sequence").cast("string"))),
+    b = K.check_rows(rows.withColumn("_k", F.concat_ws("|", "pipeline_execution_id",
+                                                         F.col("stage_sequence").cast("string"))),
                      K.CHECKS["pipeline_stage_executions"], ["_k"]).select(
         F.lit("pipeline_stage_executions").alias("table_name"), F.col("_k").alias("row_key"),
         "constraint_name")

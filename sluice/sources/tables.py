@@ -27,12 +27,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Row-variant rule (a residue of the row keys) and the row
-# numbering stride (at most 16 lines of one order in one file).
+# Row-variant rule (a residue of the row keys) and the row numbering
+# stride (more lines than one order can have in one file).
 VARIANT_MODULUS = 10007
 PRODUCT_VARIANT_MODULUS = 1009
 PRODUCTS_PER_FILE = 100
-LINES_PER_ORDER_STRIDE = 16
+LINES_PER_ORDER_STRIDE = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,9 +73,10 @@ def _sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Row number inside one file: order key stride plus the rank of the line
     # among the same order's lines in that file.  The window's groups are one
     # order in one file (a handful of rows) and are co-partitioned with the
-    # join on l_orderkey, so no extra shuffle is planned.
+    # join on l_orderkey, so no extra shuffle is planned. The order is total: lines
+    # that tie are equal in every column.
     w = Window.partitionBy("l_orderkey", "l_suppkey", "is_retail").orderBy(
-        "l_linenumber", "l_partkey")
+        "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
     return (
         j.withColumn("v", variant)
         .withColumn("is_retail", retail)
@@ -227,5 +228,27 @@ def execution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         target.alias("target_state"),
         F.when(failed, F.lit("UNEXPECTED_EXECUTION_FAILURE")).alias("failure_category"),
         F.when(failed, F.lit("UNEXPECTED_EXECUTION_ERROR")).alias("failure_code"),
-        F.when(F.col("user_id") % 5 != 0, execution_uuid(F.col("user_id") - 1))
+        F.when(F.col("user_id") % 17 == 0, execution_uuid(F.col("user_id")))
+        .when(F.col("user_id") % 19 == 0, execution_uuid(F.col("user_id") + 10**9))
+        .when(F.col("user_id") % 5 != 0, execution_uuid(F.col("user_id") - 1))
         .alias("predecessor_execution_id"))
+
+
+# How the ``events`` table reads as a stage log.
+STAGE_EVENT_STATES = (("signup", "PENDING"), ("view", "RUNNING"), ("click", "SKIPPED"),
+                      ("purchase", "SUCCEEDED"), ("error", "FAILED"))
+STAGES = ("INGESTION", "TRANSFORMATION", "DATA_QUALITY")
+
+
+def stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table as a stage event log: one execution per user, the stage by
+    the event's number modulo three, the target state by its type."""
+    ev = read_table(spark, sf_dir, "events")
+    target = F.create_map(*[F.lit(x) for pair in STAGE_EVENT_STATES for x in pair])[F.col("event_type")]
+    failed = target == "FAILED"
+    return ev.select(
+        execution_uuid(F.col("user_id")).alias("pipeline_execution_id"),
+        F.get(F.array(*[F.lit(x) for x in STAGES]), (F.col("event_id") % 3).cast("int")).alias("stage"),
+        "event_id", F.col("ts").cast("timestamp").alias("event_time"), target.alias("target_state"),
+        F.when(failed, F.lit("INGESTION_FAILURE")).alias("failure_category"),
+        F.when(failed, F.lit("INGESTION_ERROR")).alias("failure_code"))
