@@ -155,20 +155,27 @@ MAPPERS: dict[tuple[str, int], Callable[[DataFrame, Contract], DataFrame]] = {
 
 
 def canonicalize(validated: DataFrame, contract: Contract, run_id: str | None = None,
-                 mappers=None) -> DataFrame:
-    """P21 + P22: dispatch on the exact contract and classify every record."""
+                 mappers=None, ruleset_version: int = 1) -> DataFrame:
+    """P21 + P22: dispatch on the exact contract and classify every record.
+
+    A record of another contract is a fault of the caller and fails the job; the
+    outcomes carry the version of the rules that made them."""
     mappers = mappers or MAPPERS
     if contract.key not in mappers:
-        raise LookupError("Unsupported source contract for canonical transformation")
+        raise LookupError(f"no mapping rules for contract {contract.key}")
+    if "contract_id" in validated.columns:
+        same = (F.col("contract_id") == contract.contract_id) & (F.col("contract_version") == contract.version)
+        validated = validated.withColumn("contract_id", F.when(same, F.col("contract_id")).otherwise(
+            F.raise_error(F.lit("record and rules name different contracts")).cast("string")))
     if "run_id" not in validated.columns:
         validated = validated.withColumn("run_id", F.lit(run_id or new_run_id()))
-    return mappers[contract.key](validated, contract)
+    return mappers[contract.key](validated, contract).withColumn("ruleset_version", F.lit(ruleset_version))
 
 
 def successful_records(outcomes: DataFrame) -> DataFrame:
     """Canonical records of SUCCESS outcomes (order by row_number at the edge)."""
     return outcomes.where(F.col("status") == SUCCESS).drop(
-        "status", "issue_code", "issue_message", "abort_kind")
+        "status", "issue_code", "issue_message", "abort_kind", "ruleset_version")
 
 
 def union_sales_lines(*frames: DataFrame) -> DataFrame:
@@ -201,13 +208,33 @@ def batch_counts(outcomes: DataFrame, file_col: str = "source_id") -> DataFrame:
         F.shiftright(F.col("_abort"), 1).alias("abort_row_number"))
 
 
-def check_coherence(outcomes: DataFrame) -> DataFrame:
-    """Outcome invariants per row: success has a record and no issue,
-    failure has an issue and no record."""
-    record_present = F.col("status") == SUCCESS
-    ok = (
-        F.when(F.col("status").isNull(), F.lit(True))
-        .when(record_present, F.col("issue_code").isNull() & F.col("issue_message").isNull())
-        .otherwise(F.col("issue_code").isNotNull() & F.col("issue_message").isNotNull())
-    )
-    return outcomes.withColumn("coherent", ok)
+def check_coherence(outcomes: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
+    """Outcome invariants, one ``reason`` per broken row (null: coherent).
+
+    Whether a record is there is read off its mandatory columns and not off the
+    status. With ``accepted`` (the batch the outcomes came from), the identity of each
+    outcome must be that of a row of the batch."""
+    mandatory = [c for c in ("sales_channel_code", "source_transaction_number", "sku", "product_name")
+                 if c in outcomes.columns]
+    has_record = F.lit(True)
+    for c in mandatory:
+        has_record = has_record & F.col(c).isNotNull()
+    has_issue = F.col("issue_code").isNotNull() | F.col("issue_message").isNotNull()
+    whole_issue = F.col("issue_code").isNotNull() & F.col("issue_message").isNotNull()
+    reason = (F.when(F.col("status").isNull() & F.col("abort_kind").isNull(), F.lit("no_outcome"))
+              .when((F.col("status") == SUCCESS) & ~has_record, F.lit("success_without_record"))
+              .when((F.col("status") == SUCCESS) & has_issue, F.lit("success_with_issue"))
+              .when((F.col("status") != SUCCESS) & ~whole_issue, F.lit("failure_without_issue"))
+              .when((F.col("status") != SUCCESS) & has_record, F.lit("failure_with_record")))
+    out = outcomes.withColumn("reason", reason)
+    if accepted is not None:
+        keys = ["source_id", "row_number"]
+        same = accepted.select(*keys, *[F.col(c).alias("_b_" + c) for c in (
+            "contract_id", "contract_version", "source_identifier", "content_sha256")])
+        out = out.join(same, keys, "left")
+        differs = F.lit(False)
+        for c in ("contract_id", "contract_version", "source_identifier", "content_sha256"):
+            differs = differs | ~F.col(c).eqNullSafe(F.col("_b_" + c))
+        out = out.withColumn("reason", F.coalesce("reason", F.when(differs, F.lit("foreign_identity"))))
+        out = out.drop(*[c for c in out.columns if c.startswith("_b_")])
+    return out.withColumn("coherent", F.col("reason").isNull())

@@ -73,6 +73,18 @@ class Expectation:
     evidence_on_satisfied: bool = False
 
 
+PROVENANCE_TYPE = "array<struct<source_id:string,source_identifier:string,row_number:bigint>>"
+
+
+def _provenance(df: DataFrame, e: Expectation) -> Column:
+    """A RECORD outcome names its record; COLLECTION and GROUP outcomes name none."""
+    if e.scope != RECORD:
+        return F.lit(None).cast(PROVENANCE_TYPE)
+    field = lambda c: F.col(c) if c in df.columns else F.lit(None)
+    return F.array(F.struct(*[field(c).alias(c) for c in ("source_id", "source_identifier", "row_number")])).cast(
+        PROVENANCE_TYPE)
+
+
 def _scope_rows(records: DataFrame, e: Expectation) -> DataFrame:
     df = e.prepare(records) if e.prepare else records
     null_reason = lambda: F.lit(None).cast("string")
@@ -85,9 +97,11 @@ def _scope_rows(records: DataFrame, e: Expectation) -> DataFrame:
         (e.affected_scope or null_reason)().alias("_affected_scope"),
         (e.evidence_of or (lambda: evidence()))().cast(EVIDENCE_TYPE).alias("_evidence"),
     ]
+    if e.scope == RECORD:
+        cols.append(_provenance(df, e).alias("provenance"))
     if e.scope == RECORD:
         return df.select(*e.keys, *cols)
-    return df.groupBy(*e.keys).agg(*cols)
+    return df.groupBy(*e.keys).agg(*cols).withColumn("provenance", _provenance(df, e))
 
 
 def evaluate_quality(records: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
@@ -129,15 +143,19 @@ def evaluate_quality(records: DataFrame, expectations: Sequence[Expectation]) ->
             "evaluated_scope",
             F.when(status == VIOLATED, F.lit(e.disposition)).alias("disposition"),
             F.when(status == VIOLATED, F.col("_affected_scope")).alias("affected_scope"),
-            ev.alias("evidence"),
+            ev.alias("evidence"), "provenance",
         )
         out = o if out is None else out.unionByName(o, allowMissingColumns=True)
     return out
 
 
 # ----------------------------------------------------------- built-in rules
-def _currency_number() -> Column:
-    return F.conv(F.hex(F.col("currency_code")), 16, 10).cast("long")
+_TRANSACTION = ("source_id", "sales_channel_code", "source_transaction_number")
+
+
+def _currency_counts(lines: DataFrame) -> DataFrame:
+    # lines per (transaction, currency): a plain hash aggregate for codes of any length
+    return lines.groupBy(*_TRANSACTION, "currency_code").agg(F.count(F.lit(1)).alias("_n"))
 
 
 def _sku_counts(products: DataFrame) -> DataFrame:
@@ -166,16 +184,14 @@ PRODUCT_SKU_UNIQUENESS = Expectation(
 
 SALES_TRANSACTION_CURRENCY = Expectation(
     expectation_id="DQ-SALES-001", version=1, scope=GROUP, disposition=BLOCKING,
-    keys=("source_id", "sales_channel_code", "source_transaction_number"),
+    keys=_TRANSACTION,
     evaluated_scope=lambda: scope_reference(
         "sales-transaction", "sales_channel_code", "source_transaction_number"),
-    # more than one currency <=> min <> max.  Validated codes are three ASCII
-    # capitals, so their bytes read as one integer exactly; integer buffers
-    # keep this a hash aggregate (string min/max would force a sort aggregate).
-    satisfied=lambda: F.min(_currency_number()) == F.max(_currency_number()),
+    satisfied=lambda: F.count(F.lit(1)) <= 1,
     affected_scope=lambda: scope_reference(
         "transaction", "sales_channel_code", "source_transaction_number"),
-    evidence_of=lambda: evidence(MIXED_TRANSACTION_CURRENCY, None, F.count(F.lit(1))),
+    evidence_of=lambda: evidence(MIXED_TRANSACTION_CURRENCY, None, F.sum("_n")),
+    prepare=_currency_counts,
     description="Canonical sales lines in one transaction use one currency",
 )
 
@@ -206,19 +222,18 @@ def group_coherence(groups: DataFrame, members: DataFrame, group_col: str = "gro
     (channel, transaction); otherwise DQ-SALES-001 is an EVALUATION_ERROR
     with reason INCOHERENT_TRANSACTION_GROUP.  Coherent groups are evaluated
     normally (SATISFIED / VIOLATED)."""
-    key = F.concat_ws("\u0000", "sales_channel_code", "source_transaction_number")
-    per_group = members.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(key).alias("_kmin"), F.max(key).alias("_kmax"),
-        F.min("currency_code").alias("_cmin"), F.max("currency_code").alias("_cmax"),
-        F.min("sales_channel_code").alias("_ch"),
-        F.min("source_transaction_number").alias("_txn"),
-    )
+    # the currency rule of A2 per transaction, then the transactions of each group
+    transactions = members.groupBy(group_col, "sales_channel_code", "source_transaction_number", "currency_code").agg(
+        F.count(F.lit(1)).alias("_n")).groupBy(group_col, "sales_channel_code", "source_transaction_number").agg(
+        F.count(F.lit(1)).alias("_currencies"), F.sum("_n").alias("_n"))
+    per_group = transactions.groupBy(group_col).agg(
+        F.count(F.lit(1)).alias("_transactions"), F.sum("_n").alias("_n"), F.max("_currencies").alias("_currencies"),
+        F.any_value("sales_channel_code").alias("_ch"), F.any_value("source_transaction_number").alias("_txn"))
     g = groups.select(group_col).join(per_group, group_col, "left")
-    n = F.coalesce(F.col("_n"), F.lit(0))
-    incoherent = (n == 0) | (F.col("_kmin") != F.col("_kmax"))
+    n = F.col("_n")
+    incoherent = F.coalesce(F.col("_transactions") != 1, F.lit(True))
     status = (F.when(incoherent, F.lit(EVALUATION_ERROR))
-              .when(F.col("_cmin") == F.col("_cmax"), F.lit(SATISFIED))
+              .when(F.col("_currencies") == 1, F.lit(SATISFIED))
               .otherwise(F.lit(VIOLATED)))
     return g.select(
         group_col, status.alias("status"),

@@ -57,14 +57,23 @@ def append_missing_reference(approved: DataFrame, existing: DataFrame, key: str,
 
 def audit_ledger(recorded: DataFrame, manifest: DataFrame, key: str = "version",
                  name: str = "filename", checksum: str = "checksum") -> DataFrame:
-    """J7 (re-aimed to a source-file ledger): classify every key of the
-    recorded ledger against the current manifest."""
-    r = recorded.select(F.col(key).alias("_k"), F.col(name).alias("_rn"), F.col(checksum).alias("_rc"))
-    m = manifest.select(F.col(key).alias("_k"), F.col(name).alias("_mn"), F.col(checksum).alias("_mc"))
-    j = r.join(m, "_k", "full_outer")
-    status = (F.when(F.col("_mn").isNull() & F.col("_mc").isNull(), F.lit("unknown_version"))
-              .when(F.col("_rn").isNull() & F.col("_rc").isNull(), F.lit("not_applied"))
-              .when(F.col("_rn") != F.col("_mn"), F.lit("filename_mismatch"))
-              .when(F.col("_rc") != F.col("_mc"), F.lit("checksum_mismatch"))
+    """J7 (re-aimed to a source-file ledger): classify every version of the
+    recorded ledger against the current manifest.
+
+    ``non_contiguous``: a recorded version although an earlier one of the manifest is
+    not recorded. The first such gap is one aggregate, so no ordering of the
+    whole manifest is needed."""
+    r = recorded.select(F.col(key).alias("_k"), F.col(name).alias("_rn"), F.col(checksum).alias("_rc"),
+                        F.lit(True).alias("_recorded"))
+    m = manifest.select(F.col(key).alias("_k"), F.col(name).alias("_mn"), F.col(checksum).alias("_mc"),
+                        F.lit(True).alias("_listed"))
+    j = r.join(m, "_k", "full_outer").withColumn("_j", F.lit(1))
+    gap = j.where(F.col("_recorded").isNull()).agg(F.min("_k").alias("_gap")).withColumn("_j", F.lit(1))
+    j = j.join(F.broadcast(gap), "_j")  # one row
+    status = (F.when(F.col("_listed").isNull(), F.lit("unknown_version"))
+              .when(F.col("_recorded").isNull(), F.lit("not_applied"))
+              .when(~F.col("_rn").eqNullSafe(F.col("_mn")), F.lit("filename_mismatch"))
+              .when(~F.col("_rc").eqNullSafe(F.col("_mc")), F.lit("checksum_mismatch"))
+              .when(F.col("_k") > F.col("_gap"), F.lit("non_contiguous"))
               .otherwise(F.lit("ok")))
     return j.select(F.col("_k").alias(key), status.alias("status"))

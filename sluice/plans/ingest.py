@@ -48,6 +48,10 @@ class Ingested:
     quality: DataFrame          # quality outcomes of clean files
     files: DataFrame
 
+    def release(self) -> None:
+        """Drop the stored rows once the results are written."""
+        self.validated.unpersist()
+
 
 def source_files(raw: DataFrame) -> DataFrame:
     """One row per source file present in the raw rows."""
@@ -70,12 +74,13 @@ def without_emails(validated: DataFrame) -> DataFrame:
 
 
 def ingest_rows(raw: DataFrame, contract: Contract, run_id: str | None = None,
-                file_failures: DataFrame | None = None) -> Ingested:
+                file_failures: DataFrame | None = None, expectations=None) -> Ingested:
     """Validate -> first failure -> file atomicity -> canonicalise ->
     counts -> quality, for every file of one contract at once.
 
     ``file_failures`` (source_id, failure_category) adds structural failures
-    found by the CSV parser; they take precedence over field errors."""
+    found by the CSV parser; they take precedence over field errors.
+    ``expectations`` replaces the built-in one of the contract's kind (E1)."""
     # Both the failure branch and the accepted branch read the validated rows:
     # persist them once (memory, spilling to disk; lost blocks are recomputed
     # from lineage).  The cache also stops the optimizer from pushing the
@@ -92,7 +97,7 @@ def ingest_rows(raw: DataFrame, contract: Contract, run_id: str | None = None,
     counts = batch_counts(outcomes)
     clean = counts.where((F.col("failure_count") == 0) & F.col("abort_kind").isNull())
     records = spread_join(successful_records(outcomes), clean.select("source_id"), "source_id", "left_semi")
-    quality = evaluate_quality(records, expectations_for(contract))
+    quality = evaluate_quality(records, expectations or expectations_for(contract))
     # The file list comes from the persisted rows, not from a second pass
     # over the source.
     return Ingested(contract, validated, failures, accepted, outcomes, counts, records,
@@ -213,8 +218,7 @@ def ingest_files(spark, root: str, contract: Contract, registry=None,
     parse (one task unit per file) -> structural and header checks ->
     validation ... -> quality, for every file of ``contract``.
 
-    Parsed rows are persisted once, since the file-status and the record
-    branches both read them."""
+    Large files are parsed in several tasks when the listing has no content."""
     from sluice.operators.contracts import ContractRegistry
     from sluice.operators.validate import file_status, project_by_name
     from sluice.sources.csv import read_governed_csv
@@ -224,7 +228,7 @@ def ingest_files(spark, root: str, contract: Contract, registry=None,
     files = (files if files is not None else list_source_files(spark, root, reg)).where(
         (F.col("contract_id") == contract.contract_id)
         & (F.col("contract_version") == contract.version))
-    parsed = read_governed_csv(files).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = read_governed_csv(files)  # its steps read a checkpoint, not the files again
     status = file_status(parsed.where(F.col("kind") == "file"), contract)
     structural = status.where(F.col("file_failure").isNotNull()).select(
         "source_id", F.col("file_failure").alias("failure_category"))

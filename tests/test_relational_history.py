@@ -92,14 +92,40 @@ def test_replay_rejects_illegal_transitions(spark):
                   5: ("FAILED", False)}
 
 
-def test_stage_rows_and_metrics(spark):
-    lg = log(spark, [(1, "PENDING"), (2, "RUNNING"), (32, "SUCCEEDED")])
-    rep = H.replay_pipeline_log(lg)
-    stages = H.derive_stage_rows(rep)
+def stage_events(spark, events):
+    return log(spark, [(i, st) for i, _, st in events]).join(
+        spark.createDataFrame([(i, stage) for i, stage, _ in events], "event_id long, stage string"), "event_id")
+
+
+def test_stage_replay_and_metrics(spark):
+    rep = H.replay_pipeline_log(log(spark, [(1, "PENDING"), (2, "RUNNING"), (32, "SUCCEEDED")]))
+    events = stage_events(spark, [
+        (1, "INGESTION", "PENDING"), (2, "INGESTION", "SUCCEEDED"), (3, "INGESTION", "RUNNING"),
+        (5, "INGESTION", "FAILED"), (6, "INGESTION", "SUCCEEDED"), (7, "DATA_QUALITY", "PENDING"),
+        (8, "TRANSFORMATION", "PENDING"), (9, "TRANSFORMATION", "SKIPPED"), (10, "TRANSFORMATION", "RUNNING"),
+        (11, "DATA_QUALITY", "PENDING")])
+    stages = H.replay_stage_log(events)
+    got = {r["stage"]: (r["state"], r["started_at"] is not None, r["completed_at"] is not None) for r in stages.collect()}
+    assert got == {"INGESTION": ("FAILED", True, True), "TRANSFORMATION": ("SKIPPED", False, True),
+                   "DATA_QUALITY": ("PENDING", False, False)}
+    seen = {r["event_id"]: (r["prior_state"], r["accepted"], r["legal_pair"])
+            for r in H.check_stage_transitions(events, stages).collect()}
+    assert seen[2] == ("PENDING", False, False) and seen[3] == ("PENDING", True, True)
+    assert seen[6] == ("FAILED", False, False) and seen[10] == ("SKIPPED", False, False)
+    order = H.stage_order_check(events, stages).first()
+    assert order["duplicate_stage"] and order["out_of_order"]
     m = H.runtime_metrics(rep, stages).first()
-    assert (m["duration_us"], m["ingestion_us"], m["data_quality_us"]) == (30_000_000, 10_000_000, 10_000_000)
+    assert (m["duration_us"], m["ingestion_us"], m["transformation_us"]) == (30_000_000, 2_000_000, None)
     nested = H.join_history(rep, stages).first()["stages"]
     assert [s["stage"] for s in nested] == ["INGESTION", "TRANSFORMATION", "DATA_QUALITY"]
-    lg2 = log(spark, [(1, "PENDING"), (2, "RUNNING")])
-    m2 = H.runtime_metrics(H.replay_pipeline_log(lg2), H.derive_stage_rows(H.replay_pipeline_log(lg2))).first()
-    assert m2["duration_us"] is None and m2["ingestion_us"] is None
+
+
+def test_history_is_written_once_per_run_and_read_by_id(spark, tmp_root):
+    events = spark.createDataFrame([("a", 0, "PENDING"), ("a", 1, "RUNNING"), ("b", 0, "PENDING")],
+                                   "source_id string, seq int, target_state string")
+    for run in ("r1", "r1", "r2"):
+        H.write_history(events, tmp_root + "/history", run)
+    assert H.read_history(spark, tmp_root + "/history").count() == 6
+    ids = spark.createDataFrame([("a",), ("zz",)], "source_id string")
+    got = [(r["source_id"], r["found"]) for r in H.read_history(spark, tmp_root + "/history", ids).collect()]
+    assert sorted(got) == [("a", True)] * 4 + [("zz", False)]

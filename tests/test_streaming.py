@@ -16,3 +16,17 @@ def test_stream_verdicts(spark, tmp_root):
     got = {r["source_identifier"]: r["state"] for r in spark.read.parquet(tmp_root + "/out/verdicts").collect()}
     assert got == {"product_catalog/v1/ok.csv": "SUCCEEDED", "product_catalog/v1/dup.csv": "BLOCKED"}
     assert spark.read.parquet(tmp_root + "/out/records").count() == 1
+
+
+def test_a_restart_adds_only_new_files(spark, tmp_root):
+    write(tmp_root, "src/product_catalog/v1/one.csv", HDR + b"SKU-1,Bottle,OUT,1.00,,EUR\n")
+
+    def run():
+        q = ingest_stream(spark, tmp_root + "/src", PRODUCT_CATALOG_V1, tmp_root + "/out")
+        q.awaitTermination(120)
+        return [spark.read.parquet(f"{tmp_root}/out/{name}").count() for name in ("verdicts", "records")]
+
+    assert run() == [1, 1]
+    assert run() == [1, 1]
+    write(tmp_root, "src/product_catalog/v1/two.csv", HDR + b"SKU-2,Cup,OUT,1.00,,EUR\nSKU-3,Mug,OUT,2.00,,EUR\n")
+    assert run() == [2, 3]
