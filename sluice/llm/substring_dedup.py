@@ -228,10 +228,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     own = scan.where("doc_id is not null and not copy")
     shared = own.select("doc_id", F.explode("seeds").alias("seed")).groupBy("seed").agg(
-        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("seed")
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n_rows"))
+    shared = materialize(shared.where("least < most").select("seed", "n_rows"), "shared-seeds")
+    total = shared.agg(F.sum("n_rows")).first()[0] or 0
     found = own.select("doc_id", "tag", F.explode(F.arrays_zip("seeds", "places")).alias("at")).select(
-        "doc_id", "tag", F.col("at.seeds").alias("seed"), F.col("at.places").alias("place")).join(
-        shared, "seed", "left_semi").groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
+        "doc_id", "tag", F.col("at.seeds").alias("seed"), F.col("at.places").alias("place"))
+    found = attach(found, shared, "seed", "n_rows", total, "place").where("n_rows is not null").groupBy(
+        "doc_id", "tag").agg(F.collect_set("place").alias("places"))
     near = materialize(_texts_of(rows, found, "places"), "texts-with-shared-seeds")
 
     # read twice rather than written: the digests are most of what this operator moves
