@@ -676,3 +676,5 @@ def _events_q(spark, sf_dir):
             "source_identifier", "stage", "seq", "target_state",
             ts_text("event_time").alias("event_time")))
     return _union(frames)
+
+from sluice.plans import more_queries  # noqa: E402, F401  (registers its queries)
