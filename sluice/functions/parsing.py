@@ -14,6 +14,8 @@ TIMESTAMP_GRAMMAR = (
     "\\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\\.[0-9]+)?"
     "(?:Z|[+-][0-9]{2}:[0-9]{2})\\z"
 )
+#: Plain decimals that the storage type holds as they are; most values are.
+PLAIN_DECIMAL = "\\A[0-9]{1,18}(?:\\.[0-9]{1,9})?\\z"
 CURRENCY_GRAMMAR = "\\A[A-Z]{3}\\z"
 
 #: Exact storage type of governed decimals: 18 integer and 9 fraction digits.
@@ -50,17 +52,21 @@ def _decimal_fits(s: Column) -> Column:
 
 
 def decimal_parts(c: Column | str) -> dict[str, Column]:
-    """Stage-1 pieces of a decimal text (computed once per value)."""
+    """Stage-1 pieces of a decimal text (computed once per value).
+
+    A plain value needs one pattern and one cast; only the others are taken apart."""
     s = _col(c)
+    plain = s.rlike(PLAIN_DECIMAL)
     frac = F.regexp_extract(s, "\\.([0-9]*)", 1)
     frac_len = F.length(F.regexp_replace(frac, "0+\\z", ""))
     exp_txt = F.regexp_extract(s, "[eE]([+-]?[0-9]+)\\z", 1)
     exp = F.when(exp_txt == "", F.lit(0)).otherwise(exp_txt.try_cast("int"))
     return {
-        "grammar": s.rlike(DECIMAL_GRAMMAR),
-        "scale_need": frac_len - exp,
+        "plain": plain,
+        "grammar": F.when(plain, F.lit(True)).otherwise(s.rlike(DECIMAL_GRAMMAR)),
+        "scale_need": F.when(~plain, frac_len - exp),
         "narrow": s.try_cast(DECIMAL_TYPE),
-        "wide": s.try_cast(_WIDE_TYPE),
+        "wide": F.when(~plain, s.try_cast(_WIDE_TYPE)),
     }
 
 
@@ -69,7 +75,8 @@ def decimal_error_from(parts: dict[str, Column]) -> Column:
             & (parts["scale_need"] <= _MAX_FRACTION_MINUS_EXPONENT)
             & parts["narrow"].isNotNull() & parts["wide"].isNotNull()
             & (parts["narrow"] == parts["wide"]))
-    return (F.when(~parts["grammar"], F.lit("invalid_decimal"))
+    return (F.when(parts["plain"], F.lit(None).cast("string"))
+            .when(~parts["grammar"], F.lit("invalid_decimal"))
             .when(~fits, F.lit("decimal_out_of_range")))
 
 
@@ -92,8 +99,10 @@ def parse_decimal(c: Column | str) -> Column:
 # ------------------------------------------------------------------- timestamps
 def _ts_parts(s: Column):
     rest = F.substring(s, 20, 1 << 20)
-    frac = F.regexp_extract(rest, "\\A\\.([0-9]+)", 1)
-    zone = F.regexp_extract(rest, "(Z|[+-][0-9]{2}:[0-9]{2})\\z", 1)
+    # without a fraction the rest is the zone; the grammar is checked apart from this
+    whole = ~rest.startswith(".")
+    frac = F.when(whole, F.lit("")).otherwise(F.regexp_extract(rest, "\\A\\.([0-9]+)", 1))
+    zone = F.when(whole, rest).otherwise(F.regexp_extract(rest, "(Z|[+-][0-9]{2}:[0-9]{2})\\z", 1))
     sign = F.when(F.substring(zone, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
     offset_minutes = F.when(zone == "Z", F.lit(0)).otherwise(
         sign * (F.substring(zone, 2, 2).try_cast("int") * 60

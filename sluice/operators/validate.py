@@ -75,7 +75,7 @@ def _stage_two(f: Field, i: int) -> tuple[Column, Column]:
     """(typed value, first error category) of one field from its pieces."""
     raw = F.col(f.name)
     empty = raw.isNull() | (raw == "")
-    parts = {k: F.col(f"_{i}_{k}") for k in ("grammar", "scale_need", "narrow", "wide",
+    parts = {k: F.col(f"_{i}_{k}") for k in ("plain", "grammar", "scale_need", "narrow", "wide",
                                               "local", "offset", "clock_ok")}
     if f.type == DECIMAL:
         type_err = decimal_error_from(parts)

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from sluice.session import build_session
-    s = build_session("local[4]", app="sluice-tests", shuffle_partitions=4)
+    s = build_session("local[8]", app="sluice-tests", shuffle_partitions=4)
     yield s
     s.stop()
 
