@@ -101,8 +101,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_toxicity")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").where(_remainder(5) != 0).select("doc_id", "toxic")
-    grammar = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    grammar = toxicity.learn(docs, table(spark, sf_dir, "labels").where(_remainder(5) != 0))
     return toxicity.score(docs, grammar).select(
         "doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
 

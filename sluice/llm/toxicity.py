@@ -170,21 +170,27 @@ def _cover(shown: list[set[str]], weight: dict[str, float], support: int) -> lis
     return chosen
 
 
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample: int = SAMPLE) -> Grammar:
-    """A grammar from about ``sample`` documents of each label (all, if there are fewer).
-
-    Only equal texts once; rows without a label or text teach nothing; without
-    documents of both labels the grammar is empty and scores 0. The driver gets
-    counts of CANDIDATES patterns and a row of numbers per sampled document."""
-    rows = pick(labelled, doc_id=(id_col, "long"), text=(text_col, "string"), label=(label_col, "int")).where(
-        "label in (0, 1) and text is not null")
-    size = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          label_col: str = "toxic", sample: int = SAMPLE) -> Grammar:
+    """A grammar from about ``sample`` labelled documents of each label (all, if there are fewer).
+
+    Documents are drawn from ``labels`` by a hash of the id, so only the drawn texts
+    move. Equal texts count once (toxic if any copy is); rows without a label, a
+    text or a partner teach nothing; without documents of both labels the grammar is
+    empty and scores 0. The driver gets counts of CANDIDATES patterns and a row of
+    numbers per sampled document."""
+    marks = pick(labels, doc_id=(id_col, "long"), label=(label_col, "int")).where("label in (0, 1)")
+    size = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
     if len(size) < 2:
         return Grammar()
     rate = F.when(F.col("label") == 1, F.lit(sample / size[1])).otherwise(F.lit(sample / size[0]))
-    taken = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20) < rate)
-    taken = materialize(taken.select("text", "label").dropDuplicates(["text"]), "labelled-sample")
+    drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20) < rate)
+    drawn = materialize(drawn.groupBy("doc_id").agg(F.max("label").alias("label")), "drawn")
+    if drawn.count() <= 4 * sample:  # the bound of the sample, twice over; else a shuffle
+        drawn = F.broadcast(drawn)
+    texts = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string")).where("text is not null")
+    taken = materialize(texts.join(drawn, "doc_id").groupBy("text").agg(F.max("label").alias("label")),
+                        "labelled-sample")
     n = {r["label"]: r["count"] for r in taken.groupBy("label").count().collect()}
     if len(n) < 2:
         return Grammar()
