@@ -155,10 +155,11 @@ def posterior(v: np.ndarray, prior: float, rates: np.ndarray) -> np.ndarray:
 
 def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> np.ndarray:
     """Logistic regression on soft labels (Adam, whole batch); the last weight is the offset."""
-    x = np.concatenate((x, np.ones((len(x), 1), np.float32)), axis=1)
-    w, m, s = np.zeros((3, x.shape[1]))
+    x = np.concatenate((x, np.ones((len(x), 1))), axis=1, dtype=np.float32)
+    y = y.astype(np.float32)
+    w, m, s = np.zeros((3, x.shape[1]), np.float32)  # one kind of number, so no copy of x is made
     for t in range(1, rounds + 1):
-        g = x.T @ (1 / (1 + np.exp(-np.clip(x @ w, -40, 40))) - y) / len(x) + decay * w
+        g = (1 / (1 + np.exp(-np.clip(x @ w, -40, 40))) - y) @ x / np.float32(len(x)) + np.float32(decay) * w
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         w -= 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
     return w
