@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.domain import PIPELINE_STATES, STAGE_STATES
 
@@ -115,6 +116,15 @@ FOREIGN_KEYS: tuple[tuple[str, str, tuple[str, ...], str, tuple[str, ...]], ...]
 )
 
 
+def struct_type(table: str) -> T.StructType:
+    """A table of the governed schema as a Spark schema. Text lengths and the shape
+    of identifiers are domain rules (P26), which a Spark type does not hold."""
+    plain = {"bigint": T.LongType(), "int": T.IntegerType(), "smallint": T.ShortType(),
+             "timestamp": T.TimestampType(), "numeric": T.DecimalType(18, 2)}
+    return T.StructType([T.StructField(c.name, plain.get(c.type, T.StringType()), c.nullable)
+                         for c in SCHEMAS[table]])
+
+
 # ------------------------------------------------------------ P25 CHECKs
 def _nn_or(col: str, cond: Column) -> Column:
     return c(col).isNull() | cond

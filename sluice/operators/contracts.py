@@ -132,8 +132,8 @@ class ContractRegistry:
         if (contract_id, version) in self.contracts:
             return self.contracts[(contract_id, version)]
         if any(cid == contract_id for cid, _ in self.contracts):
-            raise LookupError("Unsupported source contract version")
-        raise LookupError("Unknown source contract ID")
+            raise LookupError("this version of the contract is not registered")
+        raise LookupError("the contract is not registered")
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         """The registry as a tiny DataFrame (one row per contract)."""

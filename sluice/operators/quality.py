@@ -118,11 +118,11 @@ def evaluate_quality(records: DataFrame, expectations: Sequence[Expectation]) ->
         status = (
             F.when(F.col("_applies_unavailable").isNotNull(), F.lit(EVALUATION_ERROR))
             .when(F.col("_applies").isNull(),
-                  F.raise_error(F.lit("Applicability behavior must return a Boolean")))
+                  F.raise_error(F.lit("whether an expectation applies is neither true nor false")))
             .when(~F.col("_applies"), F.lit(NOT_APPLICABLE))
             .when(F.col("_condition_unavailable").isNotNull(), F.lit(EVALUATION_ERROR))
             .when(F.col("_satisfied").isNull(),
-                  F.raise_error(F.lit("Quality condition must return a Boolean")))
+                  F.raise_error(F.lit("an expectation's condition is neither true nor false")))
             .when(F.col("_satisfied"), F.lit(SATISFIED))
             .otherwise(F.lit(VIOLATED))
         ).cast("string")
@@ -179,7 +179,7 @@ PRODUCT_SKU_UNIQUENESS = Expectation(
         DUPLICATE_SKU, F.min_by(_dup(F.col("sku")), _dup(F.col("_first_row"))),
         F.sum(_dup(F.col("_n")))),
     prepare=_sku_counts,
-    description="Canonical product SKUs are unique within the governed collection",
+    description="No two products of a file share a SKU",
 )
 
 SALES_TRANSACTION_CURRENCY = Expectation(
@@ -192,7 +192,7 @@ SALES_TRANSACTION_CURRENCY = Expectation(
         "transaction", "sales_channel_code", "source_transaction_number"),
     evidence_of=lambda: evidence(MIXED_TRANSACTION_CURRENCY, None, F.sum("_n")),
     prepare=_currency_counts,
-    description="Canonical sales lines in one transaction use one currency",
+    description="All lines of a transaction are in one currency",
 )
 
 

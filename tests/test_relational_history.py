@@ -120,6 +120,12 @@ def test_stage_replay_and_metrics(spark):
     assert [s["stage"] for s in nested] == ["INGESTION", "TRANSFORMATION", "DATA_QUALITY"]
 
 
+def test_schema_types():
+    t = K.struct_type("products")
+    assert [f.name for f in t][:2] == ["product_id", "sku"] and t["list_price"].nullable
+    assert t["list_price"].dataType.simpleString() == "decimal(18,2)" and not t["sku"].nullable
+
+
 def test_history_is_written_once_per_run_and_read_by_id(spark, tmp_root):
     events = spark.createDataFrame([("a", 0, "PENDING"), ("a", 1, "RUNNING"), ("b", 0, "PENDING")],
                                    "source_id string, seq int, target_state string")

@@ -152,11 +152,11 @@ def test_parse_text_rows(spark):
 def test_discovery_eligible_names_and_order(spark, tmp_root):
     _directories(tmp_root)
     d = "ecommerce_sales/v1/"
-    for name in ["z-last.csv", "a-first.csv", "orders.CSV", "orders.txt", ".hidden.csv",
-                 "~orders.csv", "#draft.csv", "draft.csv~", "archive/nested.csv"]:
+    for name in ["week 9.csv", "week-10.csv", "Ä.csv", "week.Csv", "week.csv.gz", ".week.csv",
+                 "~week.csv", "#week.csv", "week.csv~", "2024/week.csv"]:
         write(tmp_root, d + name, b"x\n1\n")
     got = [r["source_identifier"] for r in discover_sources(spark, tmp_root).collect()]
-    assert got == [d + "a-first.csv", d + "z-last.csv"]
+    assert got == [d + "week 9.csv", d + "week-10.csv", d + "Ä.csv"]
 
 
 def _directories(root):
