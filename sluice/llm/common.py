@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +91,13 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
     return left.join(right, [key, "__salt"], "left").drop("__salt")
 
 
+def values(column: pa.Array) -> Iterator:
+    """The values of a column one by one, so that a batch's texts are never all Python
+    objects at once."""
+    for value in column:
+        yield value.as_py()
+
+
 def word_blocks(data: bytes) -> Iterator[list[bytes]]:
     """The words of a text in lists of about BLOCK bytes, cut between words."""
     at = 0

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import attach, materialize, pick
+from sluice.llm.common import attach, materialize, pick, values
 
 #: Bounds of a chunk in bytes; between them it ends where a hash of 8 bytes has 12 zero bits.
 LEAST, MOST, ZERO_BITS = 1024, 16384, 12
@@ -68,7 +68,7 @@ def chunk_id(chunk: bytes) -> bytes:
 def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for doc_id, text in zip(batch.column(0).to_pylist(), values(batch.column(1)), strict=True):
             data = normalise(text)
             start, names = 0, []
             for end in cuts(data):
@@ -86,7 +86,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[bytes, bytes] = {}
         clash: list[tuple[bytes, bytes]] = []
-        for text in batch.column(0).to_pylist():
+        for text in values(batch.column(0)):
             data, start = normalise(text), 0
             for end in cuts(data):
                 chunk = data[start:end]

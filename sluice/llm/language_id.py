@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import BLOCK, pick
+from sluice.llm.common import BLOCK, pick, values
 
 #: n-grams of a profile and of a document that are compared.
 PROFILE = 300
@@ -100,7 +100,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         for batch in batches:
             langs = batch.column(1).to_pylist()
             held: dict[str, list] = {}
-            for lang, text in zip(langs, batch.column(0).to_pylist(), strict=True):
+            for lang, text in zip(langs, values(batch.column(0)), strict=True):
                 held.setdefault(lang, []).append(gram_counts(text))
             for lang, parts in held.items():
                 codes, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
@@ -154,7 +154,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(profiles)
         for batch in batches:
-            out = [judge.judge(t) for t in batch.column(1).to_pylist()]
+            out = [judge.judge(t) for t in values(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([o[0] for o in out], pa.string()),
                  pa.array([o[1] for o in out], pa.float64())], names=["doc_id", "lang_pred", "score"])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialize, pick, word_blocks
+from sluice.llm.common import materialize, pick, values, word_blocks
 
 #: Documents (expected) on which the scorer is trained; the votes of all documents count.
 SAMPLE = 8000
@@ -172,7 +172,7 @@ def _scan(per_million: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pattern, feats = [], []
-            for text, taken in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, taken in zip(values(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 data = (text or "").encode()
                 f = facts(data)
                 pattern.append(int(np.array(votes(f)) @ powers))
@@ -239,7 +239,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = scorer(model)
         for batch in batches:
-            s = np.array([judge(t) for t in batch.column(1).to_pylist()], np.float64)
+            s = np.array([judge(t) for t in values(batch.column(1))], np.float64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array(s >= 0.5)],
                                              names=["doc_id", "score", "kept"])
 
@@ -254,6 +254,6 @@ def good_rows(docs: DataFrame, model: Model | None, text_col: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = scorer(model)
         for batch in batches:
-            yield batch.filter(pa.array([judge(t) >= 0.5 for t in batch.column(place).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([judge(t) >= 0.5 for t in values(batch.column(place))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

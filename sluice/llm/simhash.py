@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import attach, materialize, pick, word_blocks
+from sluice.llm.common import attach, materialize, pick, values, word_blocks
 from sluice.llm.components import components
 
 SEED = 42
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
     """(doc_id, fp): fp is the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([simhash((t or "").encode(), shingle) for t in batch.column(1).to_pylist()],
+            fps = np.array([simhash((t or "").encode(), shingle) for t in values(batch.column(1))],
                            np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))],
                                              names=["doc_id", "fp"])

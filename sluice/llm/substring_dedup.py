@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick
+from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick, values
 
 WINDOW = 50
 SEED_WORDS = 16
@@ -35,7 +35,7 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd number modulo 2^64, and their inverses."""
     known = _powers.get(base)
     if known is None or len(known[0]) < n:
-        size = max(n, BLOCK + 1)
+        size = max(2 * n, 1 << 15)
         made = []
         for b in (base, pow(base, -1, 1 << 64)):
             x = np.full(size, b, np.uint64)
@@ -133,7 +133,7 @@ def _scan(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sha, hashes, places = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in values(batch.column(1)):
                 data = (text or "").encode()
                 words = data.split()
                 n.append(len(words))
@@ -155,7 +155,7 @@ def _windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["k1", "k2", "doc_id", "tag", "start"]
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(4)]
+            cols = [values(batch.column(i)) for i in range(4)]
             for doc_id, tag, text, places in zip(*cols, strict=True):
                 data = text.encode()
                 first = word_hashes(data, 0)
@@ -179,7 +179,7 @@ def _kept(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sha, texts = [], [], []
-            for text, starts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for text, starts in zip(values(batch.column(2)), values(batch.column(3)), strict=True):
                 words = text.encode().split()
                 mark = np.zeros(len(words) + 1, np.int32)
                 s = np.array(starts, np.int64)
@@ -267,7 +267,7 @@ def _texts_of(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
     """Texts of the rows named in ``found`` by id and by the hash of their words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sha = [_words_sha((t or "").encode().split()) for t in batch.column(2).to_pylist()]
+            sha = [_words_sha((t or "").encode().split()) for t in values(batch.column(2))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sha, pa.binary())],
                                              names=[*batch.schema.names, "sha"])
 

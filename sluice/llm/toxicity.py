@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialize, pick
+from sluice.llm.common import materialize, pick, values
 
 #: Labelled documents of each class (expected) from which the grammar is learned.
 SAMPLE = 5000
 #: Candidates for the insult class, documents that must show one, and toxic to clean odds.
-CANDIDATES, SUPPORT, ODDS = 4000, 5, 20.0
+CANDIDATES, SUPPORT, ODDS = 4000, 5, 30.0
+#: A pattern that one of so many toxic documents shows is taken even if others explain them.
+COMMON = 50
 #: Letters of a word beginning that can stand for the word.
 BEGINNINGS = (4, 5, 6, 7, 8)
 
@@ -149,7 +151,7 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         toxic: Counter[str] = Counter()
         clean: Counter[str] = Counter()
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for text, label in zip(values(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             (toxic if label else clean).update(patterns_of(text))
         both = list(toxic.keys() | clean.keys())
         yield pa.RecordBatch.from_arrays(
@@ -157,16 +159,34 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
              pa.array([clean[p] for p in both], pa.int64())], names=["pattern", "toxic", "clean"])
 
 
-def _cover(shown: list[set[str]], weight: dict[str, float], support: int) -> list[str]:
-    """Patterns chosen one by one, each for the documents that none before it explains."""
+def _akin(a: str, b: str) -> bool:
+    """Whether one of two patterns begins the other, so that both name the same words."""
+    a, b = a.rstrip("*"), b.rstrip("*")
+    return a.startswith(b) or b.startswith(a)
+
+
+def _cover(shown: list[set[str]], weight: dict[str, float], support: int, common: int) -> list[str]:
+    """Patterns chosen one by one, each for the documents that none before it explains,
+    then those shown by at least ``common`` documents whose words none names yet.
+
+    What counts is documents times weight, so a purer pattern beats a wider one; among
+    equals the whole word, then the longer beginning, then the one that sorts first."""
+    def best(count: Counter[str]) -> str:
+        return min(count, key=lambda p: (-count[p] * weight[p], p[-1] == "*", -len(p), p))
+
     left, chosen = [s for s in shown if s], []
     while left:
         count = Counter(p for s in left for p in s)
-        best = min(count, key=lambda p: (-count[p], -weight[p], len(p), p))
-        if count[best] < support:
+        p = best(count)
+        if count[p] < support:
             break
-        chosen.append(best)
-        left = [s for s in left if best not in s]
+        chosen.append(p)
+        left = [s for s in left if p not in s]
+    count = Counter(p for s in shown for p in s)
+    count = Counter({p: n for p, n in count.items() if n >= common and not any(_akin(p, c) for c in chosen)})
+    while count:
+        chosen.append(best(count))
+        count = Counter({p: n for p, n in count.items() if not _akin(p, chosen[-1])})
     return chosen
 
 
@@ -205,18 +225,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([sorted(patterns_of(t) & weight.keys()) for t in batch.column(0).to_pylist()],
+                [pa.array([sorted(patterns_of(t) & weight.keys()) for t in values(batch.column(0))],
                           pa.list_(pa.string()))], names=["shown"])
 
     toxic = taken.where("label = 1").select("text").mapInArrow(shown, "shown array<string>").collect()
-    chosen = _cover([set(r["shown"]) for r in toxic], weight, max(2, support // 2))
+    chosen = _cover([set(r["shown"]) for r in toxic], weight, max(2, support // 2), max(support, n[1] // COMMON))
     grammar = Grammar({p: weight[p] for p in chosen if p[-1] != "*"},
                       {p[:-1]: weight[p] for p in chosen if p[-1] == "*"})
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(grammar)
         for batch in batches:
-            x = np.array([scorer.features(t) for t in batch.column(0).to_pylist()]).reshape(-1, 2 * OUTCOMES)
+            x = np.array([scorer.features(t) for t in values(batch.column(0))]).reshape(-1, 2 * OUTCOMES)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(x.tolist(), pa.list_(pa.float64()))],
                                              names=["label", "x"])
 
@@ -247,7 +267,7 @@ def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(grammar)
         for batch in batches:
-            s = np.array([scorer.score(t) for t in batch.column(1).to_pylist()], np.float64)
+            s = np.array([scorer.score(t) for t in values(batch.column(1))], np.float64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                                              names=["doc_id", "score", "predicted"])
 

@@ -32,8 +32,10 @@ def test_outcomes():
 
 
 def test_cover_takes_what_explains_most():
-    shown = [{"a", "w1"}] * 6 + [{"b", "w2"}] * 4 + [{"a", "b", "w3"}] * 3 + [{"w4"}]
-    assert T._cover(shown, dict.fromkeys(["a", "b", "w1", "w2", "w3", "w4"], 1.0), 2) == ["a", "b"]
+    shown = [{"a", "w1"}] * 6 + [{"b", "w2"}] * 4 + [{"b"}] + [{"a", "b", "w3"}] * 3 + [{"w4"}] + [{"loser", "lose*"}] * 9
+    weight = dict.fromkeys(["a", "b", "w1", "w2", "w3", "w4"], 1.0) | {"loser": 8.0, "lose*": 4.0}
+    assert T._cover(shown, weight, 2, 99) == ["loser", "a", "b"]
+    assert T._cover(shown, weight, 2, 4) == ["loser", "a", "b", "w1", "w2"]
 
 
 def test_learns_and_generalises(spark):
@@ -72,4 +74,4 @@ def test_held_out_accuracy(spark):
     grammar = T.learn(docs, labels.where(~held), sample=2000)
     got = T.score(docs.where(held), grammar).join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()
     n = {(r.toxic, r.predicted): r["count"] for r in got}
-    assert n.get((0, 1), 0) <= 0.01 * n[0, 0] and n.get((1, 0), 0) <= 0.25 * n[1, 1]
+    assert n.get((0, 1), 0) <= 0.01 * n[0, 0] and n.get((1, 0), 0) <= 0.15 * n[1, 1]
