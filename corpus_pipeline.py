@@ -7,30 +7,45 @@ stage's result to the shared folder and reads it back for the next one."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import quality
-from sluice.llm.common import release, shared_dir, table
+from sluice.llm.common import shared_dir, stage_tables, table
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.simhash import simhash_dedup
 from sluice.llm.substring_dedup import substring_dedup
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(function: Stage) -> Stage:
+    """A stage that first drops what the stage before it had written for itself."""
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with stage_tables(spark):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
 _GAP = r"[\x20\x09-\x0D]+"
 
 
+@_stage
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps, as they are."""
-    release(spark)
     return quality.good_rows(docs, quality.fit(docs))
 
 
+@_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id; rows that repeat it: once."""
-    release(spark)
     kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"))
     text = F.regexp_replace(F.coalesce("text", F.lit("")), _GAP, " ")
     rows = docs.withColumn("__sha", F.sha2(text, 256))
@@ -38,20 +53,20 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
 
 
+@_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (4-word shingles, 4 bits) the document with the smallest id."""
-    release(spark)
     kept = simhash_dedup(docs, shingle=4, max_distance=4).where("kept").select(
         F.col("doc_id").alias("__id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
 
+@_stage
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the words that a smaller one has in a run of 50.
 
     A text that loses words becomes its kept words joined by one space, and n_chars
     its new length; the other texts stay as they are."""
-    release(spark)
     cut = substring_dedup(docs, window=50, with_text=True).where("n_removed > 0").select(
         F.col("doc_id").alias("__id"), F.col("words_sha256").alias("__of"), "kept_text").distinct()
     words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), _GAP, " "))
@@ -62,9 +77,9 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return both.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2048 tokens."""
-    release(spark)
     return best_fit_packing(docs, capacity=2048)
 
 

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,8 @@ WHITESPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Bytes of text that a per-document loop holds in Python objects at once.
 BLOCK = 1 << 20
 
-_written: list[str] = []
+_stage_before: list[str] = []
+_stage_now: list[str] | None = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="sluice-llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -55,15 +57,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sluice-llm/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    _written.append(path)
+    if _stage_now is not None:
+        _stage_now.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables written so far; only when no frame that reads them is in use."""
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[None]:
+    """Within one stage of a pipeline: drop the tables that the stage before it wrote.
+
+    Its result has been written and read back by then, so nothing reads them any more.
+    Tables written outside such a block are left alone."""
+    global _stage_now
+    while _stage_before:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stage_before.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path.getParent(), True)
+    _stage_now = _stage_before
+    try:
+        yield
+    finally:
+        _stage_now = None
 
 
 #: A group is hot if it holds more than 1/1000 of all rows, so at most 1000 are.
