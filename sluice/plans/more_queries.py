@@ -537,7 +537,7 @@ def _write_canonical_q(spark, sf_dir):
         ing = ingest_rows(raw_for(spark, sf_dir, PRODUCT_CATALOG_V1), PRODUCT_CATALOG_V1, run)
         write_canonical(ing.records, path)
         ing.release()
-    return read_canonical(spark, path).select("source_identifier", "row_number", "sku", "product_name",
+    return read_canonical(spark, path, ing.records.schema).select("source_identifier", "row_number", "sku", "product_name",
                                               dec_text("list_price").alias("list_price"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def write_canonical(records: DataFrame, path: str) -> None:
@@ -14,5 +15,6 @@ def write_canonical(records: DataFrame, path: str) -> None:
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
-def read_canonical(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_canonical(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The stored records; with ``schema`` also where no record was ever stored."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
