@@ -10,6 +10,7 @@ partitions and packed again, until one partition holds it or nothing is gained."
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +27,7 @@ CAPACITY = 2048
 #: Pieces that one partition packs, and rounds of exchange at most (each has fewer partitions).
 PART = 20_000
 #: Pieces of text whose ids are remembered, twice.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 400_000
 ROUNDS = 8
 
 
@@ -58,7 +59,7 @@ class _Tokens:
                 known.update((p, older[p]) for p in new if p in older)
                 new = [p for p in new if p not in known]
                 for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                    known[p] = np.array(e.ids, "<u4").tobytes()
+                    known[p] = array("I", e.ids).tobytes()
             out.append(b"".join([known[p] for p in split]))
         return np.frombuffer(b"".join(out), "<u4")
 
