@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import quality
-from sluice.llm.common import shared_dir, stage_tables, table
+from sluice.llm.common import materialize, shared_dir, stage_tables, table
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.simhash import simhash_dedup
@@ -46,11 +46,17 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 @_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id; rows that repeat it: once."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"))
+    kept = exact_dedup(docs).where("kept").select(
+        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"), "n_rows")
+    kept = materialize(kept, "kept")
     text = F.regexp_replace(F.coalesce("text", F.lit("")), _GAP, " ")
+    # the kept rows are narrow, so they are hashed and the texts need no sort
     rows = docs.withColumn("__sha", F.sha2(text, 256))
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__of")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+    rows = rows.join(kept.hint("shuffle_hash"),
+                     F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__of")), "left_semi")
+    if kept.where("n_rows > 1").limit(1).count():
+        rows = rows.dropDuplicates(["doc_id", "__sha"])
+    return rows.drop("__sha")
 
 
 @_stage
@@ -58,7 +64,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (4-word shingles, 4 bits) the document with the smallest id."""
     kept = simhash_dedup(docs, shingle=4, max_distance=4).where("kept").select(
         F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
 
 @_stage

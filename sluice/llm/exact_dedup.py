@@ -113,7 +113,7 @@ def verified_names(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_rows.
 
     Texts are equal when identical after white-space runs become one space.
     Of equal texts the row with the smallest id stays.
@@ -121,7 +121,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     * null text: empty; all empty texts are one group.
     * null id: never the smallest one; kept only if no copy has an id (keep_id null).
     * rows that repeat an id and its text: one document, returned once;
-      group_size counts every row.
+      group_size counts every row of the group, n_rows those of the document.
     * one id with different texts: one row for each text.
     * empty table: no rows; other columns are ignored, whatever their names.
 
@@ -138,4 +138,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                                         F.sum("n_rows").alias("group_size"))
     out = attach(each, groups, "recipe", "group_size", recipes.count(), "doc_id")
     return out.select("doc_id", "keep_id", "group_size",
-                      F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+                      F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "n_rows")
