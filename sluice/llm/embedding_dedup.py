@@ -2,9 +2,11 @@
 
 Each pass draws random hyperplanes, concatenates the signs of a vector into one key,
 sorts all vectors by group and key, and compares each with its next WINDOW
-neighbours. Pairs verified by their cosine in double precision are united over the
-passes. Links inside the components found are then counted tile by tile, so the
-window bounds the search and not the counts."""
+neighbours. Where vectors crowd, so that more share the leading signs than a window
+holds, all of that run are compared tile by tile; so a pair whose leading signs agree
+is compared whatever lies around it. Pairs verified by their cosine in double precision
+are united over the passes. Links inside the components found are then counted tile by
+tile, so the window bounds neither the search nor the counts."""
 
 from __future__ import annotations
 
@@ -28,10 +30,15 @@ MISS = 0.01
 PART, TILE = 8192, 2048
 
 
+def leading(n: int, window: int = WINDOW) -> int:
+    """Leading signs after which runs of n evenly spread vectors fit the window."""
+    return min(BITS, max(1, math.floor(math.log2(max(2.0, n / window)))))
+
+
 def passes_for(n: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> int:
     """Passes after which a pair at the threshold is missed with probability ``miss``.
 
-    One pass finds it if the leading log2(n / window) signs agree."""
+    One pass finds it if the leading log2(n / window) signs agree, also in a crowd (crowded_links)."""
     if threshold >= 1:
         return 1
     agree = 1 - math.acos(threshold) / math.pi
@@ -62,27 +69,47 @@ def _matrix(units: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(units.to_pylist()), np.float64).reshape(-1, dim)
 
 
+def _signs(units: list[bytes], number: int, planes: dict[tuple[int, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, keys) of vectors in one pass: a key holds the signs as an ordered long."""
+    dims = np.array([len(u) // 8 for u in units], np.int32)
+    key = np.zeros(len(units), np.int64)
+    for dim in np.unique(dims).tolist():
+        if (number, dim) not in planes:
+            planes[number, dim] = np.random.default_rng([number, dim]).standard_normal((dim, BITS))
+        at = np.flatnonzero(dims == dim)
+        x = np.frombuffer(b"".join([units[i] for i in at.tolist()]), np.float64).reshape(-1, dim)
+        bits = np.packbits(x @ planes[number, dim] > 0, axis=1, bitorder="big")
+        key[at] = (bits.view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+    return dims, key
+
+
 def _keys(number: int):
-    """(row, label, dim, key, unit): the key holds the signs as an ordered long."""
+    """(row, label, dim, key, unit)"""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            units = batch.column(2).to_pylist()
-            dims = np.array([len(u) // 8 for u in units], np.int32)
-            key = np.zeros(len(units), np.int64)
-            for dim in np.unique(dims).tolist():
-                if dim not in planes:
-                    planes[dim] = np.random.default_rng([number, dim]).standard_normal((dim, BITS))
-                at = np.flatnonzero(dims == dim)
-                x = np.frombuffer(b"".join([units[i] for i in at.tolist()]), np.float64).reshape(-1, dim)
-                bits = np.packbits(x @ planes[dim] > 0, axis=1, bitorder="big")
-                key[at] = (bits.view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+            dims, key = _signs(batch.column(2).to_pylist(), number, planes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(dims), pa.array(key), batch.column(2)],
                 names=["row", "label", "dim", "key", "unit"])
     return run
 
 
+def _run_keys(passes: int, bits: int):
+    """(row, weight, pass, label, dim, lead) of every pass; lead: the leading signs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            units = batch.column(2).to_pylist()
+            for number in range(passes):
+                dims, key = _signs(units, number, planes)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(3), pa.array(np.full(len(units), number, np.int32)),
+                     batch.column(1), pa.array(dims), pa.array(key >> np.int64(BITS - bits))],
+                    names=["row", "weight", "pass", "label", "dim", "lead"])
+    return run
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
     """Places of the pairs that join two sets not joined before."""
     root: dict[int, int] = {}
@@ -175,7 +202,7 @@ def projection_links(vectors: DataFrame, threshold: float, number: int, window:
     """(a, b): verified links of one pass over (row, label, unit), as spanning forests."""
     keyed = vectors.select("row", "label", "unit").mapInArrow(
         _keys(number), "row long, label long, dim int, key long, unit binary")
-    order = ["label", "dim", "key", "row"]
+    order = ["label", "dim", "key", "unit", "row"]  # equal vectors side by side: each links to the next
     parts = max(1, -(-vectors.count() // part))
     swept = materialize(keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
         _windows(window, threshold), _OUT), "pass")
@@ -183,34 +210,77 @@ def projection_links(vectors: DataFrame, threshold: float, number: int, window:
     return swept.where("side = 0").select("a", "b").unionByName(seams)
 
 
-def _count_links(least: float):
-    """Per pair of tiles (rows sorted by it): (row, n) links between different vectors of it."""
-    def links(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        row, mine = t["row"].to_numpy(), t["mine"].to_numpy()
-        units = t["unit"].to_pylist()
-        x = np.frombuffer(b"".join(units), np.float64).reshape(len(units), -1)
-        both = int(t["t0"][0].as_py()) != int(t["t1"][0].as_py())
-        n = np.zeros(len(row), np.int64)
-        left = np.flatnonzero(mine == mine.min()) if both else np.arange(len(row))
-        right = np.flatnonzero(mine != mine.min()) if both else left
-        for at in range(0, len(left), 1024):
-            i = left[at:at + 1024]
-            near = x[i] @ x[right].T >= least
-            if both:
-                n[right] += near.sum(axis=0)
-            else:
-                near[np.arange(len(i)), at + np.arange(len(i))] = False
-            n[i] += near.sum(axis=1)
-        return row, n
+def _tree(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) with near[i, j] that join all that is joined by the true places of a matrix."""
+    i_left, j_left = near.any(axis=1), near.any(axis=0)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for first in np.flatnonzero(i_left).tolist():
+        todo = [first] if i_left[first] else []
+        i_left[first] = False
+        while todo:
+            i = todo.pop()
+            found = np.flatnonzero(near[i] & j_left)
+            j_left[found] = False
+            a.append(np.full(len(found), i))
+            b.append(found)
+            for j in found.tolist():
+                more = np.flatnonzero(near[:, j] & i_left)
+                i_left[more] = False
+                a.append(more)
+                b.append(np.full(len(more), j))
+                todo += more.tolist()
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _near_tiles(t: pa.Table, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks (i, j, near) of a pair of tiles: every pair of places once, or of one tile
+    twice (i, j and j, i) without the places themselves."""
+    mine, units = t["mine"].to_numpy(), t["unit"].to_pylist()
+    x = np.frombuffer(b"".join(units), np.float64).reshape(len(units), -1)
+    both = int(t["t0"][0].as_py()) != int(t["t1"][0].as_py())
+    left = np.flatnonzero(mine == mine.min()) if both else np.arange(len(mine))
+    right = np.flatnonzero(mine != mine.min()) if both else left
+    for at in range(0, len(left), 1024):
+        i = left[at:at + 1024]
+        near = x[i] @ x[right].T >= least
+        if not both:
+            near[np.arange(len(i)), at + np.arange(len(i))] = False
+        yield i, right, near
+
+
+def _count_links(t: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, n) links between different vectors of a pair of tiles."""
+    row, n = t["row"].to_numpy(), np.zeros(t.num_rows, np.int64)
+    both = int(t["t0"][0].as_py()) != int(t["t1"][0].as_py())
+    for i, j, near in _near_tiles(t, least):
+        n[i] += near.sum(axis=1)
+        if both:
+            n[j] += near.sum(axis=0)
+    return row, n
+
+
+def _find_links(t: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b) links that join all that the links of a pair of tiles join."""
+    row, a, b = t["row"].to_numpy(), [], []
+    for i, j, near in _near_tiles(t, least):
+        p, q = _tree(near)
+        a.append(row[i[p]])
+        b.append(row[j[q]])
+    a, b = np.concatenate([row[:0], *a]), np.concatenate([row[:0], *b])
+    keep = _forest(a, b)
+    return a[keep], b[keep]
+
 
+def _per_cell(links, least: float, names: list[str]):
+    """Run ``links`` on every pair of tiles (rows sorted by it)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         cell = None
 
         def send() -> Iterator[pa.RecordBatch]:
             if held:
-                row, n = links(pa.concat_tables(held))
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(n)], names=["row", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in links(pa.concat_tables(held), least)],
+                                                 names=names)
                 held.clear()
 
         for batch in batches:
@@ -226,24 +296,51 @@ def _count_links(least: float):
     return run
 
 
-def link_counts(vectors: DataFrame, roots: DataFrame, threshold: float, tile: int = TILE) -> DataFrame:
-    """(row, n_links): every link between members of a component, counted pair of
-    tiles by pair of tiles; no list of pairs is made."""
-    members = roots.withColumnRenamed("node", "row")
-    sizes = members.groupBy("root").agg(F.count("*").alias("size"))
-    members = attach(members, sizes, "root", "size", members.count(), "row").withColumn(
-        "tiles", F.ceil(F.col("size") / tile).cast("int")).withColumn(
+def _cells(members: DataFrame, vectors: DataFrame, tile: int) -> DataFrame:
+    """Members (row, root, size) dealt to the pairs of tiles of their root, sorted by these."""
+    members = members.withColumn("tiles", F.ceil(F.col("size") / tile).cast("int")).withColumn(
         "mine", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
     pairs = members.join(vectors.select("row", "unit"), "row").withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     key = ["root", "t0", "t1"]
     cells = pairs.select("root", F.least("mine", "other").alias("t0"), F.greatest("mine", "other").alias("t1"),
                          "mine", "row", "unit")
-    counts = cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(
-        _count_links(threshold), "row long, n long")
+    return cells.repartition(*key).sortWithinPartitions(*key)
+
+
+def link_counts(vectors: DataFrame, roots: DataFrame, threshold: float, tile: int = TILE) -> DataFrame:
+    """(row, n_links): every link between members of a component, counted pair of
+    tiles by pair of tiles; no list of pairs is made."""
+    members = roots.withColumnRenamed("node", "row")
+    sizes = members.groupBy("root").agg(F.count("*").alias("size"))
+    members = attach(members, sizes, "root", "size", members.count(), "row")
+    counts = _cells(members, vectors, tile).mapInArrow(
+        _per_cell(_count_links, threshold, ["row", "n"]), "row long, n long")
     return counts.groupBy("row").agg(F.sum("n").alias("n_links"))
 
 
+def crowded_links(vectors: DataFrame, threshold: float, passes: int, bits: int, window: int = WINDOW,
+                  tile: int = TILE) -> DataFrame:
+    """(a, b): links of the crowded runs of every pass, as spanning forests of tiles.
+
+    A run holds the vectors of one label and length whose ``bits`` leading signs agree. With
+    more rows than ``window`` reaches it is crowded, and all its different vectors are
+    compared, tile by tile. Equal vectors, which the passes chain, stand in it as one."""
+    folded = materialize(vectors.groupBy("label", "unit").agg(F.min("row").alias("row"), F.count("*").alias("weight")),
+                         "folded")
+    run = ["pass", "label", "dim", "lead"]
+    keyed = folded.select("row", "label", "unit", "weight").mapInArrow(
+        _run_keys(passes, bits), "row long, weight long, pass int, label long, dim int, lead long").select(
+        F.struct(*run).alias("run"), "row", "weight")
+    runs = keyed.groupBy("run").agg(F.count("*").alias("size"), F.sum("weight").alias("rows")).where(
+        (F.col("rows") > window + 1) & (F.col("size") > 1))
+    runs = materialize(runs.select("run", "size", F.monotonically_increasing_id().alias("root")), "crowded")
+    total = folded.count() * passes
+    members = attach(keyed.select("run", "row"), runs, "run", "size", total, "row").where("size is not null")
+    return _cells(members.drop("run"), folded, tile).mapInArrow(
+        _per_cell(_find_links, threshold, ["a", "b"]), "a long, b long")
+
+
 def embedding_dedup(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", threshold: float = 0.98, window: int = WINDOW,
                     passes: int | None = None, part: int = PART, tile: int = TILE) -> DataFrame:
@@ -262,10 +359,10 @@ def embedding_dedup(table: DataFrame, id_col: str = "vec_id", vector_col: str =
         "row", F.monotonically_increasing_id())
     rows = materialize(rows, "vectors")
     vectors = rows.where("unit is not null")
-    found = [projection_links(vectors, threshold, k, window, part)
-             for k in range(passes or passes_for(vectors.count(), threshold, window))]
-    links = found[0]
-    for more in found[1:]:
+    n = vectors.count()
+    passes = passes or passes_for(n, threshold, window)
+    links = crowded_links(vectors, threshold, passes, leading(n, window), window, tile)
+    for more in [projection_links(vectors, threshold, k, window, part) for k in range(passes)]:
         links = links.unionByName(more)
     roots = materialize(components(links), "roots")
     counts = link_counts(vectors, roots, threshold, tile)

@@ -70,3 +70,30 @@ def test_recall_with_the_default_passes(spark):
     table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
     found = sum(r.n_links for r in E.embedding_dedup(table).collect())
     assert 0.95 * 1000 <= found <= 1000
+
+
+def test_hot_cluster_with_the_default_passes(spark):
+    """A crowd at cosine 0.9 to 0.985 that holds near pairs, and many equal vectors, against all pairs."""
+    rng = np.random.default_rng(11)
+    centre = rng.standard_normal(64)
+    centre /= np.linalg.norm(centre)
+
+    def beside(v, cosine):
+        other = rng.standard_normal(64)
+        other -= (other @ v) / (v @ v) * v
+        return cosine * v / np.linalg.norm(v) + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other)
+
+    x = [beside(centre, rng.uniform(0.9, 0.985) ** 0.5) for _ in range(4000)]
+    x += [beside(v, 0.981) for v in x[:1000]] + [x[0]] * 60 + [*rng.standard_normal((1000, 64))]
+    order = rng.permutation(len(x))
+    table = spark.createDataFrame([(i, 0, x[k].tolist()) for i, k in enumerate(order)],
+                                  "vec_id long, label int, embedding array<double>")
+    units = np.array([x[k] / np.linalg.norm(x[k]) for k in order])
+    near = units @ units.T >= 0.98
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r for r in E.embedding_dedup(table).collect()}
+    assert len(got) == len(x)
+    n = near.sum(axis=1)
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= n).all() and found.sum() >= 0.98 * n.sum()
+    assert (found == n).mean() >= 0.97
