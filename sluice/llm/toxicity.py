@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -43,11 +43,10 @@ THREAT = frozenset("kill hurt murder destroy beat stab shoot töten umbringen sc
                    "tuer frapper détruire matar golpear destruir".split())
 
 _word = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-_end = re.compile(r"[.!?;:\n]")
+ENDS = ".!?;:\n"
+_end = re.compile(f"[{ENDS}]")
 #: Words before an insult within which a negation or a report reaches it.
 REACH = 4
-#: A clause longer than this many characters on one side is looked at no further there.
-SIDE = 400
 
 
 @dataclass
@@ -69,7 +68,7 @@ class Grammar:
 OUTCOMES = 5
 
 
-def transduce(words: list[str], grammar: Grammar) -> list[float]:
+def transduce(words: Iterable[str], grammar: Grammar) -> list[float]:
     """One clause through the composed transducers: the weight of each outcome.
 
     States: words since a negation and since a report (up to REACH), and the
@@ -109,8 +108,8 @@ class Scorer:
             self.finder.add_word(w, len(w))
         self.finder.make_automaton()
 
-    def clauses(self, text: str) -> Iterator[list[str]]:
-        """The words of every clause of the text in which a pattern begins a word."""
+    def clauses(self, text: str) -> Iterator[Iterator[str]]:
+        """The words, one by one, of every whole clause of the text in which a pattern begins a word."""
         text, done = text.lower(), 0
         if len(self.finder) == 0:
             return
@@ -118,14 +117,12 @@ class Scorer:
             first = last - size + 1
             if first < done or first and text[first - 1].isalpha():
                 continue
-            lo = max(done, first - SIDE)
-            for m in _end.finditer(text, lo, first):
-                lo = m.end()
-            stop = _end.search(text, last + 1, last + SIDE)
-            done = stop.start() if stop else min(len(text), last + SIDE)
-            while not stop and done < len(text) and text[done].isalpha():
-                done += 1
-            yield _word.findall(text, lo, done)
+            lo = done
+            for end in ENDS:
+                lo = max(lo, text.rfind(end, lo, first) + 1)
+            stop = _end.search(text, last + 1)
+            done = stop.start() if stop else len(text)
+            yield (m.group() for m in _word.finditer(text, lo, done))
 
     def features(self, text: str | None) -> np.ndarray:
         """Per outcome: log of the weight over all clauses, and whether there is any."""

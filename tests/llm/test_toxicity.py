@@ -31,6 +31,18 @@ def test_outcomes():
     assert _run("") == _run("plain words") == [0] * 5
 
 
+def test_long_clauses_are_read_whole():
+    filler = "lantern " * 70  # 560 characters without the end of a clause
+    assert _run("you " + filler + "kill") == [0, 0, 0, 0, 1]
+    assert _run("kill " + filler + "you") == [0, 0, 0, 0, 1]
+    assert _run("you. " + filler + "kill") == [0, 0, 0, 0, 0]  # the target is in another clause
+    assert _run("you " + filler + "idiot " + filler + "scum") == [0, 3, 0, 0, 0]
+    # wherever the pattern stands, the negation before the second one holds and no word is cut
+    for n in range(380, 420):
+        assert _run("idiot " + ("ab " * n)[:n].rstrip() + " not idiot") == [2, 0, 2, 0, 0]
+        assert _run("xidiot" + " " * (n - 5) + "scum") == [1, 0, 0, 0, 0]
+
+
 def test_cover_takes_what_explains_most():
     shown = [{"a", "w1"}] * 6 + [{"b", "w2"}] * 4 + [{"b"}] + [{"a", "b", "w3"}] * 3 + [{"w4"}] + [{"loser", "lose*"}] * 9
     weight = dict.fromkeys(["a", "b", "w1", "w2", "w3", "w4"], 1.0) | {"loser": 8.0, "lose*": 4.0}
