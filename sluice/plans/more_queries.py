@@ -121,10 +121,12 @@ def _order_q(spark, sf_dir):
    CASE WHEN path IS NULL THEN 'source_selection' ELSE 'SELECTED' END AS selection
  FROM req LEFT JOIN listing ON path = requested_path""")
 def _select_q(spark, sf_dir):
-    """A request per supplier, every sixth twice, against the files that have retail lines."""
+    """A request per supplier, every sixth twice, against the files that have retail lines.
+    Files of some suppliers lie under a name that nobody asks for."""
     label = lambda c: F.concat(F.lit("retail_sales/v1/store-"), F.col(c).cast("string"), F.lit(".csv"))
-    listing = read_table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' AND l_suppkey % 4 <> 1").select(
-        label("l_suppkey").alias("source_identifier")).distinct()
+    listing = read_table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").withColumn(
+        "k", F.when(F.col("l_suppkey") % 4 == 1, -F.col("l_suppkey")).otherwise(F.col("l_suppkey"))).select(
+        label("k").alias("source_identifier")).distinct()
     s = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("request_id"),
                                                      label("s_suppkey").alias("requested_path"))
     return select_sources(s.unionByName(s.where("request_id % 6 = 0")), listing)
@@ -252,10 +254,12 @@ def _unique_headers_q(spark, sf_dir):
 @register("check_has_rows", """SELECT p_partkey AS part, count(l_partkey) AS data_row_count
  FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND l_returnflag = 'R' AND l_partkey % 3 <> 0 GROUP BY p_partkey""")
 def _has_rows_q(spark, sf_dir):
-    """Data rows per notional file (one per part), zero included."""
+    """Data rows per notional file (one per part), zero included; the rows of every third
+    part name a file that isn't there."""
     files = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("source_id"))
-    rows = read_table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' AND l_partkey % 3 <> 0").select(
-        F.col("l_partkey").alias("source_id"))
+    k = F.col("l_partkey")
+    rows = read_table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(
+        F.when(k % 3 == 0, -1 - k).otherwise(k).alias("source_id"))
     return check_has_rows(files, rows).select(F.col("source_id").alias("part"), "data_row_count")
 
 
