@@ -1,11 +1,10 @@
-"""Substring dedup by seed and extend.
+"""Substring dedup by shared seeds and digests of the windows around them.
 
 Seeds are winnowed word k-grams: every window of WINDOW words holds at least one,
 chosen by the window's words alone, so equal windows hold equal seeds. Documents
-are joined on seeds that more than one of them has. From each shared seed the
-match is extended both ways: the windows around it are keyed by a 128-bit digest
-of their words, and a window that a smaller document also has marks its words. Marked
-windows that touch are one maximal repeat. Words outside shared seeds' reach never
+are joined on seeds that more than one of them has. No match is grown from a pair of
+seeds: all windows that hold a shared seed are keyed by a 128-bit digest of their
+words, and a window that a smaller document also has marks its words. Words outside shared seeds' reach never
 leave their document."""
 
 from __future__ import annotations
