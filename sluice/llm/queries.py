@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import language_id, quality, toxicity
+from sluice.llm.alignment import cross_alignment
 from sluice.llm.bpe import bpe_decode, bpe_encode, digests
 from sluice.llm.common import table
 from sluice.llm.embedding_dedup import embedding_dedup
 from sluice.llm.exact_dedup import exact_dedup
+from sluice.llm.online_packing import online_packing
 from sluice.llm.packing import best_fit_packing
+from sluice.llm.ranked_search import ranked_search
 from sluice.llm.simhash import simhash_dedup
 from sluice.llm.substring_dedup import substring_dedup
 from sluice.llm.warc import warc_round_trip
@@ -110,3 +113,36 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"), least=0).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op11_cross_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_alignment(table(spark, sf_dir, "documents"))
+
+
+@_query("op12_online_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_packing(table(spark, sf_dir, "documents"), capacity=1024)
+
+
+@_query("op13_ranked_search")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+ORACLES["op13_ranked_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+x AS (SELECT doc, doc_id, len(w) AS n, unnest(w) AS term FROM d),
+f AS (SELECT doc, doc_id, n, term, count(*) AS tf FROM x SEMI JOIN q USING (term) GROUP BY ALL),
+t AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM f, c GROUP BY term),
+s AS (SELECT item_id, doc, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM f JOIN t USING (term) JOIN q USING (term), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
