@@ -215,10 +215,10 @@ def replay_equivalence(first: DataFrame, second: DataFrame, ignore=("run_id",))
 def ingest_files(spark, root: str, contract: Contract, registry=None,
                  run_id: str | None = None, files: DataFrame | None = None) -> Ingested:
     """P16 over governed CSV files under ``root``: listing -> hash/identity ->
-    parse (one task unit per file) -> structural and header checks ->
+    parse (block by block) -> structural and header checks ->
     validation ... -> quality, for every file of ``contract``.
 
-    Large files are parsed in several tasks when the listing has no content."""
+    ``files``: a listing to use instead, also one with a content column."""
     from sluice.operators.contracts import ContractRegistry
     from sluice.operators.validate import file_status, project_by_name
     from sluice.sources.csv import read_governed_csv

@@ -1,34 +1,38 @@
-"""Governed CSV parsing (S8, S9, E6) that splits large files.
+"""Governed CSV parsing (S8, S9, E6): every file in blocks, each in a task of its own.
 
-Files are read as lines by Spark's text source, which cuts a large file into blocks
-that are parsed in tasks of their own. Whether a block starts inside a quoted field
-depends on the blocks before it: a first pass maps each block to its effect on
-that state, the effects are composed per file, and the second pass parses
-every block from its true state. A record that crosses blocks is put together from
-its fragments. Headers, widths and the first failure of each file are
-relational steps over the records."""
+Whether a block starts inside a quoted field depends on the blocks before it. A first pass
+reads each block from both starts and gives its effect on that state. Effects compose:
+the state at a block is that after the last block which ends alike from both starts, turned once by
+each block since then that turns it, so two running aggregates over the blocks' rows
+give the state and the number of lines before every block. The second pass reads each block
+from its true state; a record belongs to the block in which it begins, which reads on to
+its end. Headers, widths and the first failure of each file are relational steps over the
+records. Neither pass holds more than a record and a batch of rows."""
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from sluice.operators.skew import spread_join
 from sluice.session import ensure_checkpoint_dir
+from sluice.sources.files import open_bytes
 
 PARSED_SCHEMA = (
     "kind string, row_number long, headers array<string>, vals array<string>, "
     "failure_category string, expected_field_count int, actual_field_count int, "
     "data_row_count long"
 )
-#: Blocks that start inside a quoted field are listed for every task up to this number;
-#: beyond it the lines are shuffled to their block's state instead.
-LISTED_BLOCKS = 100_000
+#: Bytes of a file that one task parses, and events of one batch.
+BLOCK_BYTES = 32 << 20
+BATCH = 8192
 
 # The failure categories of a document's structure.
 INVALID_UTF8 = "invalid_utf8"
@@ -111,173 +115,187 @@ class RecordReader:
             yield self.start, fields, early
 
 
-_EVENT = ("path string, block long, line int, place int, kind string, fields array<string>, text string, "
-          "n_lines int")
+def block_lines(file: BinaryIO, start: int, end: int) -> Iterator[tuple[bytes, bool]]:
+    """The lines that begin in a block, then those after it (marked True), without line feeds.
 
+    A file's first line comes without its byte order mark."""
+    at = max(0, start - 1)
+    file.seek(at)
+    if start:
+        at += len(file.readline())
+    first = not start
+    for line in file:
+        here, at = at, at + len(line)
+        if first:
+            line, first = line.removeprefix(codecs.BOM_UTF8), False
+        yield line.removesuffix(b"\n"), here >= end
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[tuple[str, bool]]]]:
-    """The lines of each block, which a task reads one after the other."""
-    def lines() -> Iterator[tuple[str, int, str, bool]]:
+
+def _step(line: bytes, inside: bool | None) -> tuple[bool | None, bool]:
+    """The state after a line (None: broken), and whether a record ended in it."""
+    if inside is None:
+        return None, True
+    reader = RecordReader(inside)
+    ended = sum(1 for _ in reader.feed(line.decode("latin-1")))
+    return None if reader.broken else reader.inside, bool(ended or reader.broken)
+
+
+def block_effect(file: BinaryIO, start: int, end: int) -> tuple[bool | None, bool | None, bool, int]:
+    """States at a block's end from outside and from inside a quoted field (None: broken), whether
+    a record open at its start ends in it, and the number of its physical lines."""
+    outside, inside, ends, n_lines = False, True, False, 0
+    for line, after in block_lines(file, start, end):
+        if after:
+            break
+        n_lines += 1 + line.count(b"\r", 0, max(0, len(line) - 1))
+        if b'"' in line:  # no other line changes either state
+            outside, _ = _step(line, outside)
+            inside, ended = _step(line, inside)
+            ends = ends or ended
+    return outside, inside, ends, n_lines
+
+
+_EFFECT = ("path string, block long, outside boolean, inside boolean, ends boolean, n_lines long, "
+           "failure string")
+
+
+def _effects(block_bytes: int):
+    kind = pa.schema([("path", pa.string()), ("block", pa.int64()), ("outside", pa.bool_()), ("inside", pa.bool_()),
+                      ("ends", pa.bool_()), ("n_lines", pa.int64()), ("failure", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
-
-    stream = lines()
-    row = next(stream, None)
-    while row is not None:
-        path, block = row[:2]
-
-        def own() -> Iterator[tuple[str, bool]]:
-            nonlocal row
-            while row is not None and row[:2] == (path, block):
-                yield row[2], row[3]
-                row = next(stream, None)
-
-        mine = own()
-        yield path, block, mine
-        for _ in mine:
-            pass
-
-
-def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block: the state it ends in from either start (null: broken)."""
-    for path, block, lines in _blocks(batches):
-        both = (RecordReader(False), RecordReader(True))
-        for text, _ in lines:
-            for reader in both:
-                for _ in reader.feed(text):
-                    pass
-                reader.value = []
-        yield pa.RecordBatch.from_pylist([{
-            "path": path, "block": block, "from_outside": None if both[0].broken else both[0].inside,
-            "from_inside": None if both[1].broken else both[1].inside}],
-            schema=pa.schema([("path", pa.string()), ("block", pa.int64()), ("from_outside", pa.bool_()), ("from_inside", pa.bool_())]))
-
-
-def _records(inside: set[tuple[str, int]]):
-    """Events of each block: `record`, `error`, and the fragments `tail` and `open`."""
-    kind = pa.schema([("path", pa.string()), ("block", pa.int64()), ("line", pa.int32()), ("place", pa.int32()),
-                      ("kind", pa.string()), ("fields", pa.list_(pa.string())), ("text", pa.string()),
-                      ("n_lines", pa.int32())])
+            for path, block in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                try:
+                    with open_bytes(path) as file:
+                        found = (*block_effect(file, block, block + block_bytes), None)
+                except OSError:
+                    found = False, True, False, 0, SOURCE_ACCESS
+                yield pa.RecordBatch.from_pylist([dict(zip(kind.names, (path, block, *found), strict=True))], kind)
+
+    return run
+
+
+def start_states(effects: DataFrame) -> DataFrame:
+    """path, block, failure, starts_inside, closes (a later block ends the record open at this one's
+    end) and before (physical lines before the block), from every block's effect.
+
+    A block that breaks from one start counts as ending alike from both: if it breaks from
+    its true start, what follows no longer matters."""
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("path").orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    same = F.col("outside").isNull() | F.col("inside").isNull() | (F.col("outside") == F.col("inside"))
+    to = F.coalesce("outside", "inside", F.lit(False))
+    effects = effects.withColumn("turns", (~same & F.col("outside")).cast("long"))
+    effects = effects.withColumn("turned", F.coalesce(F.sum("turns").over(before), F.lit(0)))
+    known = F.last(F.when(same, F.struct(to.alias("state"), F.col("turned").alias("turned"))), ignorenulls=True).over(before)
+    turns = (F.col("turned") - F.coalesce(known["turned"], F.lit(0))) % 2 == 1
+    return effects.select(
+        "path", "block", "failure", (F.coalesce(known["state"], F.lit(False)) != turns).alias("starts_inside"),
+        F.coalesce(F.max("ends").over(after), F.lit(False)).alias("closes"),
+        F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("before"))
+
+
+#: What a block's lines give: `record` or `error`, in the order of (block, line, place).
+_EVENT = ("path string, block long, line long, place int, kind string, fields array<string>, failure string, "
+          "row_number long")
+_EVENTS = pa.schema([("path", pa.string()), ("block", pa.int64()), ("line", pa.int64()), ("place", pa.int32()),
+                     ("kind", pa.string()), ("fields", pa.list_(pa.string())), ("failure", pa.string()),
+                     ("row_number", pa.int64())])
+
+
+def block_records(lines: Iterator[tuple[bytes, bool]], inside: bool = False,
+                  closes: bool = False) -> Iterator[tuple[int, list[str] | None, str | None]]:
+    """(line, fields, failure) of the records that begin in a block, up to its first failure."""
+    reader, begun = RecordReader(inside), not inside
+    for line, after in lines:
+        if after and not reader.inside or after and not closes:
+            break
+        if after and not begun:  # the record open at the start goes on beyond the block
+            return
+        try:
+            text = line.decode()
+        except UnicodeDecodeError:
+            yield reader.line, None, INVALID_UTF8
+            return
+        if not reader.inside and '"' not in text and "\r" not in text[:-1]:
+            text = text.removesuffix("\r")
+            if text:
+                yield reader.line, text.split(","), None
+            reader.line += 1
+            continue
+        before = reader.line
+        for at, fields, early in reader.feed(text):
+            begun = True
+            if not early:
+                yield at, fields, None
+            if after:
+                return
+        if reader.broken:
+            yield before, None, MALFORMED
+            return
+    if reader.inside and begun and not closes:
+        yield reader.line, None, MALFORMED
+
 
+def _batches(path: str, block: int, before: int, records: Iterator) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+    for place, (line, fields, failure) in enumerate(records):
+        out.append((path, block, line, place, "record" if failure is None else "error", fields, failure, before + line + 1))
+        if len(out) == BATCH:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _EVENTS, strict=True)], schema=_EVENTS)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _EVENTS, strict=True)], schema=_EVENTS)
+
+
+def _block_events(block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, block, lines in _blocks(batches):
-            reader, out, place = RecordReader((path, block) in inside), [], 0
-            tail: list[str] | None = [] if reader.inside else None   # lines of a record begun earlier
-            open_lines: list[str] = []                               # lines of the record that is open
-
-            def event(name: str, line: int, fields=None, text=None, n=None) -> None:
-                nonlocal place
-                out.append((path, block, line, place, name, fields, text, n))
-                place += 1
-
-            for text, valid in lines:
-                if block == 0 and reader.line == 0:
-                    text = text.removeprefix("\ufeff")
-                if not valid:
-                    event("error", reader.line, text=INVALID_UTF8)
-                    reader.broken = True
-                    break
-                before = reader.line
-                if tail is not None:
-                    tail.append(text)
-                if not reader.inside:
-                    open_lines = []
-                open_lines.append(text)
-                for line, fields, early in reader.feed(text):
-                    if early:
-                        event("tail", 0, text="\n".join([*tail[:-1], text[:reader.ended]]))
-                        tail = None
-                    else:
-                        event("record", line, fields)
-                if reader.inside and not reader.head and open_lines[0] is text:
-                    open_lines[0] = text[reader.begin:]
-                if reader.broken:
-                    event("error", before, text=MALFORMED)
-                    break
-                if len(out) >= 4096:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
-                    out = []
-            if reader.inside and not reader.broken:
-                whole = reader.head
-                event("through" if whole else "open", 0 if whole else reader.start,
-                      text="\n".join(tail if whole else open_lines))
-            event("end", 0, n=reader.line)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
-            for _ in lines:
-                pass
+        for batch in batches:
+            for path, block, failure, inside, closes, before in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if failure is None:
+                    try:
+                        with open_bytes(path) as file:
+                            yield from _batches(path, block, before, block_records(
+                                block_lines(file, block, block + block_bytes), inside, closes))
+                        continue
+                    except OSError:
+                        failure = SOURCE_ACCESS
+                yield from _batches(path, block, before, iter([(0, None, failure)]))
 
     return run
 
 
-def _start_states(lines: DataFrame) -> DataFrame:
-    """(path, block, inside): the state in which each block of a file starts."""
-    effects = lines.mapInArrow(_effects, "path string, block long, from_outside boolean, from_inside boolean")
-    each = effects.groupBy("path").agg(F.sort_array(F.collect_list(
-        F.struct("block", "from_outside", "from_inside"))).alias("blocks"))
-    # one element per block of a file, so the lists are as short as the list of its splits
-    step = lambda acc, b: F.concat(acc, F.array(F.struct(
-        b["block"].alias("block"), F.element_at(acc, -1)["ends"].alias("inside"),
-        F.when(F.element_at(acc, -1)["ends"], b["from_inside"]).otherwise(b["from_outside"]).alias("ends"))))
-    first = F.array(F.struct(F.lit(-1).cast("long").alias("block"), F.lit(False).alias("inside"),
-                             F.lit(False).alias("ends")))
-    states = each.select("path", F.explode(F.aggregate("blocks", first, step)).alias("s"))
-    return states.select("path", "s.block", "s.inside").where("block >= 0")
-
-
-def parse_lines(lines: DataFrame, split: bool) -> DataFrame:
-    """Records and failures of the documents in ``lines`` (path, block, line, valid).
-
-    The lines of one block must come in order and in one task, as a scan gives them.
-    ``split``: whether a document may have more than one block. Returns one `file` row per
-    document (status) and, if its structure is sound, one `row` row per data record."""
-    inside: set[tuple[str, int]] = set()
-    if split:
-        starts = _start_states(lines).where("inside").select("path", "block").limit(LISTED_BLOCKS + 1).collect()
-        if len(starts) > LISTED_BLOCKS:
-            raise ValueError(f"more than {LISTED_BLOCKS} blocks start inside a quoted field")
-        inside = {(r["path"], r["block"]) for r in starts}
-    ensure_checkpoint_dir(lines.sparkSession)
-    events = lines.mapInArrow(_records(inside), _EVENT).checkpoint()  # read by every step below
-
-    # physical line at which each block starts
-    ends = events.where("kind = 'end'").select("path", "block", "place", "n_lines")
-    order = Window.partitionBy("path").orderBy("block", "place")
-    offsets = ends.select("path", "block", (F.sum("n_lines").over(order) - F.col("n_lines")).alias("before"))
-
-    whole = events.where("kind in ('record', 'error')")
-    if inside:
-        # fragments of records that cross blocks: each joins the last record opened before it
-        parts = events.where("kind in ('open', 'through', 'tail')").withColumn(
-            "first", F.last(F.when(F.col("kind") == "open", F.struct("block", "line", "place")), True).over(order))
-        crossing = parts.where("first is not null").groupBy("path", "first").agg(
-            F.sort_array(F.collect_list(F.struct("block", "kind", "text"))).alias("parts"))
-
-        def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                fields = []
-                for text in batch.column(4).to_pylist():
-                    reader = RecordReader()
-                    found = [f for t in text.split("\n") for _, f, _ in reader.feed(t)]
-                    fields.append(found[0] if found and not reader.inside else None)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fields, pa.list_(pa.string()))],
-                                                 names=["path", "block", "line", "place", "fields"])
-
-        joined = crossing.select("path", "first.block", "first.line", "first.place",
-                                 F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
-        joined = joined.mapInArrow(put_together, "path string, block long, line int, place int, fields array<string>")
-        whole = whole.unionByName(joined.select(
-            "path", "block", "line", "place", F.when(F.col("fields").isNull(), "error").otherwise("record").alias("kind"),
-            "fields", F.when(F.col("fields").isNull(), MALFORMED).alias("text")), allowMissingColumns=True)
-    else:
-        whole = whole.unionByName(events.where("kind = 'open'").withColumn("kind", F.lit("error")).withColumn(
-            "text", F.lit(MALFORMED)))
+def file_events(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The events of the files listed in ``files`` (path, length), block by block."""
+    parts = files.agg(F.sum(F.ceil(F.greatest("length", F.lit(1)) / F.lit(block_bytes)))).first()[0] or 1
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0).cast("long")),
+                        F.lit(block_bytes).cast("long"))
+    # rows of a path and a number, dealt out evenly; a task per block up to a number that Spark schedules well
+    blocks = files.select("path", F.explode(starts).alias("block")).repartition(min(int(parts), 100_000))
+    effects = blocks.mapInArrow(_effects(block_bytes), _EFFECT).checkpoint()
+    states = start_states(effects).repartition(min(int(parts), 100_000))
+    return states.mapInArrow(_block_events(block_bytes), _EVENT)
+
+
+def _content_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The events of documents held as bytes; one block each."""
+    import io
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            data = content.as_buffer() if content.is_valid else b""
+            with io.BytesIO(data or b"") as file:
+                yield from _batches(path, 0, 0, block_records(block_lines(file, 0, 1 << 62)))
+
+
+def parse_events(events: DataFrame) -> DataFrame:
+    """Records and failures of documents from their events.
 
-    at = F.struct("block", "line", "place")
-    whole = spread_join(whole, offsets, ["path", "block"], "inner", by=("line", "place")).select(
-        "path", at.alias("at"), (F.col("before") + F.col("line") + 1).cast("long").alias("row_number"),
-        "kind", "fields", F.col("text").alias("failure"))
+    One `file` row per document that has any (status) and, if its structure is sound, one
+    `row` row per data record."""
+    ensure_checkpoint_dir(events.sparkSession)
+    events = events.checkpoint()  # read by every step below
+    whole = events.select("path", F.struct("block", "line", "place").alias("at"), "row_number", "kind", "fields", "failure")
     header = whole.where("kind = 'record'").groupBy("path").agg(
         F.min_by(F.struct("row_number", "fields"), "at").alias("h"), F.min("at").alias("header_at"))
     header = header.select("path", "header_at", F.col("h.fields").alias("headers"),
@@ -299,10 +317,9 @@ def parse_lines(lines: DataFrame, split: bool) -> DataFrame:
             F.when(F.col("bad").isNotNull(), F.col("at"))).alias("f"),
         F.count_if((F.col("kind") == "record") & ~is_header).alias("n"),
         F.any_value("headers").alias("headers"))
-    files = lines_of_files(ends).join(status, "path", "left")
     category = F.when(F.col("f.bad").isNotNull(), F.col("f.bad")).when(F.col("headers").isNull(), F.lit(MISSING_HEADER))
     sound = category.isNull()
-    status = files.select(
+    status = status.select(
         "path", F.lit("file").alias("kind"), F.col("f.row_number").alias("row_number"),
         F.when(sound, F.col("headers")).alias("headers"), F.lit(None).cast("array<string>").alias("vals"),
         category.alias("failure_category"), F.col("f.expected").alias("expected_field_count"),
@@ -317,71 +334,26 @@ def parse_lines(lines: DataFrame, split: bool) -> DataFrame:
     return status.unionByName(records)
 
 
-def lines_of_files(ends: DataFrame) -> DataFrame:
-    """One row per document that has lines."""
-    return ends.select("path").distinct()
-
-
-def _checked(frame: DataFrame) -> DataFrame:
-    return frame.select("path", "block", F.make_valid_utf8("value").alias("line"),
-                        F.is_valid_utf8("value").alias("valid"))
-
-
-def text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The lines of CSV files under ``paths`` (files or directories), block by block."""
-    raw = (spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
-           .text(paths))
-    # the metadata column has the path percent-encoded; plus signs stand for themselves there
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    path = F.regexp_replace(path, "\\A([a-z][a-z0-9+.-]*):///", "$1:/")
-    return _checked(raw.select(path.alias("path"), F.col("_metadata.file_block_start").alias("block"), "value"))
-
-
-def _content_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of documents held as bytes; one block each."""
-    for batch in batches:
-        for path, content in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            lines = (content or b"").split(b"\n")
-            for at in range(0, len(lines), 10_000):
-                some = lines[at:at + 10_000]
-                text = [x.decode("utf-8", "replace") for x in some]
-                # a replacement character in the text itself is no error
-                valid = [t.count("\ufffd") == x.count(b"\xef\xbf\xbd") for t, x in zip(text, some, strict=True)]
-                n = len(some)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * n, pa.string()), pa.array([0] * n, pa.int64()), pa.array(text, pa.string()),
-                     pa.array(valid, pa.bool_())], names=["path", "block", "line", "valid"])
-
-
-def read_governed_csv(files: DataFrame) -> DataFrame:
+def read_governed_csv(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Parse every file of a listing.
 
     With a ``content`` column the bytes of each row are parsed; without it the files are
-    read by ``path``, large ones in several tasks. Returns the listing columns (without
+    read by ``path`` in blocks of ``block_bytes``. Returns the listing columns (without
     content) plus :data:`PARSED_SCHEMA`: `file` rows for per-file status and `row` rows
     for records. A listed file that can't be read any more is a `source_access` failure."""
+    ensure_checkpoint_dir(files.sparkSession)
     keep = [c for c in files.columns if c != "content"]
     if "content" in files.columns:
-        lines = files.select("source_id", "content").mapInArrow(
-            _content_lines, "path string, block long, line string, valid boolean")
-        parsed = parse_lines(lines, split=False).withColumnRenamed("path", "source_id")
         key = "source_id"
+        events = files.select(key, "content").mapInArrow(_content_events, _EVENT)
     else:
-        spark = files.sparkSession
-        limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-        folders = [r[0] for r in files.select(F.regexp_extract("path", "\\A(.*)/[^/]*\\z", 1)).distinct().collect()]
-        if not folders:
-            return files.select(*keep).join(spark.createDataFrame([], PARSED_SCHEMA))
-        large = bool(files.where(F.col("length") > limit).limit(1).count())
-        lines = text_lines(spark, folders)
-        parsed, key = parse_lines(lines, split=large), "path"
+        key = "path"
+        events = file_events(files.select("path", "length"), block_bytes)
+    parsed = parse_events(events).withColumnRenamed("path", key)
     rows = spread_join(parsed.where("kind = 'row'"), files.select(*keep), key, "inner")
-    none = F.lit(None)
+    # a file without events has no header either
     status = files.select(*keep).join(parsed.where("kind = 'file'"), key, "left")
-    # an empty file has no lines, so it has no header either; a longer one without lines is gone
-    empty = F.col("length") == 0 if "length" in keep else F.lit(True)
-    status = status.withColumn("failure_category", F.when(
-        F.col("kind").isNull(), F.when(empty, MISSING_HEADER).otherwise(SOURCE_ACCESS)).otherwise(
+    status = status.withColumn("failure_category", F.when(F.col("kind").isNull(), MISSING_HEADER).otherwise(
         F.col("failure_category"))).withColumn("kind", F.lit("file"))
     out = [*keep, *[c.split()[0] for c in PARSED_SCHEMA.split(", ")]]
     return status.select(*out).unionByName(rows.select(*out))

@@ -6,6 +6,7 @@ import io
 import json
 import os
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from conftest import write
 from sluice.operators.contracts import BUILT_IN_CONTRACTS
 from sluice.plans.ingest import verdicts_for_requests
-from sluice.sources.csv import RecordReader, parse_lines, parse_text_rows, read_governed_csv, text_lines
+from sluice.sources.csv import (
+    RecordReader, block_effect, block_lines, block_records, parse_text_rows, read_governed_csv, start_states)
 from sluice.sources.files import (
-    discover_sources, discovery_failures, list_source_files, select_sources, source_identity)
+    directory_entries, discover_sources, discovery_failures, list_source_files, open_bytes, select_sources, source_identity)
 
 
 def parse(spark, data: bytes):
@@ -105,23 +107,7 @@ def _document(rng, n, broken):
     return data
 
 
-def test_large_files_are_parsed_in_blocks(spark, tmp_root):
-    rng = random.Random(3)
-    documents = {f"f{i} +%41.csv": _document(rng, rng.choice([5, 60, 400]), i % 4 == 3) for i in range(8)}
-    for name, data in documents.items():
-        write(tmp_root, "retail_sales/v1/" + name, data)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        files = list_source_files(spark, tmp_root, with_content=False)
-        lines = text_lines(spark, [tmp_root])
-        assert lines.select("path", "block").distinct().count() > 40
-        out = read_governed_csv(files).collect()
-        assert parse_lines(lines, split=True).where("kind = 'row'").count() == sum(r["kind"] == "row" for r in out)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
-        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+def _compare(out, documents):
     for name, data in documents.items():
         mine = [r for r in out if r["source_identifier"].endswith("/" + name)]
         status = [r for r in mine if r["kind"] == "file"]
@@ -134,9 +120,83 @@ def test_large_files_are_parsed_in_blocks(spark, tmp_root):
             assert status[0]["failure_category"] is None and rows == expect[1:]
 
 
+@pytest.mark.parametrize("block_bytes", [7, 300, 1 << 20])
+def test_files_are_parsed_in_blocks(spark, tmp_root, block_bytes):
+    rng = random.Random(3)
+    sizes = [5, 60, 300] if block_bytes > 7 else [3, 8]
+    documents = {f"f{i} +%41#.csv": _document(rng, rng.choice(sizes), i % 4 == 3) for i in range(8)}
+    documents["unclosed.csv"] = b'id,note\n1,x\n2,"' + b"never closed\n" * 40
+    documents["ends.csv"] = b'\xef\xbb\xbf"id","note"\r\n1,"a\r\nb"\r2,"c\r\rd"\r\n'
+    for name, data in documents.items():
+        write(tmp_root, "retail_sales/v1/" + name, data)
+    files = list_source_files(spark, tmp_root)
+    _compare(read_governed_csv(files, block_bytes).collect(), {
+        n: d.removeprefix(b"\xef\xbb\xbf") for n, d in documents.items()})
+
+
+def test_blocks_compose_to_the_whole_document(spark):
+    """Effects of arbitrary blocks, composed, give the state that reading from the start gives."""
+    rng = random.Random(5)
+    effects, expect, documents = [], {}, {}
+    for number in range(150):
+        data = "".join(rng.choice(['"', '"', ",", "\n", "\n", "\r", "x", 'y"\n']) for _ in range(rng.randrange(1, 60))).encode()
+        size, path = rng.randrange(1, 12), f"d{number}"
+        documents[path] = data, size
+        reader, at = RecordReader(), 0
+        for start in range(0, len(data), size):
+            file = io.BytesIO(data)
+            effects.append((path, start, *block_effect(file, start, start + size), None))
+            while at < start and not reader.broken:  # whole lines that begin before the block
+                end = data.find(b"\n", at) + 1 or len(data)
+                list(reader.feed(data[at:end].removesuffix(b"\n").decode()))
+                at = end
+            expect[path, start] = None if reader.broken else reader.inside
+    got = start_states(spark.createDataFrame(
+        effects, "path string, block long, outside boolean, inside boolean, ends boolean, n_lines long, failure string")).collect()
+    assert len(got) == len(expect)
+    states = {(r["path"], r["block"]): r for r in got}
+    for key, state in expect.items():
+        assert state is None or states[key]["starts_inside"] == state, key
+    for path, (data, size) in documents.items():
+        found = []
+        for start in range(0, len(data), size):
+            s = states[path, start]
+            found += [(s["before"] + line + 1, f, bad) for line, f, bad in block_records(
+                block_lines(io.BytesIO(data), start, start + size), s["starts_inside"], s["closes"])]
+            if found and found[-1][2]:
+                break
+        whole = standard(data)
+        if whole is None:
+            assert found[-1][2] == "malformed_csv"
+        else:
+            assert [x[:2] for x in found] == whole and not any(x[2] for x in found), data
+
+
+@pytest.mark.parametrize("megabytes", [1, 5, 20, 150])
+def test_quoted_line_feeds_at_default_settings(spark, tmp_root, megabytes):
+    path = f"{tmp_root}/retail_sales/v1/large.csv"
+    os.makedirs(os.path.dirname(path))
+    n = rows = total = 0
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        file.write("id,note\n")
+        while n < megabytes << 20:
+            note = f"row {rows}" + ("\nover, \"several\"\nlines é" * (rows % 37) if rows % 3 else "")
+            quoted = '"' + note.replace('"', '""') + '"' if rows % 3 else note
+            n += file.write(f"{rows},{quoted}\n")
+            total += zlib.crc32(f"{rows}|{note}".encode())
+            rows += 1
+    files = list_source_files(spark, tmp_root)
+    assert files.first()["length"] == os.path.getsize(path)
+    out = read_governed_csv(files)
+    status = out.where("kind = 'file'").first()
+    assert (status["failure_category"], status["data_row_count"]) == (None, rows)
+    got = out.where("kind = 'row'").agg(F.count("*").alias("n"), F.sum(F.crc32(F.concat_ws("|", "vals"))).alias("s")).first()
+    assert (got["n"], got["s"]) == (rows, total)
+
+
 def test_a_file_that_went_away(spark, tmp_root):
     write(tmp_root, "retail_sales/v1/a.csv", b"x\n1\n")
-    files = spark.createDataFrame(list_source_files(spark, tmp_root, with_content=False).collect())
+    files = spark.createDataFrame(list_source_files(spark, tmp_root).collect())
     gone = files.withColumn("path", F.concat("path", F.lit(".csv"))).withColumn("source_id", F.lit("gone"))
     got = {r["source_id"]: r["failure_category"] for r in read_governed_csv(files.unionByName(gone)).where(
         "kind = 'file'").collect()}
@@ -182,6 +242,44 @@ def test_directories_that_cannot_be_listed(spark, tmp_root):
         discover_sources(spark, tmp_root)
     gone = discovery_failures(spark, tmp_root + "/nothing").collect()
     assert {r["failure_category"] for r in gone} == {"missing_root"} and len(gone) == 3
+    assert list_source_files(spark, tmp_root + "/nothing").count() == 0
+
+
+def test_links_are_refused(spark, tmp_root):
+    """A link among the eligible files, above a directory, or out of the root fails its contract only."""
+    root = os.path.join(tmp_root, "root")
+    write(root, "product_catalog/v1/_a.csv", b"x\n1\n")
+    write(root, "product_catalog/v1/b.csv", b"x\n1\n")
+    os.symlink("b.csv", os.path.join(root, "product_catalog/v1/not eligible.txt"))
+    os.makedirs(os.path.join(root, "product_catalog/v1/folder.csv"))
+    write(root, "ecommerce_sales/v1/a.csv", b"x\n1\n")
+    os.symlink("a.csv", os.path.join(root, "ecommerce_sales/v1/z.csv"))
+    write(tmp_root, "elsewhere/v1/a.csv", b"x\n1\n")
+    os.symlink(os.path.join(tmp_root, "elsewhere"), os.path.join(root, "retail_sales"))
+    failed = {r["source_identifier"]: r["failure_category"] for r in discovery_failures(spark, root).collect()}
+    assert failed == {"ecommerce_sales/v1": "symbolic_link", "retail_sales/v1": "symbolic_link"}
+    listing = list_source_files(spark, root)
+    assert sorted(r["source_identifier"] for r in listing.collect()) == ["product_catalog/v1/_a.csv", "product_catalog/v1/b.csv"]
+    entries = directory_entries(spark, root)
+    found = {r["name"]: (r["type"], r["is_link"], r["resolved"]) for r in entries.where("name is not null").collect()}
+    assert found["folder.csv"][:2] == ("directory", False) and found["z.csv"][:2] == ("file", True)
+    assert found["z.csv"][2] == os.path.realpath(os.path.join(root, "ecommerce_sales/v1/a.csv"))
+    asked = spark.createDataFrame([("product_catalog/v1/b.csv",), ("ecommerce_sales/v1/z.csv",), ("product_catalog/v1/not eligible.txt",)],
+                                  "requested_path string")
+    got = {r["requested_path"]: r["selection"] for r in select_sources(asked, listing, entries=entries).collect()}
+    assert got == {"product_catalog/v1/b.csv": "SELECTED", "ecommerce_sales/v1/z.csv": "source_selection",
+                   "product_catalog/v1/not eligible.txt": "source_selection"}
+    os.symlink(root, os.path.join(tmp_root, "link"))
+    assert {r["failure_category"] for r in discovery_failures(spark, os.path.join(tmp_root, "link")).collect()} == {"symbolic_link"}
+
+
+def test_hash_reads_the_file_piece_by_piece(spark, tmp_root):
+    data = os.urandom(1 << 20) * 3 + b"end"
+    path = write(tmp_root, "retail_sales/v1/a.csv", data)
+    assert list_source_files(spark, tmp_root).first()["content_sha256"] == hashlib.sha256(data).hexdigest()
+    with open_bytes("file://" + path) as file:
+        file.seek(len(data) - 3)
+        assert file.read() == b"end"
 
 
 @pytest.mark.parametrize("spelling", ["{}", "{}/", "file:{}", "file://{}", "file://{}/"])
@@ -189,14 +287,14 @@ def test_every_spelling_of_the_root_lists_the_same(spark, tmp_root, spelling):
     _directories(tmp_root)
     write(tmp_root, "retail_sales/v1/a b.csv", b"x\n1\n")
     root = spelling.format(tmp_root)
-    rows = list_source_files(spark, root, with_content=False).collect()
+    rows = list_source_files(spark, root).collect()
     assert [r["source_identifier"] for r in rows] == ["retail_sales/v1/a b.csv"]
     assert rows[0]["source_id"] == list_source_files(spark, tmp_root).first()["source_id"]
 
 
 def test_select_sources(spark, tmp_root):
     write(tmp_root, "retail_sales/v1/a.csv", b"x\n1\n")
-    listing = list_source_files(spark, tmp_root, with_content=False)
+    listing = list_source_files(spark, tmp_root)
     req = spark.createDataFrame([("retail_sales/v1/a.csv", 1), ("retail_sales/v1/b.csv", 1),
                                  ("retail_sales/v1/a.csv", 1), (None, 1)], "requested_path string, n int")
     got = sorted((str(r["requested_path"]), r["match_count"], r["selection"])
@@ -224,7 +322,7 @@ def test_verdicts_of_requests(spark, tmp_root):
 def test_content_hash_and_identity(spark, tmp_root):
     data = b"\xef\xbb\xbfsku\r\nA\r\n"
     write(tmp_root, "product_catalog/v1/p.csv", data)
-    row = list_source_files(spark, tmp_root, with_content=False).first()
+    row = list_source_files(spark, tmp_root).first()
     assert row["content_sha256"] == hashlib.sha256(data).hexdigest()
     payload = {"contract_id": "northstar.product_catalog", "contract_version": 1,
                "source_path": "product_catalog/v1/p.csv", "content_sha256": row["content_sha256"]}
