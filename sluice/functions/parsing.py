@@ -4,11 +4,14 @@ than the governed grammar (they trim, accept missing zones, ...)."""
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# The governed grammars (ASCII digits only; see README).
+# The governed grammars, after digits of other scripts became ASCII.
 DECIMAL_GRAMMAR = "\\A[+-]?(?:[0-9]+(?:\\.[0-9]*)?|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?\\z"
 TIMESTAMP_GRAMMAR = (
     "\\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\\.[0-9]+)?"
@@ -18,16 +21,21 @@ TIMESTAMP_GRAMMAR = (
 PLAIN_DECIMAL = "\\A[0-9]{1,18}(?:\\.[0-9]{1,9})?\\z"
 CURRENCY_GRAMMAR = "\\A[A-Z]{3}\\z"
 
-#: Exact storage type of governed decimals: 18 integer and 9 fraction digits.
+#: Exact storage type of governed decimals: 18 integer and 9 fraction digits. A value that
+#: needs more is carried beside it as (unscaled, scale), up to WIDE_DIGITS significant digits.
 DECIMAL_TYPE = DecimalType(27, 9)
-_WIDE_TYPE = DecimalType(38, 20)
-#: Integral quantities are carried as decimal(10,0) so that
-#: decimal(10,0) * decimal(27,9) is exactly decimal(38,9).
+WIDE_DIGITS = 38
+UNSCALED_TYPE = DecimalType(WIDE_DIGITS, 0)
+WIDE_TYPE = "struct<unscaled:decimal(38,0),scale:int>"
+#: Integral quantities up to 10 digits are multiplied as decimal(10,0), so that
+#: decimal(10,0) * decimal(27,9) is exactly decimal(38,9); others as wide values.
 QUANTITY_TYPE = DecimalType(10, 0)
 AMOUNT_TYPE = DecimalType(38, 9)
 
-_MAX_FRACTION_MINUS_EXPONENT = 20
 _MINUTES_PER_DAY = 1440
+#: Decimal digits of all scripts and the ASCII digits they stand for.
+_DIGITS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
+_ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
 
 
 def _col(c: Column | str) -> Column:
@@ -35,20 +43,17 @@ def _col(c: Column | str) -> Column:
 
 
 # --------------------------------------------------------------------- decimals
-def _decimal_fits(s: Column) -> Column:
-    frac = F.regexp_extract(s, "\\.([0-9]*)", 1)
-    frac_len = F.length(F.regexp_replace(frac, "0+\\z", ""))
-    exp_txt = F.regexp_extract(s, "[eE]([+-]?[0-9]+)\\z", 1)
-    exp = F.when(exp_txt == "", F.lit(0)).otherwise(exp_txt.try_cast("int"))
-    narrow = s.try_cast(DECIMAL_TYPE)
-    wide = s.try_cast(_WIDE_TYPE)
-    return (
-        exp.isNotNull()
-        & ((frac_len - exp) <= _MAX_FRACTION_MINUS_EXPONENT)
-        & narrow.isNotNull()
-        & wide.isNotNull()
-        & (narrow == wide)
-    )
+def ascii_digits(c: Column | str) -> Column:
+    """The text with the decimal digits of every script as ASCII digits."""
+    s = _col(c)
+    return F.when(s.rlike("[^\\x00-\\x7F]"), F.translate(s, _DIGITS, _ASCII_DIGITS)).otherwise(s)
+
+
+def _significant(digits: Column) -> tuple[Column, Column]:
+    """Digits without zeros at either end, and the number of zeros cut at the right end."""
+    whole = F.regexp_replace(digits, "\\A0+", "")
+    kept = F.regexp_replace(whole, "0+\\z", "")
+    return kept, F.length(whole) - F.length(kept)
 
 
 def decimal_parts(c: Column | str) -> dict[str, Column]:
@@ -57,43 +62,95 @@ def decimal_parts(c: Column | str) -> dict[str, Column]:
     A plain value needs one pattern and one cast; only the others are taken apart."""
     s = _col(c)
     plain = s.rlike(PLAIN_DECIMAL)
-    frac = F.regexp_extract(s, "\\.([0-9]*)", 1)
-    frac_len = F.length(F.regexp_replace(frac, "0+\\z", ""))
-    exp_txt = F.regexp_extract(s, "[eE]([+-]?[0-9]+)\\z", 1)
+    t = ascii_digits(s)
+    grammar = t.rlike(DECIMAL_GRAMMAR)
+    mantissa = F.regexp_extract(t, "\\A[+-]?([0-9.]*)", 1)
+    digits, zeros = _significant(F.replace(mantissa, F.lit(".")))
+    exp_txt = F.regexp_extract(t, "[eE]([+-]?[0-9]+)\\z", 1)
     exp = F.when(exp_txt == "", F.lit(0)).otherwise(exp_txt.try_cast("int"))
+    scale = F.length(F.regexp_extract(mantissa, "\\.([0-9]*)", 1)) - zeros - exp.cast("long")
+    odd = ~plain & grammar
+    signed = F.concat(F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit("")), digits)
     return {
         "plain": plain,
-        "grammar": F.when(plain, F.lit(True)).otherwise(s.rlike(DECIMAL_GRAMMAR)),
-        "scale_need": F.when(~plain, frac_len - exp),
-        "narrow": s.try_cast(DECIMAL_TYPE),
-        "wide": F.when(~plain, s.try_cast(_WIDE_TYPE)),
+        "grammar": F.when(plain, F.lit(True)).otherwise(grammar),
+        "digits": F.when(odd, F.length(digits)),
+        "unscaled": F.when(odd & (F.length(digits) <= WIDE_DIGITS), F.when(digits == "", F.lit(0).cast(
+            UNSCALED_TYPE)).otherwise(signed.try_cast(UNSCALED_TYPE))),
+        "scale": F.when(odd, F.when(digits == "", F.lit(0)).otherwise(scale.try_cast("int"))),
+        "narrow": F.when(plain, s.try_cast(DECIMAL_TYPE)).otherwise(t.try_cast(DECIMAL_TYPE)),
     }
 
 
+def _narrow_fits(parts: dict[str, Column]) -> Column:
+    return (parts["scale"] <= 9) & (parts["digits"] - parts["scale"] <= 18)
+
+
 def decimal_error_from(parts: dict[str, Column]) -> Column:
-    fits = (parts["scale_need"].isNotNull()
-            & (parts["scale_need"] <= _MAX_FRACTION_MINUS_EXPONENT)
-            & parts["narrow"].isNotNull() & parts["wide"].isNotNull()
-            & (parts["narrow"] == parts["wide"]))
     return (F.when(parts["plain"], F.lit(None).cast("string"))
             .when(~parts["grammar"], F.lit("invalid_decimal"))
-            .when(~fits, F.lit("decimal_out_of_range")))
+            .when(parts["unscaled"].isNull() | parts["scale"].isNull(), F.lit("decimal_out_of_range")))
+
+
+def decimal_values_from(parts: dict[str, Column]) -> tuple[Column, Column]:
+    """A valid decimal as decimal(27,9), or as (unscaled, scale) if that type doesn't hold it."""
+    narrow = F.when(parts["plain"] | _narrow_fits(parts), parts["narrow"])
+    wide = F.when(~parts["plain"] & ~_narrow_fits(parts), F.struct(
+        parts["unscaled"].alias("unscaled"), parts["scale"].alias("scale")))
+    return narrow, wide.cast(WIDE_TYPE)
 
 
 def decimal_error(c: Column | str) -> Column:
-    """``invalid_decimal`` when the text breaks the grammar,
-    ``decimal_out_of_range`` when it cannot be held exactly, else null."""
-    s = _col(c)
-    return (
-        F.when(~s.rlike(DECIMAL_GRAMMAR), F.lit("invalid_decimal"))
-        .when(~_decimal_fits(s), F.lit("decimal_out_of_range"))
-    )
+    """``invalid_decimal`` when the text breaks the grammar, ``decimal_out_of_range``
+    when it has more than WIDE_DIGITS significant digits, else null."""
+    return decimal_error_from(decimal_parts(c))
 
 
 def parse_decimal(c: Column | str) -> Column:
-    """Exact decimal(27,9) value of a governed decimal text, else null."""
-    s = _col(c)
-    return F.when(decimal_error(s).isNull(), s.try_cast(DECIMAL_TYPE))
+    """Exact decimal(27,9) value of a governed decimal text; null if it is wider or invalid."""
+    parts = decimal_parts(c)
+    return F.when(decimal_error_from(parts).isNull(), decimal_values_from(parts)[0])
+
+
+def parse_wide_decimal(c: Column | str) -> Column:
+    """Exact (unscaled, scale) of any governed decimal text; null if it is invalid."""
+    parts = decimal_parts(c)
+    narrow, wide = decimal_values_from(parts)
+    return F.when(decimal_error_from(parts).isNull(), as_wide(narrow, wide))
+
+
+def as_wide(narrow: Column | str, wide: Column | str) -> Column:
+    """A value held as either type as (unscaled, scale), without zeros at the end of unscaled."""
+    narrow, wide = _col(narrow), _col(wide)
+    text = F.replace(narrow.cast("string"), F.lit("."))
+    digits, zeros = _significant(F.replace(text, F.lit("-")))
+    sign = F.when(narrow < 0, F.lit("-")).otherwise(F.lit(""))
+    value = F.struct(F.concat(sign, digits).try_cast(UNSCALED_TYPE).alias("unscaled"),
+                     (F.lit(DECIMAL_TYPE.scale) - zeros).cast("int").alias("scale"))
+    zero = F.struct(F.lit(0).cast(UNSCALED_TYPE).alias("unscaled"), F.lit(0).alias("scale"))
+    return F.when(wide.isNotNull(), wide).when(narrow == 0, zero.cast(WIDE_TYPE)).when(
+        narrow.isNotNull(), value.cast(WIDE_TYPE))
+
+
+def wide_product(a: Column, b: Column) -> Column:
+    """The exact product of two (unscaled, scale) values; null beyond WIDE_DIGITS digits."""
+    unscaled = F.try_multiply(a["unscaled"], b["unscaled"]).cast(UNSCALED_TYPE)
+    scale = (a["scale"].cast("long") + b["scale"]).try_cast("int")
+    return F.when(unscaled.isNotNull() & scale.isNotNull(), F.struct(
+        unscaled.alias("unscaled"), scale.alias("scale"))).cast(WIDE_TYPE)
+
+
+def wide_compare(a: Column, b: Column) -> Column:
+    """-1, 0 or 1 as a is below, equal to or above b; exact for any scales.
+
+    Signs first, then the place of the first digit, then the digits as text; unscaled
+    values have no zeros at the end, so equal numbers have equal digits."""
+    text = lambda x: F.abs(x["unscaled"]).cast("string")
+    place = lambda x: F.length(text(x)).cast("long") - x["scale"]
+    order = lambda x, y: F.when(x < y, F.lit(-1)).when(x > y, F.lit(1)).otherwise(F.lit(0))
+    sign_a, sign_b = F.signum(a["unscaled"]).cast("int"), F.signum(b["unscaled"]).cast("int")
+    size = F.when(place(a) != place(b), order(place(a), place(b))).otherwise(order(text(a), text(b)))
+    return F.when(sign_a != sign_b, order(sign_a, sign_b)).when(sign_a == 0, F.lit(0)).otherwise(sign_a * size)
 
 
 # ------------------------------------------------------------------- timestamps
@@ -191,20 +248,30 @@ def is_currency_code(c: Column | str) -> Column:
 
 
 # ------------------------------------------------------------ business rules
-def integral_quantity_ok(q: Column | str) -> Column:
+def integral_quantity_ok(q: Column | str, wide: Column | None = None) -> Column:
     """the quantity is an exact integer (``2.0`` yes, ``1.5`` no)."""
     q = _col(q)
-    return q == F.floor(q)
+    narrow = q == F.floor(q)
+    return narrow if wide is None else F.coalesce(narrow, wide["scale"] <= 0)
 
 
 def to_quantity(q: Column | str) -> Column:
-    """integral quantity as decimal(10,0); null when it does not fit."""
-    return _col(q).try_cast(QUANTITY_TYPE)
+    """integral quantity as a long; null when it does not fit (it is wide then)."""
+    return _col(q).try_cast("long")
 
 
 def line_amount(quantity: Column | str, unit_price: Column | str) -> Column:
-    """exact ``quantity * unit_price`` as decimal(38,9), no rounding."""
-    return (_col(quantity).cast(QUANTITY_TYPE) * _col(unit_price).cast(DECIMAL_TYPE)).cast(AMOUNT_TYPE)
+    """exact ``quantity * unit_price`` as decimal(38,9), no rounding; null when a wider
+    type is needed (:func:`wide_line_amount`)."""
+    return (_col(quantity).try_cast(QUANTITY_TYPE) * _col(unit_price).cast(DECIMAL_TYPE)).cast(AMOUNT_TYPE)
+
+
+def wide_line_amount(quantity: Column, unit_price: Column, price_wide: Column) -> Column:
+    """the same as (unscaled, scale) where decimal(38,9) doesn't hold it; null beyond
+    WIDE_DIGITS digits or where :func:`line_amount` is not null."""
+    q = F.struct(quantity.cast(UNSCALED_TYPE).alias("unscaled"), F.lit(0).alias("scale"))
+    product = wide_product(as_wide(unit_price, price_wide), q)
+    return F.when(price_wide.isNotNull() | quantity.try_cast(QUANTITY_TYPE).isNull(), product)
 
 
 def monetary_consistent(list_price: Column | str, unit_cost: Column | str,

@@ -21,6 +21,8 @@ from sluice.functions.parsing import (
     monetary_consistent,
     to_quantity,
     utc_overflow,
+    wide_line_amount,
+    WIDE_TYPE,
 )
 from sluice.functions.text import non_blank, normalize_identifier, normalize_text
 from sluice.operators.contracts import (
@@ -47,9 +49,15 @@ PROVENANCE_FIELDS = ("contract_id", "contract_version", "source_identifier",
 SALES_LINE_COLUMNS = (
     "sales_channel_code", "source_transaction_number", "transaction_timestamp",
     "store_code", "customer_reference_state", "product_sku", "quantity",
-    "unit_price", "currency_code", "line_amount", "source_local_context")
-PRODUCT_COLUMNS = ("sku", "product_name", "category_code", "list_price", "unit_cost",
-                   "product_currency_code")
+    "unit_price", "unit_price_wide", "currency_code", "line_amount", "line_amount_wide",
+    "source_local_context")
+PRODUCT_COLUMNS = ("sku", "product_name", "category_code", "list_price", "list_price_wide", "unit_cost",
+                   "unit_cost_wide", "product_currency_code")
+
+
+def _wide(df: DataFrame, name: str) -> Column:
+    """The wide values of a decimal field; none in frames made without them."""
+    return F.col(name + "_wide") if name + "_wide" in df.columns else F.lit(None).cast(WIDE_TYPE)
 
 
 def new_run_id() -> str:
@@ -91,8 +99,8 @@ def map_sales_lines(validated: DataFrame, contract: Contract) -> DataFrame:
     retail = contract.channel == "RETAIL"
     txn_field = "receipt_number" if retail else "order_number"
     ts_field = "transaction_timestamp" if retail else "order_timestamp"
-    q = F.col("quantity")
-    rule_ok = integral_quantity_ok(q)
+    q, price, price_wide = F.col("quantity"), F.col("unit_price"), _wide(validated, "unit_price")
+    rule_ok = integral_quantity_ok(q, _wide(validated, "quantity"))
     instant = F.col(ts_field)
     # Mapping order of the reference: transaction number, timestamp, store, sku.
     checks = [(~non_blank(txn_field), ABORT_BLANK), (utc_overflow(instant), ABORT_OVERFLOW)]
@@ -101,7 +109,9 @@ def map_sales_lines(validated: DataFrame, contract: Contract) -> DataFrame:
     checks.append((~non_blank("sku"), ABORT_BLANK))
     abort = F.when(rule_ok, _first_abort(*checks))
     qty = to_quantity(q)
-    status, code, message = _outcome(rule_ok, abort, qty.isNotNull())
+    amount = F.when(price_wide.isNull(), line_amount(qty, price)).cast(AMOUNT_TYPE)
+    amount_wide = wide_line_amount(qty, price, price_wide)
+    status, code, message = _outcome(rule_ok, abort, amount.isNotNull() | amount_wide.isNotNull())
     canonical = [
         F.lit(contract.channel).alias("sales_channel_code"),
         normalize_identifier(txn_field).alias("source_transaction_number"),
@@ -109,10 +119,10 @@ def map_sales_lines(validated: DataFrame, contract: Contract) -> DataFrame:
         (normalize_identifier("store_code") if retail else F.lit(None).cast("string")).alias("store_code"),
         (F.lit("ABSENT") if retail else customer_state("customer_email")).alias("customer_reference_state"),
         normalize_identifier("sku").alias("product_sku"),
-        qty.cast("long").alias("quantity"),
-        F.col("unit_price").alias("unit_price"),
+        qty.alias("quantity"),
+        price.alias("unit_price"), price_wide.alias("unit_price_wide"),
         F.col("currency_code").alias("currency_code"),
-        line_amount(qty, F.col("unit_price")).cast(AMOUNT_TYPE).alias("line_amount"),
+        amount.alias("line_amount"), amount_wide.alias("line_amount_wide"),
         (source_context("terminal_id") if retail else source_context()).alias("source_local_context"),
     ]
     prov = [c for c in PROVENANCE_FIELDS if c in validated.columns]
@@ -126,7 +136,11 @@ def map_sales_lines(validated: DataFrame, contract: Contract) -> DataFrame:
 
 def map_products(validated: DataFrame, contract: Contract = PRODUCT_CATALOG_V1) -> DataFrame:
     """Product records -> canonical products (monetary rule first)."""
-    rule_ok = monetary_consistent("list_price", "unit_cost", "currency_code")
+    price_wide, cost_wide = _wide(validated, "list_price"), _wide(validated, "unit_cost")
+    either = lambda name, wide: F.coalesce(F.col(name).isNotNull() | wide.isNotNull(), F.lit(False))
+    mark = lambda there: F.when(there, F.lit(1))
+    rule_ok = monetary_consistent(mark(either("list_price", price_wide)), mark(either("unit_cost", cost_wide)),
+                                  "currency_code")
     abort = F.when(rule_ok, _first_abort(
         (~non_blank("sku"), ABORT_BLANK),
         (~non_blank("product_name"), ABORT_BLANK),
@@ -139,7 +153,7 @@ def map_products(validated: DataFrame, contract: Contract = PRODUCT_CATALOG_V1)
         normalize_identifier("sku").alias("sku"),
         normalize_text("product_name").alias("product_name"),
         normalize_identifier("category_code").alias("category_code"),
-        F.col("list_price"), F.col("unit_cost"),
+        F.col("list_price"), price_wide.alias("list_price_wide"), F.col("unit_cost"), cost_wide.alias("unit_cost_wide"),
         F.col("currency_code").alias("product_currency_code"),
     )
     return out.withColumns({name: F.when(F.col("status") == SUCCESS, F.col(name))

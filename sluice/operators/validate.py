@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sluice.functions.parsing import (
     decimal_error_from,
     decimal_parts,
+    decimal_values_from,
     timestamp_error_from,
     timestamp_parts,
     timestamp_value_from,
@@ -41,16 +42,17 @@ CATEGORIES = (
     "invalid_timestamp", "non_negative", "positive", "uppercase_currency_code",
     "timezone_aware",
 )
+#: Ending of the column with a decimal field's wide values.
+WIDE = "_wide"
 ERROR_TYPE = "array<struct<field_ordinal:int,field_name:string,category:string>>"
 PROVENANCE_COLUMNS = ("contract_id", "contract_version", "source_identifier",
                       "content_sha256", "source_id", "row_number")
 
 
-def _constraint_ok(constraint: str, value: Column) -> Column:
-    if constraint == NON_NEGATIVE:
-        return value >= 0
-    if constraint == POSITIVE:
-        return value > 0
+def _constraint_ok(constraint: str, value: Column, wide: Column | None = None) -> Column:
+    if constraint in (NON_NEGATIVE, POSITIVE):
+        sign = value if wide is None else F.coalesce(F.signum(value), F.signum(wide["unscaled"]))
+        return sign >= 0 if constraint == NON_NEGATIVE else sign > 0
     if constraint == UPPERCASE_CURRENCY_CODE:
         return is_currency_code(value)
     if constraint == TIMEZONE_AWARE:
@@ -71,15 +73,17 @@ def _stage_one(f: Field, i: int) -> dict[str, Column]:
     return {f"_{i}_{k}": v for k, v in parts.items()}
 
 
-def _stage_two(f: Field, i: int) -> tuple[Column, Column]:
-    """(typed value, first error category) of one field from its pieces."""
+def _stage_two(f: Field, i: int) -> tuple[Column, Column | None, Column]:
+    """(typed value, wide decimal or None, first error category) of one field from its pieces."""
     raw = F.col(f.name)
     empty = raw.isNull() | (raw == "")
-    parts = {k: F.col(f"_{i}_{k}") for k in ("plain", "grammar", "scale_need", "narrow", "wide",
+    parts = {k: F.col(f"_{i}_{k}") for k in ("plain", "grammar", "digits", "unscaled", "scale", "narrow",
                                               "local", "offset", "clock_ok")}
+    wide = None
     if f.type == DECIMAL:
         type_err = decimal_error_from(parts)
-        parsed = F.when(type_err.isNull(), parts["narrow"])
+        parsed, wide = (F.when(type_err.isNull(), x) for x in decimal_values_from(parts))
+        wide = F.when(~empty, wide)
     elif f.type == TIMESTAMP:
         type_err = timestamp_error_from(parts)
         parsed = F.when(type_err.isNull(), timestamp_value_from(parts))
@@ -92,8 +96,8 @@ def _stage_two(f: Field, i: int) -> tuple[Column, Column]:
     if type_err is not None:
         err = err.when(type_err.isNotNull(), type_err)
     for c in f.constraints:
-        err = err.when(~_constraint_ok(c, value), F.lit(c.lower()))
-    return value, err.cast("string")
+        err = err.when(~_constraint_ok(c, value, wide), F.lit(c.lower()))
+    return value, wide, err.cast("string")
 
 
 def validate_rows(raw: DataFrame, contract: Contract,
@@ -102,7 +106,7 @@ def validate_rows(raw: DataFrame, contract: Contract,
 
     ``raw`` holds one string column per contract field (any order) plus the
     provenance columns.  Timestamp fields also keep their source offset in
-    ``<name>_offset``.  Output columns: provenance, typed fields, ``errors``,
+    ``<name>_offset``, decimals that decimal(27,9) doesn't hold are in ``<name>_wide``.  Output columns: provenance, typed fields, ``errors``,
     ``first_error``.
 
     Three projections (parse pieces -> values and categories -> error array)
@@ -116,8 +120,10 @@ def validate_rows(raw: DataFrame, contract: Contract,
     s1 = raw.select(*keep, *names, *[v.alias(k) for k, v in stage1.items()])
     typed, errs = [], []
     for i, f in enumerate(contract.fields, start=1):
-        value, err = _stage_two(f, i)
+        value, wide, err = _stage_two(f, i)
         typed.append(value.alias(f.name))
+        if wide is not None:
+            typed.append(wide.alias(f.name + WIDE))
         errs.append(err.alias(f"_err_{i}"))
         if f.type == TIMESTAMP:
             typed.append(F.when(F.col(f.name) != "", timestamp_offset(F.col(f.name)))

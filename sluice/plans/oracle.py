@@ -133,13 +133,10 @@ RAW_CTES = {ECOMMERCE_SALES_V1.key: ("ecommerce_raw", [LINES, ECOMMERCE_RAW]),
 
 # ------------------------------------------------------------- validation
 def _dec_err(x: str) -> str:
-    frac = f"length(regexp_replace(regexp_extract({x}, '\\.([0-9]*)', 1), '0+$', ''))"
+    mantissa = f"regexp_extract({x}, '^[+-]?([0-9.]*)', 1)"
+    digits = f"length(trim(replace({mantissa}, '.', ''), '0'))"
     exp_txt = f"regexp_extract({x}, '[eE]([+-]?[0-9]+)$', 1)"
-    exp = f"(CASE WHEN {exp_txt} = '' THEN 0 ELSE try_cast({exp_txt} AS INTEGER) END)"
-    narrow = f"try_cast({x} AS DECIMAL(27,9))"
-    wide = f"try_cast({x} AS DECIMAL(38,20))"
-    fits = (f"(({frac} - {exp}) <= 20 AND {narrow} IS NOT NULL AND {wide} IS NOT NULL "
-            f"AND {narrow} = {wide})")
+    fits = f"({digits} <= 38 AND ({exp_txt} = '' OR try_cast({exp_txt} AS INTEGER) IS NOT NULL))"
     return (f"CASE WHEN NOT regexp_full_match({x}, {q(DEC_RE)}) THEN 'invalid_decimal' "
             f"WHEN NOT coalesce({fits}, false) THEN 'decimal_out_of_range' END")
 
@@ -605,9 +602,9 @@ HISTORY_WITH = "WITH " + HISTORY_LOG
 REFERENCE_WITH = """WITH approved AS (
   SELECT 'STORE-' || CAST(s_suppkey AS VARCHAR) AS store_code, s_name AS store_name FROM supplier
 ), agreed AS (
-  SELECT DISTINCT 'STORE-' || CAST(l_suppkey AS VARCHAR) AS store_code,
+  SELECT DISTINCT CASE WHEN l_suppkey % 10 = 3 THEN 'KIOSK-' ELSE 'STORE-' END || CAST(l_suppkey AS VARCHAR) AS store_code,
          'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS store_name, l_suppkey
-  FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey % 10 <> 3
+  FROM lineitem WHERE l_returnflag = 'R'
 ), existing AS (
   SELECT store_code, CASE WHEN l_suppkey % 10 = 7 THEN 'Store ' || CAST(l_suppkey AS VARCHAR)
                           ELSE store_name END AS store_name FROM agreed

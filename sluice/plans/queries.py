@@ -678,3 +678,4 @@ def _events_q(spark, sf_dir):
     return _union(frames)
 
 from sluice.plans import more_queries  # noqa: E402, F401  (registers its queries)
+from sluice.plans import edge_queries  # noqa: E402, F401

@@ -177,12 +177,13 @@ def approved_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered_stores(spark: SparkSession, sf_dir: str, renamed: bool = True) -> DataFrame:
-    """Stores that a legacy table already holds: every store with retail lines whose key
-    does not end in 3. ``renamed``: those whose key ends in 7 carry another name."""
-    li = read_table(spark, sf_dir, "lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 10 != 3))
+    """Stores that a legacy table already holds: every store with retail lines; those whose
+    key ends in 3 under a code of their own. ``renamed``: those whose key ends in 7 carry
+    another name."""
+    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
     k = F.col("l_suppkey")
     name = F.concat(F.lit("Supplier#"), F.lpad(k.cast("string"), 9, "0"))
     if renamed:
         name = F.when(k % 10 == 7, F.concat(F.lit("Store "), k.cast("string"))).otherwise(name)
-    return li.select(F.concat(F.lit("STORE-"), k.cast("string")).alias("store_code"),
-                     name.alias("store_name")).distinct()
+    prefix = F.when(k % 10 == 3, F.lit("KIOSK-")).otherwise(F.lit("STORE-"))
+    return li.select(F.concat(prefix, k.cast("string")).alias("store_code"), name.alias("store_name")).distinct()

@@ -1,6 +1,7 @@
 """Scalar rules (F1-F19, P5-P12) on the reference's literal cases."""
 
-from decimal import Decimal
+import random
+from decimal import Context, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,16 +21,68 @@ def test_decimal_valid(spark, value):
     assert one(spark, P.parse_decimal(F.col("x")), value) == Decimal(value)
 
 
-@pytest.mark.parametrize("value", ["bad", " 1", "1 ", "1,5", "1_000", "NaN", "-NaN", "Infinity", "Inf", "", "١"])
+@pytest.mark.parametrize("value", ["bad", " 1", "1 ", "1,5", "1_000", "NaN", "-NaN", "Infinity", "Inf", "", "١,٢", "一"])
 def test_decimal_invalid(spark, value):
     assert one(spark, P.decimal_error(F.col("x")), value) == "invalid_decimal"
 
 
-@pytest.mark.parametrize("value", ["1.0000000001", "1e-25", "1E+400", "1234567890123456789"])
+@pytest.mark.parametrize("value", ["1" * 39, "0." + "1" * 39, "1e99999999999", "-" + "9" * 39 + "E-5"])
 def test_decimal_out_of_range(spark, value):
     assert one(spark, P.decimal_error(F.col("x")), value) == "decimal_out_of_range"
 
 
+WIDE = ["1.0000000001", "1e-25", "1E+400", "1234567890123456789", "9" * 38, "-0." + "0" * 30 + "12", "1" * 30, "1" * 30 + "0" * 20,
+        "١٢.٥", "१e٣", "０.５", "𝟙𝟚", "000.000", "-0", "5.", "24.990", "1E+2", "99999999999999999999.000000001"]
+
+
+def test_wide_decimals_are_exact(spark):
+    df = spark.createDataFrame([(v,) for v in WIDE], "x string")
+    for r in df.select("x", P.decimal_error("x").alias("e"), P.parse_decimal("x").alias("n"), P.parse_wide_decimal("x").alias("w")).collect():
+        value = Decimal(r["x"])
+        assert r["e"] is None
+        assert Decimal(r["w"]["unscaled"]).scaleb(-r["w"]["scale"], Context(prec=60)) == value, r["x"]
+        assert r["n"] in (None, value)
+        assert (r["n"] is None) == (abs(value) >= 10**18 or bool(value) and value.normalize(Context(prec=60)).as_tuple().exponent < -9)
+
+
+def test_wide_comparison_and_product(spark):
+    rng = random.Random(4)
+    texts = WIDE + [f"{rng.choice(['', '-'])}{rng.randrange(10 ** rng.randrange(1, 25))}E{rng.randrange(-40, 40)}" for _ in range(60)]
+    df = spark.createDataFrame([(a, rng.choice(texts)) for a in texts for _ in range(4)], "a string, b string")
+    a, b = P.parse_wide_decimal("a"), P.parse_wide_decimal("b")
+    df = df.select("a", "b", a.alias("x"), b.alias("y")).select(
+        "a", "b", P.wide_compare(F.col("x"), F.col("y")).alias("c"), P.wide_product(F.col("x"), F.col("y")).alias("p"))
+    for r in df.collect():
+        x, y = Decimal(r["a"]), Decimal(r["b"])
+        assert r["c"] == (x > y) - (x < y), (r["a"], r["b"])
+        product = Context(prec=120).multiply(x, y)
+        if r["p"] is None:
+            assert len(product.normalize(Context(prec=120)).as_tuple().digits) > 37
+        else:
+            assert Decimal(r["p"]["unscaled"]).scaleb(-r["p"]["scale"], Context(prec=120)) == product
+
+
+def test_wide_prices_reach_the_amount(spark):
+    from sluice.operators.canonical import canonicalize
+    from sluice.operators.contracts import ECOMMERCE_SALES_V1 as E
+    from sluice.operators.validate import validate_rows
+    values = [("2", "0.1234567890123"), ("12345678901", "2.5"), ("3", "1" * 30), ("2.0", "1E+20"), ("9" * 18, "9" * 30), ("1.5", "1e-12"),
+              ("1e-12", "1"), ("9" * 25, "1"), ("7", "-0.00000000001")]
+    raw = spark.createDataFrame(
+        [("f", i, "W-1", "2026-08-01T10:15:00Z", None, "S", q, p, "EUR") for i, (q, p) in enumerate(values)],
+        "source_id string, row_number long, order_number string, order_timestamp string, customer_email string, sku string, "
+        "quantity string, unit_price string, currency_code string")
+    rows = {r["row_number"]: r["first_error"] for r in validate_rows(raw, E).collect()}
+    assert [rows[i] and rows[i]["category"] for i in range(9)] == [None] * 8 + ["non_negative"]
+    got = {r["row_number"]: r for r in canonicalize(validate_rows(raw, E), E, "r").collect()}
+    for i in (0, 1, 2, 3):
+        amount, wide = got[i]["line_amount"], got[i]["line_amount_wide"]
+        value = amount if wide is None else Decimal(wide["unscaled"]).scaleb(-wide["scale"], Context(prec=60))
+        assert got[i]["status"] == "SUCCESS" and value == Context(prec=60).multiply(*map(Decimal, values[i]))
+    assert [got[i]["status"] for i in (4, 5, 6, 7)] == [
+        "UNTRANSFORMABLE", "BUSINESS_RULE_REJECTED", "BUSINESS_RULE_REJECTED", "UNTRANSFORMABLE"]
+
+
 def test_decimal_trailing_zeros_are_exact(spark):
     assert one(spark, P.decimal_error(F.col("x")), "1." + "0" * 25) is None
 
