@@ -11,15 +11,18 @@ from functools import lru_cache
 
 import numpy as np
 
-from sluice.llm.bpe import blocks
+from sluice.llm.bpe import PATTERN, _beyond, blocks, vocabulary
 
 #: Characters looked at in one step, and units remembered by a task, twice.
 BLOCK_CHARS = 1 << 20
 CACHE_UNITS = 300_000
 #: Longer units are not remembered.
 LONG_UNIT = 256
+#: Longer runs of one kind are not for a library that is quadratic in them.
+LONG_RUN = 1000
 
 _cut = re.compile(r"(?<=\S) ")
+_gap = re.compile(r"\s{%d}" % LONG_RUN)
 _odd = re.compile(r"\s |^ ")
 
 
@@ -69,9 +72,14 @@ class Memo:
 
 
 class ByteIds:
-    """Ids of whole texts by the tokenizers library, asked only for units not seen lately."""
+    """Ids of whole texts, as the tokenizers library gives them.
+
+    Plain text goes to the tiktoken library with the same vocabulary, which is faster: only characters
+    below U+0250, whose classes no two libraries see differently, and no very long run, on which
+    it is quadratic. The tokenizers library encodes the rest, unit by unit."""
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
@@ -79,6 +87,12 @@ class ByteIds:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first = Memo(self._ids, 10_000)
         self.later = Memo(lambda new: self._ids([" " + u for u in new]))
+        v = vocabulary(path)
+        made = [new for _, new in sorted(v.merges.values())]
+        self.plain = None
+        if made == sorted(made):  # merges in the order of their ids, as tiktoken takes them
+            self.plain = tiktoken.Encoding("plain", pat_str=PATTERN, special_tokens={}, mergeable_ranks={
+                b: i for i, b in v.bytes_of.items() if i not in v.special.values()})
 
     def _ids(self, new: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
@@ -90,12 +104,24 @@ class ByteIds:
             yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
             return
         for block in blocks(text):
+            if self.plain and is_plain(block):
+                yield np.array(self.plain.encode_ordinary(block), "<u4")
+                continue
             some = units(block)
             head = self.first.fill(some[:1])[some[0]]
             known = self.later.fill(some[1:])
             yield np.frombuffer(head + b"".join([known[u] for u in some[1:]]), "<u4")
 
 
+def is_plain(text: str) -> bool:
+    """Whether a text has only characters below U+0250 and no run of LONG_RUN like ones."""
+    if not text.isascii() and _beyond.search(text):
+        return False
+    sizes = list(map(len, text.split()))
+    spaces = len(text) - sum(sizes)
+    return max(sizes, default=0) < LONG_RUN and (spaces - len(sizes) < LONG_RUN - 2 or not _gap.search(text))
+
+
 @lru_cache(2)
 def byte_ids(path: str) -> ByteIds:
     return ByteIds(path)
