@@ -46,6 +46,8 @@ ABORT_OVERFLOW = "utc_overflow"
 
 PROVENANCE_FIELDS = ("contract_id", "contract_version", "source_identifier",
                      "content_sha256", "source_id", "run_id", "row_number")
+#: What mappers hand on from the validated row: its provenance, and the key of its first failure.
+CARRIED_FIELDS = (*PROVENANCE_FIELDS, "failure_key")
 SALES_LINE_COLUMNS = (
     "sales_channel_code", "source_transaction_number", "transaction_timestamp",
     "store_code", "customer_reference_state", "product_sku", "quantity",
@@ -125,7 +127,7 @@ def map_sales_lines(validated: DataFrame, contract: Contract) -> DataFrame:
         amount.alias("line_amount"), amount_wide.alias("line_amount_wide"),
         (source_context("terminal_id") if retail else source_context()).alias("source_local_context"),
     ]
-    prov = [c for c in PROVENANCE_FIELDS if c in validated.columns]
+    prov = [c for c in CARRIED_FIELDS if c in validated.columns]
     return validated.select(
         *prov, status.alias("status"), code.alias("issue_code"), message.alias("issue_message"),
         abort.alias("abort_kind"),
@@ -146,7 +148,7 @@ def map_products(validated: DataFrame, contract: Contract = PRODUCT_CATALOG_V1)
         (~non_blank("product_name"), ABORT_BLANK),
         (~non_blank("category_code"), ABORT_BLANK)))
     status, code, message = _outcome(rule_ok, abort, F.lit(True))
-    prov = [c for c in PROVENANCE_FIELDS if c in validated.columns]
+    prov = [c for c in CARRIED_FIELDS if c in validated.columns]
     out = validated.select(
         *prov, status.alias("status"), code.alias("issue_code"), message.alias("issue_message"),
         abort.alias("abort_kind"),
@@ -200,25 +202,36 @@ def union_sales_lines(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def abort_key() -> Column:
+    """The row's abort as (row, kind) in a bigint; the least key is the first abort."""
+    kind_code = F.when(F.col("abort_kind") == ABORT_BLANK, 0).when(
+        F.col("abort_kind") == ABORT_OVERFLOW, 1)
+    return F.when(kind_code.isNotNull(), F.shiftleft(F.col("row_number"), 1).bitwiseOR(kind_code.cast("long")))
+
+
+def abort_of_key(key: Column) -> Column:
+    return F.when(key.isNotNull(), F.when(
+        key.bitwiseAND(F.lit(1)) == 0, F.lit(ABORT_BLANK)).otherwise(F.lit(ABORT_OVERFLOW)))
+
+
+def failed_outcome() -> Column:
+    return F.col("status").isNotNull() & (F.col("status") != SUCCESS)
+
+
 def batch_counts(outcomes: DataFrame, file_col: str = "source_id") -> DataFrame:
     """A7 + P24: per-file record/success/failure counts and the first abort.
 
     The first abort (lowest row number) decides the failure kind; the
     (row, kind) pair is packed into a bigint to stay a hash aggregate."""
-    kind_code = F.when(F.col("abort_kind") == ABORT_BLANK, 0).when(
-        F.col("abort_kind") == ABORT_OVERFLOW, 1)
-    packed = F.when(kind_code.isNotNull(), F.shiftleft(F.col("row_number"), 1).bitwiseOR(kind_code.cast("long")))
     agg = outcomes.groupBy(file_col).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.count_if(F.col("status") == SUCCESS).alias("success_count"),
-        F.count_if(F.col("status").isNotNull() & (F.col("status") != SUCCESS)).alias("failure_count"),
-        F.min(packed).alias("_abort"),
+        F.count_if(failed_outcome()).alias("failure_count"),
+        F.min(abort_key()).alias("_abort"),
     )
-    first_kind = F.when(F.col("_abort").isNotNull(), F.when(
-        F.col("_abort").bitwiseAND(F.lit(1)) == 0, F.lit(ABORT_BLANK)).otherwise(F.lit(ABORT_OVERFLOW)))
     return agg.select(
         file_col, "record_count", "success_count", "failure_count",
-        first_kind.alias("abort_kind"),
+        abort_of_key(F.col("_abort")).alias("abort_kind"),
         F.shiftright(F.col("_abort"), 1).alias("abort_row_number"))
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from sluice.functions.domain import duration_micros, exit_status
 from sluice.operators.skew import spread_join
+from sluice.session import ensure_checkpoint_dir
+from sluice.sources.sinks import bucket_of, path_exists, replace_partitions
 
 TERMINAL_PIPELINE = ("SUCCEEDED", "BLOCKED", "FAILED")
 # Legal lifecycle pairs (previous, next).
@@ -169,20 +171,56 @@ def last_event_rows(log: DataFrame, keys, running: str = "RUNNING", terminal=("S
         F.max("failure_category").alias("failure_category"), F.max("failure_code").alias("failure_code"))
 
 
-def write_history(events: DataFrame, path: str, run_id: str) -> None:
-    """Append the events of one run. A run that is repeated replaces its own
-    events (its partition) and no others."""
-    (events.withColumn("history_run", F.lit(run_id)).write.mode("overwrite").partitionBy("history_run")
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
+#: Buckets of a day's events, and ids that are looked up by value; more are joined.
+HISTORY_BUCKETS = 32
+LOOKUP_IDS = 1000
+
+
+def write_history(events: DataFrame, path: str, run_id: str, id_col: str = "source_id") -> None:
+    """Append the events of one run, by (day of the event, bucket of the execution).
+
+    Rows are sorted by id and every file has a Bloom filter of its ids, so a lookup reads few row
+    groups. A run that is repeated replaces its own events and no others: only then are
+    the days it had written to rewritten; a new run just adds files."""
+    spark = events.sparkSession
+    ensure_checkpoint_dir(spark)
+    # events without a time share a day of their own
+    day = F.coalesce(F.to_date("event_time"), F.lit("1970-01-01").cast("date")) if "event_time" in events.columns else (
+        F.lit("1970-01-01").cast("date"))
+    new = events.withColumns({
+        "history_run": F.lit(run_id), "event_day": day, "bucket": bucket_of(id_col, HISTORY_BUCKETS)})
+    keys, options = ["event_day", "bucket"], {f"parquet.bloom.filter.enabled#{id_col}": "true"}
+    days = None
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path)
+        days = stored.where(F.col("history_run") == run_id).select(*keys).distinct().checkpoint()
+    again = days is not None and not days.isEmpty()
+    if again:  # the days of one run x buckets
+        kept = stored.where(F.col("history_run") != run_id).join(
+            F.broadcast(days.unionByName(new.select(*keys).distinct()).distinct()), keys, "left_semi")
+        new = new.unionByName(kept.select(*new.columns)).checkpoint()
+    new = new.hint("rebalance", *keys).sortWithinPartitions(*keys, id_col)
+    if again:
+        replace_partitions(new, path, keys, days, options)
+    else:
+        new.write.mode("append").partitionBy(*keys).options(**options).parquet(path)
 
 
 def read_history(spark, path: str, ids: DataFrame | None = None, id_col: str = "source_id") -> DataFrame:
     """The stored events, of the named executions if ``ids`` is given; an id
-    without any event is returned once with ``found`` false."""
-    events = spark.read.parquet(path)
+    without any event is returned once with ``found`` false.
+
+    Up to LOOKUP_IDS ids become values of the filter, which prunes buckets, row groups by
+    their least and greatest id, and for a few ids row groups by Bloom filter."""
+    events = spark.read.parquet(path).withColumn("found", F.lit(True))
     if ids is None:
-        return events.withColumn("found", F.lit(True))
-    return ids.select(id_col).distinct().join(events.withColumn("found", F.lit(True)), id_col, "left").withColumn(
+        return events.drop("event_day", "bucket")
+    ids = ids.select(id_col).distinct()
+    few = ids.withColumn("bucket", bucket_of(id_col, HISTORY_BUCKETS)).limit(LOOKUP_IDS + 1).collect()
+    if len(few) <= LOOKUP_IDS:
+        wanted = [r[id_col] for r in few if r[id_col] is not None]
+        events = events.where(F.col("bucket").isin(sorted({r["bucket"] for r in few})) & F.col(id_col).isin(wanted))
+    return ids.join(events.drop("event_day", "bucket"), id_col, "left").withColumn(
         "found", F.coalesce("found", F.lit(False)))
 
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.compare import multiset_difference
+
 
 def reference_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """An inline relation of approved rows (bounded by the spec)."""
@@ -34,8 +36,7 @@ def conflicting_reference(approved: DataFrame, existing: DataFrame, key: str,
 def exact_reference_state(approved: DataFrame, existing: DataFrame) -> DataFrame:
     """Rows that keep the table from equalling the approved set exactly
     (both directions, duplicates counted), tagged with their side."""
-    return (approved.exceptAll(existing).withColumn("side", F.lit("missing"))
-            .unionByName(existing.exceptAll(approved).withColumn("side", F.lit("unexpected"))))
+    return multiset_difference(approved, existing, sides=("missing", "unexpected"))
 
 
 def append_missing_reference(approved: DataFrame, existing: DataFrame, key: str, value: str,

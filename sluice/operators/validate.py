@@ -149,33 +149,42 @@ def _category_index(cat: Column) -> Column:
 _FIELD_BITS, _CATEGORY_BITS = 9, 5
 
 
-def first_failure_per_file(validated: DataFrame, contract: Contract,
-                           file_cols: str | Sequence[str] = "source_id") -> DataFrame:
-    """P14 + O6: the first failing row and, in it, the first failing field.
+def failure_key(contract: Contract) -> Column:
+    """The row's first failure as (row, field, category) in one decimal, null if it has none.
 
-    The (row, field, category) triple is packed into one decimal so the
-    per-file minimum is a plain partial + final hash aggregate (no sort, no
-    per-file collection), which also holds when one file is huge."""
+    The least key of a file names its first failure, so finding it is a plain partial +
+    final hash aggregate (no sort, no per-file collection), also when one file is huge."""
     if len(contract.fields) >= 1 << _FIELD_BITS or len(CATEGORIES) > 1 << _CATEGORY_BITS:
         raise ValueError("too many fields or categories to pack")
-    files = [file_cols] if isinstance(file_cols, str) else list(file_cols)
     first = F.col("first_error")
     shift = 1 << (_FIELD_BITS + _CATEGORY_BITS)
     detail = (F.shiftleft(first["field_ordinal"], _CATEGORY_BITS) + _category_index(first["category"]))
     packed = F.col("row_number").cast("decimal(19,0)") * F.lit(shift).cast("decimal(6,0)") + detail
-    agg = (validated.where(first.isNotNull())
-           .groupBy(*files).agg(F.min(packed.cast("decimal(30,0)")).alias("_k")))
-    row = F.expr(f"_k div {shift}").cast("long")
-    detail = (F.col("_k") % F.lit(shift)).cast("int")
+    return F.when(first.isNotNull(), packed.cast("decimal(30,0)"))
+
+
+def failure_of_key(key: str, contract: Contract) -> list[Column]:
+    """failure_category, row_number and field_name of a key by :func:`failure_key`."""
+    shift = 1 << (_FIELD_BITS + _CATEGORY_BITS)
+    row = F.expr(f"{key} div {shift}").cast("long")
+    detail = (F.col(key) % F.lit(shift)).cast("int")
     ordinal = F.shiftright(detail, _CATEGORY_BITS)
     cat_idx = detail.bitwiseAND(F.lit((1 << _CATEGORY_BITS) - 1))
     field_name = None
     for i, f in enumerate(contract.fields, start=1):
         field_name = (F.when(ordinal == i, F.lit(f.name)) if field_name is None
                       else field_name.when(ordinal == i, F.lit(f.name)))
-    category = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), cat_idx + 1)
-    return agg.select(*files, category.alias("failure_category"),
-                      row.alias("row_number"), field_name.alias("field_name"))
+    category = F.get(F.array(*[F.lit(c) for c in CATEGORIES]), cat_idx)
+    return [category.alias("failure_category"), row.alias("row_number"), field_name.alias("field_name")]
+
+
+def first_failure_per_file(validated: DataFrame, contract: Contract,
+                           file_cols: str | Sequence[str] = "source_id") -> DataFrame:
+    """P14 + O6: the first failing row and, in it, the first failing field (see :func:`failure_key`)."""
+    files = [file_cols] if isinstance(file_cols, str) else list(file_cols)
+    agg = (validated.where(F.col("first_error").isNotNull())
+           .groupBy(*files).agg(F.min(failure_key(contract)).alias("_k")))
+    return agg.select(*files, *failure_of_key("_k", contract))
 
 
 def file_atomic(validated: DataFrame, failures: DataFrame,

@@ -7,11 +7,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import parsing as P
-from sluice.operators.canonical import canonicalize
-from sluice.operators.contracts import RETAIL_SALES_V1
+from sluice.operators.canonical import canonicalize, union_sales_lines
+from sluice.operators.contracts import ECOMMERCE_SALES_V1, PRODUCT_CATALOG_V1, RETAIL_SALES_V1
+from sluice.operators.ordering import order_groups, order_records, with_position
 from sluice.operators.validate import first_failure_per_file, validate_rows
 from sluice.plans import oracle as O
+from sluice.plans.ingest import ingest_rows
+from sluice.plans.more_queries import _DOCS_SQL, _documents
 from sluice.plans.queries import register
+from sluice.sources.csv import register_governed_csv
 from sluice.sources.tables import raw_for, read_table
 
 _KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -107,3 +111,46 @@ def _rare_q(spark, sf_dir):
         F.col("line_amount_wide.unscaled").cast("string").alias("wide_amount"))
     return bad.unionByName(good, allowMissingColumns=True).select(
         "source_identifier", "row_number", "category", "abort_kind", "status", "wide_amount")
+
+
+@register("order_records", O.full_chain(PRODUCT_CATALOG_V1) + """
+ SELECT source_identifier, row_number, row_number() OVER (ORDER BY source_id, row_number) AS position FROM records""")
+def _order_records_q(spark, sf_dir):
+    """O2: canonical products by file and row, each with its place in the whole."""
+    ing = ingest_rows(raw_for(spark, sf_dir, PRODUCT_CATALOG_V1), PRODUCT_CATALOG_V1, "run-1")
+    return with_position(order_records(ing.records)).select("source_identifier", "row_number", "position")
+
+
+_LINES_SQL = (O.full_chain(RETAIL_SALES_V1), O.full_chain(ECOMMERCE_SALES_V1))
+
+
+@register("order_groups", f"""SELECT sales_channel_code, source_transaction_number, source_identifier, row_number,
+   row_number() OVER (ORDER BY sales_channel_code, source_transaction_number, source_id, row_number) AS position
+ FROM (SELECT * FROM ({_LINES_SQL[0]} SELECT sales_channel_code, source_transaction_number, source_id, source_identifier, row_number FROM records)
+   UNION ALL SELECT * FROM ({_LINES_SQL[1]} SELECT sales_channel_code, source_transaction_number, source_id, source_identifier, row_number FROM records))""")
+def _order_groups_q(spark, sf_dir):
+    """O3: the sales lines of both channels by transaction, each with its place in the whole."""
+    lines = union_sales_lines(*[ingest_rows(raw_for(spark, sf_dir, c), c, "run-1").records
+                                for c in (RETAIL_SALES_V1, ECOMMERCE_SALES_V1)])
+    return with_position(order_groups(lines)).select(
+        "sales_channel_code", "source_transaction_number", "source_identifier", "row_number", "position")
+
+
+@register("governed_csv_function", f"""WITH {_DOCS_SQL}
+ SELECT k AS order_key, CAST(2 * r AS BIGINT) AS row_number, CAST(p AS VARCHAR) AS part,
+   'line ' || n || ', "x"' || chr(10) || 'next' AS note, price
+ FROM lines WHERE k % 50 NOT BETWEEN 7 AND 12""")
+def _csv_function_q(spark, sf_dir):
+    """The same documents as in `read_governed_csv`, cut in two blocks, by the table function in SQL."""
+    data = F.encode("csv_text", "UTF-8")
+    half = (F.octet_length(data) / 2).cast("int")
+    docs = _documents(spark, sf_dir).select(F.col("source_id").alias("path"), data.alias("data"), half.alias("half"))
+    parts = F.array(F.struct(F.lit(0).alias("block"), F.expr("substring(data, 1, half)").alias("content")),
+                    F.struct(F.lit(1).alias("block"), F.expr("substring(data, half + 1)").alias("content")))
+    docs.select("path", F.inline(parts)).createOrReplaceTempView("sluice_csv_blocks")
+    register_governed_csv(spark)
+    return spark.sql("""WITH t AS (
+          SELECT * FROM governed_csv(TABLE(sluice_csv_blocks) PARTITION BY path ORDER BY block))
+        SELECT CAST(path AS BIGINT) AS order_key, row_number, vals[0] AS part, vals[1] AS note, vals[2] AS price
+        FROM t LEFT SEMI JOIN (SELECT path AS sound FROM t WHERE kind = 'file' AND failure_category IS NULL) ON path = sound
+        WHERE kind = 'row'""")

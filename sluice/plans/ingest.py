@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 from sluice.operators.canonical import (
     ABORT_BLANK,
     ABORT_OVERFLOW,
+    SUCCESS,
+    abort_key,
+    abort_of_key,
     batch_counts,
     canonicalize,
+    failed_outcome,
     successful_records,
 )
+from sluice.operators.compare import multiset_difference
 from sluice.operators.contracts import Contract
 from sluice.operators.quality import (
     PRODUCT_SKU_UNIQUENESS,
@@ -27,7 +32,13 @@ from sluice.operators.quality import (
     quality_verdict,
 )
 from sluice.operators.skew import spread_join
-from sluice.operators.validate import file_atomic, first_failure_per_file, validate_rows
+from sluice.operators.validate import (
+    failure_key,
+    failure_of_key,
+    file_atomic,
+    first_failure_per_file,
+    validate_rows,
+)
 
 STAGES = (("INGESTION", 1), ("TRANSFORMATION", 2), ("DATA_QUALITY", 3))
 STAGE_TYPE = ("array<struct<stage:string,stage_sequence:int,state:string,"
@@ -136,6 +147,11 @@ def file_verdicts(files: DataFrame, ingestion_failures: DataFrame, counts: DataF
     )
     sup = supported if supported is not None else (
         F.col("supported") if "supported" in files.columns else F.lit(True))
+    return _verdicts(f, sup)
+
+
+def _verdicts(f: DataFrame, sup: Column) -> DataFrame:
+    """The verdict of files with ``_ing``, ``_abort``, ``failure_count`` and the quality flags."""
     rules = [
         (~sup, None, "CONFIGURATION_FAILURE", "CONFIGURATION_ERROR", "FAILED"),
         (F.col("_ing").isNotNull(), 1, "INGESTION_FAILURE", "INGESTION_ERROR", "FAILED"),
@@ -167,6 +183,40 @@ def file_verdicts(files: DataFrame, ingestion_failures: DataFrame, counts: DataF
         F.col("failed_stage"), F.col("state"), F.col("failure_category"), F.col("failure_code")))
 
 
+def one_pass_verdicts(raw: DataFrame, contract: Contract) -> DataFrame:
+    """K1 + K2 for every file of one contract, with the built-in expectation of its kind.
+
+    All that a verdict needs is a state per file that merges: the least failure key, the
+    least abort key, the number of failed outcomes, and whether a SKU occurs twice or a
+    transaction has two currencies. Rows are validated and mapped in one projection without
+    waiting for their file's outcome: where a file has failures, the later
+    states are not looked at, and where it has none, every row is accepted. One aggregate by
+    (file, SKU or transaction) and one of its few rows by file replace the joins."""
+    rows = validate_rows(raw, contract).withColumn("failure_key", failure_key(contract))
+    outcomes = canonicalize(rows, contract, "verdict")
+    files = ["source_id", "source_identifier", "contract_id", "contract_version"]
+    done = F.col("status") == SUCCESS
+    states = [F.min("failure_key").alias("_fail"), F.min(abort_key()).alias("_ab"),
+              F.count_if(failed_outcome()).alias("failure_count")]
+    if contract.kind == "product":
+        key, states = "sku", [*states, F.count_if(done).alias("_low"), F.lit(1).alias("_high")]
+        bad = F.col("_low") > 1
+    else:
+        # accepted currencies are three capitals, so their bytes are a number
+        c = F.col("currency_code")
+        number = F.when(done, F.ascii(F.substring(c, 1, 1)) * 65536 + F.ascii(F.substring(c, 2, 1)) * 256
+                        + F.ascii(F.substring(c, 3, 1)))
+        key, states = "source_transaction_number", [*states, F.min(number).alias("_low"), F.max(number).alias("_high")]
+        bad = F.col("_low") < F.col("_high")
+    per_key = outcomes.groupBy(*files, key).agg(*states)
+    per_file = per_key.groupBy(*files).agg(
+        F.min("_fail").alias("_fail"), F.min("_ab").alias("_ab"), F.sum("failure_count").alias("failure_count"),
+        F.bool_or(F.col(key).isNotNull() & bad).alias("any_blocking_violation"))
+    return _verdicts(per_file.select(
+        *files, failure_of_key("_fail", contract)[0].alias("_ing"), abort_of_key(F.col("_ab")).alias("_abort"),
+        "failure_count", F.lit(False).alias("any_evaluation_error"), "any_blocking_violation"), F.lit(True))
+
+
 def verdicts_for(ing: Ingested) -> DataFrame:
     return file_verdicts(ing.files, ing.ingestion_failures, ing.counts, ing.quality)
 
@@ -203,13 +253,16 @@ def verdicts_for_requests(spark, root: str, requests: DataFrame, registry=None,
         wanted, ["contract_id", "contract_version"], "left_semi").unionByName(unknown)
 
 
-def replay_equivalence(first: DataFrame, second: DataFrame, ignore=("run_id",)) -> DataFrame:
+def replay_equivalence(first: DataFrame, second: DataFrame, ignore=("run_id",), by: str | None = None) -> DataFrame:
     """Rows that differ between two runs once the run id is dropped
-    (empty when the runs are equivalent), tagged with the side they came from."""
+    (empty when the runs are equivalent), tagged with the side they came from.
+
+    ``by``: a column whose groups are compared apart, by default the file if there is one."""
     a = first.drop(*[c for c in ignore if c in first.columns])
     b = second.drop(*[c for c in ignore if c in second.columns])
-    return a.exceptAll(b).withColumn("side", F.lit("first")).unionByName(
-        b.exceptAll(a).withColumn("side", F.lit("second")))
+    if by is None:
+        by = next((c for c in ("source_id", "source_identifier") if c in a.columns), None)
+    return multiset_difference(a, b, by)
 
 
 def ingest_files(spark, root: str, contract: Contract, registry=None,

@@ -558,7 +558,7 @@ def _write_history_q(spark, sf_dir):
     ing = _ingest(spark, sf_dir, PRODUCT_CATALOG_V1)
     events = H.history_events(verdicts_for(ing), "2026-01-01 00:00:00")
     for _ in range(2):
-        H.write_history(events, path, "run-1")
+        H.write_history(events, path, "run-1", "source_identifier")
     ids = ing.files.select("source_identifier").distinct()
     ids = ids.unionByName(spark.createDataFrame([("no such file",)], "source_identifier string"))
     return H.read_history(spark, path, ids, "source_identifier").groupBy("source_identifier", "found").agg(

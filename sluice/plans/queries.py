@@ -21,7 +21,7 @@ from sluice.operators.contracts import (
 from sluice.operators.quality import summarize_quality
 from sluice.operators.validate import validate_rows, first_failure_per_file, file_atomic
 from sluice.plans import oracle as O
-from sluice.plans.ingest import Ingested, ingest_rows, verdicts_for
+from sluice.plans.ingest import Ingested, ingest_rows, one_pass_verdicts, verdicts_for
 from sluice.sources.tables import raw_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -247,7 +247,7 @@ def _summary_q(spark, sf_dir):
 def _verdicts_q(spark, sf_dir):
     frames = []
     for c in BUILT_IN_CONTRACTS:
-        v = verdicts_for(_ingest(spark, sf_dir, c))
+        v = one_pass_verdicts(raw_for(spark, sf_dir, c), c)
         frames.append(v.select(
             "source_identifier", "state", "failure_category", "failure_code",
             F.col("stages")[0]["state"].alias("ingestion_state"),

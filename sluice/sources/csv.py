@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -204,36 +204,42 @@ _EVENTS = pa.schema([("path", pa.string()), ("block", pa.int64()), ("line", pa.i
                      ("row_number", pa.int64())])
 
 
+def line_records(reader: RecordReader, line: bytes) -> Iterator[tuple[int, list[str] | None, str | None, bool]]:
+    """(line, fields, failure, whether it began before the first line) of the records that a line ends."""
+    try:
+        text = line.decode()
+    except UnicodeDecodeError:
+        reader.broken = True
+        yield reader.line, None, INVALID_UTF8, False
+        return
+    if not reader.inside and '"' not in text and "\r" not in text[:-1]:
+        text = text.removesuffix("\r")
+        if text:
+            yield reader.line, text.split(","), None, False
+        reader.line += 1
+        return
+    before = reader.line
+    for at, fields, early in reader.feed(text):
+        yield at, fields, None, early
+    if reader.broken:
+        yield before, None, MALFORMED, False
+
+
 def block_records(lines: Iterator[tuple[bytes, bool]], inside: bool = False,
                   closes: bool = False) -> Iterator[tuple[int, list[str] | None, str | None]]:
     """(line, fields, failure) of the records that begin in a block, up to its first failure."""
     reader, begun = RecordReader(inside), not inside
     for line, after in lines:
-        if after and not reader.inside or after and not closes:
+        if after and not (reader.inside and closes):
             break
         if after and not begun:  # the record open at the start goes on beyond the block
             return
-        try:
-            text = line.decode()
-        except UnicodeDecodeError:
-            yield reader.line, None, INVALID_UTF8
-            return
-        if not reader.inside and '"' not in text and "\r" not in text[:-1]:
-            text = text.removesuffix("\r")
-            if text:
-                yield reader.line, text.split(","), None
-            reader.line += 1
-            continue
-        before = reader.line
-        for at, fields, early in reader.feed(text):
+        for at, fields, failure, early in line_records(reader, line):
             begun = True
             if not early:
-                yield at, fields, None
-            if after:
+                yield at, fields, failure
+            if failure or after:
                 return
-        if reader.broken:
-            yield before, None, MALFORMED
-            return
     if reader.inside and begun and not closes:
         yield reader.line, None, MALFORMED
 
@@ -364,3 +370,64 @@ def parse_text_rows(texts: DataFrame, text_col: str = "csv_text") -> DataFrame:
     tables): same output as :func:`read_governed_csv`."""
     files = texts.withColumn("content", F.encode(F.col(text_col), "UTF-8")).drop(text_col)
     return read_governed_csv(files)
+
+
+class GovernedCsv:
+    """The parser as a table function, one file at a time in the order of its blocks.
+
+    ``governed_csv(TABLE(blocks) PARTITION BY path ORDER BY block)`` over rows of (path, block,
+    content), where the contents of a path's blocks make up the file, cut anywhere. Gives one
+    `row` row per data record before the file's first failure and one `file` row with its status at the
+    end; rows of a file whose status names a failure are not valid."""
+
+    def __init__(self):
+        self.reader, self.rest, self.first = RecordReader(), b"", True
+        self.path = self.headers = self.failure = None
+        self.at = self.expected = self.actual = None
+        self.rows = 0
+
+    def _line(self, line: bytes) -> Iterator[tuple]:
+        if self.first:
+            line, self.first = line.removeprefix(codecs.BOM_UTF8), False
+        for at, fields, failure, _ in line_records(self.reader, line):
+            if failure:
+                self.failure = failure
+            elif self.headers is None:
+                self.headers = fields
+                self.failure = (EMPTY_HEADER if "" in fields else
+                                DUPLICATE_HEADER if len(set(fields)) < len(fields) else None)
+                self.at = at + 1 if self.failure else None
+            elif len(fields) != len(self.headers):
+                self.failure, self.at, self.expected, self.actual = ROW_WIDTH, at + 1, len(self.headers), len(fields)
+            else:
+                self.rows += 1
+                yield self.path, "row", at + 1, self.headers, fields, None, None, None, None
+            if self.failure:
+                return
+
+    def eval(self, row) -> Iterator[tuple]:
+        self.path = row["path"]
+        lines = (self.rest + (row["content"] or b"")).split(b"\n")
+        self.rest = lines.pop()
+        for line in lines:
+            if self.failure:
+                return
+            yield from self._line(line)
+
+    def terminate(self) -> Iterator[tuple]:
+        if self.path is None:
+            return
+        if not self.failure and self.rest:
+            yield from self._line(self.rest)
+        if not self.failure and self.reader.inside:
+            self.failure = MALFORMED
+        if not self.failure and self.headers is None:
+            self.failure = MISSING_HEADER
+        sound = self.failure is None
+        yield (self.path, "file", self.at, self.headers if sound else None, None, self.failure, self.expected,
+               self.actual, self.rows if sound else None)
+
+
+def register_governed_csv(spark: SparkSession, name: str = "governed_csv") -> None:
+    """Make :class:`GovernedCsv` callable from SQL under ``name``."""
+    spark.udtf.register(name, F.udtf(GovernedCsv, returnType=f"path string, {PARSED_SCHEMA}"))
