@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +23,13 @@ from pyspark.sql import functions as F
 
 from sluice.llm.bpe import vocabulary, vocabulary_path
 from sluice.llm.common import attach, materialize, pick
-from sluice.llm.units import Memo, unit_blocks
+from sluice.llm.units import BLOCK_CHARS, Memo, byte_ids, is_plain, unit_blocks, units
 
 #: Units of text, and links of different units, that a chunk holds before it ends.
 CHUNK_UNITS = 2_000_000
 CHUNK_LINKS = 1_000_000
+#: Units whose alignment is remembered by a task, twice.
+CACHE_UNITS = 200_000
 
 
 def piece_path() -> str:
@@ -50,8 +53,8 @@ def align(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> t
     return ";".join(groups), links
 
 
-#: A unit's result: tokens of both, groups, their text and links (a << 32 | b); None if the bytes differ.
-Unit = tuple[int, int, int, str, np.ndarray] | None
+#: A unit's result: tokens of both, groups, their text and links (a << 32 | b, as bytes); None if the bytes differ.
+Unit = tuple[int, int, int, bytes, bytes] | None
 
 
 class Aligner:
@@ -64,7 +67,9 @@ class Aligner:
         self.bytes_tokenizer.no_padding()
         self.bytes_tokenizer.no_truncation()
         self.bytes_tokenizer.encode_special_tokens = True
-        self.bytes_of_a = vocabulary(byte_path).bytes_of
+        self.plain = byte_ids(byte_path).plain
+        v = vocabulary(byte_path)
+        self.bytes_of_a = [v.bytes_of.get(i, b"") for i in range(max(v.bytes_of) + 1)]
         sp = self.piece_tokenizer = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.bytes_of_b = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode()
                            for i, p in enumerate(sp.id_to_piece(list(range(sp.get_piece_size()))))]
@@ -72,29 +77,74 @@ class Aligner:
                for i, p in enumerate(self.bytes_of_b)):
             raise ValueError("a piece goes on beyond a space that follows something else")
         self.space = sp.piece_to_id("▁")
-        self.memo = Memo(self._make)
-
-    def _make(self, new: list[str]) -> Iterator[Unit]:
-        as_bytes = self.bytes_tokenizer.encode_batch_fast([" " + u for u in new], add_special_tokens=False)
-        as_pieces = self.piece_tokenizer.encode(new, num_threads=1)
-        for unit, left, right in zip(new, as_bytes, as_pieces, strict=True):
-            yield self._unit(f" {unit}".encode(), left.ids, right if unit else [self.space])
-
-    def _unit(self, data: bytes, a: list[int], b: list[int]) -> Unit:
+        self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_of_a, self.bytes_of_b))
+        # what a token looks like in the text of groups: its id and what comes after it, inside or at the end
+        self.text = [b"%d%c" % (i, c) for i in range(len(self.bytes_of_a)) for c in b",|"]
+        self.from_b = len(self.text)
+        self.text += [b"%d%c" % (i, c) for i in range(len(self.bytes_of_b)) for c in b",;"]
+        self.any_differs = False
+        self.memo = Memo(self._make, CACHE_UNITS)
+
+    def fits(self, some: list[str]) -> bool:
+        """Whether both tokenizers give back the bytes of all these units."""
+        known = self.memo.fill(some)
+        return not self.any_differs or None not in map(known.__getitem__, some)
+
+    def _make(self, new: list[str]) -> list[Unit]:
+        """All at once as one text, where its units can't run together; else one by one."""
+        plain = [u for u in new if u and not u[-1].isspace()]
+        made = dict(zip(plain, self._together(plain) or map(self._alone, plain), strict=True))
+        out = [made[u] if u in made else self._alone(u) for u in new]
+        self.any_differs = self.any_differs or None in out
+        return out
+
+    def _alone(self, unit: str) -> Unit:
+        data = f" {unit}".encode()
+        a = self.bytes_tokenizer.encode(f" {unit}", add_special_tokens=False).ids
+        b = self.piece_tokenizer.encode(unit) if unit else [self.space]
         a_bytes, b_bytes = [self.bytes_of_a[i] for i in a], [self.bytes_of_b[i] for i in b]
         if b"".join(a_bytes) != data or b"".join(b_bytes) != data:
             return None
-        a_ends, b_ends, at = [], [], 0
-        for t in a_bytes:
-            at += len(t)
-            a_ends.append(at)
-        at = 0
-        for t in b_bytes:
-            at += len(t)
-            b_ends.append(at)
-        groups, links = align(a, a_ends, b, b_ends)
-        return (len(a), len(b), len(a) + len(b) - len(links), groups,
-                np.array([x << 32 | y for x, y in links], np.int64))
+        groups, links = align(a, list(accumulate(map(len, a_bytes))), b, list(accumulate(map(len, b_bytes))))
+        return (len(a), len(b), len(a) + len(b) - len(links), groups.encode(),
+                np.array([x << 32 | y for x, y in links], np.int64).tobytes())
+
+    def _together(self, units: list[str]) -> list[Unit] | None:
+        """The results of units by aligning the text that they make up; None if its bytes differ."""
+        if not units:
+            return []
+        text = " ".join(units)
+        data = f" {text}".encode()
+        if self.plain and is_plain(text):
+            a = np.array(self.plain.encode_ordinary(" " + text), np.int64)
+        else:
+            a = np.array(self.bytes_tokenizer.encode(" " + text, add_special_tokens=False).ids, np.int64)
+        b = np.array(self.piece_tokenizer.encode(text), np.int64)
+        if any(b"".join([t[i] for i in ids.tolist()]) != data for t, ids in ((self.bytes_of_a, a), (self.bytes_of_b, b))):
+            return None
+        a_ends, b_ends = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        # each stretch between neighbouring ends is one overlapping pair of tokens
+        ends = np.union1d(a_ends, b_ends)
+        of_a, of_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        links = a[of_a] << 32 | b[of_b]
+        both = ends[(a_ends[of_a] == ends) & (b_ends[of_b] == ends)]
+        unit_ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        if not np.isin(unit_ends, both).all():
+            return None
+        # the text of the groups: of each group the tokens of a, then those of b
+        a_last, b_last = np.isin(a_ends, both), np.isin(b_ends, both)
+        group_a, group_b = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
+        place_a = np.arange(len(a)) + np.concatenate(([0], np.flatnonzero(b_last) + 1))[group_a]
+        place_b = np.arange(len(b)) + (np.flatnonzero(a_last) + 1)[group_b]
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[place_a], shown[place_b] = 2 * a + a_last, self.from_b + 2 * b + b_last
+        texts = list(map(self.text.__getitem__, shown.tolist()))
+        at = [np.concatenate(([0], np.searchsorted(x, unit_ends, "right"))) for x in (a_ends, b_ends, both, ends)]
+        counts = [np.diff(x).tolist() for x in at[:3]]
+        word = (at[0] + at[1]).tolist()
+        place, packed = (8 * at[3]).tolist(), links.tobytes()
+        return [(n_a, n_b, n_groups, b"".join(texts[w:x])[:-1], packed[k:m]) for n_a, n_b, n_groups, w, x, k, m in zip(
+            *counts, word, word[1:], place, place[1:], strict=False)]
 
 
 @lru_cache(1)
@@ -117,30 +167,23 @@ class _Chunk:
     def __init__(self, number: int):
         self.number = number
         self.code: dict[str, int] = {}
-        self.sizes: list[tuple[int, int, int]] = []
-        self.groups: list[str] = []
-        self.links: list[np.ndarray] = []
+        self.units: list[Unit] = []
         self.n_links = self.n_units = 0
         self.weight = np.zeros(0, np.int64)
         self.texts: list[tuple] = []
 
     def codes(self, some: list[str], known: dict[str, Unit]) -> np.ndarray:
         code = self.code
-        for u in dict.fromkeys(some):
-            if u not in code:
-                n_a, n_b, n_groups, groups, links = known[u]
-                code[u] = len(code)
-                self.sizes.append((n_a, n_b, n_groups))
-                self.groups.append(groups)
-                self.links.append(links)
-                self.n_links += len(links)
-        return np.array([code[u] for u in some], np.uint32)
+        for u in dict.fromkeys([u for u in some if u not in code]):
+            code[u] = len(code)
+            self.units.append(known[u])
+            self.n_links += len(known[u][4]) // 8
+        return np.fromiter(map(code.__getitem__, some), np.uint32, len(some))
 
     def add(self, codes: np.ndarray, copies: int) -> None:
         if len(self.weight) < len(self.code):
             self.weight = np.concatenate((self.weight, np.zeros(2 * len(self.code) - len(self.weight), np.int64)))
-        used, n = np.unique(codes, return_counts=True)
-        self.weight[used] += n * copies
+        np.add.at(self.weight, codes, copies)
         self.n_units += len(codes)
 
     def full(self) -> bool:
@@ -149,9 +192,9 @@ class _Chunk:
     def batches(self) -> Iterator[pa.RecordBatch]:
         if not self.texts:
             return
-        sizes = np.array(self.sizes, np.int64)
-        lengths = np.array([len(x) for x in self.links], np.int64)
-        pairs, numbers = np.unique(np.concatenate(self.links), return_inverse=True)
+        sizes = np.array([u[:3] for u in self.units], np.int64)
+        lengths = sizes[:, 0] + sizes[:, 1] - sizes[:, 2]
+        pairs, numbers = np.unique(np.frombuffer(b"".join([u[4] for u in self.units]), np.int64), return_inverse=True)
         weight = np.zeros(len(pairs), np.int64)
         np.add.at(weight, numbers, np.repeat(self.weight[:len(lengths)], lengths))
         yield _batch(len(pairs), chunk=self.number, kind=2, pair=np.arange(len(pairs), dtype=np.int32),
@@ -176,6 +219,22 @@ def _batch(rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([column(f.name, f.type) for f in SCHEMA], schema=SCHEMA)
 
 
+def _some_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Texts by the megabyte: sha, units (None: a long text), the long text, copies."""
+    held, size = [], 0
+    for batch in batches:
+        for sha, text, copies in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            text = text.as_py()
+            short = len(text) < BLOCK_CHARS
+            held.append((sha.as_py(), units(text) if short else None, None if short else text, copies))
+            size += len(text)
+            if size >= BLOCK_CHARS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def chunks(texts: DataFrame, byte_path: str, pieces: str) -> DataFrame:
     """Chunks (see ROWS) of the different texts in ``texts``: sha, text, copies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,31 +242,33 @@ def chunks(texts: DataFrame, byte_path: str, pieces: str) -> DataFrame:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tool, number = aligner(byte_path, pieces), TaskContext.get().partitionId() << 32
         chunk = _Chunk(number)
-        for batch in batches:
-            for sha, text, copies in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                sha, text = sha.as_py(), text.as_py()
-                parts = list(unit_blocks(text)) if len(text) < 1 << 20 else None
-                # a long text is looked through before any of it counts
-                if not all(None not in map(tool.memo.fill(p).__getitem__, p) for p in parts or unit_blocks(text)):
+
+        def full() -> Iterator[pa.RecordBatch]:
+            nonlocal chunk, number
+            if chunk.full():
+                yield from chunk.batches()
+                number += 1
+                chunk = _Chunk(number)
+
+        for some in _some_texts(batches):
+            tool.memo.fill(chain.from_iterable(parts for _, parts, _, _ in some if parts))
+            for sha, parts, long, copies in some:
+                blocks = lambda: iter([parts]) if parts is not None else unit_blocks(long)  # noqa: E731, B023
+                # a text is looked through before any of it counts
+                if not all(tool.fits(p) for p in blocks()):
                     continue
                 digest, before, last = hashlib.sha256(), b"", None
-                for part in parts or unit_blocks(text):
+                for part in blocks():
                     if last is not None:
                         chunk.texts.append((sha, last, None, copies))
-                        if chunk.full():
-                            yield from chunk.batches()
-                            number += 1
-                            chunk = _Chunk(number)
-                    last = chunk.codes(part, tool.memo.fill(part))
+                        yield from full()
+                    known = tool.memo.fill(part)
+                    last = chunk.codes(part, known)
                     chunk.add(last, copies)
-                    groups = chunk.groups
-                    digest.update(before + ";".join([groups[c] for c in last.tolist()]).encode())
+                    digest.update(before + b";".join([known[u][3] for u in part]))
                     before = b";"
                 chunk.texts.append((sha, last, digest.hexdigest(), copies))
-                if chunk.full():
-                    yield from chunk.batches()
-                    number += 1
-                    chunk = _Chunk(number)
+                yield from full()
         yield from chunk.batches()
 
     return texts.select("sha", "text", "copies").mapInArrow(run, ROWS)

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -79,6 +80,32 @@ def test_units_hold_whole_tokens():
             assert [i for p in ids.parts(text) for i in p.tolist()] == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_units_together_and_alone_agree():
+    rng = random.Random(7)
+    tool = A.Aligner(vocabulary_path(), A.piece_path())
+    letters = list("ab1é'.-\u2581中") + ["the", "ing", "\n", "\t", "  ", "ǌ"]
+    for odd in (True, False):
+        some = list(dict.fromkeys("".join(rng.choice(letters if odd else letters[:7]) for _ in range(rng.randrange(1, 9))) for _ in range(2000)))
+        some = [u for x in some for u in U.units("x " + x + " y")]
+        some = [u for u in dict.fromkeys(some) if u and not u[-1].isspace()]
+        plain = [u for u in some if "\u2581" not in u]
+        assert tool._together(plain) == [tool._alone(u) for u in plain]
+        assert (tool._together(some) is None) == odd
+        assert tool._make(some) == [tool._alone(u) for u in some]
+
+
+def test_every_plain_character_is_classed_alike():
+    ids = U.ByteIds(vocabulary_path())
+    assert ids.plain
+    tok = Tokenizer.from_file(vocabulary_path())
+    marks = ["a", "1", "-", " ", "\n", "'", "é"]
+    for c in map(chr, range(0x250)):
+        text = "".join(f"{m}{c}{n}{c} {c}  {c}" for m in marks for n in marks)
+        assert U.is_plain(text)
+        assert [i for p in ids.parts(text) for i in p.tolist()] == tok.encode(text, add_special_tokens=False).ids
+    assert not U.is_plain("x" * 1000) and not U.is_plain(" " * 1000) and not U.is_plain("\u0250")
+
+
 def test_blocks_are_the_whole_text(monkeypatch):
     monkeypatch.setattr(U, "BLOCK_CHARS", 20)
     text = "  one two   three\nfour " * 9
@@ -130,7 +157,7 @@ def test_long_texts_span_chunks():
     assert tuple(sum(r[c] for r in sums) for c in ("n_a", "n_b", "n_groups", "n_links")) == row[1:5]
     links = Counter()
     for u in whole.split(" "):
-        for x in tool.memo.fill([u])[u][4].tolist():
+        for x in np.frombuffer(tool.memo.fill([u])[u][4], np.int64).tolist():
             links[x >> 32, x & 0xFFFFFFFF] += 2
     assert links == weights
 
