@@ -1,18 +1,22 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Word classes (insult, threat, target, negation, reported speech) feed small
-transducers over the words of one clause; composed, they give each clause the
-weight of its insults and threats, split by whether it is aimed at somebody,
-negated or reported. The insult class is learned from labels as whole words and word
-beginnings; the weights of the composed outcomes are learned on the same documents."""
+Five transducers read the word classes of one clause: negation and reported speech tag the words
+in their reach, target guesses whether the clause is aimed at somebody and accepts if the guess
+was right, insult and threat turn tagged words into weighted outcomes. They are composed once
+into one machine. Its states step from word to word, so a clause's score is the weight of its
+accepted path: insults that are plain, aimed, negated or reported, and threats. The insult and
+threat classes are learned from labels as whole words and word beginnings; the weights of
+the composed outcomes are learned on the same documents. Targets, negations, reports
+and a first list of threats are closed classes of the four languages, listed below."""
 
 from __future__ import annotations
 
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import ahocorasick
 import numpy as np
@@ -49,53 +53,160 @@ _end = re.compile(f"[{ENDS}]")
 REACH = 4
 
 
+INSULT_CLASS, THREAT_CLASS, TARGET_CLASS, NEGATION_CLASS, REPORT_CLASS, OTHER_CLASS = range(6)
+
+
 @dataclass
 class Grammar:
-    """Insult words and beginnings with their weights, and the outcome weights."""
+    """Insult words and beginnings with their weights, the outcome weights, and threats like insults."""
     words: dict[str, float] = field(default_factory=dict)
     starts: dict[str, float] = field(default_factory=dict)
     weights: list[float] = field(default_factory=list)
+    threats: dict[str, float] = field(default_factory=lambda: dict.fromkeys(THREAT, 1.0))
+    threat_starts: dict[str, float] = field(default_factory=dict)
 
     def insult(self, word: str) -> float:
         """Weight of a word as an insult; 0 if it is none."""
-        best = self.words.get(word, 0.0)
+        return _weight(word, self.words, self.starts)
+
+    def threat(self, word: str) -> float:
+        return _weight(word, self.threats, self.threat_starts)
+
+    def class_of(self, word: str) -> tuple[int, float]:
+        """The class of a word and its weight in it."""
+        if weight := self.insult(word):
+            return INSULT_CLASS, weight
+        if word in NEGATION:
+            return NEGATION_CLASS, 0.0
+        if word in REPORT:
+            return REPORT_CLASS, 0.0
+        if word in TARGET:
+            return TARGET_CLASS, 0.0
+        weight = self.threat(word)
+        return (THREAT_CLASS, weight) if weight else (OTHER_CLASS, 0.0)
+
+
+def _weight(word: str, words: dict[str, float], starts: dict[str, float]) -> float:
+    best = words.get(word, 0.0)
+    if starts:
         for n in BEGINNINGS:
-            best = max(best, self.starts.get(word[:n], 0.0) if len(word) >= n else 0.0)
-        return best
+            best = max(best, starts.get(word[:n], 0.0) if len(word) >= n else 0.0)
+    return best
 
 
 #: Outcomes of a clause: plain, aimed, negated, reported insults, and threats.
+PLAIN, AIMED, NEGATED, REPORTED, THREATENED = range(5)
 OUTCOMES = 5
 
 
+@dataclass(frozen=True)
+class Transducer:
+    """Start states, final states, and the arc from a state by a symbol: (next state, output, weight).
+
+    A symbol without an arc ends the path; a path counts if it ends in a final state. Weights
+    multiply along composed arcs and add up along a path, by output."""
+    starts: tuple[Hashable, ...]
+    final: Callable[[Hashable], bool]
+    arc: Callable[[Hashable, Hashable], tuple[Hashable, Hashable, float] | None]
+
+
+def compose(a: Transducer, b: Transducer) -> Transducer:
+    """The transducer that reads what ``a`` reads and writes what ``b`` makes of the output of ``a``."""
+    def arc(state, symbol):
+        first = a.arc(state[0], symbol)
+        second = first and b.arc(state[1], first[1])
+        return second and ((first[0], second[0]), second[1], first[2] * second[2])
+
+    return Transducer(tuple((x, y) for x in a.starts for y in b.starts),
+                      lambda s: a.final(s[0]) and b.final(s[1]), arc)
+
+
+def scope_transducer(word_class: int) -> Transducer:
+    """Tags every symbol with whether a word of the class stands within REACH words before it."""
+    def arc(since, symbol):
+        since = min(since + 1, REACH + 1)
+        return 0 if symbol[0] == word_class else since, (*symbol, since <= REACH), 1.0
+
+    return Transducer((REACH + 1,), lambda _: True, arc)
+
+
+def target_transducer() -> Transducer:
+    """Tags every symbol with the guess that the clause has a target, before or after it.
+
+    States: the guess, and whether a target was met; the path of the wrong guess doesn't end."""
+    def arc(state, symbol):
+        guess, met = state
+        met = met or symbol[0] == TARGET_CLASS
+        return None if met and not guess else ((guess, met), (*symbol, guess), 1.0)
+
+    return Transducer(((True, False), (False, False)), lambda s: s[0] == s[1], arc)
+
+
+def insult_transducer() -> Transducer:
+    """Tagged insults become outcomes; other symbols stay."""
+    def arc(state, symbol):
+        kind, negated, reported, aimed = symbol
+        if kind != INSULT_CLASS:
+            return state, symbol, 1.0
+        return state, REPORTED if reported else NEGATED if negated else AIMED if aimed else PLAIN, 1.0
+
+    return Transducer((0,), lambda _: True, arc)
+
+
+def threat_transducer() -> Transducer:
+    """Threats at somebody, neither negated nor reported, become outcomes; other words nothing."""
+    def arc(state, symbol):
+        if isinstance(symbol, int):
+            return state, symbol, 1.0
+        return state, THREATENED if symbol == (THREAT_CLASS, False, False, True) else None, 1.0
+
+    return Transducer((0,), lambda _: True, arc)
+
+
+class Machine:
+    """A transducer over word classes as tables: of each state by class the next state, output and weight."""
+
+    def __init__(self, t: Transducer):
+        number = {s: i for i, s in enumerate(t.starts)}
+        self.starts = list(number.values())
+        self.table: list[list[tuple[int, int | None, float] | None]] = []
+        states = list(number)
+        for state in states:  # grows while it is read
+            row = []
+            for kind in range(OTHER_CLASS + 1):
+                arc = t.arc(state, (kind,))
+                if arc and arc[0] not in number:
+                    number[arc[0]] = len(states)
+                    states.append(arc[0])
+                row.append(arc and (number[arc[0]], arc[1], arc[2]))
+            self.table.append(row)
+        self.final = [t.final(s) for s in states]
+
+    def run(self, classes: Iterable[tuple[int, float]]) -> list[float]:
+        """The summed weights of the accepted path's outputs; all paths step side by side."""
+        paths = [(s, [0.0] * OUTCOMES) for s in self.starts]
+        for kind, weight in classes:
+            alive = []
+            for state, out in paths:
+                arc = self.table[state][kind]
+                if arc:
+                    if arc[1] is not None:
+                        out[arc[1]] += arc[2] * weight
+                    alive.append((arc[0], out))
+            paths = alive
+        return next((out for state, out in paths if self.final[state]), [0.0] * OUTCOMES)
+
+
+@cache
+def grammar_machine() -> Machine:
+    """The five transducers in one."""
+    tags = compose(compose(scope_transducer(NEGATION_CLASS), scope_transducer(REPORT_CLASS)), target_transducer())
+    return Machine(compose(compose(tags, insult_transducer()), threat_transducer()))
+
+
 def transduce(words: Iterable[str], grammar: Grammar) -> list[float]:
-    """One clause through the composed transducers: the weight of each outcome.
-
-    States: words since a negation and since a report (up to REACH), and the
-    target last seen; a threat needs a target in the same clause."""
-    out = [0.0] * OUTCOMES
-    negated = reported = REACH + 1
-    target, threats = False, 0.0
-    for w in words:
-        negated, reported = negated + 1, reported + 1
-        weight = grammar.insult(w)
-        if weight:
-            if reported <= REACH:
-                out[3] += weight
-            elif negated <= REACH:
-                out[2] += weight
-            else:
-                out[1 if target else 0] += weight
-        elif w in NEGATION:
-            negated = 0
-        elif w in REPORT:
-            reported = 0
-        elif w in TARGET:
-            target = True
-        elif w in THREAT:
-            threats += negated > REACH and reported > REACH
-    out[4] = threats if target else 0.0
-    return out
+    """One clause through the composed transducers: the weight of each outcome."""
+    return grammar_machine().run(map(grammar.class_of, words))
 
 
 class Scorer:
@@ -104,7 +215,7 @@ class Scorer:
     def __init__(self, grammar: Grammar):
         self.grammar = grammar
         self.finder = ahocorasick.Automaton()
-        for w in {*grammar.words, *grammar.starts, *THREAT}:
+        for w in {*grammar.words, *grammar.starts, *grammar.threats, *grammar.threat_starts}:
             self.finder.add_word(w, len(w))
         self.finder.make_automaton()
 
@@ -138,12 +249,22 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def patterns_of(text: str) -> set[str]:
-    """The words of a text and their beginnings (marked by a star)."""
-    words = set(_word.findall(text.lower()))
+def _words_and_beginnings(words: set[str]) -> set[str]:
     return words | {w[:n] + "*" for n in BEGINNINGS for w in words if len(w) >= n}
 
 
+def patterns_of(text: str) -> set[str]:
+    """The words of a text and their beginnings (marked by a star), and once more, marked by an at
+    sign, those in clauses that have a target."""
+    text = text.lower()
+    aimed: set[str] = set()
+    for clause in _end.split(text):
+        words = set(_word.findall(clause))
+        if words & TARGET:
+            aimed |= words - TARGET
+    return _words_and_beginnings(set(_word.findall(text))) | {"@" + p for p in _words_and_beginnings(aimed)}
+
+
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         toxic: Counter[str] = Counter()
@@ -158,7 +279,7 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _akin(a: str, b: str) -> bool:
     """Whether one of two patterns begins the other, so that both name the same words."""
-    a, b = a.rstrip("*"), b.rstrip("*")
+    a, b = a.strip("@*"), b.strip("@*")
     return a.startswith(b) or b.startswith(a)
 
 
@@ -167,9 +288,10 @@ def _cover(shown: list[set[str]], weight: dict[str, float], support: int, common
     then those shown by at least ``common`` documents whose words none names yet.
 
     What counts is documents times weight, so a purer pattern beats a wider one; among
-    equals the whole word, then the longer beginning, then the one that sorts first."""
+    equals one that needs no target, then the whole word, then the longer beginning, then the one
+    that sorts first."""
     def best(count: Counter[str]) -> str:
-        return min(count, key=lambda p: (-count[p] * weight[p], p[-1] == "*", -len(p), p))
+        return min(count, key=lambda p: (-count[p] * weight[p], p[0] == "@", p[-1] == "*", -len(p), p))
 
     left, chosen = [s for s in shown if s], []
     while left:
@@ -227,8 +349,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     toxic = taken.where("label = 1").select("text").mapInArrow(shown, "shown array<string>").collect()
     chosen = _cover([set(r["shown"]) for r in toxic], weight, max(2, support // 2), max(support, n[1] // COMMON))
-    grammar = Grammar({p: weight[p] for p in chosen if p[-1] != "*"},
-                      {p[:-1]: weight[p] for p in chosen if p[-1] == "*"})
+    # what is toxic only beside a target is a threat; the closed list's words count like the least of them
+    kinds = {(at, star): {p.strip("@*"): weight[p] for p in chosen if (p[0] == "@", p[-1] == "*") == (at, star)}
+             for at in (False, True) for star in (False, True)}
+    grammar = Grammar(kinds[False, False], kinds[False, True],
+                      threats=dict.fromkeys(THREAT, math.log(ODDS)) | kinds[True, False], threat_starts=kinds[True, True])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(grammar)

@@ -1,5 +1,6 @@
 """The pattern grammar: clauses by hand, learning, held-out accuracy, odd rows."""
 
+import itertools
 import random
 
 from pyspark.sql import functions as F
@@ -31,6 +32,85 @@ def test_outcomes():
     assert _run("") == _run("plain words") == [0] * 5
 
 
+def test_targets_on_both_sides():
+    assert _run("What an idiot you are") == [0, 2, 0, 0, 0]
+    assert _run("an idiot like you") == [0, 2, 0, 0, 0]
+    assert _run("not an idiot like you") == [0, 0, 2, 0, 0]
+    assert _run("kill. you") == [0] * 5
+    assert _run("he would never kill") == [0] * 5
+
+
+def _by_definition(clause):
+    """Outcomes of (class, weight) pairs, word by word, looking back and ahead in the list."""
+    out = [0.0] * T.OUTCOMES
+    kinds = [k for k, _ in clause]
+    for i, (kind, weight) in enumerate(clause):
+        near = kinds[max(0, i - T.REACH):i]
+        negated, reported = T.NEGATION_CLASS in near, T.REPORT_CLASS in near
+        aimed = T.TARGET_CLASS in kinds
+        if kind == T.INSULT_CLASS:
+            out[T.REPORTED if reported else T.NEGATED if negated else T.AIMED if aimed else T.PLAIN] += weight
+        if kind == T.THREAT_CLASS and aimed and not negated and not reported:
+            out[T.THREATENED] += weight
+    return out
+
+
+def _all_paths(parts, clause):
+    """Every path through the five transducers one after the other, without composing them."""
+    found = []
+    for starts in itertools.product(*[t.starts for t in parts]):
+        states, out = list(starts), [0.0] * T.OUTCOMES
+        for kind, weight in clause:
+            symbol = (kind,)
+            for i, t in enumerate(parts):
+                arc = t.arc(states[i], symbol)
+                if arc is None:
+                    break
+                states[i], symbol, factor = arc
+                weight *= factor
+            else:
+                if symbol is not None:
+                    out[symbol] += weight
+                continue
+            break
+        else:
+            if all(t.final(s) for t, s in zip(parts, states)):
+                found.append(out)
+    return found
+
+
+def test_composed_machine_is_every_path_of_its_parts():
+    parts = [T.scope_transducer(T.NEGATION_CLASS), T.scope_transducer(T.REPORT_CLASS), T.target_transducer(),
+             T.insult_transducer(), T.threat_transducer()]
+    machine = T.grammar_machine()
+    assert len(machine.table) > 50
+    rng = random.Random(3)
+    clauses = [c for n in range(5) for c in itertools.product(range(6), repeat=n)]
+    clauses += [tuple(rng.choice([0, 1, 2, 3, 4, 5, 5, 5]) for _ in range(rng.randrange(5, 25))) for _ in range(1500)]
+    for kinds in clauses:
+        clause = [(k, 1.0 + i) for i, k in enumerate(kinds)]
+        paths = _all_paths(parts, clause)
+        assert len(paths) == 1
+        assert machine.run(clause) == paths[0] == _by_definition(clause)
+
+
+def test_threats_are_learned_as_words_beside_targets(spark):
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in "bdfgk" for b in ("arna", "elst", "impo", "oru")]
+
+    def doc(toxic):
+        t = [rng.choice(words) for _ in range(30)]
+        t += ["grobble", "you"] if toxic else rng.choice([["grobble", "time"], ["you", "rest"], ["fine", "day"]])
+        return " ".join(t) + ". " + " ".join(rng.choice(words) for _ in range(9))
+
+    rows = [(i, doc(i % 4 == 0), int(i % 4 == 0)) for i in range(1200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    grammar = T.learn(frame, frame.where("doc_id % 5 != 0"))
+    assert grammar.threat("grobble") > 0 and grammar.insult("grobble") == 0
+    got = {r.doc_id: r.predicted for r in T.score(frame, grammar).collect()}
+    assert all(got[i] == label for i, _, label in rows)
+
+
 def test_long_clauses_are_read_whole():
     filler = "lantern " * 70  # 560 characters without the end of a clause
     assert _run("you " + filler + "kill") == [0, 0, 0, 0, 1]
