@@ -1,26 +1,35 @@
-"""Substring dedup by shared seeds and digests of the windows around them.
-
-Seeds are winnowed word k-grams: every window of WINDOW words holds at least one,
-chosen by the window's words alone, so equal windows hold equal seeds. Documents
-are joined on seeds that more than one of them has. No match is grown from a pair of
-seeds: all windows that hold a shared seed are keyed by a 128-bit digest of their
-words, and a window that a smaller document also has marks its words. Words outside shared seeds' reach never
-leave their document."""
+"""Substring dedup by seed and extend.
+
+Seeds are winnowed word k-grams: every window of WINDOW words holds at least one, chosen by the
+window's words alone, so equal windows hold equal seeds. Documents are joined on the seeds (anchors)
+that more than one of them has. Every occurrence of an anchor is compared with one holder, the
+smallest document's: the match is extended to both sides, word by word, and is a
+repeat if it reaches the window. What an occurrence doesn't share with that holder
+it may share with another, so the windows left over go on with longer anchors: the anchor and
+what all windows of a part of them have around it, first halves, then quarters, then
+single windows. Occurrences whose anchor no other document has drop out, so most take part
+once or twice. There are no pairs of occurrences, however many documents an anchor has. Matches
+on one diagonal that touch are one maximal repeat."""
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick, values
 
 WINDOW = 50
 SEED_WORDS = 16
+#: Words of a document that are extended in one go, and bytes of a word's hash in a holder's context.
+SEGMENT = 16_384
+CONTEXT_BYTES = 6
+_CONTEXT_BITS = np.uint64((1 << 8 * CONTEXT_BYTES) - 1)
 
 _rng = np.random.default_rng(0x5EED)
 _BYTES = _rng.integers(0, 2**64, (2, 256), np.uint64)
@@ -149,41 +158,209 @@ def _scan(window: int):
     return run
 
 
-def _windows(window: int):
-    """The windows that hold a shared seed: (k1, k2, doc_id, sha, start)."""
+def _size(window: int) -> int:
+    return min(SEED_WORDS, window)
+
+
+def _segments(window: int):
+    """Documents in segments of their words, with the margin that extension looks at, and
+    the places of shared seeds in each: (doc_id, tag, seg, base, text, places)."""
+    margin, size = window - _size(window), _size(window)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k1", "k2", "doc_id", "tag", "start"]
         for batch in batches:
-            cols = [values(batch.column(i)) for i in range(4)]
-            for doc_id, tag, text, places in zip(*cols, strict=True):
-                data = text.encode()
-                first = word_hashes(data, 0)
-                keys = [rolling(first, window, _BASES[3]), rolling(word_hashes(data, 1), window, _BASES[4])]
-                mark = np.zeros(len(first) + 2, np.int32)
-                p = np.array(places, np.int64)
-                np.add.at(mark, np.maximum(p - (window - min(SEED_WORDS, window)), 0), 1)
-                np.add.at(mark, p + 1, -1)
-                start = np.flatnonzero(np.cumsum(mark)[:len(keys[0])] > 0)
-                for at in range(0, len(start), 200_000):
-                    s = start[at:at + 200_000]
+            for doc_id, tag, text, places in zip(*[values(batch.column(i)) for i in range(4)], strict=True):
+                words, p = text.encode().split(), np.unique(np.array(places, np.int64))
+                for seg in np.unique(p // SEGMENT).tolist():
+                    base = max(0, seg * SEGMENT - margin)
+                    part = b" ".join(words[base:(seg + 1) * SEGMENT + size + margin]).decode()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[0][s].view(np.int64)), pa.array(keys[1][s].view(np.int64)),
-                         pa.array(np.full(len(s), doc_id, np.int64)), pa.array(np.full(len(s), tag, np.int64)),
-                         pa.array(s.astype(np.int32))], names=names)
+                        [pa.array([doc_id], pa.int64()), pa.array([tag], pa.int64()), pa.array([seg], pa.int32()),
+                         pa.array([base], pa.int64()), pa.array([part], pa.string()),
+                         pa.array([p[p // SEGMENT == seg].tolist()], pa.list_(pa.int64()))],
+                        names=["doc_id", "tag", "seg", "base", "text", "places"])
+    return run
+
+
+SEGMENTS = "doc_id long, tag long, seg int, base long, text string, places array<long>"
+
+
+class _Segment:
+    """The word hashes of a segment, and digests of runs of its words."""
+
+    def __init__(self, text: str, base: int, window: int):
+        self.base, self.window = base, window
+        self.margin, self.size = window - _size(window), _size(window)
+        data = text.encode()
+        self.words = [word_hashes(data, family) for family in (0, 1)]
+        self._runs: dict[int, list[np.ndarray]] = {}
+
+    def keys(self, places: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """128-bit digests of what all windows that begin ``low`` to ``high`` words before a place share."""
+        length = self.size + low + self.margin - high
+        if length not in self._runs:
+            self._runs[length] = [rolling(w, length, b) for w, b in zip(self.words, _BASES[3:5], strict=True)]
+        at = places - self.base - low
+        first, second = self._runs[length]
+        return first[at].view(np.int64), second[at].view(np.int64)
+
+    def around(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the words before (nearest first) and after each place's seed, and how many
+        there are on each side."""
+        words, step = self.words[0] & _CONTEXT_BITS, np.arange(self.margin)
+        at = (places - self.base)[:, None]
+        before, after = at - 1 - step, at + self.size + step
+        both = np.concatenate((np.where(before >= 0, words[np.maximum(before, 0)], 0),
+                               np.where(after < len(words), words[np.minimum(after, len(words) - 1)], 0)), axis=1)
+        left = np.minimum(self.margin, at[:, 0])
+        return both, left, np.minimum(self.margin, len(words) - at[:, 0] - self.size)
+
+
+def _pack(context: np.ndarray) -> list[bytes]:
+    """Rows of word hashes, CONTEXT_BYTES each."""
+    rows = np.ascontiguousarray(context, "<u8").view(np.uint8).reshape(len(context), -1, 8)[:, :, :CONTEXT_BYTES]
+    return [r.tobytes() for r in rows]
+
+
+def _unpack(packed: list[bytes], width: int) -> np.ndarray:
+    out = np.zeros((len(packed), width, 8), np.uint8)
+    flat = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), width, CONTEXT_BYTES)
+    out[:, :, :CONTEXT_BYTES] = flat
+    return out.reshape(len(packed), -1).view("<u8")
+
+
+def _first_anchors(window: int):
+    """The occurrences of shared seeds: (k1, k2, low, doc_id, tag, seg, place)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, tag, seg, base, text, places in zip(*[values(batch.column(i)) for i in range(6)], strict=True):
+                p = np.array(places, np.int64)
+                k1, k2 = _Segment(text, base, window).keys(p, 0, window - _size(window))
+                yield _anchors(k1, k2, 0, doc_id, tag, seg, p)
     return run
 
 
-def _kept(window: int):
+ANCHORS = "k1 long, k2 long, low int, doc_id long, tag long, seg int, place long"
+
+
+def _anchors(k1, k2, low, doc_id, tag, seg, places) -> pa.RecordBatch:
+    n = len(places)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(k1), pa.array(k2), pa.array(np.full(n, low, np.int32)), pa.array(np.full(n, doc_id, np.int64)),
+         pa.array(np.full(n, tag, np.int64)), pa.array(np.full(n, seg, np.int32)), pa.array(places)],
+        names=["k1", "k2", "low", "doc_id", "tag", "seg", "place"])
+
+
+def _contexts(window: int):
+    """The words around the holders' occurrences: (k1, k2, low, of_doc, of_place, left, right, context)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, base, text, held in zip(*[values(batch.column(i)) for i in range(4)], strict=True):
+                context, left, right = _Segment(text, base, window).around(np.array([h["place"] for h in held], np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array([h[c] for h in held], t) for c, t in (
+                        ("k1", pa.int64()), ("k2", pa.int64()), ("low", pa.int32()))],
+                     pa.array(np.full(len(held), doc_id, np.int64)), pa.array([h["place"] for h in held], pa.int64()),
+                     pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(_pack(context), pa.binary())],
+                    names=["k1", "k2", "low", "of_doc", "of_place", "left", "right", "context"])
+    return run
+
+
+CONTEXTS = "k1 long, k2 long, low int, of_doc long, of_place long, left int, right int, context binary"
+
+
+def parts_of(margin: int) -> list[list[tuple[int, int]]]:
+    """By level, the parts of the places 0 to ``margin`` that a window can begin before a seed:
+    all, halves, quarters, single ones. Each part lies in one of the level before."""
+    levels = [[(0, margin)]]
+    for _ in range(2):
+        levels.append([x for a, b in levels[-1] for x in (
+            ((a, (a + b) // 2), ((a + b) // 2 + 1, b)) if a < b else ((a, b),))])
+    levels.append([(o, o) for o in range(margin + 1)])
+    return [x for i, x in enumerate(levels) if not i or x != levels[i - 1]]
+
+
+def _extend(window: int, level: int):
+    """Matches of a segment's occurrences with their holders' words, extended both ways.
+
+    kind 0: a repeat, ``place`` to ``high`` of the document and from ``of_place`` of ``of_doc``.
+    kind 1: an occurrence some of whose windows in a part of the next level no holder has matched."""
+    size, margin = _size(window), window - _size(window)
+    levels = parts_of(margin)
+    high_of = dict(levels[level])
+    later = levels[level + 1] if level + 1 < len(levels) else []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, tag, seg, base, text, met in zip(*[values(batch.column(i)) for i in range(6)], strict=True):
+                own = _Segment(text, base, window)
+                col = {c: np.array([m[c] for m in met], np.int64) for c in ("place", "low", "of_doc", "of_place", "left", "right")}
+                place = col["place"]
+                mine, left, right = own.around(place)
+                equal = mine == _unpack([m["context"] for m in met], 2 * margin)
+                to_left, to_right = (np.minimum(np.minimum(a, b), np.cumprod(e, axis=1).sum(axis=1)) for a, b, e in (
+                    (left, col["left"], equal[:, :margin]), (right, col["right"], equal[:, margin:])))
+                repeat = (to_left + to_right >= margin) & (col["of_doc"] < doc_id)
+                spans = _merged(col["of_doc"][repeat], (place - to_left)[repeat], (place + size + to_right)[repeat],
+                                (col["of_place"] - to_left)[repeat])
+                n = len(spans[0])
+                yield _extended(0, doc_id, tag, seg, n, place=spans[1], high=spans[2], of_doc=spans[0], of_place=spans[3])
+                # windows that begin so many words before the seed: possible ones, and matched ones
+                low, high = np.array(list(high_of)), np.array(list(high_of.values()))
+                here = np.searchsorted(low, col["low"])
+                first = np.maximum(low[here], margin - right)
+                last = np.minimum(high[here], left)
+                matched = margin - to_right, to_left
+                for a, b in later:
+                    x, y = np.maximum(first, a), np.minimum(last, b)
+                    some = (x <= y) & (low[here] <= a) & (b <= high[here]) & ~((matched[0] <= x) & (y <= matched[1]))
+                    if some.any():
+                        p = place[some]
+                        k1, k2 = own.keys(p, a, b)
+                        yield _extended(1, doc_id, tag, seg, len(p), k1=k1, k2=k2, low=np.full(len(p), a), place=p)
+    return run
+
+
+_EXTENDED = pa.schema([("kind", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("low", pa.int32()), ("doc_id", pa.int64()),
+                       ("tag", pa.int64()), ("seg", pa.int32()), ("place", pa.int64()), ("high", pa.int64()),
+                       ("of_doc", pa.int64()), ("of_place", pa.int64())])
+EXTENDED = ("kind int, k1 long, k2 long, low int, doc_id long, tag long, seg int, place long, high long, "
+            "of_doc long, of_place long")
+
+
+def _extended(kind: int, doc_id: int, tag: int, seg: int, n: int, **columns: np.ndarray) -> pa.RecordBatch:
+    fixed = {"kind": kind, "doc_id": doc_id, "tag": tag, "seg": seg}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, fixed[f.name]) if f.name in fixed else columns[f.name], f.type) if f.name in fixed or f.name in columns
+         else pa.nulls(n, f.type) for f in _EXTENDED], schema=_EXTENDED)
+
+
+def _merged(of_doc: np.ndarray, start: np.ndarray, end: np.ndarray, of_start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Matches on one diagonal that overlap as one: (of_doc, start, end, of_start)."""
+    if not len(start):
+        return of_doc, start, end, of_start
+    order = np.lexsort((start, start - of_start, of_doc))
+    of_doc, start, end, of_start = (x[order] for x in (of_doc, start, end, of_start))
+    new = np.concatenate(([True], (of_doc[1:] != of_doc[:-1]) | ((start - of_start)[1:] != (start - of_start)[:-1])))
+    out: list[list[int]] = []
+    for i, fresh in enumerate(new.tolist()):
+        if fresh or start[i] > out[-1][2]:
+            out.append([int(of_doc[i]), int(start[i]), int(end[i]), int(of_start[i])])
+        else:
+            out[-1][2] = max(out[-1][2], int(end[i]))
+    return tuple(np.array(x, np.int64) for x in zip(*out, strict=True))
+
+
+def _kept():
     """What stays of the documents that lose words: (doc_id, tag, n_removed, kept_sha, kept_text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sha, texts = [], [], []
-            for text, starts in zip(values(batch.column(2)), values(batch.column(3)), strict=True):
+            for text, starts, ends in zip(*[values(batch.column(i)) for i in (2, 3, 4)], strict=True):
                 words = text.encode().split()
                 mark = np.zeros(len(words) + 1, np.int32)
-                s = np.array(starts, np.int64)
-                np.add.at(mark, s, 1)
-                np.add.at(mark, s + window, -1)
+                np.add.at(mark, np.array(starts, np.int64), 1)
+                np.add.at(mark, np.array(ends, np.int64), -1)
                 stay = np.cumsum(mark)[:-1] == 0
                 kept = b" ".join([words[i] for i in np.flatnonzero(stay).tolist()])
                 n.append(int(len(words) - stay.sum()))
@@ -200,21 +377,8 @@ def _tag():
     return F.xxhash64("sha")
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    window: int = WINDOW, with_text: bool = True) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text
-    and words_sha256 (of all its words, joined by one space: it tells rows of one id apart).
-
-    A word goes if it lies in a run of ``window`` words that also starts in a
-    document with a smaller id. kept_text is null where nothing goes (the text
-    stays as it is), else the kept words joined by one space.
-
-    * null text or white space only: no words, nothing removed.
-    * null id: nothing is removed from such a row, nor from others for its sake.
-    * repeated rows, and rows of one id with different texts: none is smaller
-      than the other; each is judged by itself against smaller ids.
-    * empty table: no rows; other columns are ignored, whatever their names."""
-    rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
+def _scanned(rows: DataFrame, window: int) -> DataFrame:
+    """Every row with its number of words, seeds, and whether a smaller document has the same words."""
     scan = materialize(rows.mapInArrow(_scan(window), "doc_id long, n_words long, sha binary, "
                                        "seeds array<long>, places array<int>"), "scan")
     # a document whose whole word sequence a smaller one has needs no seeds
@@ -222,9 +386,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("first"), F.count("*").alias("n_rows")).where("n_rows > 1")
     scan = attach(scan, same, "sha", "n_rows", scan.count(), "doc_id").withColumn(
         "copy", F.col("first") < F.col("doc_id")).withColumn("tag", _tag())
-    scan = materialize(scan.select("doc_id", "tag", "n_words", "sha", "seeds", "places",
+    return materialize(scan.select("doc_id", "tag", "n_words", "sha", "seeds", "places",
                                    F.coalesce("copy", F.lit(False)).alias("copy")), "scan-copies")
 
+
+def _repeats(rows: DataFrame, scan: DataFrame, window: int) -> DataFrame:
+    """Repeats with smaller documents: (doc_id, tag, place, high, of_doc, of_place), merged by segment."""
     own = scan.where("doc_id is not null and not copy")
     shared = own.select("doc_id", F.explode("seeds").alias("seed")).groupBy("seed").agg(
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n_rows"))
@@ -234,20 +401,79 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "tag", F.col("at.seeds").alias("seed"), F.col("at.places").alias("place"))
     found = attach(found, shared, "seed", "n_rows", total, "place").where("n_rows is not null").groupBy(
         "doc_id", "tag").agg(F.collect_set("place").alias("places"))
-    near = materialize(_texts_of(rows, found, "places"), "texts-with-shared-seeds")
-
-    # read twice rather than written: the digests are most of what this operator moves
-    windows = near.mapInArrow(_windows(window), "k1 long, k2 long, doc_id long, tag long, start int").select(
-        F.struct("k1", "k2").alias("key"), "doc_id", "tag", "start")
-    first = windows.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
-                                       F.count("*").alias("n_rows"))
-    first = materialize(first.where("least < most").select("key", "least", "n_rows"), "shared-windows")
-    total = first.agg(F.sum("n_rows")).first()[0] or 0
-    starts = attach(windows, first, "key", "n_rows", total, "tag").where("least < doc_id").groupBy(
-        "doc_id", "tag").agg(F.collect_set("start").alias("starts"))
-    cut = (near.select("doc_id", "tag", "text").join(starts, ["doc_id", "tag"])
-           .select("doc_id", "tag", "text", "starts")
-           .mapInArrow(_kept(window), "doc_id long, tag long, n_removed long, kept_sha binary, kept_text string"))
+    # rows of one id with equal words are one document here
+    near = _texts_of(rows, found, "places").dropDuplicates(["doc_id", "tag"])
+    near = materialize(near.select("doc_id", "tag", "text", "places").mapInArrow(_segments(window), SEGMENTS), "segments")
+
+    key, segment = F.struct("k1", "k2", "low").alias("key"), ["doc_id", "tag", "seg"]
+    anchors = near.mapInArrow(_first_anchors(window), ANCHORS)
+    done = []
+    for level in range(len(parts_of(window - _size(window)))):
+        # read twice rather than written: once by key for the holder, once to meet it
+        groups = anchors.groupBy("k1", "k2", "low").agg(
+            F.min(F.struct(*segment, "place")).alias("holder"), F.max("doc_id").alias("most"), F.count("*").alias("n_rows"))
+        groups = materialize(groups.where("holder.doc_id < most").drop("most"), "anchors")
+        total = groups.agg(F.sum("n_rows")).first()[0] or 0
+        if not total:
+            break
+        held = groups.select("holder.doc_id", "holder.tag", "holder.seg", F.struct(
+            "k1", "k2", "low", F.col("holder.place").alias("place")).alias("h")).groupBy(*segment).agg(F.collect_list("h").alias("held"))
+        contexts = near.join(held, segment).select("doc_id", "base", "text", "held").mapInArrow(_contexts(window), CONTEXTS)
+        holders = groups.select(key, "n_rows").join(
+            contexts.select(key, "of_doc", "of_place", "left", "right", "context"), "key")
+        met = attach(anchors.select(key, *segment, "place"), holders, "key", "n_rows", total, "place").where(
+            "n_rows is not null").select(*segment, F.struct(
+                "place", F.col("key.low").alias("low"), "of_doc", "of_place", "left", "right", "context").alias("m"))
+        met = near.join(met.groupBy(*segment).agg(F.collect_list("m").alias("met")), segment)
+        out = materialize(met.select("doc_id", "tag", "seg", "base", "text", "met").mapInArrow(_extend(window, level), EXTENDED),
+                          "extended")
+        done.append(out.where("kind = 0").select("doc_id", "tag", "place", "high", "of_doc", "of_place"))
+        anchors = out.where("kind = 1").select(*[c.split()[0] for c in ANCHORS.split(", ")])
+    if not done:
+        return rows.sparkSession.createDataFrame([], "doc_id long, tag long, place long, high long, of_doc long, of_place long")
+    return reduce(DataFrame.unionByName, done)
+
+
+def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """doc_id, start, n_words, of_doc_id, of_start: runs of at least ``window`` words that a document
+    shares with a smaller one, as long as the two go on alike.
+
+    Every word that :func:`substring_dedup` takes from a document lies in one of them, except in a
+    document all of whose words a smaller one has in the same order: it is left out here. A run that
+    several smaller documents have is given for the smallest holder of each of its anchors.
+    Nulls, repeated rows and empty tables as there; a row without an id has no runs."""
+    rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
+    spans = _repeats(rows, _scanned(rows, window), window).withColumn("diagonal", F.col("place") - F.col("of_place"))
+    # matches of several anchors and segments on one diagonal: islands of spans that touch
+    line = Window.partitionBy("doc_id", "tag", "of_doc", "diagonal")
+    spans = spans.withColumn("before", F.max("high").over(line.orderBy("place", "high").rowsBetween(Window.unboundedPreceding, -1)))
+    island = F.sum(F.when(F.col("before") >= F.col("place"), 0).otherwise(1)).over(line.orderBy("place", "high"))
+    return spans.withColumn("island", island).groupBy("doc_id", "tag", "of_doc", "diagonal", "island").agg(
+        F.min("place").alias("start"), F.max("high").alias("high")).select(
+        "doc_id", "start", (F.col("high") - F.col("start")).alias("n_words"), F.col("of_doc").alias("of_doc_id"),
+        (F.col("start") - F.col("diagonal")).alias("of_start"))
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    window: int = WINDOW, with_text: bool = True) -> DataFrame:
+    """One row per input row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text
+    and words_sha256 (of all its words, joined by one space: it tells rows of one id apart).
+
+    A word goes if it lies in a run of ``window`` words that also starts in a
+    document with a smaller id. kept_text is null where nothing goes (the text
+    stays as it is), else the kept words joined by one space.
+
+    * null text or white space only: no words, nothing removed.
+    * null id: nothing is removed from such a row, nor from others for its sake.
+    * repeated rows, and rows of one id with different texts: none is smaller
+      than the other; each is judged by itself against smaller ids.
+    * empty table: no rows; other columns are ignored, whatever their names."""
+    rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
+    scan = _scanned(rows, window)
+    spans = _repeats(rows, scan, window).groupBy("doc_id", "tag").agg(
+        F.collect_list(F.struct("place", "high")).alias("spans"))
+    cut = _texts_of(rows, spans, "spans").select("doc_id", "tag", "text", "spans.place", "spans.high").mapInArrow(
+        _kept(), "doc_id long, tag long, n_removed long, kept_sha binary, kept_text string")
     if not with_text:
         cut = cut.drop("kept_text")
     out = scan.drop("seeds", "places").join(cut.dropDuplicates(["doc_id", "tag"]), ["doc_id", "tag"], "left")
@@ -264,12 +490,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _texts_of(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
     """Texts of the rows named in ``found`` by id and by the hash of their words."""
+    both = rows.join(found, "doc_id").select("doc_id", "tag", "text", column)
+    kind = both.schema[column].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sha = [_words_sha((t or "").encode().split()) for t in values(batch.column(2))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sha, pa.binary())],
                                              names=[*batch.schema.names, "sha"])
 
-    both = rows.join(found, "doc_id").select("doc_id", "tag", "text", column)
-    return both.mapInArrow(run, f"doc_id long, tag long, text string, {column} array<int>, sha binary").where(
+    return both.mapInArrow(run, f"doc_id long, tag long, text string, {column} {kind}, sha binary").where(
         F.col("tag") == _tag()).drop("sha")

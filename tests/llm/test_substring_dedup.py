@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from sluice.llm import substring_dedup as S
 
@@ -55,6 +56,58 @@ def test_matches_brute_force(spark):
     assert short == _brute(rows, 7)
 
 
+def test_anchors_with_many_contexts_are_exact(spark):
+    """A short passage in many documents, with copies of parts of its surroundings in some."""
+    rng = random.Random(12)
+    def prose(n):
+        return [f"{rng.choice('abc')}{rng.randrange(900)}" for _ in range(n)]
+    core = prose(20)
+    sides = [(prose(45), prose(45)) for _ in range(12)]
+    rows = []
+    for i in range(160):
+        (left, _), (_, right) = rng.choice(sides), rng.choice(sides)
+        a, b = rng.randrange(46), rng.randrange(46)
+        rows.append((rng.randrange(10_000), " ".join(prose(rng.randrange(9)) + left[a:] + core + right[:b] + prose(rng.randrange(9)))))
+    rows.append((20_000, " ".join(core * 30)))
+    rows.append((20_002, " ".join(core * 2500)))  # several segments
+    rows.append((20_001, " ".join(core * 9)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r)[:5] for r in S.substring_dedup(docs.repartition(3)).collect()), key=str)
+    assert got == _brute(rows, 50)
+
+
+def test_segments_and_levels(monkeypatch):
+    monkeypatch.setattr(S, "SEGMENT", 40)
+    seg = S._segments(50)
+    words = [f"w{i}" for i in range(130)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "tag": [2], "text": [" ".join(words)], "places": [[0, 39, 41, 100, 114]]})
+    out = [r for b in seg(iter([batch])) for r in b.to_pylist()]
+    assert [(r["seg"], r["base"], r["places"]) for r in out] == [(0, 0, [0, 39]), (1, 6, [41]), (2, 46, [100, 114])]
+    assert out[1]["text"].split() == words[6:80 + 16 + 34]
+    assert [len(x) for x in S.parts_of(34)] == [1, 2, 4, 35] and S.parts_of(0) == [[(0, 0)]]
+    for level, after in zip(S.parts_of(34), S.parts_of(34)[1:]):
+        assert [o for a, b in after for o in range(a, b + 1)] == list(range(35))
+        assert all(any(a <= x and y <= b for a, b in level) for x, y in after)
+
+
+def test_maximal_repeats_are_runs_that_go_on_no_further(spark):
+    rows = [r for r in _corpus(random.Random(14)) if r[0] is not None]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = {i: (t or "").split() for i, t in rows}
+    got = S.maximal_repeats(docs).collect()
+    assert len(got) > 30 and len(set(got)) == len(got)
+    covered = {}
+    for r in got:
+        a, b = words[r.doc_id], words[r.of_doc_id]
+        s, o, n = r.start, r.of_start, r.n_words
+        assert r.of_doc_id < r.doc_id and n >= 50 and a[s:s + n] == b[o:o + n]
+        covered.setdefault(r.doc_id, set()).update(range(s, s + n))
+    for r in S.substring_dedup(docs).collect():
+        if r.n_removed < r.n_words:
+            assert len(covered.get(r.doc_id, ())) == r.n_removed
+
+
 def test_empty_table(spark):
     out = S.substring_dedup(spark.createDataFrame([], "doc_id long, text string"), with_text=False)
     assert out.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"] and out.count() == 0
