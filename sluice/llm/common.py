@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,8 @@ WHITESPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Bytes of text that a per-document loop holds in Python objects at once.
 BLOCK = 1 << 20
 
-_stage_before: list[str] = []
-_stage_now: list[str] | None = None
+#: The folder of the tables that the block around takes away again (see :func:`own_tables`).
+_own: ContextVar[str | None] = ContextVar("own", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,33 +51,48 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
-    Cuts the lineage: a lost executor costs no more than its running tasks."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sluice-llm/{uuid.uuid4().hex}/{name}"
+    Cuts the lineage: a lost executor costs no more than its running tasks. Within
+    :func:`own_tables` the table goes with the block, else when the driver ends."""
+    own = _own.get()
+    return _write(df, f"{own}/{uuid.uuid4().hex}-{name}") if own else keep(df, name)
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Like :func:`materialize`, for a table that outlives the block around it."""
+    folder = f"{shared_dir(df.sparkSession)}/sluice-llm/{uuid.uuid4().hex}"
+    system, place = _place(df.sparkSession, folder)
+    out = _write(df, f"{folder}/{name}")
+    system.deleteOnExit(place)
+    return out
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    if _stage_now is not None:
-        _stage_now.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def stage_tables(spark: SparkSession) -> Iterator[None]:
-    """Within one stage of a pipeline: drop the tables that the stage before it wrote.
-
-    Its result has been written and read back by then, so nothing reads them any more.
-    Tables written outside such a block are left alone."""
-    global _stage_now
-    while _stage_before:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_stage_before.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path.getParent(), True)
-    _stage_now = _stage_before
+def own_tables(spark: SparkSession) -> Iterator[None]:
+    """What :func:`materialize` writes within the block is deleted at its end.
+
+    The block must evaluate what it needs and :func:`keep` it. The folder is the block's
+    own, so blocks in other threads, and lazy frames made before it, are not touched."""
+    folder = f"{shared_dir(spark)}/sluice-llm/{uuid.uuid4().hex}"
+    token = _own.set(folder)
     try:
         yield
     finally:
-        _stage_now = None
+        _own.reset(token)
+        system, place = _place(spark, folder)
+        system.delete(place, True)
 
 
 #: A group is hot if it holds more than 1/1000 of all rows, so at most 1000 are.

@@ -206,7 +206,9 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model
     powers = 3 ** np.arange(HEURISTICS)
     split = lambda p: tuple((p // powers % 3).tolist())
     patterns = {split(r["pattern"]): r["count"] for r in scan.groupBy("pattern").count().collect()}
-    some = scan.where("features is not null").groupBy("features", "pattern").count().limit(4 * sample).collect()
+    # the sample is drawn evenly, so it seldom has more; if it has, a hash of the features decides
+    some = scan.where("features is not null").groupBy("features", "pattern").count().orderBy(
+        F.xxhash64("features"), "features", "pattern").limit(4 * sample).collect()
     if not some:
         return None
     prior, rates = fit_votes(patterns)

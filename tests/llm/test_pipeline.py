@@ -1,6 +1,8 @@
 """The pipeline against its stages in plain Python, on a small corpus."""
 
+import glob
 import random
+import threading
 import zlib
 
 import numpy as np
@@ -10,6 +12,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as C
 from sluice.llm import quality
 from sluice.llm.bpe import vocabulary_path
+from sluice.llm.common import shared_dir
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -111,3 +114,46 @@ def test_extra_columns_pass_through(spark):
                                  COLUMNS + ", kept int, FP string")
     out = C.exact(spark, docs, "").collect()
     assert sorted(r.doc_id for r in out) == [0, 1] and {r.FP for r in out} == {"k"}
+
+
+def test_stages_chain_without_writing_between_them(spark, tmp_path):
+    rows = _corpus()
+    long = " ".join(f"word{i % 977} goes on." for i in range(40_000))
+    rows += [(None, rows[0][1], "en", "s", 1), (None, None, None, None, None), (500, long, "en", "s", 9), (501, long, "en", "s", 9)]
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(3)
+    judge = quality.scorer(quality.fit(docs))
+    lazy, expect = docs, _brute([r for r in rows if r[0] is not None], judge)
+    for _, stage in C.STAGES[:-1]:
+        lazy = stage(spark, lazy, str(tmp_path))
+    got = {r.doc_id: r.text for r in lazy.where("doc_id is not null").collect()}
+    assert got == expect and 500 in got and 501 not in got
+    packed = C.STAGES[-1][1](spark, lazy, str(tmp_path))
+    assert {r.doc_id for r in packed.select("doc_id").collect()} >= set(expect)
+
+
+def test_two_pipelines_in_one_driver(spark, tmp_path):
+    rows, found = _corpus(), {}
+    for name, some in (("a", rows), ("b", rows[::2])):
+        spark.createDataFrame(some, COLUMNS).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+
+    def one(name):
+        found[name] = sorted(tuple(r)[:5] for r in C.run(spark, f"{tmp_path}/{name}").collect())
+
+    threads = [threading.Thread(target=one, args=(n,)) for n in ("a", "b")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    both = dict(found)
+    for n in ("a", "b"):
+        one(n)
+    assert both == found and len(found["a"]) > len(found["b"]) > 0
+
+
+def test_only_decisions_stay_behind(spark):
+    docs = spark.createDataFrame(_corpus(), COLUMNS)
+    folder = shared_dir(spark).removeprefix("file://") + "/sluice-llm/*"
+    before = set(glob.glob(folder))
+    for _, stage in C.STAGES[:-1]:
+        stage(spark, docs, "")
+    assert len(set(glob.glob(folder)) - before) == 3  # the quality filter's model is on the driver

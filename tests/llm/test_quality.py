@@ -56,3 +56,35 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == sum(g[2] for g in got)
     assert Q.fit(docs.where("false")) is None and Q.score(docs.where("false"), model).count() == 0
     assert Q.score(docs, None).where("kept").count() == 0
+
+
+def test_query_matches_plain_python(spark):
+    """The model and every score, from votes and features taken document by document."""
+    rng = np.random.default_rng(5)
+    words = [f"{a}{b}{c}" for a in "bdfgkl" for b in "aeiou" for c in ("n", "rt", "ld")]
+    texts = []
+    for i in range(240):
+        w = [words[k] for k in rng.integers(0, len(words), rng.integers(10, 200))]
+        if i % 3:
+            w = [x.title() if k % 9 == 0 else x + "." if k % 9 == 8 else x for k, x in enumerate(w)]
+        elif i % 2:
+            w = [w[0]] * len(w)
+        texts.append(" ".join(w))
+    texts += [None, "", " \n", "| % # " * 50, texts[0], texts[0]]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, PATTERN int")
+    data = [(t or "").encode() for t in texts]
+    found = [Q.facts(d) for d in data]
+    v = [tuple(Q.votes(f)) for f in found]
+    prior, rates = Q.fit_votes(Counter(v))
+    some = sorted({(Q.features(d, f).tobytes(), p) for d, f, p in zip(data, found, v) if f.words})
+    x = np.stack([np.frombuffer(b, np.float64 if len(b) == 8 * Q.DIM else np.float32) for b, _ in some]).astype(np.float32)
+    w = Q.fit_scorer(x, Q.posterior(np.array([p for _, p in some]), prior, rates))
+    got = {r.doc_id: r for r in Q.score(docs, Q.fit(docs)).collect()}
+    assert len(got) == len(texts)
+    both = set()
+    for i, (d, f) in enumerate(zip(data, found)):
+        score = 1 / (1 + np.exp(-(Q.features(d, f) @ w[:-1] + w[-1]))) if f.words else 0.0
+        assert abs(got[i].score - score) < 1e-3
+        assert abs(score - 0.5) < 1e-3 or got[i].kept == (score >= 0.5)
+        both.add(got[i].kept)
+    assert both == {True, False}
