@@ -1,20 +1,21 @@
 """The corpus pipeline: quality filter, exact dedup, near-dedup, substring dedup, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor
-kept; all but the last return the columns of `documents`. run() writes each
-stage's result to the shared folder and reads it back for the next one."""
+kept; all but the last return the columns of `documents`. A stage decides at once, keeps its
+decisions as a narrow table and drops its other tables; what it returns is lazy and
+reads ``docs`` and the decisions only, so stages can be chained with or without writing
+between them. run() writes each stage's result to a folder of its own."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import quality
-from sluice.llm.common import materialize, shared_dir, stage_tables, table
+from sluice.llm.common import keep, own_tables, shared_dir, table
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.simhash import simhash_dedup
@@ -24,31 +25,21 @@ from sluice.llm.substring_dedup import substring_dedup
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _stage(function: Stage) -> Stage:
-    """A stage that first drops what the stage before it had written for itself."""
-    @wraps(function)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        with stage_tables(spark):
-            return function(spark, docs, sf_dir)
-
-    return run_stage
-
-
 _GAP = r"[\x20\x09-\x0D]+"
 
 
-@_stage
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps, as they are."""
-    return quality.good_rows(docs, quality.fit(docs))
+    with own_tables(spark):
+        model = quality.fit(docs)
+    return quality.good_rows(docs, model)
 
 
-@_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id; rows that repeat it: once."""
-    kept = exact_dedup(docs).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"), "n_rows")
-    kept = materialize(kept, "kept")
+    with own_tables(spark):
+        kept = keep(exact_dedup(docs).where("kept").select(
+            F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"), "n_rows"), "kept")
     text = F.regexp_replace(F.coalesce("text", F.lit("")), _GAP, " ")
     # the kept rows are narrow, so they are hashed and the texts need no sort
     rows = docs.withColumn("__sha", F.sha2(text, 256))
@@ -59,22 +50,22 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.drop("__sha")
 
 
-@_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (4-word shingles, 4 bits) the document with the smallest id."""
-    kept = simhash_dedup(docs, shingle=4, max_distance=4).where("kept").select(
-        F.col("doc_id").alias("__id")).distinct()
+    with own_tables(spark):
+        kept = keep(simhash_dedup(docs, shingle=4, max_distance=4).where("kept").select(
+            F.col("doc_id").alias("__id")).distinct(), "kept")
     return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
 
-@_stage
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the words that a smaller one has in a run of 50.
 
     A text that loses words becomes its kept words joined by one space, and n_chars
     its new length; the other texts stay as they are."""
-    cut = substring_dedup(docs, window=50, with_text=True).where("n_removed > 0").select(
-        F.col("doc_id").alias("__id"), F.col("words_sha256").alias("__of"), "kept_text").distinct()
+    with own_tables(spark):
+        cut = keep(substring_dedup(docs, window=50, with_text=True).where("n_removed > 0").select(
+            F.col("doc_id").alias("__id"), F.col("words_sha256").alias("__of"), "kept_text").distinct(), "cut")
     words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), _GAP, " "))
     both = docs.join(cut, (F.col("doc_id") == F.col("__id")) & (F.sha2(words, 256) == F.col("__of")), "left")
     new = {"text": F.coalesce("kept_text", "text"),
@@ -83,7 +74,6 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return both.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
-@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2048 tokens."""
     return best_fit_packing(docs, capacity=2048)
