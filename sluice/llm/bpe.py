@@ -11,6 +11,7 @@ have met by then, in practice after a few tokens."""
 from __future__ import annotations
 
 import codecs
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -22,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import pick
+from sluice.llm.common import pick, values
 
 #: Characters that one step looks at, and pieces of text whose ids are remembered.
 BLOCK_CHARS = 1 << 20
@@ -31,6 +32,8 @@ CACHE_PIECES = 250_000
 LONG_PIECE = 512
 #: Ids that one batch of results holds.
 BATCH_IDS = 1_000_000
+#: Ids of one long piece that are handed on together.
+STREAM_IDS = 1 << 16
 #: Neighbouring tokens whose test is remembered.
 PAIRS = 500_000
 
@@ -199,6 +202,8 @@ class Transducer:
         out = self._path(met)
         if met:
             self.data, self.last = self.data[met:], self.last[met:]
+        if len(self.data) > self.v.lookahead:  # the paths have met before; the bound is proven
+            raise RuntimeError("more bytes wait than the merge list can look ahead")
         return out
 
     def finish(self) -> list[int]:
@@ -239,14 +244,37 @@ class Encoder:
             out.append(ids)
         return b"".join(out)
 
-    def encode(self, text: str) -> np.ndarray:
-        special, out = self.v.special, []
-        for part in self.v.split.split(text) if self.v.split else [text]:
-            if part in special:
-                out.append(np.array([special[part]], "<i4").tobytes())
+    def _long(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a block without seams longer than a block, as its pieces' tokens become stable."""
+        t = self.transducer
+        for match in (_any if _beyond.search(text) else _latin).finditer(text):
+            out: list[int] = []
+            for at in range(match.start(), match.end(), LONG_PIECE):
+                out += t.feed(text[at:min(at + LONG_PIECE, match.end())].encode())
+                if len(out) > STREAM_IDS:
+                    yield np.array(out, "<i4")
+                    out = []
+            yield np.array(out + t.finish(), "<i4")
+
+    def stream(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of a text, part by part; never more of them than those of a block."""
+        special, at = self.v.special, 0
+        cuts = self.v.split.finditer(text) if self.v.split else ()
+        for cut in cuts:
+            yield from self._parts(text[at:cut.start()])
+            yield np.array([special[cut.group()]], "<i4")
+            at = cut.end()
+        yield from self._parts(text[at:] if at else text)
+
+    def _parts(self, text: str) -> Iterator[np.ndarray]:
+        for block in blocks(text):
+            if len(block) > 2 * BLOCK_CHARS:
+                yield from self._long(block)
             else:
-                out += [self._block(b) for b in blocks(part)]
-        return np.frombuffer(b"".join(out), "<i4")
+                yield np.frombuffer(self._block(block), "<i4")
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.concatenate([np.zeros(0, "<i4"), *self.stream(text)])
 
 
 class Decoder:
@@ -316,7 +344,11 @@ def bpe_decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids",
                path: str | None = None) -> DataFrame:
     """One row per input row: doc_id, ids, text; special tokens are kept in the text.
 
-    null ids: an empty text. Bytes that are no UTF-8 become U+FFFD."""
+    * null ids: an empty text. Bytes that are no UTF-8 become U+FFFD.
+    * an id that the vocabulary has no token for stands for no bytes; one beyond its range, or
+      below 0, fails the job.
+    * null id of a document: returned as it is; repeated rows: as often as given; empty table:
+      no rows; other columns are ignored."""
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,3 +370,37 @@ def digests(decoded: DataFrame) -> DataFrame:
     return decoded.select("doc_id", F.size(ids).cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
                           F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens and the SHA-256 of the ids and of the decoded text, of every row.
+
+    What :func:`digests` gives after :func:`bpe_encode` and :func:`bpe_decode`, without holding
+    a document's ids or decoded text: ids go to the hash and through the decoder as
+    they become stable. Nulls, repeated rows and other columns as in :func:`bpe_encode`."""
+    path = path or vocabulary_path()
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, v = encoder(path), vocabulary(path)
+        number = [b"%d" % i for i in range(len(v.sizes))]
+
+        def one(text: str) -> tuple[int, str, str]:
+            n, before, decoder = 0, b"", Decoder(v)
+            ids_sha, text_sha = hashlib.sha256(), hashlib.sha256()
+            for ids in enc.stream(text):
+                if len(ids):
+                    ids_sha.update(before + b",".join(map(number.__getitem__, ids.tolist())))
+                    text_sha.update(decoder.feed(ids).encode())
+                    n, before = n + len(ids), b","
+            text_sha.update(decoder.finish().encode())
+            return n, ids_sha.hexdigest(), text_sha.hexdigest()
+
+        for batch in batches:
+            found = [one(text or "") for text in values(batch.column(1))]
+            columns = list(zip(*found, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.int64()), pa.array(
+                columns[1], pa.string()), pa.array(columns[2], pa.string())], names=names)
+
+    return pick(docs, doc_id=(id_col, "long"), text=(text_col, "string")).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import language_id, quality, toxicity
 from sluice.llm.alignment import cross_alignment
-from sluice.llm.bpe import bpe_decode, bpe_encode, digests
+from sluice.llm.bpe import round_trip
 from sluice.llm.common import table
 from sluice.llm.embedding_dedup import embedding_dedup
 from sluice.llm.exact_dedup import exact_dedup
@@ -51,7 +51,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op3_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(bpe_decode(bpe_encode(table(spark, sf_dir, "documents"))))
+    return round_trip(table(spark, sf_dir, "documents"))
 
 
 @_query("op4_best_fit_packing")

@@ -1,6 +1,9 @@
 """The transducer against the tokenizers library."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -72,3 +75,44 @@ def test_operators(spark, library):
     assert sorted(((r.doc_id, r.ids, r.text) for r in got), key=str) == sorted(
         ((i, library.encode(t or "", add_special_tokens=False).ids, t or "") for i, t in rows), key=str)
     assert bpe.bpe_encode(docs.where("false")).count() == 0
+
+
+def test_round_trip_is_encode_and_decode(spark):
+    texts = [None, "", "a", "é <|endoftext|> b<|endoftext|>", "word " * 900, "zq" * 4000, "\U0001f600 \x00 ￿", "<|endoftext|>"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "no id"), (2, "a")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, IDS int")
+    long_way = bpe.digests(bpe.bpe_decode(bpe.bpe_encode(docs)))
+    assert sorted(map(tuple, bpe.round_trip(docs).collect()), key=str) == sorted(map(tuple, long_way.collect()), key=str)
+    assert bpe.round_trip(docs.limit(0)).count() == 0
+    assert bpe.bpe_decode(bpe.bpe_encode(docs.limit(0))).count() == 0
+
+
+def test_long_pieces_are_streamed():
+    enc, tok = bpe.encoder(bpe.vocabulary_path()), Tokenizer.from_file(bpe.vocabulary_path())
+    text = "xyzzy" * 500_000 + " ünïcode" + "é" * 300_000 + "1" * 10
+    parts = list(enc.stream(text))
+    assert len(parts) > 10 and max(map(len, parts)) < bpe.BLOCK_CHARS
+    assert np.concatenate(parts).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_a_very_long_text_needs_little_memory():
+    """60 MB in one go: the peak stays a small multiple of the text."""
+    code = """
+import resource, sys, pyarrow as pa
+from sluice.llm import bpe as B
+class Frame:
+    columns = ["doc_id", "text"]
+    def mapInArrow(self, run, schema): return run
+B.pick = lambda docs, **_: docs
+run = B.round_trip(Frame())
+text = "some words of a rather long text, again and again.\\n" * 1_200_000
+batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+del text
+out = [r for b in run(iter([batch])) for r in b.to_pylist()]
+print(out[0]["n_tokens"], resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                          cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    tokens, more = map(int, done.stdout.split())
+    assert tokens > 12_000_000 and more < 250_000  # kilobytes
