@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from sluice.llm.common import attach, materialize, pick
 from sluice.llm.components import components
@@ -198,12 +199,14 @@ def _seam(window: int, least: float):
 
 
 def projection_links(vectors: DataFrame, threshold: float, number: int, window: int = WINDOW,
-                     part: int = PART) -> DataFrame:
-    """(a, b): verified links of one pass over (row, label, unit), as spanning forests."""
+                     part: int = PART, n: int | None = None) -> DataFrame:
+    """(a, b): verified links of one pass over (row, label, unit), as spanning forests.
+
+    ``n``: the number of vectors, if it is known. Without vectors there are no links."""
     keyed = vectors.select("row", "label", "unit").mapInArrow(
         _keys(number), "row long, label long, dim int, key long, unit binary")
     order = ["label", "dim", "key", "unit", "row"]  # equal vectors side by side: each links to the next
-    parts = max(1, -(-vectors.count() // part))
+    parts = max(1, -(-(vectors.count() if n is None else n) // part))
     swept = materialize(keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
         _windows(window, threshold), _OUT), "pass")
     seams = swept.where("side > 0").groupBy("part").applyInArrow(_seam(window, threshold), "a long, b long")
@@ -325,7 +328,8 @@ def crowded_links(vectors: DataFrame, threshold: float, passes: int, bits: int,
 
     A run holds the vectors of one label and length whose ``bits`` leading signs agree. With
     more rows than ``window`` reaches it is crowded, and all its different vectors are
-    compared, tile by tile. Equal vectors, which the passes chain, stand in it as one."""
+    compared, tile by tile. Equal vectors, which the passes chain, stand in it as one. Without
+    vectors there are no runs."""
     folded = materialize(vectors.groupBy("label", "unit").agg(F.min("row").alias("row"), F.count("*").alias("weight")),
                          "folded")
     run = ["pass", "label", "dim", "lead"]
@@ -349,12 +353,16 @@ def embedding_dedup(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     Links join vectors of equal label and length whose cosine is at least
     ``threshold``. ``passes``: by default enough for the number of rows (passes_for).
 
+    * labels of any kind; other than whole numbers, as they read as text.
     * null label; null, empty or zero vector; a null or non-finite component: no links.
     * null id: links like any other row, gets the smallest id reached (null if none).
     * rows equal in id, label and vector are one vector, returned once; rows of one
       id that differ are vectors of their own.
     * empty table: no rows; other columns are ignored, whatever their names."""
-    rows = pick(table, vec_id=(id_col, "long"), label=(label_col, "long"), v=(vector_col, "array<double>"))
+    whole = isinstance(table.schema[table.columns.index(label_col)].dataType, IntegralType)
+    rows = pick(table, vec_id=(id_col, "long"), label=(label_col, "long" if whole else "string"), v=(vector_col, "array<double>"))
+    if not whole:  # labels of other kinds are told apart by a 64-bit hash of their text
+        rows = rows.withColumn("label", F.when(F.col("label").isNotNull(), F.xxhash64("label")))
     rows = rows.mapInArrow(_units, "vec_id long, label long, unit binary").distinct().withColumn(
         "row", F.monotonically_increasing_id())
     rows = materialize(rows, "vectors")
@@ -362,7 +370,7 @@ def embedding_dedup(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     n = vectors.count()
     passes = passes or passes_for(n, threshold, window)
     links = crowded_links(vectors, threshold, passes, leading(n, window), window, tile)
-    for more in [projection_links(vectors, threshold, k, window, part) for k in range(passes)]:
+    for more in [projection_links(vectors, threshold, k, window, part, n) for k in range(passes)]:
         links = links.unionByName(more)
     roots = materialize(components(links), "roots")
     counts = link_counts(vectors, roots, threshold, tile)

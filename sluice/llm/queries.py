@@ -78,6 +78,11 @@ FROM n LEFT JOIN y USING (doc_id)
 """
 
 
+def _held_out(divisor: int, remainder: int) -> Column:
+    """Whether a row is in the fold; a row without an id isn't."""
+    return F.coalesce(_remainder(divisor) == remainder, F.lit(False)).alias("held_out")
+
+
 def _remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % divisor
 
@@ -87,7 +92,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = language_id.fit(docs.where(~F.coalesce(_remainder(4) == 2, F.lit(False))))
     return language_id.predict(docs, profiles).select(
-        "doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+        "doc_id", _held_out(4, 2), "lang_pred", "score")
 
 
 @_query("op10_embedding_dedup")
@@ -106,7 +111,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     grammar = toxicity.learn(docs, table(spark, sf_dir, "labels").where(_remainder(5) != 0))
     return toxicity.score(docs, grammar).select(
-        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
+        "doc_id", _held_out(5, 0), "score", "predicted")
 
 
 @_query("op7_warc")

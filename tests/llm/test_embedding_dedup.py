@@ -97,3 +97,12 @@ def test_hot_cluster_with_the_default_passes(spark):
     found = np.array([got[i].n_links for i in range(len(x))])
     assert (found <= n).all() and found.sum() >= 0.98 * n.sum()
     assert (found == n).mean() >= 0.97
+
+
+def test_labels_of_any_kind(spark):
+    """1.2 and 1.7 are two labels, and so are two texts."""
+    v = [1.0, 0.0, 0.0]
+    for kind, labels in (("double", [1.2, 1.2, 1.7, None]), ("string", ["a", "a", "b", None]), ("int", [1, 1, 2, None])):
+        rows = spark.createDataFrame([(i, label, v) for i, label in enumerate(labels)], f"vec_id long, label {kind}, embedding array<double>")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in E.embedding_dedup(rows).collect()}
+        assert got == {0: (1, 0), 1: (1, 0), 2: (0, 2), 3: (0, 3)}
