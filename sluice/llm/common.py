@@ -102,16 +102,17 @@ SALTS = 64
 
 
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
-           spread: str) -> DataFrame:
+           spread: str, sizes: DataFrame | None = None) -> DataFrame:
     """Left-join each row to its group by ``key`` without one task per hot group.
 
     ``groups`` has one row per key and its number of rows in ``size``; ``total``
     is the number of rows. More than ``total / HOT_SHARE`` rows can be held by
     at most HOT_SHARE groups, so the list of hot keys has a proven bound and is
     broadcast; rows of hot keys are dealt by a hash of ``spread`` to SALTS
-    copies of their group's row."""
+    copies of their group's row. ``sizes``: keys and sizes alone, where ``groups`` is dear to
+    make twice."""
     least = max(HOT_ROWS, total // HOT_SHARE)
-    hot = groups.where(F.col(size) > least).select(key, F.lit(True).alias("__hot"))
+    hot = (groups if sizes is None else sizes).where(F.col(size) > least).select(key, F.lit(True).alias("__hot"))
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     left = (rows.join(F.broadcast(hot), key, "left")
             .withColumn("__salt", F.coalesce(salt, F.lit(0))).drop("__hot"))

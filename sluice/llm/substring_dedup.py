@@ -26,8 +26,9 @@ from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick, valu
 
 WINDOW = 50
 SEED_WORDS = 16
-#: Words of a document that are extended in one go, and bytes of a word's hash in a holder's context.
+#: Words of a segment, words that are extended in one go, and bytes of a word's hash in a holder's context.
 SEGMENT = 16_384
+GROUP_WORDS = 200_000
 CONTEXT_BYTES = 6
 _CONTEXT_BITS = np.uint64((1 << 8 * CONTEXT_BYTES) - 1)
 
@@ -173,96 +174,123 @@ def _segments(window: int):
                 words, p = text.encode().split(), np.unique(np.array(places, np.int64))
                 for seg in np.unique(p // SEGMENT).tolist():
                     base = max(0, seg * SEGMENT - margin)
-                    part = b" ".join(words[base:(seg + 1) * SEGMENT + size + margin]).decode()
+                    part = words[base:(seg + 1) * SEGMENT + size + margin]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([doc_id], pa.int64()), pa.array([tag], pa.int64()), pa.array([seg], pa.int32()),
-                         pa.array([base], pa.int64()), pa.array([part], pa.string()),
+                         pa.array([base], pa.int64()), pa.array([len(part)], pa.int64()),
+                         pa.array([b" ".join(part).decode()], pa.string()),
                          pa.array([p[p // SEGMENT == seg].tolist()], pa.list_(pa.int64()))],
-                        names=["doc_id", "tag", "seg", "base", "text", "places"])
+                        names=["doc_id", "tag", "seg", "base", "n", "text", "places"])
     return run
 
 
-SEGMENTS = "doc_id long, tag long, seg int, base long, text string, places array<long>"
+SEGMENTS = "doc_id long, tag long, seg int, base long, n long, text string, places array<long>"
 
 
-class _Segment:
-    """The word hashes of a segment, and digests of runs of its words."""
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments (with their number of words in ``n``) in groups of about GROUP_WORDS words."""
+    for batch in batches:
+        group = (np.cumsum(batch.column("n").to_numpy(zero_copy_only=False)) - 1) // GROUP_WORDS
+        cut = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if batch.num_rows else [0]
+        for at, end in zip(cut, cut[1:], strict=False):
+            yield batch.slice(at, end - at)
 
-    def __init__(self, text: str, base: int, window: int):
-        self.base, self.window = base, window
+
+class _Segments:
+    """The word hashes of some segments, one after the other, and digests of runs of their words."""
+
+    def __init__(self, batch: pa.RecordBatch, window: int):
         self.margin, self.size = window - _size(window), _size(window)
-        data = text.encode()
-        self.words = [word_hashes(data, family) for family in (0, 1)]
+        column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
+        self.data = b" ".join([t.encode() for t in values(batch.column("text"))])
+        n = column("n")
+        self.start = np.cumsum(n) - n
+        self.end = self.start + n
+        self.shift = self.start - column("base")
+        self._words: dict[int, np.ndarray] = {}
         self._runs: dict[int, list[np.ndarray]] = {}
 
-    def keys(self, places: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, family: int) -> np.ndarray:
+        if family not in self._words:
+            self._words[family] = word_hashes(self.data, family)
+        return self._words[family]
+
+    def keys(self, row: np.ndarray, place: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
         """128-bit digests of what all windows that begin ``low`` to ``high`` words before a place share."""
         length = self.size + low + self.margin - high
         if length not in self._runs:
-            self._runs[length] = [rolling(w, length, b) for w, b in zip(self.words, _BASES[3:5], strict=True)]
-        at = places - self.base - low
+            self._runs = {length: [rolling(self.words(f), length, _BASES[3 + f]) for f in (0, 1)]}
+        at = self.shift[row] + place - low
         first, second = self._runs[length]
         return first[at].view(np.int64), second[at].view(np.int64)
 
-    def around(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def around(self, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of the words before (nearest first) and after each place's seed, and how many
         there are on each side."""
-        words, step = self.words[0] & _CONTEXT_BITS, np.arange(self.margin)
-        at = (places - self.base)[:, None]
-        before, after = at - 1 - step, at + self.size + step
-        both = np.concatenate((np.where(before >= 0, words[np.maximum(before, 0)], 0),
-                               np.where(after < len(words), words[np.minimum(after, len(words) - 1)], 0)), axis=1)
-        left = np.minimum(self.margin, at[:, 0])
-        return both, left, np.minimum(self.margin, len(words) - at[:, 0] - self.size)
+        words, step = self.words(0), np.arange(self.margin)
+        at = self.shift[row] + place
+        left = np.minimum(self.margin, at - self.start[row])
+        right = np.minimum(self.margin, self.end[row] - at - self.size)
+        both = np.concatenate((words[np.maximum(at[:, None] - 1 - step, 0)],
+                               words[np.minimum(at[:, None] + self.size + step, len(words) - 1)]), axis=1)
+        return both & _CONTEXT_BITS, left, right
+
+
+def _fields(structs: pa.StructArray) -> dict[str, pa.Array]:
+    return dict(zip([f.name for f in structs.type], structs.flatten(), strict=True))
 
 
-def _pack(context: np.ndarray) -> list[bytes]:
-    """Rows of word hashes, CONTEXT_BYTES each."""
-    rows = np.ascontiguousarray(context, "<u8").view(np.uint8).reshape(len(context), -1, 8)[:, :, :CONTEXT_BYTES]
-    return [r.tobytes() for r in rows]
+def _lists_of(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The row of each element of a list column, and the elements."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return np.repeat(np.arange(len(column)), sizes), column.flatten()
 
 
-def _unpack(packed: list[bytes], width: int) -> np.ndarray:
+def _pack(context: np.ndarray) -> pa.Array:
+    """Rows of word hashes, CONTEXT_BYTES each, as binary values."""
+    rows = np.ascontiguousarray(context, "<u8").view(np.uint8).reshape(*context.shape, 8)[:, :, :CONTEXT_BYTES]
+    width = context.shape[1] * CONTEXT_BYTES
+    ends = pa.py_buffer((np.arange(len(context) + 1) * width).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(context), [None, ends, pa.py_buffer(rows.tobytes())])
+
+
+def _unpack(packed: pa.Array, width: int) -> np.ndarray:
     out = np.zeros((len(packed), width, 8), np.uint8)
-    flat = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), width, CONTEXT_BYTES)
-    out[:, :, :CONTEXT_BYTES] = flat
-    return out.reshape(len(packed), -1).view("<u8")
+    ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset:packed.offset + len(packed) + 1]
+    flat = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    out[:, :, :CONTEXT_BYTES] = flat.reshape(len(packed), width, CONTEXT_BYTES)
+    return out.reshape(len(packed), 8 * width).view("<u8")
 
 
 def _first_anchors(window: int):
     """The occurrences of shared seeds: (k1, k2, low, doc_id, tag, seg, place)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, tag, seg, base, text, places in zip(*[values(batch.column(i)) for i in range(6)], strict=True):
-                p = np.array(places, np.int64)
-                k1, k2 = _Segment(text, base, window).keys(p, 0, window - _size(window))
-                yield _anchors(k1, k2, 0, doc_id, tag, seg, p)
+        for batch in _together(batches):
+            row, places = _lists_of(batch.column("places"))
+            places = places.to_numpy(zero_copy_only=False)
+            k1, k2 = _Segments(batch, window).keys(row, places, 0, window - _size(window))
+            names = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k1), pa.array(k2), pa.array(np.zeros(len(row), np.int32)),
+                 *[batch.column(c).take(names) for c in ("doc_id", "tag", "seg")], pa.array(places)],
+                names=["k1", "k2", "low", "doc_id", "tag", "seg", "place"])
     return run
 
 
 ANCHORS = "k1 long, k2 long, low int, doc_id long, tag long, seg int, place long"
 
 
-def _anchors(k1, k2, low, doc_id, tag, seg, places) -> pa.RecordBatch:
-    n = len(places)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(k1), pa.array(k2), pa.array(np.full(n, low, np.int32)), pa.array(np.full(n, doc_id, np.int64)),
-         pa.array(np.full(n, tag, np.int64)), pa.array(np.full(n, seg, np.int32)), pa.array(places)],
-        names=["k1", "k2", "low", "doc_id", "tag", "seg", "place"])
-
-
 def _contexts(window: int):
     """The words around the holders' occurrences: (k1, k2, low, of_doc, of_place, left, right, context)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, base, text, held in zip(*[values(batch.column(i)) for i in range(4)], strict=True):
-                context, left, right = _Segment(text, base, window).around(np.array([h["place"] for h in held], np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array([h[c] for h in held], t) for c, t in (
-                        ("k1", pa.int64()), ("k2", pa.int64()), ("low", pa.int32()))],
-                     pa.array(np.full(len(held), doc_id, np.int64)), pa.array([h["place"] for h in held], pa.int64()),
-                     pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(_pack(context), pa.binary())],
-                    names=["k1", "k2", "low", "of_doc", "of_place", "left", "right", "context"])
+        for batch in _together(batches):
+            row, held = _lists_of(batch.column("held"))
+            h = _fields(held)
+            context, left, right = _Segments(batch, window).around(row, h["place"].to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays(
+                [h["k1"], h["k2"], h["low"].cast(pa.int32()), batch.column("doc_id").take(pa.array(row)), h["place"], pa.array(left.astype(np.int32)),
+                 pa.array(right.astype(np.int32)), _pack(context)],
+                names=["k1", "k2", "low", "of_doc", "of_place", "left", "right", "context"])
     return run
 
 
@@ -287,68 +315,68 @@ def _extend(window: int, level: int):
     kind 1: an occurrence some of whose windows in a part of the next level no holder has matched."""
     size, margin = _size(window), window - _size(window)
     levels = parts_of(margin)
-    high_of = dict(levels[level])
     later = levels[level + 1] if level + 1 < len(levels) else []
 
+    low_of, high_of = np.array(levels[level]).T
+    fits = [(a, b, (low_of <= a) & (b <= high_of)) for a, b in later]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, tag, seg, base, text, met in zip(*[values(batch.column(i)) for i in range(6)], strict=True):
-                own = _Segment(text, base, window)
-                col = {c: np.array([m[c] for m in met], np.int64) for c in ("place", "low", "of_doc", "of_place", "left", "right")}
-                place = col["place"]
-                mine, left, right = own.around(place)
-                equal = mine == _unpack([m["context"] for m in met], 2 * margin)
-                to_left, to_right = (np.minimum(np.minimum(a, b), np.cumprod(e, axis=1).sum(axis=1)) for a, b, e in (
-                    (left, col["left"], equal[:, :margin]), (right, col["right"], equal[:, margin:])))
-                repeat = (to_left + to_right >= margin) & (col["of_doc"] < doc_id)
-                spans = _merged(col["of_doc"][repeat], (place - to_left)[repeat], (place + size + to_right)[repeat],
-                                (col["of_place"] - to_left)[repeat])
-                n = len(spans[0])
-                yield _extended(0, doc_id, tag, seg, n, place=spans[1], high=spans[2], of_doc=spans[0], of_place=spans[3])
-                # windows that begin so many words before the seed: possible ones, and matched ones
-                low, high = np.array(list(high_of)), np.array(list(high_of.values()))
-                here = np.searchsorted(low, col["low"])
-                first = np.maximum(low[here], margin - right)
-                last = np.minimum(high[here], left)
-                matched = margin - to_right, to_left
-                for a, b in later:
-                    x, y = np.maximum(first, a), np.minimum(last, b)
-                    some = (x <= y) & (low[here] <= a) & (b <= high[here]) & ~((matched[0] <= x) & (y <= matched[1]))
-                    if some.any():
-                        p = place[some]
-                        k1, k2 = own.keys(p, a, b)
-                        yield _extended(1, doc_id, tag, seg, len(p), k1=k1, k2=k2, low=np.full(len(p), a), place=p)
+        for batch in _together(batches):
+            own = _Segments(batch, window)
+            row, met = _lists_of(batch.column("met"))
+            m = _fields(met)
+            place, low, of_doc, of_place, their_left, their_right = (m[c].to_numpy(zero_copy_only=False) for c in (
+                "place", "low", "of_doc", "of_place", "left", "right"))
+            mine, left, right = own.around(row, place)
+            equal = mine == _unpack(m["context"], 2 * margin)
+            to_left, to_right = (np.minimum(np.minimum(a, b), np.cumprod(e, axis=1).sum(axis=1)) for a, b, e in (
+                (left, their_left, equal[:, :margin]), (right, their_right, equal[:, margin:])))
+            del mine, equal
+            doc_id = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
+            repeat = (to_left + to_right >= margin) & (of_doc < doc_id)
+            yield _extended(0, batch, *_merged(row[repeat], of_doc[repeat], (place - to_left)[repeat],
+                                               (place + size + to_right)[repeat], (of_place - to_left)[repeat]))
+            # windows that begin so many words before the seed: possible ones, and matched ones
+            here = np.searchsorted(low_of, low)
+            first, last = np.maximum(low_of[here], margin - right), np.minimum(high_of[here], left)
+            for a, b, inside in fits:
+                x, y = np.maximum(first, a), np.minimum(last, b)
+                some = inside[here] & (x <= y) & ~((margin - to_right <= x) & (y <= to_left))
+                if some.any():
+                    yield _extended(1, batch, row[some], None, place[some], None, None, a, own.keys(row[some], place[some], a, b))
     return run
 
 
-_EXTENDED = pa.schema([("kind", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("low", pa.int32()), ("doc_id", pa.int64()),
-                       ("tag", pa.int64()), ("seg", pa.int32()), ("place", pa.int64()), ("high", pa.int64()),
-                       ("of_doc", pa.int64()), ("of_place", pa.int64())])
 EXTENDED = ("kind int, k1 long, k2 long, low int, doc_id long, tag long, seg int, place long, high long, "
             "of_doc long, of_place long")
 
 
-def _extended(kind: int, doc_id: int, tag: int, seg: int, n: int, **columns: np.ndarray) -> pa.RecordBatch:
-    fixed = {"kind": kind, "doc_id": doc_id, "tag": tag, "seg": seg}
+def _extended(kind: int, batch: pa.RecordBatch, row: np.ndarray, of_doc, place: np.ndarray, high, of_place, low=None,
+              keys=(None, None)) -> pa.RecordBatch:
+    """Rows of :data:`EXTENDED` for segments of a batch."""
+    n, of = len(row), pa.array(row, pa.int64())
+    column = lambda x, t=pa.int64(): pa.nulls(n, t) if x is None else pa.array(x, t)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, fixed[f.name]) if f.name in fixed else columns[f.name], f.type) if f.name in fixed or f.name in columns
-         else pa.nulls(n, f.type) for f in _EXTENDED], schema=_EXTENDED)
-
-
-def _merged(of_doc: np.ndarray, start: np.ndarray, end: np.ndarray, of_start: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Matches on one diagonal that overlap as one: (of_doc, start, end, of_start)."""
-    if not len(start):
-        return of_doc, start, end, of_start
-    order = np.lexsort((start, start - of_start, of_doc))
-    of_doc, start, end, of_start = (x[order] for x in (of_doc, start, end, of_start))
-    new = np.concatenate(([True], (of_doc[1:] != of_doc[:-1]) | ((start - of_start)[1:] != (start - of_start)[:-1])))
-    out: list[list[int]] = []
-    for i, fresh in enumerate(new.tolist()):
-        if fresh or start[i] > out[-1][2]:
-            out.append([int(of_doc[i]), int(start[i]), int(end[i]), int(of_start[i])])
-        else:
-            out[-1][2] = max(out[-1][2], int(end[i]))
-    return tuple(np.array(x, np.int64) for x in zip(*out, strict=True))
+        [column(np.full(n, kind), pa.int32()), column(keys[0]), column(keys[1]),
+         column(None if low is None else np.full(n, low), pa.int32()), *[batch.column(c).take(of) for c in ("doc_id", "tag", "seg")],
+         column(place), column(high), column(of_doc), column(of_place)], names=[c.split()[0] for c in EXTENDED.split(", ")])
+
+
+def _merged(row: np.ndarray, of_doc: np.ndarray, start: np.ndarray, end: np.ndarray,
+            of_start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Matches of a segment on one diagonal that touch as one: (row, of_doc, start, end, of_start)."""
+    order = np.lexsort((start, start - of_start, of_doc, row))
+    row, of_doc, start, end, of_start = (x[order] for x in (row, of_doc, start, end, of_start))
+    if not len(row):
+        return row, of_doc, start, end, of_start
+    line = np.stack((row, of_doc, start - of_start))
+    new = np.concatenate(([True], (line[:, 1:] != line[:, :-1]).any(axis=0)))
+    # the highest end so far on the same diagonal: lines are lifted above each other
+    lift = np.cumsum(new) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + lift) - lift
+    new[1:] |= start[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    return row[at], of_doc[at], start[at], np.maximum.reduceat(end, at), of_start[at]
 
 
 def _kept():
@@ -406,10 +434,9 @@ def _repeats(rows: DataFrame, scan: DataFrame, window: int) -> DataFrame:
     near = materialize(near.select("doc_id", "tag", "text", "places").mapInArrow(_segments(window), SEGMENTS), "segments")
 
     key, segment = F.struct("k1", "k2", "low").alias("key"), ["doc_id", "tag", "seg"]
-    anchors = near.mapInArrow(_first_anchors(window), ANCHORS)
+    anchors = materialize(near.mapInArrow(_first_anchors(window), ANCHORS), "first-anchors")
     done = []
     for level in range(len(parts_of(window - _size(window)))):
-        # read twice rather than written: once by key for the holder, once to meet it
         groups = anchors.groupBy("k1", "k2", "low").agg(
             F.min(F.struct(*segment, "place")).alias("holder"), F.max("doc_id").alias("most"), F.count("*").alias("n_rows"))
         groups = materialize(groups.where("holder.doc_id < most").drop("most"), "anchors")
@@ -418,14 +445,14 @@ def _repeats(rows: DataFrame, scan: DataFrame, window: int) -> DataFrame:
             break
         held = groups.select("holder.doc_id", "holder.tag", "holder.seg", F.struct(
             "k1", "k2", "low", F.col("holder.place").alias("place")).alias("h")).groupBy(*segment).agg(F.collect_list("h").alias("held"))
-        contexts = near.join(held, segment).select("doc_id", "base", "text", "held").mapInArrow(_contexts(window), CONTEXTS)
-        holders = groups.select(key, "n_rows").join(
-            contexts.select(key, "of_doc", "of_place", "left", "right", "context"), "key")
-        met = attach(anchors.select(key, *segment, "place"), holders, "key", "n_rows", total, "place").where(
+        contexts = near.join(held, segment).select("doc_id", "base", "n", "text", "held").mapInArrow(_contexts(window), CONTEXTS)
+        sizes = groups.select(key, "n_rows")
+        holders = sizes.join(contexts.select(key, "of_doc", "of_place", "left", "right", "context"), "key")
+        met = attach(anchors.select(key, *segment, "place"), holders, "key", "n_rows", total, "place", sizes).where(
             "n_rows is not null").select(*segment, F.struct(
                 "place", F.col("key.low").alias("low"), "of_doc", "of_place", "left", "right", "context").alias("m"))
         met = near.join(met.groupBy(*segment).agg(F.collect_list("m").alias("met")), segment)
-        out = materialize(met.select("doc_id", "tag", "seg", "base", "text", "met").mapInArrow(_extend(window, level), EXTENDED),
+        out = materialize(met.select("doc_id", "tag", "seg", "base", "n", "text", "met").mapInArrow(_extend(window, level), EXTENDED),
                           "extended")
         done.append(out.where("kind = 0").select("doc_id", "tag", "place", "high", "of_doc", "of_place"))
         anchors = out.where("kind = 1").select(*[c.split()[0] for c in ANCHORS.split(", ")])

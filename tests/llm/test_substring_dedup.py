@@ -130,3 +130,26 @@ def test_every_window_has_a_seed_chosen_by_its_words():
     assert gaps.max() <= 50 - S.SEED_WORDS + 1 and len(places) < len(words) / 15
     part = S.seeds(words[1000:1050], 50)[1] + 1000
     assert set(part) <= set(places)
+
+
+def test_groups_of_segments_do_not_matter(monkeypatch):
+    rng = random.Random(21)
+    words = [[f"{rng.choice('ab')}{rng.randrange(9)}" for _ in range(rng.randrange(60, 200))] for _ in range(30)]
+    places = [sorted(rng.sample(range(len(w) - 15), 5)) for w in words]
+    rows = pa.RecordBatch.from_pydict({
+        "doc_id": list(range(30)), "tag": list(range(30)), "seg": pa.array([0] * 30, pa.int32()), "base": [0] * 30,
+        "n": [len(w) for w in words], "text": [" ".join(w) for w in words], "places": places})
+
+    def run(size):
+        monkeypatch.setattr(S, "GROUP_WORDS", size)
+        anchors = pa.Table.from_batches(list(S._first_anchors(50)(iter([rows]))))
+        held = [[{"k1": 1, "k2": 2, "low": 0, "place": p} for p in ps] for ps in places]
+        contexts = pa.Table.from_batches(list(S._contexts(50)(iter([rows.append_column("held", pa.array(held))]))))
+        met = [{c: r[c] for c in ("of_doc", "of_place", "left", "right", "context")} for r in contexts.to_pylist()]
+        met = [[{"place": p, "low": 0, **met[(7 * i + k) % len(met)]} for k, p in enumerate(ps)] for i, ps in enumerate(places)]
+        extended = pa.Table.from_batches(list(S._extend(50, 0)(iter([rows.append_column("met", pa.array(met))]))))
+        # a context's words beyond its left and right mean nothing
+        return [sorted(map(str, t.to_pylist())) for t in (anchors, contexts.drop_columns("context"), extended)]
+
+    assert run(200_000) == run(150) == run(1)
+    assert len(run(1)[2]) > 100
