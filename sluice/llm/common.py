@@ -95,6 +95,18 @@ def own_tables(spark: SparkSession) -> Iterator[None]:
         system.delete(place, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that the block runs hand ``rows`` rows at a time to Python, for rows that are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 #: A group is hot if it holds more than 1/1000 of all rows, so at most 1000 are.
 HOT_SHARE = 1000
 HOT_ROWS = 10_000

@@ -6,8 +6,8 @@ that more than one of them has. Every occurrence of an anchor is compared with o
 smallest document's: the match is extended to both sides, word by word, and is a
 repeat if it reaches the window. What an occurrence doesn't share with that holder
 it may share with another, so the windows left over go on with longer anchors: the anchor and
-what all windows of a part of them have around it, first halves, then quarters, then
-single windows. Occurrences whose anchor no other document has drop out, so most take part
+what all windows of a part of them have around it, first halves, then quarters, then eighths,
+then single windows. Occurrences whose anchor no other document has drop out, so most take part
 once or twice. There are no pairs of occurrences, however many documents an anchor has. Matches
 on one diagonal that touch are one maximal repeat."""
 
@@ -22,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick, values
+from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick, small_batches, values
 
 WINDOW = 50
 SEED_WORDS = 16
-#: Words of a segment, words that are extended in one go, and bytes of a word's hash in a holder's context.
+#: Words of a segment, words and segments that are extended in one go, and bytes of a word's hash in a holder's context.
 SEGMENT = 16_384
 GROUP_WORDS = 200_000
+BATCH_SEGMENTS = 500
 CONTEXT_BYTES = 6
 _CONTEXT_BITS = np.uint64((1 << 8 * CONTEXT_BYTES) - 1)
 
@@ -299,9 +300,9 @@ CONTEXTS = "k1 long, k2 long, low int, of_doc long, of_place long, left int, rig
 
 def parts_of(margin: int) -> list[list[tuple[int, int]]]:
     """By level, the parts of the places 0 to ``margin`` that a window can begin before a seed:
-    all, halves, quarters, single ones. Each part lies in one of the level before."""
+    all, halves, quarters, eighths, single ones. Each part lies in one of the level before."""
     levels = [[(0, margin)]]
-    for _ in range(2):
+    for _ in range(3):
         levels.append([x for a, b in levels[-1] for x in (
             ((a, (a + b) // 2), ((a + b) // 2 + 1, b)) if a < b else ((a, b),))])
     levels.append([(o, o) for o in range(margin + 1)])
@@ -452,8 +453,9 @@ def _repeats(rows: DataFrame, scan: DataFrame, window: int) -> DataFrame:
             "n_rows is not null").select(*segment, F.struct(
                 "place", F.col("key.low").alias("low"), "of_doc", "of_place", "left", "right", "context").alias("m"))
         met = near.join(met.groupBy(*segment).agg(F.collect_list("m").alias("met")), segment)
-        out = materialize(met.select("doc_id", "tag", "seg", "base", "n", "text", "met").mapInArrow(_extend(window, level), EXTENDED),
-                          "extended")
+        with small_batches(rows.sparkSession, BATCH_SEGMENTS):  # a segment's row holds its text and contexts
+            out = materialize(met.select("doc_id", "tag", "seg", "base", "n", "text", "met").mapInArrow(
+                _extend(window, level), EXTENDED), "extended")
         done.append(out.where("kind = 0").select("doc_id", "tag", "place", "high", "of_doc", "of_place"))
         anchors = out.where("kind = 1").select(*[c.split()[0] for c in ANCHORS.split(", ")])
     if not done:

@@ -84,7 +84,7 @@ def test_segments_and_levels(monkeypatch):
     out = [r for b in seg(iter([batch])) for r in b.to_pylist()]
     assert [(r["seg"], r["base"], r["places"]) for r in out] == [(0, 0, [0, 39]), (1, 6, [41]), (2, 46, [100, 114])]
     assert out[1]["text"].split() == words[6:80 + 16 + 34]
-    assert [len(x) for x in S.parts_of(34)] == [1, 2, 4, 35] and S.parts_of(0) == [[(0, 0)]]
+    assert [len(x) for x in S.parts_of(34)] == [1, 2, 4, 8, 35] and S.parts_of(0) == [[(0, 0)]]
     for level, after in zip(S.parts_of(34), S.parts_of(34)[1:]):
         assert [o for a, b in after for o in range(a, b + 1)] == list(range(35))
         assert all(any(a <= x and y <= b for a, b in level) for x, y in after)
