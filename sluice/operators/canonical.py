@@ -110,9 +110,13 @@ def map_sales_lines(validated: DataFrame, contract: Contract) -> DataFrame:
         checks.append((~non_blank("store_code"), ABORT_BLANK))
     checks.append((~non_blank("sku"), ABORT_BLANK))
     abort = F.when(rule_ok, _first_abort(*checks))
-    qty = to_quantity(q)
-    amount = F.when(price_wide.isNull(), line_amount(qty, price)).cast(AMOUNT_TYPE)
-    amount_wide = wide_line_amount(qty, price, price_wide)
+    # columns of their own, so that the status doesn't compute them again
+    validated = validated.withColumn("_quantity", to_quantity(q))
+    qty = F.col("_quantity")
+    validated = validated.withColumns({
+        "_amount": F.when(price_wide.isNull(), line_amount(qty, price)).cast(AMOUNT_TYPE),
+        "_amount_wide": wide_line_amount(qty, price, price_wide)})
+    amount, amount_wide = F.col("_amount"), F.col("_amount_wide")
     status, code, message = _outcome(rule_ok, abort, amount.isNotNull() | amount_wide.isNotNull())
     canonical = [
         F.lit(contract.channel).alias("sales_channel_code"),

@@ -182,8 +182,8 @@ def first_failure_per_file(validated: DataFrame, contract: Contract,
                            file_cols: str | Sequence[str] = "source_id") -> DataFrame:
     """P14 + O6: the first failing row and, in it, the first failing field (see :func:`failure_key`)."""
     files = [file_cols] if isinstance(file_cols, str) else list(file_cols)
-    agg = (validated.where(F.col("first_error").isNotNull())
-           .groupBy(*files).agg(F.min(failure_key(contract)).alias("_k")))
+    # rows without a failure have no key; a filter on them would be pushed into the parsing
+    agg = validated.groupBy(*files).agg(F.min(failure_key(contract)).alias("_k")).where("_k is not null")
     return agg.select(*files, *failure_of_key("_k", contract))
 
 
