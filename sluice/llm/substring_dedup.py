@@ -26,10 +26,11 @@ from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick, smal
 
 WINDOW = 50
 SEED_WORDS = 16
-#: Words of a segment, words and segments that are extended in one go, and bytes of a word's hash in a holder's context.
+#: Words of a segment; words, segments and matches that are looked at in one go; and bytes of a word's hash in a holder's context.
 SEGMENT = 16_384
-GROUP_WORDS = 200_000
-BATCH_SEGMENTS = 500
+GROUP_WORDS = 50_000
+BATCH_SEGMENTS = 250
+MATCHES = 8192
 CONTEXT_BYTES = 6
 _CONTEXT_BITS = np.uint64((1 << 8 * CONTEXT_BYTES) - 1)
 
@@ -286,12 +287,14 @@ def _contexts(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _together(batches):
             row, held = _lists_of(batch.column("held"))
-            h = _fields(held)
-            context, left, right = _Segments(batch, window).around(row, h["place"].to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays(
-                [h["k1"], h["k2"], h["low"].cast(pa.int32()), batch.column("doc_id").take(pa.array(row)), h["place"], pa.array(left.astype(np.int32)),
-                 pa.array(right.astype(np.int32)), _pack(context)],
-                names=["k1", "k2", "low", "of_doc", "of_place", "left", "right", "context"])
+            own, fields = _Segments(batch, window), _fields(held)
+            for at in range(0, len(row), MATCHES):
+                h, some = {c: x.slice(at, MATCHES) for c, x in fields.items()}, row[at:at + MATCHES]
+                context, left, right = own.around(some, h["place"].to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays(
+                    [h["k1"], h["k2"], h["low"].cast(pa.int32()), batch.column("doc_id").take(pa.array(some)), h["place"],
+                     pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), _pack(context)],
+                    names=["k1", "k2", "low", "of_doc", "of_place", "left", "right", "context"])
     return run
 
 
@@ -324,27 +327,29 @@ def _extend(window: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _together(batches):
             own = _Segments(batch, window)
-            row, met = _lists_of(batch.column("met"))
-            m = _fields(met)
-            place, low, of_doc, of_place, their_left, their_right = (m[c].to_numpy(zero_copy_only=False) for c in (
-                "place", "low", "of_doc", "of_place", "left", "right"))
-            mine, left, right = own.around(row, place)
-            equal = mine == _unpack(m["context"], 2 * margin)
-            to_left, to_right = (np.minimum(np.minimum(a, b), np.cumprod(e, axis=1).sum(axis=1)) for a, b, e in (
-                (left, their_left, equal[:, :margin]), (right, their_right, equal[:, margin:])))
-            del mine, equal
-            doc_id = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
-            repeat = (to_left + to_right >= margin) & (of_doc < doc_id)
-            yield _extended(0, batch, *_merged(row[repeat], of_doc[repeat], (place - to_left)[repeat],
-                                               (place + size + to_right)[repeat], (of_place - to_left)[repeat]))
-            # windows that begin so many words before the seed: possible ones, and matched ones
-            here = np.searchsorted(low_of, low)
-            first, last = np.maximum(low_of[here], margin - right), np.minimum(high_of[here], left)
-            for a, b, inside in fits:
-                x, y = np.maximum(first, a), np.minimum(last, b)
-                some = inside[here] & (x <= y) & ~((margin - to_right <= x) & (y <= to_left))
-                if some.any():
-                    yield _extended(1, batch, row[some], None, place[some], None, None, a, own.keys(row[some], place[some], a, b))
+            rows, met = _lists_of(batch.column("met"))
+            fields = _fields(met)
+            for at in range(0, len(rows), MATCHES):
+                row, m = rows[at:at + MATCHES], {c: x.slice(at, MATCHES) for c, x in fields.items()}
+                place, low, of_doc, of_place, their_left, their_right = (m[c].to_numpy(zero_copy_only=False) for c in (
+                    "place", "low", "of_doc", "of_place", "left", "right"))
+                mine, left, right = own.around(row, place)
+                equal = mine == _unpack(m["context"], 2 * margin)
+                to_left, to_right = (np.minimum(np.minimum(a, b), np.logical_and.accumulate(e, axis=1).sum(axis=1)) for a, b, e in (
+                    (left, their_left, equal[:, :margin]), (right, their_right, equal[:, margin:])))
+                del mine, equal
+                doc_id = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
+                repeat = (to_left + to_right >= margin) & (of_doc < doc_id)
+                yield _extended(0, batch, *_merged(row[repeat], of_doc[repeat], (place - to_left)[repeat],
+                                                   (place + size + to_right)[repeat], (of_place - to_left)[repeat]))
+                # windows that begin so many words before the seed: possible ones, and matched ones
+                here = np.searchsorted(low_of, low)
+                first, last = np.maximum(low_of[here], margin - right), np.minimum(high_of[here], left)
+                for a, b, inside in fits:
+                    x, y = np.maximum(first, a), np.minimum(last, b)
+                    some = inside[here] & (x <= y) & ~((margin - to_right <= x) & (y <= to_left))
+                    if some.any():
+                        yield _extended(1, batch, row[some], None, place[some], None, None, a, own.keys(row[some], place[some], a, b))
     return run
 
 
