@@ -251,16 +251,30 @@ def check_domains(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     return check_rows(df, _domain_rules(SCHEMAS[table]), key)
 
 
+#: The rows of one key are dealt to so many tasks before they are counted.
+SALTS = 32
+
+
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys`` and ``row_count``: the rows of every key.
+
+    The keys, nothing else, are dealt by value and a salt and counted where they arrive, so a task
+    holds the keys of its own part and not all that its share of the input has; the salt
+    deals a hot key to many tasks, whose counts are summed."""
+    dealt = df.select(*keys, (F.monotonically_increasing_id() % SALTS).alias("_salt")).repartition(*keys, "_salt")
+    parts = dealt.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    return parts.groupBy(*keys).agg(F.sum("_n").alias("row_count"))
+
+
 def check_unique_keys(df: DataFrame, keys: Sequence[str], name: str,
                       primary: bool = False) -> DataFrame:
     """Key values held by more than one row (one output row per value),
-    plus a row for null primary keys.  Partial aggregation keeps a hot key
-    to one pre-aggregated row per task before the shuffle."""
+    plus a row for null primary keys (see :func:`key_counts`)."""
     broken = F.col("row_count") > 1
     if primary:
         for k in keys:
             broken = broken | c(k).isNull()
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where(broken)
+    dup = key_counts(df, keys).where(broken)
     return dup.select(F.lit(name).alias("constraint_name"),
                       F.concat_ws("|", *[c(k).cast("string") for k in keys]).alias("key_value"),
                       "row_count")
@@ -269,12 +283,12 @@ def check_unique_keys(df: DataFrame, keys: Sequence[str], name: str,
 def check_foreign_keys(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
                        parent_cols: Sequence[str], name: str) -> DataFrame:
     """Distinct non-null child keys with no parent row.  A null child key
-    is allowed (nullable references).  Child keys are counted before the join, so a
-    hot key meets the parents as one row."""
+    is allowed (nullable references).  Child keys are counted before the join (see
+    :func:`key_counts`), so a hot key meets the parents as one row."""
     not_null = None
     for k in child_cols:
         not_null = c(k).isNotNull() if not_null is None else not_null & c(k).isNotNull()
-    keys = child.where(not_null).groupBy(*child_cols).agg(F.count(F.lit(1)).alias("row_count"))
+    keys = key_counts(child.where(not_null), child_cols)
     pk = parent.select(*[c(p).alias(f"_p{i}") for i, p in enumerate(parent_cols)])
     cond = None
     for i, k in enumerate(child_cols):
