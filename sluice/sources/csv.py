@@ -7,19 +7,25 @@ each block since then that turns it, so two running aggregates over the blocks'
 give the state and the number of lines before every block. The second pass reads each block
 from its true state; a record belongs to the block in which it begins, which reads on to
 its end. Headers, widths and the first failure of each file are relational steps over the
-records. Neither pass holds more than a record and a batch of rows."""
+records. Neither pass holds more than a record and a batch of rows.
+
+A document held as bytes is a row of one task, which parses it to the end: it needs no block, no
+stored record and no join, however many documents there are."""
 
 from __future__ import annotations
 
 import codecs
+import io
 import re
 from collections.abc import Iterator
+from itertools import islice
 from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import StructType
 
 from sluice.operators.skew import spread_join
 from sluice.session import ensure_checkpoint_dir
@@ -284,14 +290,69 @@ def file_events(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return states.mapInArrow(_block_events(block_bytes), _EVENT)
 
 
-def _content_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The events of documents held as bytes; one block each."""
-    import io
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            data = content.as_buffer() if content.is_valid else b""
-            with io.BytesIO(data or b"") as file:
-                yield from _batches(path, 0, 0, block_records(block_lines(file, 0, 1 << 62)))
+def _document(data: bytes | pa.Buffer) -> Iterator[tuple]:
+    """The rows of :data:`PARSED_SCHEMA` of one document: its `file` row and, if it is sound, its records.
+
+    Holds a batch of records at most: a longer document is read again for them."""
+    records = lambda: block_records(block_lines(io.BytesIO(data), 0, 1 << 62))
+    headers = failure = at = expected = actual = None
+    held, n = [], 0
+    for line, fields, failure in records():
+        if failure is not None:
+            break
+        if headers is None:
+            headers = fields
+            failure = EMPTY_HEADER if "" in fields else DUPLICATE_HEADER if len(set(fields)) < len(fields) else None
+        elif len(fields) != len(headers):
+            failure, expected, actual = ROW_WIDTH, len(headers), len(fields)
+        else:
+            n += 1
+            if n <= BATCH:
+                held.append((line, fields))
+        if failure is not None:
+            at = line + 1
+            break
+    if headers is None and failure is None:
+        failure = MISSING_HEADER
+    if failure is not None:
+        yield "file", at, None, None, failure, expected, actual, None
+        return
+    yield "file", None, headers, None, None, None, None, n
+    for line, fields in held if n <= BATCH else ((line, fields) for line, fields, _ in islice(records(), 1, None)):
+        yield "row", line + 1, headers, fields, None, None, None, None
+
+
+_PARSED = pa.schema([("kind", pa.string()), ("row_number", pa.int64()), ("headers", pa.list_(pa.string())),
+                     ("vals", pa.list_(pa.string())), ("failure_category", pa.string()),
+                     ("expected_field_count", pa.int32()), ("actual_field_count", pa.int32()),
+                     ("data_row_count", pa.int64())])
+
+
+def _parsed(key: str):
+    """Listing rows with the rows of their documents in place of ``content``."""
+    def with_listing(listing: pa.RecordBatch, out: list[tuple]) -> pa.RecordBatch:
+        of, *columns = zip(*out, strict=True)
+        of = pa.array(of, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [*[c.take(of) for c in listing.columns], *[pa.array(c, f.type) for c, f in zip(columns, _PARSED, strict=True)]],
+            names=[*listing.schema.names, *_PARSED.names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listing = batch.select([c for c in batch.schema.names if c != "content"])
+            out: list[tuple] = []
+            for i, (name, content) in enumerate(zip(batch.column(key), batch.column("content"), strict=True)):
+                # a row without a name has no records
+                data = content.as_buffer() if name.is_valid and content.is_valid else b""
+                for row in _document(data):
+                    out.append((i, *row))
+                    if len(out) == BATCH:
+                        yield with_listing(listing, out)
+                        out = []
+            if out:
+                yield with_listing(listing, out)
+
+    return run
 
 
 def parse_events(events: DataFrame) -> DataFrame:
@@ -350,12 +411,10 @@ def read_governed_csv(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataF
     ensure_checkpoint_dir(files.sparkSession)
     keep = [c for c in files.columns if c != "content"]
     if "content" in files.columns:
-        key = "source_id"
-        events = files.select(key, "content").mapInArrow(_content_events, _EVENT)
-    else:
-        key = "path"
-        events = file_events(files.select("path", "length"), block_bytes)
-    parsed = parse_events(events).withColumnRenamed("path", key)
+        out = StructType([*files.select(*keep).schema, *StructType.fromDDL(PARSED_SCHEMA)])
+        return files.select(*keep, "content").mapInArrow(_parsed("source_id"), out)
+    key = "path"
+    parsed = parse_events(file_events(files.select("path", "length"), block_bytes))
     rows = spread_join(parsed.where("kind = 'row'"), files.select(*keep), key, "inner")
     # a file without events has no header either
     status = files.select(*keep).join(parsed.where("kind = 'file'"), key, "left")

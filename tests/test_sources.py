@@ -6,6 +6,7 @@ import io
 import json
 import os
 import random
+import re
 import zlib
 
 import pytest
@@ -339,3 +340,23 @@ def test_identity_payload_literal(spark):
                "source_path": "retail_sales/v1/é.csv", "content_sha256": "a" * 64}
     assert got == hashlib.sha256(json.dumps(payload, sort_keys=True, separators=(",", ":"),
                                             ensure_ascii=False).encode()).hexdigest()
+
+
+def test_documents_held_as_bytes_need_no_join_and_no_stored_records(spark):
+    rows = [(f"d{i}", i, f"a,b\n{i},x\n{i},y\n" + ("1\n" if i % 7 == 0 else "")) for i in range(200)]
+    rows += [("none", 200, None), (None, 201, "a,b\n1,2\n"), ("long", 202, "a,b\n" + "1,2\n" * 20_000),
+             ("late", 203, "a,b\n" + "1,2\n" * 20_000 + "1\n")]
+    out = parse_text_rows(spark.createDataFrame(rows, "source_id string, n int, csv_text string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Join|Aggregate|ExistingRDD.*checkpoint", plan) and plan.count("MapInArrow") == 1
+    got = {}
+    for r in out.collect():
+        got.setdefault((r["source_id"], r["n"]), []).append(r)
+    files = {k: [r for r in v if r["kind"] == "file"] for k, v in got.items()}
+    assert len(files) == len(rows) and all(len(v) == 1 for v in files.values())
+    assert len(got["long", 202]) == 20_001 and files["long", 202][0]["data_row_count"] == 20_000
+    assert [r["row_number"] for r in got["long", 202] if r["kind"] == "row"] == list(range(2, 20_002))
+    late = files["late", 203][0]
+    assert (len(got["late", 203]), late["failure_category"], late["row_number"]) == (1, "row_width", 20_002)
+    assert [files[k][0]["failure_category"] for k in (("none", 200), (None, 201))] == ["missing_header"] * 2
+    assert all(len(got[f"d{i}", i]) == (1 if i % 7 == 0 else 3) for i in range(200))
