@@ -26,10 +26,11 @@ from sluice.llm.common import BLOCK, WHITESPACE, attach, materialize, pick, smal
 
 WINDOW = 50
 SEED_WORDS = 16
-#: Words of a segment; words, segments and matches that are looked at in one go; and bytes of a word's hash in a holder's context.
+#: Words of a segment; words, rows (texts or segments) and matches that are looked at in one go; and
+#: bytes of a word's hash in a holder's context.
 SEGMENT = 16_384
 GROUP_WORDS = 50_000
-BATCH_SEGMENTS = 250
+BATCH_ROWS = 250
 MATCHES = 8192
 CONTEXT_BYTES = 6
 _CONTEXT_BITS = np.uint64((1 << 8 * CONTEXT_BYTES) - 1)
@@ -385,24 +386,28 @@ def _merged(row: np.ndarray, of_doc: np.ndarray, start: np.ndarray, end: np.ndar
     return row[at], of_doc[at], start[at], np.maximum.reduceat(end, at), of_start[at]
 
 
-def _kept():
-    """What stays of the documents that lose words: (doc_id, tag, n_removed, kept_sha, kept_text)."""
+def _kept(with_text: bool):
+    """What stays of documents without their spans, and the digest of all their words, by which a row
+    is told from others of its id: (doc_id, tag, n_removed, kept_sha, sha) and, if asked for, kept_text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, sha, texts = [], [], []
+            n, kept_sha, sha, texts = [], [], [], []
             for text, starts, ends in zip(*[values(batch.column(i)) for i in (2, 3, 4)], strict=True):
-                words = text.encode().split()
-                mark = np.zeros(len(words) + 1, np.int32)
-                np.add.at(mark, np.array(starts, np.int64), 1)
-                np.add.at(mark, np.array(ends, np.int64), -1)
+                words = (text or "").encode().split()
+                sha.append(_words_sha(words))
+                mark = np.zeros(len(words) + 1, np.int32)  # the spans may be those of a longer row of the id
+                np.add.at(mark, np.minimum(np.array(starts, np.int64), len(words)), 1)
+                np.add.at(mark, np.minimum(np.array(ends, np.int64), len(words)), -1)
                 stay = np.cumsum(mark)[:-1] == 0
                 kept = b" ".join([words[i] for i in np.flatnonzero(stay).tolist()])
                 n.append(int(len(words) - stay.sum()))
-                sha.append(hashlib.sha256(kept).digest())
-                texts.append(kept.decode())
+                kept_sha.append(hashlib.sha256(kept).digest())
+                if with_text:
+                    texts.append(kept.decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.binary()),
-                 pa.array(texts, pa.string())], names=["doc_id", "tag", "n_removed", "kept_sha", "kept_text"])
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(kept_sha, pa.binary()),
+                 pa.array(sha, pa.binary()), *([pa.array(texts, pa.string())] if with_text else [])],
+                names=["doc_id", "tag", "n_removed", "kept_sha", "sha", *(["kept_text"] if with_text else [])])
     return run
 
 
@@ -458,9 +463,8 @@ def _repeats(rows: DataFrame, scan: DataFrame, window: int) -> DataFrame:
             "n_rows is not null").select(*segment, F.struct(
                 "place", F.col("key.low").alias("low"), "of_doc", "of_place", "left", "right", "context").alias("m"))
         met = near.join(met.groupBy(*segment).agg(F.collect_list("m").alias("met")), segment)
-        with small_batches(rows.sparkSession, BATCH_SEGMENTS):  # a segment's row holds its text and contexts
-            out = materialize(met.select("doc_id", "tag", "seg", "base", "n", "text", "met").mapInArrow(
-                _extend(window, level), EXTENDED), "extended")
+        out = materialize(met.select("doc_id", "tag", "seg", "base", "n", "text", "met").mapInArrow(
+            _extend(window, level), EXTENDED), "extended")
         done.append(out.where("kind = 0").select("doc_id", "tag", "place", "high", "of_doc", "of_place"))
         anchors = out.where("kind = 1").select(*[c.split()[0] for c in ANCHORS.split(", ")])
     if not done:
@@ -477,7 +481,9 @@ def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several smaller documents have is given for the smallest holder of each of its anchors.
     Nulls, repeated rows and empty tables as there; a row without an id has no runs."""
     rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    spans = _repeats(rows, _scanned(rows, window), window).withColumn("diagonal", F.col("place") - F.col("of_place"))
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        spans = _repeats(rows, _scanned(rows, window), window)
+    spans = spans.withColumn("diagonal", F.col("place") - F.col("of_place"))
     # matches of several anchors and segments on one diagonal: islands of spans that touch
     line = Window.partitionBy("doc_id", "tag", "of_doc", "diagonal")
     spans = spans.withColumn("before", F.max("high").over(line.orderBy("place", "high").rowsBetween(Window.unboundedPreceding, -1)))
@@ -503,13 +509,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
       than the other; each is judged by itself against smaller ids.
     * empty table: no rows; other columns are ignored, whatever their names."""
     rows = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    scan = _scanned(rows, window)
-    spans = _repeats(rows, scan, window).groupBy("doc_id", "tag").agg(
-        F.collect_list(F.struct("place", "high")).alias("spans"))
-    cut = _texts_of(rows, spans, "spans").select("doc_id", "tag", "text", "spans.place", "spans.high").mapInArrow(
-        _kept(), "doc_id long, tag long, n_removed long, kept_sha binary, kept_text string")
-    if not with_text:
-        cut = cut.drop("kept_text")
+    # rows hold texts, segments also the contexts of their matches: few at a time go to Python
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        scan = _scanned(rows, window)
+        spans = _repeats(rows, scan, window).groupBy("doc_id", "tag").agg(
+            F.collect_list(F.struct("place", "high")).alias("spans"))
+        cut = rows.join(spans, "doc_id").select("doc_id", "tag", "text", "spans.place", "spans.high").mapInArrow(
+            _kept(with_text), "doc_id long, tag long, n_removed long, kept_sha binary, sha binary" + ", kept_text string" * with_text)
+        cut = materialize(cut.where(F.col("tag") == _tag()).drop("sha"), "cut")
     out = scan.drop("seeds", "places").join(cut.dropDuplicates(["doc_id", "tag"]), ["doc_id", "tag"], "left")
     gone = F.col("copy") & (F.col("n_words") >= window)
     empty = hashlib.sha256(b"").hexdigest()

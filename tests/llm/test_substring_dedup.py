@@ -153,3 +153,30 @@ def test_groups_of_segments_do_not_matter(monkeypatch):
 
     assert run(200_000) == run(150) == run(1)
     assert len(run(1)[2]) > 100
+
+
+def test_few_rows_go_to_python_at_a_time(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(made):
+        def make(*args):
+            run = made(*args)
+
+            def few(batches):
+                def counted():
+                    for batch in batches:
+                        seen.add(int(batch.num_rows > 250))
+                        yield batch
+                yield from run(counted())
+            return few
+        return make
+    for name in ("_scan", "_segments", "_first_anchors", "_contexts", "_extend", "_kept"):
+        monkeypatch.setattr(S, name, watched(getattr(S, name)))
+    shared = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{i} {shared} {i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = S.substring_dedup(docs)
+    # what is read later needs no worker beside its own
+    assert "MapInArrow" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in out.collect()) == [(i, 60 if i else 0) for i in range(900)]
+    assert seen.value == 0
